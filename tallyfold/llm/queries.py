@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import token_files
+from tallyfold.llm import language_id, line_quality, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,12 +16,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_quality.judge_documents(docs).drop("text")
+
+
+def language_model(docs: DataFrame) -> language_id.Model:
+    """Trained on documents outside the fold that is held out."""
+    return language_id.train(docs.where((held_out() == F.lit(False)) & F.col("doc_id").isNotNull()))
+
+
+def held_out():
+    """Whether a document is in the fold that no model learns from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_model(docs)
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_files.token_files(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
 QUERIES: dict[str, Query] = {
+    "op4_line_quality": op4_line_quality,
+    "op6_language_id": op6_language_id,
     "op10_token_files": op10_token_files,
 }
 
