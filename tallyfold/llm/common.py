@@ -43,3 +43,60 @@ def file_system(uri: str):
     if "://" not in uri:
         return fs.LocalFileSystem(), uri
     return fs.FileSystem.from_uri(uri)
+
+
+def groups_in_order(batches, n_keys: int):
+    """Tables of whole groups from Arrow batches sorted by their first ``n_keys`` columns.
+
+    Yields (table, bounds): the table holds one or more complete groups and
+    bounds their first rows and the end. Only the group that a batch breaks off
+    is held back for the next one.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    held = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+        new = np.zeros(len(table), bool)
+        for k in range(n_keys):
+            values = table.column(k).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        starts = np.concatenate([[0], np.flatnonzero(new)])
+        held = table.slice(int(starts[-1]))
+        if len(starts) > 1:
+            yield table.slice(0, int(starts[-1])), starts
+    if held is not None:
+        yield held, np.array([0, len(held)])
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) of the connected components of the edges (a, b); root is the least node.
+
+    Alternating large-star and small-star steps; each round is written to the
+    shared folder, and only its edge count and checksum reach the driver.
+    """
+    from pyspark.sql import functions as F
+
+    def ordered(df: DataFrame) -> DataFrame:
+        return df.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct()
+
+    def state(df: DataFrame) -> tuple:
+        return tuple(df.agg(F.count("*"), F.expr("bit_xor(xxhash64(v, u))")).first())
+
+    now = stored(ordered(edges), "edges")
+    seen = state(now)
+    while seen[0]:
+        both = now.select(F.col("v").alias("x"), F.col("u").alias("y")).unionAll(now.select(F.col("u").alias("x"), F.col("v").alias("y")))
+        least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
+        large = ordered(both.join(least, "x").where("y > x").select(F.col("y").alias("a"), F.col("m").alias("b")))
+        first = large.groupBy("v").agg(F.min("u").alias("m"))
+        small = large.join(first, "v").select(F.col("u").alias("a"), F.col("m").alias("b")).unionAll(first.select(F.col("v").alias("a"), F.col("m").alias("b")))
+        now = stored(ordered(small), "edges")
+        before, seen = seen, state(now)
+        if before == seen:
+            break
+    return now.select(F.col("v").alias("node"), F.col("u").alias("root")).unionAll(now.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())

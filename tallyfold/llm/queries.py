@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import language_id, line_quality, token_files
+from tallyfold.llm import language_id, line_quality, ngram_join, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_texts(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_files.token_files(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -46,6 +50,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_line_quality": op4_line_quality,
     "op6_language_id": op6_language_id,
+    "op8_ngram_join": op8_ngram_join,
     "op10_token_files": op10_token_files,
 }
 

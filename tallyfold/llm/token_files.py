@@ -31,6 +31,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyfold.llm.common import file_system, scratch_dir, stored
@@ -73,8 +74,8 @@ class WordEncoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _reset(self) -> None:
-        self.index: dict[bytes | None, int] = {None: 0}  # None stands for a document's end
-        self.flat, self.offsets, self.lengths = array("I", [self.end_id]), array("q", [0]), array("q", [1])
+        self.index: dict[bytes | None, int] = {None: 0, b"": 1}  # None stands for a document's end
+        self.flat, self.offsets, self.lengths = array("I", [self.end_id]), array("q", [0, 1]), array("q", [1, 0])
 
     def _keep(self, word: bytes, ids: list[int]) -> None:
         self.index[word] = len(self.lengths)
@@ -112,30 +113,48 @@ class WordEncoder:
             stem = self.flat[self.offsets[k] : self.offsets[k] + self.lengths[k]].tolist()
             self._keep(word, stem + self.points[word[-1:]])
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and the number of each text."""
+        texts = texts.fill_null("")
         if not self.by_word:
-            found = self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+            found = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
             rows = [[*x.ids, self.end_id] for x in found]
             return np.fromiter(chain.from_iterable(rows), np.uint32), np.array([len(r) for r in rows], np.int64)
         if len(self.index) > self.max_words:
             self._reset()
-        rows = []
-        for text in texts:
-            raw = (text or "").encode("utf-8", "surrogatepass")
-            if self.folds_case and b"<|" not in raw:
-                raw = raw.lower()  # ASCII only; one entry for both cases
-            rows.append(raw.split() + [None])
-        new = set(chain.from_iterable(rows)) - self.index.keys()
+        if self.folds_case:  # ASCII only; one entry for both cases
+            texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        found = list(map(self.index.get, words))
+        new = [k for k, at in enumerate(found) if at is None]
         if new:
-            self._learn(new)
-        counts = np.array([len(r) for r in rows], np.int64)
-        words = np.fromiter(map(self.index.__getitem__, chain.from_iterable(rows)), np.int64, int(counts.sum()))
-        each = np.frombuffer(self.lengths, np.int64)[words]
+            self._learn({words[k] for k in new})
+            for k in new:
+                found[k] = self.index[words[k]]
+        known = np.array(found, np.int64)
+        # an end after each text's words
+        counts = split.value_lengths().to_numpy() + 1
+        last = np.cumsum(counts) - 1
+        codes = np.zeros(int(counts.sum()), np.int64)
+        inner = np.ones(len(codes), bool)
+        inner[last] = False
+        codes[inner] = known[coded.indices.to_numpy()]
+        each = np.frombuffer(self.lengths, np.int64)[codes]
         ends = np.cumsum(each)
-        place = np.arange(int(ends[-1])) + np.repeat(np.frombuffer(self.offsets, np.int64)[words] - (ends - each), each)
-        per_text = np.add.reduceat(each, np.cumsum(counts) - counts)
-        return np.frombuffer(self.flat, np.uint32)[place], per_text
+        place = np.arange(int(ends[-1])) + np.repeat(np.frombuffer(self.offsets, np.int64)[codes] - (ends - each), each)
+        return np.frombuffer(self.flat, np.uint32)[place], np.add.reduceat(each, last - counts + 1)
+
+
+_encoders: dict[tuple, WordEncoder] = {}
+
+
+def encoder_for(path: str, end_id: int) -> WordEncoder:
+    """The worker's encoder, kept from task to task with the words it has met."""
+    if (path, end_id) not in _encoders:
+        _encoders[path, end_id] = WordEncoder(path, end_id)
+    return _encoders[path, end_id]
 
 
 def pack(ids: np.ndarray, percentile: float = 90.0) -> tuple[bytes, np.ndarray]:
@@ -264,12 +283,12 @@ def write_token_files(
     bounds = np.array(sorted(set(cuts or [])) if n_files > 1 else [], np.int64)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path, end_id)
+        encoder = encoder_for(tokenizer_path, end_id)
         for batch in batches:
             for k in range(0, len(batch), 2000):
                 some = batch.slice(k, 2000)
                 names = some.column(0)
-                ids, lengths = encoder.encode(some.column(1).to_pylist())
+                ids, lengths = encoder.encode(some.column(1))
                 ends = np.cumsum(lengths)
                 ids = ids.astype("<u4")
                 part = np.searchsorted(bounds, names.fill_null(0).to_numpy(zero_copy_only=False), side="left").astype(np.int32)

@@ -45,8 +45,7 @@ def test_lines():
 
 
 def test_documents_are_cleaned_and_judged(spark):
-    prose = "This line has a good many words and it ends as it should %d."
-    good = "\n".join(prose % k for k in range(8))
+    good = "\n".join(" ".join(f"w{k}{c}" for c in "abcdefgh") + "." for k in range(8))
     menu = "Home | About | Contact | News"
     rows = [(1, good), (2, good + "\n" + menu), (3, "\n".join([menu + str(k) for k in range(30)]) + "\n" + good), (4, None), (5, "word " * 400), (2, good + "\n" + menu)]
     docs = spark.createDataFrame([(a, b, "x") for a, b in rows], "doc_id long, text string, kept string").repartition(2)

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -27,7 +28,7 @@ def test_ids_equal_those_of_whole_texts(name):
     encoder = tf.WordEncoder(public_tokenizers.path(name), 1, max_words=8)
     assert encoder.by_word == (name == "word_bpe_49k.json")
     for texts in (TEXTS, TEXTS[::-1], [None]):
-        ids, n = encoder.encode(texts)
+        ids, n = encoder.encode(pa.array(texts, pa.string()))
         assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == whole(texts, public_tokenizers.path(name))
 
 
