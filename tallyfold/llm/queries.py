@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import language_id, line_quality, ngram_join, token_files
+from tallyfold.llm import language_id, line_quality, ngram_join, piece_stream, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,11 @@ def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge_documents(docs).drop("text")
 
 
+def op5_piece_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return piece_stream.piece_digests(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
 def language_model(docs: DataFrame) -> language_id.Model:
     """Trained on documents outside the fold that is held out."""
     return language_id.train(docs.where((held_out() == F.lit(False)) & F.col("doc_id").isNotNull()))
@@ -49,6 +54,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_line_quality": op4_line_quality,
+    "op5_piece_stream": op5_piece_stream,
     "op6_language_id": op6_language_id,
     "op8_ngram_join": op8_ngram_join,
     "op10_token_files": op10_token_files,
