@@ -6,9 +6,11 @@ Jaccard similarity is at least the threshold. The join
 1. takes texts with equal sets as one, with a weight;
 2. sends every set down a random tree: a node picks one or two of 64 min-hash
    coordinates (1/threshold on average), by a hash of the node, and its sets
-   part by the token that they have there. Nodes with one set end, nodes with up
-   to ``leaf`` sets are compared by brute force on the sketches, larger ones are
-   split again, up to ``max_depth`` times;
+   part by the token that they have there. Nodes with one set end; nodes with up
+   to ``leaf`` sets, and those that kept at least ``alike`` of the sets that were
+   in the node above (these are near copies, which no split takes apart), are
+   compared by brute force on the sketches; others are split again, up to
+   ``max_depth`` times;
 3. repeats runs of the tree until a pair at the threshold is missed with
    probability of at most 1 - ``recall``, given the depth that runs have needed
    (only sets that have been in a split node take part in further runs);
@@ -42,6 +44,7 @@ WORDS = 5
 THRESHOLD = 0.8
 COORDINATES = 64
 LEAF, BLOCK, MAX_DEPTH = 256, 1536, 5
+ALIKE = 0.5
 
 _U = np.uint64
 _P1, _P2, _P3 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -179,9 +182,9 @@ def _dealt(df: DataFrame, key: str, member: str, size: str, block: int) -> DataF
 class ChosenPathJoin:
     """The join of one table; see the module's text for its steps."""
 
-    def __init__(self, threshold: float = THRESHOLD, words: int = WORDS, recall: float = 0.9999, leaf: int = LEAF, block: int = BLOCK, max_depth: int = MAX_DEPTH):
+    def __init__(self, threshold: float = THRESHOLD, words: int = WORDS, recall: float = 0.9999, leaf: int = LEAF, block: int = BLOCK, max_depth: int = MAX_DEPTH, alike: float = ALIKE):
         self.threshold, self.words, self.recall = threshold, words, recall
-        self.leaf, self.block, self.max_depth = leaf, block, max_depth
+        self.leaf, self.block, self.max_depth, self.alike = leaf, block, max_depth, alike
         # sketches may fall short of the similarity by four standard deviations
         self.least = threshold - 4 * math.sqrt(threshold * (1 - threshold) / COORDINATES)
 
@@ -222,7 +225,7 @@ class ChosenPathJoin:
         return docs.mapInArrow(sketched, "doc_id long, set_id long, n long, sketch binary")
 
     def _expanded(self, rows: DataFrame) -> DataFrame:
-        """(set_id, node) of the children of each row's node; rows: set_id, node, sketch."""
+        """(set_id, node, above) of the children of each row's node, which has ``above`` sets."""
         threshold = self.threshold
 
         def expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,9 +233,9 @@ class ChosenPathJoin:
                 if len(batch):
                     ids, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
                     at, child = children(nodes, _sketches(batch.column(2)), threshold)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(child)], names=["set_id", "node"])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(child), batch.column(3).take(pa.array(at))], names=["set_id", "node", "above"])
 
-        return rows.select("set_id", "node", "sketch").mapInArrow(expanded, "set_id long, node long")
+        return rows.select("set_id", "node", "sketch", "size").mapInArrow(expanded, "set_id long, node long, above long")
 
     def _groups(self, sets: DataFrame) -> DataFrame:
         """(set_id, root) of the sets that some leaf holds with a similar one."""
@@ -240,14 +243,15 @@ class ChosenPathJoin:
         part, depth, done, leaves = sets, 1, 0, []
         while done < (wanted := runs_needed(self.threshold, depth, self.recall)):
             roots = F.array(*[F.xxhash64(F.lit(r)) for r in range(done, wanted)])
-            rows = part.select("set_id", F.explode(roots).alias("node"), "sketch")
+            rows = part.select("set_id", F.explode(roots).alias("node"), "sketch", F.lit(1 << 60).alias("size"))
             done, open_ = wanted, []
             for level in range(1, self.max_depth + 1):
                 paths = stored(self._expanded(rows), "paths")
                 sizes = paths.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
                 sized = stored(paths.join(sizes, "node"), "nodes")
-                leaves.append(sized if level == self.max_depth else sized.where(F.col("size") <= self.leaf))
-                large = sized.where(F.col("size") > self.leaf)
+                small = (F.col("size") <= self.leaf) | (F.col("size") >= F.col("above") * self.alike)
+                leaves.append(sized if level == self.max_depth else sized.where(small))
+                large = sized.where(~small)
                 if large.isEmpty():
                     break
                 depth = max(depth, level)
@@ -264,7 +268,7 @@ class ChosenPathJoin:
         rows = leaves[0]
         for more in leaves[1:]:
             rows = rows.unionAll(more)
-        rows = _dealt(rows.join(sets.select("set_id", "sketch"), "set_id"), "node", "set_id", "size", self.block)
+        rows = _dealt(rows.drop("above").join(sets.select("set_id", "sketch"), "set_id"), "node", "set_id", "size", self.block)
         least = self.least
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -45,7 +45,7 @@ def brute(rows, threshold=0.8):
     return out | {(None, None, 0, 0)} if None in sets else out
 
 
-@pytest.mark.parametrize("how", [{}, {"leaf": 3, "block": 4}])
+@pytest.mark.parametrize("how", [{}, {"leaf": 3, "block": 4}, {"leaf": 2, "block": 3, "alike": 2.0}])
 def test_equals_all_pairs(spark, how):
     rows = corpus(3)
     docs = spark.createDataFrame([(a, b, "x", 0) for a, b in rows], "doc_id long, text string, node string, size int").repartition(3)
