@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import language_id, line_quality, ngram_join, piece_stream, token_files
+from tallyfold.llm import language_id, line_quality, ngram_join, pfair_mix, piece_stream, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,15 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_texts(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+#: Target weights of the sources of ``documents``; other sources weigh 2.
+TARGET_WEIGHTS = {"src0": 10, "src1": 8, "src2": 8, "src3": 5, "src4": 5, "src5": 3, "src6": 3, "src7": 1}
+
+
+def op9_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
+    return pfair_mix.mix(docs, TARGET_WEIGHTS, default_weight=2)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_files.token_files(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -57,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op5_piece_stream": op5_piece_stream,
     "op6_language_id": op6_language_id,
     "op8_ngram_join": op8_ngram_join,
+    "op9_pfair_mix": op9_pfair_mix,
     "op10_token_files": op10_token_files,
 }
 
