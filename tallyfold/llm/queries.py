@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import language_id, line_quality, ngram_join, pfair_mix, piece_stream, token_files
+from tallyfold.llm import language_id, line_quality, ngram_join, pfair_mix, piece_stream, token_files, warc_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted")
 
 
+def op7_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_store.archived(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("url")
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_texts(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -65,9 +69,22 @@ QUERIES: dict[str, Query] = {
     "op4_line_quality": op4_line_quality,
     "op5_piece_stream": op5_piece_stream,
     "op6_language_id": op6_language_id,
+    "op7_warc_store": op7_warc_store,
     "op8_ngram_join": op8_ngram_join,
     "op9_pfair_mix": op9_pfair_mix,
     "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_warc_store": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n,
+                   max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keeper
+            FROM pages
+        )
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN n >= 1000 AND keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND keeper <> page_id THEN keeper END AS refers_to
+        FROM p
+    """,
+}
