@@ -48,6 +48,10 @@ READ_BACK = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _PROBES = ("Is it, 9 of one's  words\n\tor two?", "a  B\x0bc 12 x-y.\r\né ß l'été")
 
 
+#: Latin letters that stay letters in lower case and when composed, then a point.
+CLOSED = "^[A-Za-zÀ-ÖØ-öø-įĲ-ž]+[.,]$"
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer file, word by word where that is exact.
 
@@ -63,55 +67,47 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id, self.max_words = end_id, max_words
         self.by_word = all(self._ids(p) == [i for w in p.split() for i in self._ids(w)] for p in _PROBES)
+        self.by_word &= all(self._ids(f"{w}{c}") == self._ids(w) + self._ids(c) for w in ("word", "é", "ž", "x") for c in ".,")
         self.folds_case = self.by_word and self._ids("AbZ") == self._ids("abz")
         closing = [(i, t.endswith("</w>")) for t, i in self.tokenizer.get_vocab().items()]
         self.closes = np.zeros(max(i for i, _ in closing) + 1, bool)
         self.closes[[i for i, c in closing if c]] = True
-        self.points = {c: self._ids(c.decode()) for c in (b".", b",")}
         self._reset()
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _reset(self) -> None:
-        self.index: dict[bytes | None, int] = {None: 0, b"": 1}  # None stands for a document's end
-        self.flat, self.offsets, self.lengths = array("I", [self.end_id]), array("q", [0, 1]), array("q", [1, 0])
-
-    def _keep(self, word: bytes, ids: list[int]) -> None:
-        self.index[word] = len(self.lengths)
-        self.offsets.append(len(self.flat))
-        self.lengths.append(len(ids))
-        self.flat.extend(ids)
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Encode words not seen before: plain letters in runs, the rest alone."""
-        stems, ended, other = [], [], []
-        for word in words:
-            text = word.decode("utf-8", "surrogatepass")
-            if text.isalpha():
-                stems.append((word, text))
-            elif len(text) > 1 and text[-1] in ".," and text[:-1].isalpha():
-                ended.append(word)
-                if word[:-1] not in self.index and word[:-1] not in words:
-                    stems.append((word[:-1], text[:-1]))
-            else:
-                other.append((word, text))
-        stems = list(dict(stems).items())
-        for k in range(0, len(stems), 256):
-            run = stems[k : k + 256]
-            ids = self._ids(" ".join(t for _, t in run))
+        """The fixed codes: 0 a text's end, 1 nothing, 2 a full stop, 3 a comma."""
+        self.index: dict[bytes | None, int] = {None: 0, b"": 1, b".": 2, b",": 3}
+        self.flat, self.offsets, self.lengths = array("I"), array("q"), array("q")
+        for ids in ([self.end_id], [], self._ids("."), self._ids(",")):
+            self.offsets.append(len(self.flat))
+            self.lengths.append(len(ids))
+            self.flat.extend(ids)
+
+    def _learn(self, words: list[bytes], plain: np.ndarray) -> None:
+        """Encode words not met before: those of letters in runs, the rest alone."""
+        letters = [words[k] for k in np.flatnonzero(plain)]
+        other = [words[k] for k in np.flatnonzero(~plain)]
+        for k in range(0, len(letters), 256):
+            run = letters[k : k + 256]
+            ids = self._ids(b" ".join(run).decode())
             ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
             if len(ends) == len(run):
-                for (word, _), a, b in zip(run, [0, *ends], ends):
-                    self._keep(word, ids[a:b])
+                first, starts = len(self.flat), [0, *ends[:-1]]
+                self.index.update(zip(run, range(len(self.lengths), len(self.lengths) + len(run))))
+                self.offsets.extend([first + a for a in starts])
+                self.lengths.extend([b - a for a, b in zip(starts, ends)])
+                self.flat.extend(ids)
             else:  # a letter whose lower case has a mark, say
                 other.extend(run)
-        for word, text in other:
-            self._keep(word, self._ids(text))
-        for word in ended:
-            k = self.index[word[:-1]]
-            stem = self.flat[self.offsets[k] : self.offsets[k] + self.lengths[k]].tolist()
-            self._keep(word, stem + self.points[word[-1:]])
+        for word in other:
+            ids = self._ids(word.decode())
+            self.index[word] = len(self.lengths)
+            self.offsets.append(len(self.flat))
+            self.lengths.append(len(ids))
+            self.flat.extend(ids)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and the number of each text."""
@@ -126,21 +122,28 @@ class WordEncoder:
             texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        # a full stop or comma after letters is a token of its own, so only the letters are looked up
+        closed = pc.match_substring_regex(coded.dictionary, CLOSED)
+        stems = pc.if_else(closed, pc.utf8_slice_codeunits(coded.dictionary, 0, -1), coded.dictionary).dictionary_encode()
+        words = stems.dictionary.cast(pa.binary()).to_pylist()
         found = list(map(self.index.get, words))
-        new = [k for k, at in enumerate(found) if at is None]
-        if new:
-            self._learn({words[k] for k in new})
+        new = np.array([k for k, at in enumerate(found) if at is None], np.int64)
+        if len(new):
+            plain = pc.match_substring_regex(stems.dictionary.take(pa.array(new)), r"^\pL+$").to_numpy(zero_copy_only=False)
+            self._learn([words[k] for k in new], plain)
             for k in new:
                 found[k] = self.index[words[k]]
-        known = np.array(found, np.int64)
-        # an end after each text's words
-        counts = split.value_lengths().to_numpy() + 1
+        stem = np.array(found, np.int64)[stems.indices.to_numpy()]
+        comma = pc.ends_with(coded.dictionary, ",").to_numpy(zero_copy_only=False)
+        point = np.where(closed.to_numpy(zero_copy_only=False), np.where(comma, 3, 2), 1)
+        # two codes a word, its letters and its point or nothing, then one for the text's end
+        counts = 2 * split.value_lengths().to_numpy().astype(np.int64) + 1
         last = np.cumsum(counts) - 1
         codes = np.zeros(int(counts.sum()), np.int64)
         inner = np.ones(len(codes), bool)
         inner[last] = False
-        codes[inner] = known[coded.indices.to_numpy()]
+        which = coded.indices.to_numpy()
+        codes[inner] = np.stack([stem[which], point[which]], axis=1).reshape(-1)
         each = np.frombuffer(self.lengths, np.int64)[codes]
         ends = np.cumsum(each)
         place = np.arange(int(ends[-1])) + np.repeat(np.frombuffer(self.offsets, np.int64)[codes] - (ends - each), each)

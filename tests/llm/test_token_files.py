@@ -12,7 +12,7 @@ from tallyfold.llm import token_files as tf
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
     None, "", " ", "\n", "One two. THREE, four's  it's!\tx", "a\x1cb\x85c d é Éİ ΣΣ", "<|endoftext|> <|ENDOFTEXT|> a<|startoftext|>b",
-    "123 4,5. ,. .", "mot Élève.", "word " * 3000, "\U00012000 漢字 ...", "foo.bar, foo., foo",
+    "123 4,5. ,. .", "mot Élève.", "word " * 3000, "\U00012000 漢字 ...", "foo.bar, foo., foo", "İ. क़. क़, ǰ. ŉ. ß, x\u0301. a1. 1.",
 ]
 
 
