@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import language_id, line_quality, ngram_join, pfair_mix, piece_stream, token_files, warc_store
+from tallyfold.llm import language_id, line_quality, multiprobe, ngram_join, pfair_mix, piece_stream, token_files, warc_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return multiprobe.NeighbourSearch(vectors).neighbours(vectors.where("vec_id % 20 = 0"))
+
+
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_quality.judge_documents(docs).drop("text")
@@ -66,6 +71,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_multiprobe": op2_multiprobe,
     "op4_line_quality": op4_line_quality,
     "op5_piece_stream": op5_piece_stream,
     "op6_language_id": op6_language_id,
