@@ -353,6 +353,9 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Rows with a null id stay; of rows with equal id and text one stays.
     """
-    classes = similar_texts(docs, id_col, text_col, **how).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(classes, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    classes = stored(similar_texts(docs, id_col, text_col, **how).select("doc_id", "class_id"), "classes")
+    first = classes.where("doc_id = class_id").select(F.col("doc_id").alias(id_col))
+    kept = docs.join(first.distinct(), id_col, "left_semi")
+    if not first.groupBy(id_col).count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates([id_col])
+    return kept.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import language_id, line_quality, multiprobe, ngram_join, pfair_mix, piece_stream, token_files, warc_store
+from tallyfold.llm import language_id, license_scan, line_quality, multiprobe, ngram_join, pfair_mix, piece_stream, token_files, url_filter, warc_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,11 +16,39 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: (host, path, verdict): a rule covers the host's subdomains and all paths that begin so.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+#: Listed domains; each covers its subdomains.
+BLOCKED_DOMAINS = ["spam-farm.example.org", "cheap-pills.example.com", "link-farm.example.net", "ththre.example.org", "ththes.example.net"]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocked = spark.createDataFrame([(d,) for d in BLOCKED_DOMAINS], "key string")
+    judged = url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES, blocked)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op2_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return multiprobe.NeighbourSearch(vectors).neighbours(vectors.where("vec_id % 20 = 0"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.array_join("sentence_ids", ",").alias("sentence_ids"),
+        F.size("sentence_ids").cast("long").alias("n_sentences"),
+        F.array_join("licenses", "|").alias("licenses"),
+    )
+
+
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_quality.judge_documents(docs).drop("text")
@@ -71,7 +99,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
     "op2_multiprobe": op2_multiprobe,
+    "op3_license_scan": op3_license_scan,
     "op4_line_quality": op4_line_quality,
     "op5_piece_stream": op5_piece_stream,
     "op6_language_id": op6_language_id,
@@ -81,7 +111,31 @@ QUERIES: dict[str, Query] = {
     "op10_token_files": op10_token_files,
 }
 
+
+def _url_sql() -> str:
+    """Rules as cases, the longest first, then the list."""
+    ordered = sorted(URL_RULES, key=lambda r: (-len(r[0] + r[1]), -len(r[0])))
+    fits = [(f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))", h + p, v) for h, p, v in ordered]
+    rule = " ".join(f"WHEN {f} THEN '{r}'" for f, r, _ in fits)
+    verdict = " ".join(f"WHEN {f} THEN '{v}'" for f, _, v in fits)
+    listed = " OR ".join(f"host = '{d}' OR ends_with(host, '.{d}')" for d in BLOCKED_DOMAINS)
+    return f"""
+        WITH u AS (
+            SELECT page_id, coalesce(CASE WHEN position('://' IN url) > 0 THEN substring(url, position('://' IN url) + 3) END, '') AS rest FROM pages
+        ), p AS (
+            SELECT page_id,
+                translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM u
+        )
+        SELECT page_id, host, path, CASE {rule} END AS rule, CASE {verdict} WHEN {listed} THEN 'block' ELSE 'allow' END AS verdict
+        FROM p
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op1_url_filter": _url_sql(),
+    "op3_license_scan": license_scan.scan_sql(),
     "op7_warc_store": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n,
