@@ -100,3 +100,18 @@ def components(edges: DataFrame) -> DataFrame:
         if before == seen:
             break
     return now.select(F.col("v").alias("node"), F.col("u").alias("root")).unionAll(now.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
+
+
+def text_runs(texts, characters: int = 2_000_000):
+    """Slices of an Arrow array of texts, of about so many bytes each (one text at least)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    sizes = pc.cumulative_sum(pc.binary_length(texts).fill_null(0).cast(pa.int64())).to_numpy()
+    start = 0
+    while start < len(texts):
+        done = sizes[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, done + characters)))
+        yield texts.slice(start, end - start)
+        start = end

@@ -30,7 +30,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from tallyfold.llm.common import text_runs
 
 ORDER = 4
 UNKNOWN = "und"
@@ -150,7 +152,7 @@ class Model:
         score = np.where(known, 1 / scaled.sum(axis=1), 0.0)
         bound = self.mean[best] + z * (self.within[best] / np.sqrt(np.maximum(sizes, 1)) + self.between[best])
         names = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, known)]
-        return names, score, np.where(known, least, 0.0), known & (least <= bound)
+        return np.array(names, object), score, np.where(known, least, 0.0), known & (least <= bound)
 
 
 def _hash_at(points: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
@@ -282,9 +284,10 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     if not by_language:
         raise ValueError("no labelled text has a letter")
     aside: dict[str, list[str]] = {}
-    for lang in sizes:
-        some = chosen.where((F.col("u") >= 0.9) & (F.col("lang") == lang)).orderBy("h").limit(calibration_texts).select("text").toArrow()
-        aside[lang] = some.column(0).to_pylist()
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    some = chosen.where("u >= 0.9").withColumn("r", first).where(F.col("r") <= calibration_texts).select("lang", "text").toArrow()
+    for lang, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+        aside.setdefault(lang, []).append(text)
     return calibrate(estimate(by_language), aside)
 
 
@@ -295,8 +298,9 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", z: float = 6
     @F.arrow_udf("struct<lang_pred:string, score:double, cross_entropy:double, accepted:boolean>")
     def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            names, score, entropy, accepted = shared.value.judge(texts.to_pylist(), z)
-            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score), pa.array(entropy), pa.array(accepted)], names=["lang_pred", "score", "cross_entropy", "accepted"])
+            parts = [shared.value.judge(some.to_pylist(), z) for some in text_runs(texts)]
+            names, score, entropy, accepted = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0)] * 4
+            yield pa.StructArray.from_arrays([pa.array(names.tolist(), pa.string()), pa.array(score), pa.array(entropy), pa.array(accepted.astype(bool))], names=["lang_pred", "score", "cross_entropy", "accepted"])
 
     mark = "__judged"
     fields = ("lang_pred", "score", "cross_entropy", "accepted")

@@ -29,9 +29,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from tallyfold.llm.common import text_runs
+
 SPACE = "▁"
 _END = ""  # key of a trie node's own (score, id)
 
@@ -39,7 +40,7 @@ _END = ""  # key of a trie node's own (score, id)
 class PieceModel:
     """A SentencePiece model file, searched by its pieces' scores."""
 
-    def __init__(self, path: str, max_words: int = 600_000):
+    def __init__(self, path: str, max_words: int = 300_000):
         import sentencepiece
 
         self.processor = sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -293,17 +294,6 @@ def model_for(path: str) -> PieceModel:
     return _models[path]
 
 
-def _batches(texts: pa.Array, characters: int = 4_000_000) -> Iterator[pa.Array]:
-    """Runs of texts of about so many bytes."""
-    sizes = pc.cumulative_sum(pc.binary_length(texts).fill_null(0).cast(pa.int64())).to_numpy()
-    start = 0
-    while start < len(texts):
-        done = sizes[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(sizes, done + characters)))
-        yield texts.slice(start, end - start)
-        start = end
-
-
 def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """The documents with their ids, an array of int. No shuffle."""
 
@@ -311,7 +301,7 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", o
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = model_for(model_path)
         for texts in batches:
-            parts = [model.encode(some) for some in _batches(texts)]
+            parts = [model.encode(some) for some in text_runs(texts)]
             ids = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int32)
             ends = np.cumsum(np.concatenate([[0], *[p[1] for p in parts]]))
             yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
@@ -343,7 +333,7 @@ def piece_digests(docs: DataFrame, model_path: str, text_col: str = "text") -> D
         model = model_for(model_path)
         for texts in batches:
             rows = []
-            for some in _batches(texts):
+            for some in text_runs(texts):
                 ids, lengths = model.encode(some)
                 ends = np.cumsum(lengths)
                 for text, end, n in zip(some.to_pylist(), ends, lengths):
