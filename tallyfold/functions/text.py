@@ -25,7 +25,7 @@ PERFORMANCE_WORDS = (
 
 def collapse(text: Column) -> Column:
     """Every run of white space one space, none at the ends; null is empty."""
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "))
 
 
 def parse_date(text: Column) -> Column:
@@ -72,10 +72,13 @@ def financial_year(text: Column) -> Column:
     return F.array_max(F.transform(years, lambda y: y.cast("int")))
 
 
-@F.arrow_udf("string")
-def unescape_html(texts: pa.Array) -> pa.Array:
+def unescape_html(text: Column) -> Column:
     """HTML entities as the characters that they stand for."""
-    return pa.array([html.unescape(t) if t is not None else None for t in texts.to_pylist()], pa.string())
+
+    def unescaped(texts: pa.Array) -> pa.Array:
+        return pa.array([html.unescape(t) if t is not None else None for t in texts.to_pylist()], pa.string())
+
+    return F.arrow_udf(unescaped, "string")(text)
 
 
 def strip_tags(markup: Column) -> Column:
@@ -131,7 +134,7 @@ def currency_text(value: Column, code: str = "GBP") -> Column:
 
 def score_reasons(text: Column) -> Column:
     """Reasons between bars or semicolons, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "[|;]"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "[|;]"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def quote_text(text: Column) -> Column:
@@ -163,14 +166,17 @@ def last_path_segment(url: Column) -> Column:
 _STRAY_COMMA = re.compile(r'"(?:[^"\\]|\\.)*"|,(?=\s*[}\]])', re.S)
 
 
-@F.arrow_udf("string")
-def repair_json(texts: pa.Array) -> pa.Array:
+def repair_json(text: Column) -> Column:
     """JSON text without a code fence, text around the outermost braces, and commas before a closing bracket.
 
     Commas within strings stay. Text without an opening brace is null.
     """
-    out = []
-    for t in texts.to_pylist():
-        start, end = (t.find("{"), t.rfind("}")) if t is not None else (-1, -1)
-        out.append(_STRAY_COMMA.sub(lambda m: "" if m[0] == "," else m[0], t[start : end + 1]) if 0 <= start < end else None)
-    return pa.array(out, pa.string())
+
+    def repaired(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts.to_pylist():
+            start, end = (t.find("{"), t.rfind("}")) if t is not None else (-1, -1)
+            out.append(_STRAY_COMMA.sub(lambda m: "" if m[0] == "," else m[0], t[start : end + 1]) if 0 <= start < end else None)
+        return pa.array(out, pa.string())
+
+    return F.arrow_udf(repaired, "string")(text)

@@ -16,6 +16,11 @@ def latest_period(periods: DataFrame, key: str = "company_number") -> DataFrame:
     return latest_by(periods, [key], [F.desc_nulls_last("financial_year"), F.desc("id")])
 
 
+def upsert_latest(periods: DataFrame, keys: list[str]) -> DataFrame:
+    """The newest row of each key by year, then id."""
+    return latest_by(periods, keys, [F.desc_nulls_last("financial_year"), F.desc("id")])
+
+
 def history_coverage(rows: DataFrame, key: str, year: str) -> DataFrame:
     """How many keys have how many distinct years."""
     years = rows.where(F.col(year).isNotNull()).groupBy(key).agg(F.count_distinct(year).alias("years_of_history"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyfold.functions import arithmetic
 from tallyfold.operators import leads, triage
@@ -65,12 +65,13 @@ def register(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-AS_OF = F.to_date(F.lit("2004-06-30"))
+def as_of() -> Column:
+    return F.to_date(F.lit("2004-06-30"))
 
 
 @query(f"WITH {REGISTER_SQL} SELECT c_custkey, reason FROM judged")
 def lead_hard_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return register(spark, sf_dir).select("c_custkey", leads.first_failure(AS_OF, REGISTER).alias("reason"))
+    return register(spark, sf_dir).select("c_custkey", leads.first_failure(as_of(), REGISTER).alias("reason"))
 
 
 @query(f"""
@@ -92,13 +93,13 @@ def lead_hard_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM s
 """)
 def lead_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = leads.score_leads(register(spark, sf_dir), AS_OF, REGISTER)
+    scored = leads.score_leads(register(spark, sf_dir), as_of(), REGISTER)
     return scored.select("c_custkey", "lead_score", F.array_join("score_reasons", "|").alias("score_reasons"))
 
 
 @query(f"WITH {REGISTER_SQL} SELECT reason, count(*) AS n FROM judged GROUP BY 1")
 def reject_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leads.drop_reasons(register(spark, sf_dir).withColumn("reason", leads.first_failure(AS_OF, REGISTER)))
+    return leads.drop_reasons(register(spark, sf_dir).withColumn("reason", leads.first_failure(as_of(), REGISTER)))
 
 
 @query("""
