@@ -102,7 +102,7 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("v").alias("node"), F.col("u").alias("root")).unionAll(now.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
 
 
-def text_runs(texts, characters: int = 2_000_000):
+def text_runs(texts, characters: int = 1_000_000):
     """Slices of an Arrow array of texts, of about so many bytes each (one text at least)."""
     import numpy as np
     import pyarrow as pa

@@ -114,7 +114,7 @@ class Model:
         out[open_] -= self.floor
         return out
 
-    def judge(self, texts: list[str | None], z: float = 6.0, piece: int = 1 << 20):
+    def judge(self, texts: list[str | None], z: float = 6.0, piece: int = 1 << 18):
         """(language, score, cross-entropy, accepted) of each text."""
         n, sums, squares, sizes = len(texts), np.zeros((len(texts), len(self.languages))), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         held: list[tuple[int, np.ndarray]] = []

@@ -28,6 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tallyfold.llm.common import text_runs
+
 SYMBOLS = "#*$%&|<>"
 _SPACE = " \t\n\r\x0b\f"
 
@@ -143,12 +145,13 @@ def judge_documents(docs: DataFrame, text_col: str = "text", max_lost: float = M
 
     @F.arrow_udf(kind)
     def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kinds = [(f, dict(base_failed=pa.bool_(), kept=pa.bool_(), lost=pa.float64(), cleaned=pa.string()).get(f, pa.int64())) for f in fields]
         for texts in batches:
-            rows = [judge(t.as_py(), max_lost) for t in texts]
-            columns = list(zip(*rows)) if rows else [()] * len(_FIELDS)
-            kinds = dict(base_failed=pa.bool_(), kept=pa.bool_(), lost=pa.float64(), cleaned=pa.string())
-            arrays = [pa.array(c, kinds.get(f, pa.int64())) for f, c in zip(fields, columns)]
-            yield pa.StructArray.from_arrays(arrays, names=list(fields))
+            parts = [pa.array([], pa.struct(kinds))]
+            for some in text_runs(texts):
+                columns = zip(*[judge(t.as_py(), max_lost) for t in some])
+                parts.append(pa.StructArray.from_arrays([pa.array(c, k) for (_, k), c in zip(kinds, columns)], names=list(fields)))
+            yield pa.concat_arrays(parts)
 
     mark = "__judged"
     return docs.withColumn(mark, judged(text_col)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark)

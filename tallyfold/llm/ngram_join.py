@@ -43,7 +43,7 @@ from tallyfold.llm.common import components, groups_in_order, stored
 WORDS = 5
 THRESHOLD = 0.8
 COORDINATES = 64
-LEAF, BLOCK, MAX_DEPTH = 256, 1536, 5
+LEAF, BLOCK, MAX_DEPTH = 256, 1024, 5
 ALIKE = 0.5
 
 _U = np.uint64
@@ -157,7 +157,7 @@ def linked(sets: list[np.ndarray], block: np.ndarray, threshold: float) -> tuple
     tokens = tokens[counts > 1]  # a token of one set is in no intersection
     common = np.zeros((n, n), np.float32)
     places = [np.searchsorted(tokens, s[np.isin(s, tokens, assume_unique=True)]) for s in sets]
-    width = max(1, min(len(tokens), (8 << 20) // n))
+    width = max(1, min(len(tokens), (4 << 20) // n))
     for k in range(0, len(tokens), width):
         part = np.zeros((n, width), np.float32)
         for i, p in enumerate(places):

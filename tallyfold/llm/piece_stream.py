@@ -34,13 +34,15 @@ from pyspark.sql import DataFrame, functions as F
 from tallyfold.llm.common import text_runs
 
 SPACE = "▁"
+#: Words that are searched together.
+STEP = 8192
 _END = ""  # key of a trie node's own (score, id)
 
 
 class PieceModel:
     """A SentencePiece model file, searched by its pieces' scores."""
 
-    def __init__(self, path: str, max_words: int = 300_000):
+    def __init__(self, path: str, max_words: int = 150_000):
         import sentencepiece
 
         self.processor = sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -161,15 +163,15 @@ class PieceModel:
 
     def _learn(self, words: list[str]) -> None:
         """Search words not met before: short ones together, long ones as streams."""
-        for k in range(0, len(words), 40_000):
-            short = [w for w in words[k : k + 40_000] if len(w) <= 64]
+        for k in range(0, len(words), STEP):
+            short = [w for w in words[k : k + STEP] if len(w) <= 64]
             ids, lengths, open_ = self._search(short)
             first = len(self.flat) + np.cumsum(lengths) - lengths
             self.flat.frombytes(ids.tobytes())
             self.known.update(zip(short, range(len(self.lengths), len(self.lengths) + len(short))))
             self.offsets.frombytes(first.astype(np.int64).tobytes())
             self.lengths.frombytes(lengths.astype(np.int64).tobytes())
-            for word in [*(short[w] for w in open_), *(w for w in words[k : k + 40_000] if len(w) > 64)]:
+            for word in [*(short[w] for w in open_), *(w for w in words[k : k + STEP] if len(w) > 64)]:
                 self.known[word] = len(self.lengths)
                 found = list(chain.from_iterable(self.stream(word)))
                 self.offsets.append(len(self.flat))
