@@ -10,24 +10,97 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyfold.functions import money, text
 
-# Metrics, statement types, and what belongs to what.
+# Metrics, statement types, scopes, and what belongs to what.
 CANONICAL = ["turnover", "gross_profit", "operating_result", "profit_after_tax", "cash", "net_assets", "employees"]
-PRIMARY_STATEMENTS = ["balance_sheet", "cash_flow_statement", "income_statement"]
-INCOME_METRICS = ["turnover", "gross_profit", "operating_result", "profit_before_tax", "profit_after_tax"]
-BALANCE_METRICS = ["cash", "net_assets", "shareholders_funds", "equity"]
+INSURANCE_LABELS: dict[str, list[str]] = {
+    "gross_premiums_written": ["gross premiums written", "premiums written gross amount"],
+    "outward_reinsurance_premiums": ["outward reinsurance premiums"],
+    "net_premiums_written": ["net premiums written"],
+    "net_change_unearned_premiums": ["net change in the provision for unearned premiums"],
+    "net_earned_premiums": ["earned premiums net of reinsurance"],
+    "allocated_investment_return": ["allocated investment return"],
+    "total_technical_income": ["total technical income"],
+    "claims_incurred_net_reinsurance": ["claims incurred net of reinsurance"],
+    "net_operating_expenses": ["net operating expenses"],
+    "technical_account_result": ["balance on the technical account", "result on the technical account"],
+    "investment_income": ["investment income"],
+}
+INSURANCE = list(INSURANCE_LABELS)
+INCOME_FAMILY = ["turnover", "cost_of_sales", "gross_profit", "administrative_expenses", "operating_result", "profit_before_tax", "tax", "profit_after_tax", *INSURANCE]
+BALANCE_FAMILY = ["current_assets", "net_current_assets", "net_assets", "shareholders_funds"]
+MONEY = [*INCOME_FAMILY, *BALANCE_FAMILY, "cash"]
+PRIMARY_STATEMENTS = ["income_statement", "balance_sheet", "cash_flow"]
 ALLOWED_STATEMENTS = {
     "turnover": ["income_statement"],
     "gross_profit": ["income_statement"],
     "operating_result": ["income_statement"],
     "profit_after_tax": ["income_statement"],
-    "cash": ["balance_sheet", "cash_flow_statement"],
+    "cash": ["balance_sheet", "cash_flow"],
     "net_assets": ["balance_sheet"],
 }
-EQUITY_LABELS = ["equity", "total equity", "shareholders funds", "total shareholders funds", "shareholders equity", "capital and reserves"]
-SUSPECT_YEARS = (2022, 2026)
+SCOPE_ALIASES = {"consolidated": "consolidated_group", "group": "consolidated_group", "group_accounts": "consolidated_group", "parent_company": "company"}
+SCOPES = ["consolidated_group", "company"]
+EQUITY_LABELS = ["shareholders funds", "shareholder funds", "total equity"]
+OPERATING_LABELS = [
+    "operating profit", "operating loss", "operating result", "profit from operations", "loss from operations", "profit on ordinary activities before interest",
+    "loss on ordinary activities before interest",
+]
+OPERATING_SUBTOTAL = r"\bebitda\b|\badjusted\b|\bunderlying\b|\bbefore\s+(?:non\s+recurring|exceptional|one\s+off|special|amortisation|amortization|depreciation)\b"
+BEFORE_TAX = r"\b(?:profit|loss)(?: on ordinary activities)? before tax(?:ation)?\b"
+WRONG_LABELS = {
+    "turnover": ["cost of sales", "gross profit", "administrative", "net assets"],
+    "gross_profit": ["cost of sales", "administrative", "total assets", "net assets"],
+    "operating_result": ["other operating", "administrative expenses", "cost of sales"],
+    "profit_after_tax": ["tax charge", "taxation charge"],
+    "cash": ["current assets", "total assets", "net assets", "total equity", "total liabilities"],
+    "net_assets": ["current assets", "total assets", "cash and cash equivalents", "total liabilities", "total equity and liabilities"],
+    "shareholders_funds": ["total liabilities", "total equity and liabilities", "total assets"],
+    "employees": ["staff costs", "wages and salaries", "social security costs"],
+}
+NO_EMPLOYEES = (
+    r"(?i)\b(?:has|had|have) no employees?\b|\bemployed no (?:employees?|persons?)\b|\bdid not employ (?:any )?(?:employees?|persons?)\b|"
+    r"\bdoes? not (?:directly )?employ (?:any )?(?:staff|employees?|persons?)\b|\b(?:average\s+)?number of (?:staff|employees?|persons?)(?:\s+\w+){0,12}\s+(?:was|were)\s+nil\b"
+)
+QUALIFIED_NO_EMPLOYEES = r"(?i)\bno employees?\b[^.;:\n]{0,120}\b(?:other than|except(?:\s+for)?)\b"
+BOTH_PERIODS = r"(?i)\b(?:prior|previous|comparative)\s+period\b|\bboth\s+periods\b|\b20\d{2}\b[^.;:\n]{0,40}\b(?:nil|zero|no employees?)\b"
+SUSPECT_YEARS = [2022, 2023, 2024, 2025, 2026]
 INELIGIBLE = 5
 
 
+def statement_scope(value: Column) -> Column:
+    """The scope that a heading names, by its aliases, else unknown."""
+    key = F.regexp_replace(F.lower(F.trim(F.coalesce(value, F.lit("")))), "[- ]", "_")
+    aliases = F.create_map(*[F.lit(x) for item in SCOPE_ALIASES.items() for x in item])
+    named = F.coalesce(F.try_element_at(aliases, key), key)
+    return F.when(named.isin(SCOPES), named).otherwise("unknown")
+
+
+def insurance_label_fits(metric: Column, label: Column) -> Column:
+    """Whether an insurance metric's label begins as one of its family; other metrics always fit."""
+    fits = F.lit(True)
+    for name, starts in INSURANCE_LABELS.items():
+        any_ = F.lit(False)
+        for start in starts:
+            any_ = any_ | label.startswith(start)
+        fits = F.when(metric == name, any_).otherwise(fits)
+    return fits
+
+
+def canonical_label_fits(metric: Column, label: Column) -> Column:
+    """Whether a label can stand for the whole figure: no subtotals as operating result, no figure before tax as one after it."""
+    unscoped = F.regexp_replace(label, "^(?:group|company|consolidated|parent) (?=.)", "")
+    operating = F.lit(False)
+    for start in OPERATING_LABELS:
+        operating = operating | unscoped.startswith(start)
+    return F.when(metric == "operating_result", operating & ~label.rlike(OPERATING_SUBTOTAL)).when(metric == "profit_after_tax", ~label.rlike(BEFORE_TAX)).otherwise(True)
+
+
+def statement_fits(metric: Column, statement: Column) -> Column:
+    """Whether a figure belongs on the primary statement that it stands on."""
+    allowed = F.try_element_at(F.create_map(*[x for m, s in ALLOWED_STATEMENTS.items() for x in (F.lit(m), F.array(*map(F.lit, s)))]), metric)
+    return allowed.isNull() | ~F.coalesce(statement.isin(PRIMARY_STATEMENTS), F.lit(False)) | F.array_contains(allowed, statement)
+
+
 def exploded(documents: DataFrame, key: str = "document_id", pages: str = "pages") -> DataFrame:
     """Pages with rows as one row per transcribed line, numbered in order of appearance."""
     page = documents.select(key, F.posexplode(pages).alias("page_pos", "p"))
@@ -39,8 +112,8 @@ def exploded(documents: DataFrame, key: str = "document_id", pages: str = "pages
 def corrected_statement(rows: DataFrame, page_keys: list[str]) -> DataFrame:
     """An income statement page with no income row and two balance sheet metrics or more is a balance sheet."""
     page = Window.partitionBy(*page_keys)
-    income = F.count_if(F.col("metric").isin(INCOME_METRICS)).over(page)
-    balance = F.size(F.collect_set(F.when(F.col("metric").isin(BALANCE_METRICS), F.col("metric"))).over(page))
+    income = F.count_if(F.col("metric").isin(INCOME_FAMILY)).over(page)
+    balance = F.size(F.collect_set(F.when(F.col("metric").isin(BALANCE_FAMILY), F.col("metric"))).over(page))
     wrong = (F.col("statement_type") == "income_statement") & (income == 0) & (balance >= 2)
     return rows.withColumn("statement_type", F.when(wrong, "balance_sheet").otherwise(F.col("statement_type")))
 
@@ -64,31 +137,141 @@ def in_majority_currency(rows: DataFrame, key: str = "document_id") -> DataFrame
     return rows.join(majority(pages, [key], "code"), key, "left").withColumn("unit", money.with_currency(F.col("unit"), F.col("code"))).drop("code")
 
 
+def _shown(name: str) -> Column:
+    return F.nullif(F.trim(F.col(name)), F.lit(""))
+
+
 def validation_issues() -> Column:
     """The rules that a candidate breaks, as (code, message), in order."""
-    shown = F.coalesce(F.col("current_display"), F.col("previous_display"))
+    metric, statement = F.col("metric"), F.col("statement_type")
     label = text.label_text(F.col("source_label"))
-    allowed = F.create_map(*[x for m, s in ALLOWED_STATEMENTS.items() for x in (F.lit(m), F.array(*map(F.lit, s)))])
-    statements = F.try_element_at(allowed, F.col("metric"))
-    year = F.regexp_replace(F.coalesce(shown, F.lit("")), "[^0-9]", "").try_cast("int")
-    money_row = F.col("metric") != "employees"
-
-    def issue(code: str, broken: Column, message: str) -> Column:
-        return F.when(broken, F.struct(F.lit(code).alias("code"), F.lit(message).alias("message")))
+    plain = F.regexp_replace(F.lower(F.coalesce("source_label", F.lit(""))), "['‘’]", "")
+    values = [_shown("current_display"), _shown("previous_display")]
+    counts = [money.count_value(v) for v in values]
+    employees = metric == "employees"
+    year = F.lit(False)
+    for v in values:
+        year = year | F.coalesce(F.regexp_replace(v, "^[() -]+|[() -]+$", "").isin([str(y) for y in SUSPECT_YEARS]), F.lit(False))
+    wrong = F.lit(None).cast("string")
+    for name, phrases in WRONG_LABELS.items():
+        first = F.coalesce(*[F.when(plain.contains(p), F.lit(p)) for p in phrases])
+        wrong = F.when(metric == name, first).otherwise(wrong)
+
+    def issue(code: str, broken: Column, message: Column | str) -> Column:
+        return F.when(broken, F.struct(F.lit(code).alias("code"), (F.lit(message) if isinstance(message, str) else message).alias("message")))
 
     return F.array_compact(
         F.array(
-            issue("missing_label", label == "", "the row has no label"),
-            issue("missing_value", shown.isNull(), "the row has no value"),
-            issue("unsupported_unit", money_row & ~F.coalesce(money.currency(F.col("unit")).isin("GBP", "USD"), F.lit(False)), "the unit is neither sterling nor dollars"),
-            issue("statement_conflict", statements.isNotNull() & ~F.array_contains(statements, F.col("statement_type")) & F.col("statement_type").isin(PRIMARY_STATEMENTS), "the metric does not belong on this statement"),
-            issue("year_as_value", money_row & F.col("current_display").isNotNull() & year.between(*SUSPECT_YEARS) & F.col("current_display").rlike(r"^\s*\d{4}\s*$"), "a year stands where a value should"),
-            issue("incompatible_label", (F.col("metric") == "profit_after_tax") & label.contains("before tax"), "the label names another figure"),
-            issue("incompatible_label", (F.col("metric") == "operating_result") & label.rlike("before tax|after tax"), "the label names another figure"),
+            issue("missing_source_label", label == "", "the row has no label"),
+            issue("missing_period_values", F.when(employees, F.coalesce(*counts).isNull()).otherwise(F.coalesce(*values).isNull()), "the row has no value for either period"),
+            issue("unknown_money_unit", metric.isin(MONEY) & ~F.coalesce(money.currency(F.col("unit")).isin("GBP", "USD"), F.lit(False)), "a money row needs a sterling or dollar unit"),
+            issue("insurance_metric_label_conflict", ~insurance_label_fits(metric, label), "the label is none of the metric's family"),
+            issue("metric_label_conflict", metric.isin(CANONICAL) & ~canonical_label_fits(metric, label), "the label names another figure"),
+            issue("metric_statement_conflict", metric.isin(CANONICAL) & ~statement_fits(metric, statement), "the metric does not belong on this statement"),
+            issue("year_used_as_value", year, "a year stands where a value should"),
+            issue("metric_label_conflict", wrong.isNotNull(), F.concat(F.lit("the label holds "), wrong)),
         )
     )
 
 
+def narrative_zero_issues() -> Column:
+    """The rules on evidence for a head-count of zero: columns evidence_text, period_scope, and <period>_evidence_kind, <period>_value_count."""
+    prose = F.coalesce("evidence_text", F.lit(""))
+    direct, qualified = prose.rlike(NO_EMPLOYEES), prose.rlike(QUALIFIED_NO_EMPLOYEES)
+    says = {p: (F.col(f"{p}_evidence_kind") == "narrative_zero") & F.col(f"{p}_value_count").isNotNull() for p in ("current", "previous")}
+    codes = []
+    for p, is_prose in says.items():
+        count, shown = F.col(f"{p}_value_count"), F.coalesce(_shown(f"{p}_display"), F.lit(""))
+        codes += [
+            F.when(is_prose & qualified, "ambiguous_narrative_zero_evidence").when(is_prose & ((count != 0) | ~direct), "invalid_narrative_zero_evidence"),
+            F.when((F.col(f"{p}_evidence_kind") == "dash_zero") & count.isNotNull() & ((count != 0) | ~shown.rlike("^[-–—]+$")), "invalid_dash_zero_evidence"),
+            F.when((F.col(f"{p}_evidence_kind") == "numeric") & count.isNotNull() & money.count_value(shown).isNull(), "invalid_numeric_employee_evidence"),
+        ]
+    both = F.concat(F.when(says["current"], "current").otherwise(""), F.when(says["previous"], "previous").otherwise(""))
+    scope = F.when(F.col("period_scope") == "both", "currentprevious").otherwise(F.coalesce("period_scope", F.lit("none")))
+    codes.append(F.when((both != "") & (both != scope), "narrative_zero_period_scope_mismatch"))
+    return F.when(F.col("metric") == "employees", F.array_compact(F.array(*codes))).otherwise(F.array().cast("array<string>"))
+
+
+def with_narrative_scope(candidates: DataFrame) -> DataFrame:
+    """A zero told once, without a word on the period before, counts for the current period only."""
+    prose = F.coalesce("evidence_text", F.lit(""))
+    kinds = (F.col("current_evidence_kind") == "narrative_zero") & (F.col("previous_evidence_kind") == "narrative_zero")
+    told = kinds & F.col("current_value_count").isNotNull() & F.col("previous_value_count").isNotNull()
+    once = F.coalesce((F.col("metric") == "employees") & told & (F.col("period_scope") == "both") & ~prose.rlike(QUALIFIED_NO_EMPLOYEES) & ~prose.rlike(BOTH_PERIODS), F.lit(False))
+    new = {"previous_display": F.lit(None), "previous_value_count": F.lit(None), "previous_evidence_kind": F.lit("none"), "period_scope": F.lit("current")}
+    return candidates.withColumns({c: F.when(once, v).otherwise(F.col(c)) for c, v in new.items()})
+
+
+def no_employee_pages(pages: DataFrame) -> DataFrame:
+    """Pages whose text says plainly that nobody is employed."""
+    return pages.where(F.col("text").rlike(NO_EMPLOYEES) & ~F.col("text").rlike(QUALIFIED_NO_EMPLOYEES))
+
+
+def one_sided_row() -> Column:
+    """The period that a money row lacks although both columns have a heading, or null."""
+    headed = (F.coalesce(_shown("current_column"), F.lit("")) != "") & (F.coalesce(_shown("previous_column"), F.lit("")) != "")
+    now, before = _shown("current_display").isNotNull(), _shown("previous_display").isNotNull()
+    return F.when(F.col("metric").isin(MONEY) & headed & (now != before), F.when(now, "previous").otherwise("current"))
+
+
+def primary_pages(located: DataFrame) -> DataFrame:
+    """Located pages (page, statement_type, page_count) with a primary statement, within the document."""
+    return located.where(F.col("statement_type").isin(PRIMARY_STATEMENTS) & F.col("page").between(1, F.col("page_count")))
+
+
+def employee_pages(located: DataFrame, keys: list[str]) -> DataFrame:
+    """Pages with a head-count; where a document has none, its other pages if it has any primary statement."""
+    inside = located.where(F.col("page").between(1, F.col("page_count")))
+    w = Window.partitionBy(*keys)
+    marked = inside.withColumns({"__direct": F.count_if(F.col("contains_employee_count")).over(w), "__primary": F.count_if(F.col("statement_type").isin(PRIMARY_STATEMENTS)).over(w)})
+    wanted = F.when(F.col("__direct") > 0, F.col("contains_employee_count")).otherwise((F.col("__primary") > 0) & (F.col("statement_type") == "other"))
+    return marked.where(wanted).select(*keys, "page").distinct()
+
+
+#: Why a page is read again, the most serious first.
+RECOVERY_SEVERITY = {
+    "balance_sheet_missing_net_assets": 0,
+    "balance_sheet_missing_cash": 1,
+    "balance_sheet_current_assets_without_cash": 1,
+    "cash_flow_missing_cash_row": 2,
+    "income_statement_partial_core_family": 3,
+}
+
+
+def recovery_pages(rows: DataFrame, located: DataFrame, keys: list[str], min_confidence: float = 0.8, most: int = 3) -> DataFrame:
+    """(keys, page, triggers) of confidently located primary pages whose rows look incomplete, the most serious ones.
+
+    ``rows`` are candidates; pages without any row count as they were located.
+    """
+    page = [*keys, "page"]
+    equity = (F.col("metric") == "net_assets") | ((F.col("metric") == "shareholders_funds") & text.label_text(F.col("source_label")).isin(EQUITY_LABELS))
+    has = lambda *m: F.coalesce(F.bool_or(F.col("metric").isin(*m)), F.lit(False))
+    facts = rows.groupBy(*page).agg(
+        has("turnover").alias("turnover"), has("gross_profit").alias("gross_profit"), has("operating_result", "profit_before_tax").alias("operating"), has("profit_after_tax").alias("after_tax"),
+        has(*INCOME_FAMILY).alias("any_income"), F.size(F.collect_set(F.when(F.col("metric").isin(BALANCE_FAMILY), F.col("metric")))).alias("n_balance"), F.coalesce(F.bool_or(equity), F.lit(False)).alias("equity"),
+        has("cash").alias("cash"), has("current_assets").alias("current_assets"), has(*MONEY).alias("money"),
+    )
+    flags = [c for c in facts.columns if c not in page and c != "n_balance"]
+    joined = located.where(F.col("confidence") >= min_confidence).join(facts, page, "left").fillna(False, flags).fillna(0, ["n_balance"])
+    kind = F.when((F.col("statement_type") == "income_statement") & ~F.col("any_income") & (F.col("n_balance") >= 2), "balance_sheet").otherwise(F.col("statement_type"))
+    core = F.col("turnover") | F.col("gross_profit") | F.col("operating") | F.col("after_tax")
+    whole = F.col("turnover") & F.col("gross_profit") & F.col("operating") & F.col("after_tax")
+    balance, no_cash = kind == "balance_sheet", ~F.col("cash")
+    rules = {
+        "income_statement_partial_core_family": (kind == "income_statement") & core & ~whole,
+        "balance_sheet_missing_net_assets": balance & ~F.col("equity"),
+        "balance_sheet_current_assets_without_cash": balance & no_cash & F.col("current_assets"),
+        "balance_sheet_missing_cash": balance & no_cash & ~F.col("current_assets") & F.col("money"),
+        "cash_flow_missing_cash_row": (kind == "cash_flow") & F.col("money") & no_cash,
+    }
+    found = joined.withColumn("triggers", F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))).where(F.size("triggers") > 0)
+    severity = F.create_map(*[F.lit(x) for item in RECOVERY_SEVERITY.items() for x in item])
+    worst = F.array_min(F.transform("triggers", lambda t: F.element_at(severity, t)))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(worst, "page"))
+    return found.withColumn("__rank", rank).where(F.col("__rank") <= most).select(*page, "triggers")
+
+
 def validated(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected); rejected rows tell their issues."""
     checked = candidates.withColumn("issues", validation_issues())
@@ -103,23 +286,35 @@ def issue_report(rejected: DataFrame, key: str = "document_id") -> DataFrame:
 def evidence_tier() -> Column:
     """(role, tier): 1 a primary statement, 2 a native insurance row, 3 a direct synonym, 4 a note, 5 not eligible."""
     label, metric, statement = text.label_text(F.col("source_label")), F.col("metric"), F.col("statement_type")
+    allowed = F.try_element_at(F.create_map(*[x for m, s in ALLOWED_STATEMENTS.items() for x in (F.lit(m), F.array(*map(F.lit, s)))]), metric)
+    primary = F.coalesce(F.array_contains(allowed, statement), F.lit(False)) | ((metric == "employees") & statement.isin(PRIMARY_STATEMENTS))
 
     def found(role: str, tier: int) -> Column:
         return F.struct(F.lit(role).alias("role"), F.lit(tier).alias("tier"))
 
-    canonical = metric.isin(CANONICAL)
+    insurance = (
+        F.when(~insurance_label_fits(metric, label), found("incompatible_insurance_evidence", 5))
+        .when(statement == "income_statement", found("primary_insurance_income_statement", 2))
+        .when(statement == "other", found("exact_insurance_note", 4))
+        .otherwise(found("incompatible_insurance_evidence", 5))
+    )
+    canonical = (
+        F.when(~canonical_label_fits(metric, label), found("incompatible_canonical_label", 5))
+        .when(~statement_fits(metric, statement), found("incompatible_canonical_statement", 5))
+        .when(primary, found("primary_statement", 1))
+        .otherwise(found("exact_supporting_note", 4))
+    )
     return (
-        F.when(canonical & statement.isin(PRIMARY_STATEMENTS), found("primary_statement", 1))
-        .when(metric.startswith("insurance_") & (statement == "income_statement"), found("insurance_statement", 2))
-        .when(metric.isin("equity", "shareholders_funds") & label.isin(EQUITY_LABELS) & (statement == "balance_sheet"), found("direct_synonym", 3))
-        .when((metric == "profit_before_tax") & (statement == "income_statement"), found("direct_synonym", 3))
-        .when(canonical & (statement == "note"), found("supporting_note", 4))
-        .otherwise(found("ineligible", INELIGIBLE))
+        F.when(metric.isin(INSURANCE), insurance)
+        .when((metric == "shareholders_funds") & label.isin(EQUITY_LABELS) & (statement == "balance_sheet"), found("direct_synonym", 3))
+        .when((metric == "profit_before_tax") & label.rlike(BEFORE_TAX) & (statement == "income_statement"), found("direct_synonym", 3))
+        .when(metric.isin(CANONICAL), canonical)
+        .otherwise(found("not_eligible", INELIGIBLE))
     )
 
 
 #: Which metric stands in for which, at which tier (null: its own).
-EQUIVALENTS = [("equity", "net_assets", 2), ("shareholders_funds", "net_assets", 2), ("insurance_gross_premiums", "turnover", None), ("insurance_technical_result", "operating_result", None), ("profit_before_tax", "operating_result", None)]
+EQUIVALENTS = [("shareholders_funds", "net_assets", 2), ("gross_premiums_written", "turnover", None), ("technical_account_result", "operating_result", None), ("profit_before_tax", "operating_result", None)]
 
 
 def candidate_rank() -> Column:
@@ -151,9 +346,9 @@ def _premiums_less_claims(found: DataFrame, keys: list[str]) -> DataFrame:
     def side(metric: str, name: str) -> DataFrame:
         return found.where(F.col("metric") == metric).select(*place, *[v.alias(f"{name}_{p}") for p, v in value.items()], F.col("confidence").alias(f"{name}_confidence"), F.col("candidate_id").alias(f"{name}_id"))
 
-    premiums = found.where("metric = 'insurance_earned_premiums'").withColumn("p_id", F.col("candidate_id"))
-    pairs = premiums.join(side("insurance_claims", "c"), place)
-    sums = {f"{p}_display": money.display_text(value[p] - F.abs(F.col(f"c_{p}"))) for p in value}
+    premiums = found.where("metric = 'net_earned_premiums'").withColumn("p_id", F.col("candidate_id"))
+    pairs = premiums.join(side("claims_incurred_net_reinsurance", "c"), place)
+    sums = {f"{p}_display": money.display_text(value[p] + F.col(f"c_{p}")) for p in value}
     pairs = pairs.withColumns(sums | {"metric": F.lit("gross_profit"), "confidence": F.least("confidence", "c_confidence"), "derived_from": F.concat_ws("+", "p_id", "c_id"), "candidate_id": F.concat("p_id", F.lit("+"), "c_id")})
     return pairs.select(found.columns)
 
@@ -238,3 +433,36 @@ def with_recovered(original: DataFrame, recovered: DataFrame, keys: list[str]) -
     seen = r.join(other, same)
     conflicts = seen.where(~F.col("current_display").eqNullSafe(F.col("had_current")) | ~F.col("previous_display").eqNullSafe(F.col("had_previous")))
     return o.unionByName(added.select(o.columns)).drop("label"), conflicts
+
+
+def resolved_choices(decisions: DataFrame, candidates: DataFrame, keys: list[str]) -> DataFrame:
+    """Decisions that name a source row of a canonical metric, with the one equivalent made from it in its place.
+
+    ``canonicalised_from`` holds the id that was named; decisions that name a
+    candidate of their metric, or a source of several equivalents, stay.
+    """
+    own = candidates.select(*keys, "metric", "candidate_id").withColumn("__own", F.lit(True))
+    sources = candidates.where("derived_from is not null").select(*keys, "metric", F.col("candidate_id").alias("__to"), F.explode(F.split("derived_from", r"\+")).alias("candidate_id"))
+    one = sources.groupBy(*keys, "metric", "candidate_id").agg(F.count("*").alias("__n"), F.min("__to").alias("__to")).where("__n = 1").drop("__n")
+    on = [*keys, "metric", "candidate_id"]
+    joined = decisions.join(own, on, "left").join(one, on, "left")
+    moved = F.col("__own").isNull() & F.col("__to").isNotNull()
+    return joined.withColumn("canonicalised_from", F.when(moved, F.col("candidate_id"))).withColumn("candidate_id", F.when(moved, F.col("__to")).otherwise(F.col("candidate_id"))).drop("__own", "__to")
+
+
+def selection_diagnostics(documents: DataFrame, candidates: DataFrame, rejected: DataFrame, decisions: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, period, metric, status, usable_ids, rejected_ids) for every document, period and canonical metric."""
+    cells = documents.select(*keys).distinct().select(*keys, F.explode(F.array(F.lit("current"), F.lit("previous"))).alias("period")).select("*", F.explode(F.array(*map(F.lit, CANONICAL))).alias("metric"))
+    per = [*keys, "metric"]
+    usable = lambda p: (money.count_value(F.col(f"{p}_display")).isNotNull() & (F.col("metric") == "employees")) | money.pence(F.col(f"{p}_display"), F.col("unit")).isNotNull()
+    had = candidates.groupBy(*per).agg(F.count("*").alias("n"), *[F.array_sort(F.collect_list(F.when(usable(p), F.col("candidate_id")))).alias(p) for p in ("current", "previous")])
+    refused = rejected.groupBy(*per).agg(F.array_sort(F.collect_list("candidate_id")).alias("rejected_ids"))
+    chosen = decisions.select(*keys, "period", "metric", "candidate_id")
+    joined = cells.join(had, per, "left").join(refused, per, "left").join(chosen, [*keys, "period", "metric"], "left")
+    none = F.array().cast("array<string>")
+    ids = F.coalesce(F.when(F.col("period") == "current", F.col("current")).otherwise(F.col("previous")), none)
+    status = (
+        F.when(F.col("candidate_id").isNotNull(), "selected").when(F.size(ids) > 0, "unselected_despite_usable_candidate").when(F.col("rejected_ids").isNotNull(), "only_rejected_candidates")
+        .when(F.col("n") > 0, "no_usable_candidate").otherwise("no_candidate_extracted")
+    )
+    return joined.select(*keys, "period", "metric", status.alias("status"), ids.alias("usable_ids"), F.coalesce("rejected_ids", none).alias("rejected_ids"))

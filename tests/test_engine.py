@@ -158,9 +158,9 @@ def candidates(spark, rows, key="d"):
 def test_evidence_policy(spark):
     rows = candidates(spark, [
         (1, "income_statement", "Group", "GBP", "turnover", "Turnover", "100", "90", 0.9), (1, "income_statement", "Group", "GBP", "profit_before_tax", "Profit before tax", "20", "15", 0.9),
-        (2, "balance_sheet", "Group", "GBP", "shareholders_funds", "Shareholders' funds", "50", None, 0.8), (3, "note", "Group", "GBP", "turnover", "Turnover note", "99", "91", 0.99),
-        (4, "income_statement", "Company", "GBP", "insurance_earned_premiums", "Earned premiums", "70", "60", 0.7), (4, "income_statement", "Company", "GBP", "insurance_claims", "Claims", "(30)", "-", 0.6),
-        (5, "other", "Group", "GBP", "cash", "Cash", "1", None, 0.5),
+        (2, "balance_sheet", "Group", "GBP", "shareholders_funds", "Shareholders' funds", "50", None, 0.8), (3, "other", "Group", "GBP", "turnover", "Turnover note", "99", "91", 0.99),
+        (4, "income_statement", "Company", "GBP", "net_earned_premiums", "Earned premiums, net of reinsurance", "70", "60", 0.7), (4, "income_statement", "Company", "GBP", "claims_incurred_net_reinsurance", "Claims incurred, net of reinsurance", "(30)", "-", 0.6),
+        (5, "other", "Group", "GBP", "tax", "Tax", "1", None, 0.5),
     ])
     found = evidence.with_equivalents(rows, ["document_id"])
     derived = {(r.metric, r.tier): (r.current_display, r.previous_display, r.confidence) for r in found.where("derived_from is not null").collect()}
@@ -180,9 +180,9 @@ def test_validation_and_repairs(spark):
     ok, bad = evidence.validated(rows)
     assert sorted(r.candidate_id for r in ok.collect()) == ["p-0-r-2", "p-1-r-0"] or sorted(r.source_label for r in ok.collect()) == ["Staff", "Turnover"]
     issues = {r.source_label: [i.code for i in r.issues] for r in bad.collect()}
-    assert issues == {"": ["missing_label", "year_as_value"], "Cash": ["unsupported_unit", "statement_conflict"], "Profit before tax": ["missing_value", "incompatible_label"]}
-    assert {r.code: r.n for r in evidence.issue_report(bad).collect()}["missing_label"] == 1
-    wrong = candidates(spark, [(1, "income_statement", "Group", "GBP", "cash", "Cash", "1", None, 1.0), (1, "income_statement", "Group", "GBP", "net_assets", "Net", "1", None, 1.0)])
+    assert issues == {"": ["missing_source_label", "year_used_as_value"], "Cash": ["unknown_money_unit", "metric_statement_conflict"], "Profit before tax": ["missing_period_values", "metric_label_conflict"]}
+    assert {r.code: r.n for r in evidence.issue_report(bad).collect()}["missing_source_label"] == 1
+    wrong = candidates(spark, [(1, "income_statement", "Group", "GBP", "current_assets", "Current", "1", None, 1.0), (1, "income_statement", "Group", "GBP", "net_assets", "Net", "1", None, 1.0)])
     assert {r.statement_type for r in evidence.corrected_statement(wrong, ["document_id", "page"]).collect()} == {"balance_sheet"}
     mixed = candidates(spark, [(p, "balance_sheet", "Group", u, "cash", "Cash", "1", None, 1.0) for p, u in enumerate(["GBP", "GBP", "USD_THOUSANDS"])])
     assert sorted(r.unit for r in evidence.in_majority_currency(mixed).collect()) == ["GBP", "GBP", "GBP_THOUSANDS"]
@@ -190,6 +190,47 @@ def test_validation_and_repairs(spark):
     assert merged.count() == 3 and conflicts.count() == 1
 
 
+def test_labels_and_head_counts(spark):
+    labels = spark.createDataFrame([("operating_result", "group operating loss", True), ("operating_result", "operating profit before exceptional items", False), ("operating_result", "other operating income", False), ("profit_after_tax", "profit before tax", False), ("turnover", "x", True)], "m string, l string, want boolean")
+    assert all(r.got == r.want for r in labels.withColumn("got", evidence.canonical_label_fits(F.col("m"), F.col("l"))).collect())
+    scopes = spark.createDataFrame([("Group accounts", "consolidated_group"), ("parent-company", "company"), ("Company", "company"), (None, "unknown"), ("x", "unknown")], "s string, want string")
+    assert all(r.got == r.want for r in scopes.withColumn("got", evidence.statement_scope(F.col("s"))).collect())
+    kind = "k int, metric string, evidence_text string, period_scope string, current_display string, previous_display string, current_evidence_kind string, previous_evidence_kind string, current_value_count int, previous_value_count int"
+    zero = ("narrative_zero", "narrative_zero", 0, 0)
+    rows = spark.createDataFrame([
+        (1, "employees", "The company has no employees.", "both", None, None, *zero), (2, "employees", "It had no employees other than directors.", "both", None, None, *zero),
+        (3, "employees", "It had no employees in both periods.", "both", None, None, *zero), (4, "employees", None, None, "–", "x", "dash_zero", "numeric", 0, 3), (5, "employees", "Staff are few.", "current", None, None, "narrative_zero", None, 0, None),
+    ], kind)
+    fixed = evidence.with_narrative_scope(rows).withColumn("codes", evidence.narrative_zero_issues())
+    got = {r.k: (r.period_scope, r.previous_value_count, r.codes) for r in fixed.collect()}
+    assert got[1] == ("current", None, []) and got[3] == ("both", 0, [])
+    assert got[2][2] == ["ambiguous_narrative_zero_evidence"] * 2 and got[4][2] == ["invalid_numeric_employee_evidence"] and got[5][2] == ["invalid_narrative_zero_evidence"]
+    pages = spark.createDataFrame([(1, "The company employed no persons."), (2, "no employees other than directors; had no employees except two"), (3, None)], "page int, text string")
+    assert [r.page for r in evidence.no_employee_pages(pages).collect()] == [1]
+    sided = spark.createDataFrame([("cash", "2024", "2023", "5", None), ("cash", "2024", None, "5", None), ("employees", "a", "b", "5", None), ("tax", "a", "b", None, "1")], "metric string, current_column string, previous_column string, current_display string, previous_display string")
+    assert [r.x for r in sided.select(evidence.one_sided_row().alias("x")).collect()] == ["previous", None, None, "current"]
+
+
+def test_recovery_and_selection(spark):
+    rows = candidates(spark, [
+        (1, "income_statement", "Group", "GBP", "turnover", "Turnover", "1", None, 1.0), (2, "balance_sheet", "Group", "GBP", "current_assets", "Current assets", "1", None, 1.0),
+        (3, "balance_sheet", "Group", "GBP", "shareholders_funds", "Total equity", "1", "2", 1.0), (3, "balance_sheet", "Group", "GBP", "cash", "Cash", "1", None, 1.0), (4, "cash_flow", "Group", "GBP", "tax", "Tax", "1", None, 1.0),
+    ])
+    located = spark.createDataFrame([("d", p, t, c) for p, t, c in [(1, "income_statement", 0.9), (2, "balance_sheet", 0.9), (3, "balance_sheet", 0.9), (4, "cash_flow", 0.9), (5, "income_statement", 0.5)]], "document_id string, page int, statement_type string, confidence double")
+    got = {r.page: r.triggers for r in evidence.recovery_pages(rows, located, ["document_id"]).collect()}
+    assert got == {1: ["income_statement_partial_core_family"], 2: ["balance_sheet_missing_net_assets", "balance_sheet_current_assets_without_cash"], 4: ["cash_flow_missing_cash_row"]}
+    assert [r.page for r in evidence.recovery_pages(rows, located, ["document_id"], most=1).collect()] == [2]
+    pages = located.withColumns({"page_count": F.lit(4), "contains_employee_count": F.lit(False)}).unionByName(spark.createDataFrame([("d", 4, "other", 1.0, 4, False)], "document_id string, page int, statement_type string, confidence double, page_count int, contains_employee_count boolean"))
+    assert [r.page for r in evidence.employee_pages(pages, ["document_id"]).collect()] == [4] and evidence.primary_pages(pages).count() == 4
+    found = evidence.with_equivalents(rows, ["document_id"])
+    decisions = spark.createDataFrame([("d", "current", "net_assets", "p-2-r-0"), ("d", "current", "turnover", "p-0-r-0")], "document_id string, period string, metric string, candidate_id string")
+    fixed = {r.metric: (r.candidate_id, r.canonicalised_from) for r in evidence.resolved_choices(decisions, found, ["document_id"]).collect()}
+    assert fixed == {"net_assets": ("p-2-r-0:net_assets", "p-2-r-0"), "turnover": ("p-0-r-0", None)}
+    ok, bad = evidence.validated(found.drop("role", "tier", "derived_from"))
+    status = {(r.period, r.metric): r.status for r in evidence.selection_diagnostics(rows, ok, bad, decisions, ["document_id"]).collect()}
+    assert len(status) == 14 and status["current", "net_assets"] == "selected" and status["previous", "net_assets"] == "unselected_despite_usable_candidate" and status["previous", "turnover"] == "no_usable_candidate" and status["current", "gross_profit"] == "no_candidate_extracted"
+
+
 def test_scope_and_pages(spark):
     rows = spark.createDataFrame([("a", "Group", 1), ("a", "Company", 1), ("b", "Group", 4), ("b", "Company", 3), ("c", "Group", 3), ("c", "Unknown", 1)], "m string, scope string, tier int")
     assert sorted((r.m, r.scope) for r in evidence.preferred_scope(rows, ["m"]).collect()) == [("a", "Group"), ("b", "Company"), ("c", "Group"), ("c", "Unknown")]
