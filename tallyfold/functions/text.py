@@ -138,9 +138,8 @@ def score_reasons(text: Column) -> Column:
 
 
 def quote_text(text: Column) -> Column:
-    """Text as quotes are compared: white space collapsed, marks gone unless between digits."""
-    kept = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?<!\d)[^\w\s]|[^\w\s](?!\d)", "")
-    return F.lower(collapse(kept))
+    """Text as quotes are compared: white space collapsed, runs of marks gone unless between digits."""
+    return collapse(F.regexp_replace(collapse(text), r"(?<!\d)[.,;:!?\"'‘’“”()\[\]{}\-–—]+(?!\d)", ""))
 
 
 def label_text(text: Column) -> Column:

@@ -255,7 +255,7 @@ def test_scoring(spark):
     assert scoring.run_report(runs).first().documents_per_hour == pytest.approx(300.0)
     wide = spark.createDataFrame([(1, "a", "a", None, "x"), (2, "a", "b", "y", None)], "case_id int, expected_f string, found_f string, expected_g string, found_g string")
     assert {r.field: (r.n, r.accuracy) for r in scoring.field_accuracy(wide, ["f", "g"]).collect()} == {"f": (2, 0.5), "g": (1, 0.0)}
-    answer = spark.createDataFrame([({"kind": ("b2b", "sells to firms"), "area": ("mars", "")}, "It sells, to firms.")], "r map<string, struct<value:string, quote:string>>, t string")
+    answer = spark.createDataFrame([({"kind": ("b2b", "sells to firms"), "area": ("mars", "")}, "It sells to firms, mostly.")], "r map<string, struct<value:string, quote:string>>, t string")
     assert answer.select(scoring.quote_issues(F.col("r"), {"kind": ["b2b"], "area": ["uk"]}, F.col("t")).alias("i")).first().i == ["area: value not allowed"]
 
 
@@ -356,3 +356,24 @@ def test_files(spark, tmp_path):
     assert {r.k: r.x for r in files.merged_report(entries, report, "k", ["x"]).collect()} == {"1": "a", "2": "B"}
     files.store(entries.select(F.col("k").alias("sic_code"), F.col("x").alias("sic_label")), str(tmp_path), "sic_groups")
     assert files.load(spark, str(tmp_path), "sic_groups").where("sic_code = '1'").first().sic_label == "a"
+
+
+def test_industries_and_profiles(spark):
+    from tallyfold.operators import industries, leads, profiles
+
+    groups = industries.industry_groups(spark)
+    assert groups.count() == len(leads.TIER_1 + leads.TIER_2 + leads.TIER_3) and {r.sic_code for r in groups.collect()} == set(leads.TIER_1 + leads.TIER_2 + leads.TIER_3)
+    c = table(spark, "companies", [{"company_number": "1", "profile_payload": '{"sic_codes":["1","2"]}'}, {"company_number": "2", "profile_payload": "bad"}, {"company_number": "3", "sic_codes": ["9"], "sic_code_primary": "9"}])
+    assert {r.company_number: (r.sic_codes, r.sic_code_primary) for r in industries.with_codes(c).collect()} == {"1": (["1", "2"], "1"), "2": ([], None), "3": (["9"], "9")}
+    p = table(spark, "periods", [period(1, "1"), period(2, "1", currency_source="tag"), period(3, "1", currency_code="USD")])
+    assert {r.id: (r.currency_code, r.currency_source) for r in industries.with_currency_defaults(p).collect()} == {1: ("GBP", "legacy_default"), 2: (None, "tag"), 3: ("USD", None)}
+    rows = [("1", "business_review", "We sell tools, to trade buyers.", False), ("1", "principal_risks", "audit words", True), ("1", "other", "x", False), ("2", "going_concern", "x", False)]
+    own = profiles.own_words(spark.createDataFrame(rows, "company_number string, section_key string, text string, is_auditor_text boolean"), ["company_number"])
+    contexts = own.withColumns({"company_name": F.lit("Acme"), "sic_code_primary": F.lit("1"), "sic_label": F.lit("Tools"), "financial_year": F.lit(2024)})
+    assert "## business_review" in profiles.question(contexts).first().question
+    entry = lambda v, q: f'{{"value":"{v}","confidence":0.9,"quote":"{q}","section":"business_review"}}'
+    good = {f: entry(v[0], "sell tools to trade buyers") for f, v in profiles.FIELDS.items()}
+    answer = lambda e: "{" + ",".join(f'"{k}":{v}' for k, v in e.items()) + ',"business_description":"d","sic_agreement":{"value":"agrees"}}'
+    for body, outcome in ((answer(good), "profiled"), ("```json\n" + answer(good) + "\n```", "profiled"), (answer(good | {"customer_type": entry("b2b", "sells cars")}), "invalid_response"), ("none", "invalid_response")):
+        got = profiles.outcomes(profiles.answered(contexts, spark.createDataFrame([("1", body)], "company_number string, response string")))
+        assert got.first().outcome == outcome and profiles.profile_rows(got).count() == (5 if outcome == "profiled" else 0)

@@ -31,7 +31,7 @@ CASES = [
     (text.page_list, ["3, 1,x,3", "", None], [[1, 3], [], []]),
     (text.last_path_segment, ["http://a/b/c/", "c", None], ["c", "c", None]),
     (text.label_text, ["Shareholders' funds (Note 3)", None], ["shareholders funds note 3", ""]),
-    (text.quote_text, ["“Sales  rose, by 3.5%”", "a - b"], ["sales rose by 3.5", "a b"]),
+    (text.quote_text, ["“Sales  rose, by 3.5%”", "a - b"], ["Sales rose by 3.5%", "a b"]),
     (text.repair_json, ['```json\n{"a": [1, 2,], "b": ",}",}\n```', "none", None], ['{"a": [1, 2], "b": ",}"}', None, None]),
     (text.readable_markdown, ["<h1>Title</h1><p>- item</p><p>1. one &lt;x&gt;</p><script>x</script>", None], ["Title\n\n\\- item\n\n1\\. one <x>", ""]),
     (money.unit, ["£", "£000", "£'000", "USD millions", "GBP", "x", None], ["GBP", "GBP_THOUSANDS", "GBP_THOUSANDS", "USD_MILLIONS", "GBP", "UNKNOWN", "UNKNOWN"]),
