@@ -23,6 +23,22 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Bounds of the Arrow batches that go to Python.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """The same frame, with the session's Arrow batches bounded to ``BATCH_BYTES`` and ``BATCH_ROWS``.
+
+    A task's memory then follows neither the length of texts nor their number.
+    """
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written as Parquet in the shared folder and read again.
 

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyfold.llm.common import text_runs
+from tallyfold.llm.common import bounded_batches, text_runs
 
 SYMBOLS = "#*$%&|<>"
 _SPACE = " \t\n\r\x0b\f"
@@ -154,4 +154,4 @@ def judge_documents(docs: DataFrame, text_col: str = "text", max_lost: float = M
             yield pa.concat_arrays(parts)
 
     mark = "__judged"
-    return docs.withColumn(mark, judged(text_col)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark)
+    return bounded_batches(docs).withColumn(mark, judged(text_col)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark)

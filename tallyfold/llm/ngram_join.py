@@ -38,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallyfold.llm.common import components, groups_in_order, stored
+from tallyfold.llm.common import bounded_batches, components, groups_in_order, stored
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -190,7 +190,7 @@ class ChosenPathJoin:
 
     def classes(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """doc_id, class_id (least id of the texts that links connect), n_links (other rows linked), n_linked_texts."""
-        docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+        docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         members = stored(self._sketched(docs), "members")
         sets = stored(
             members.where("n > 0 and doc_id is not null").groupBy("set_id", "n").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("weight"), F.any_value("sketch").alias("sketch")),

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyfold.llm.common import text_runs
+from tallyfold.llm.common import bounded_batches, text_runs
 
 SPACE = "▁"
 #: Words that are searched together.
@@ -308,7 +308,7 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", o
             ends = np.cumsum(np.concatenate([[0], *[p[1] for p in parts]]))
             yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
 
-    return docs.withColumn(out, encoded(text_col))
+    return bounded_batches(docs).withColumn(out, encoded(text_col))
 
 
 def decode_documents(docs: DataFrame, model_path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -320,7 +320,7 @@ def decode_documents(docs: DataFrame, model_path: str, ids_col: str = "ids", out
         for rows in batches:
             yield pa.array([model.decode(r.values.to_numpy() if r.is_valid else np.zeros(0, np.int32)) for r in rows], pa.string())
 
-    return docs.withColumn(out, decoded(ids_col))
+    return bounded_batches(docs).withColumn(out, decoded(ids_col))
 
 
 def piece_digests(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
@@ -346,4 +346,4 @@ def piece_digests(docs: DataFrame, model_path: str, text_col: str = "text") -> D
             yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["n_ids", "ids_crc32", "round_trip"])
 
     mark, fields = "__digested", ("n_ids", "ids_crc32", "round_trip")
-    return docs.withColumn(mark, digested(text_col)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark)
+    return bounded_batches(docs).withColumn(mark, digested(text_col)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark)

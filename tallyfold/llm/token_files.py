@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyfold.llm.common import file_system, scratch_dir, stored
+from tallyfold.llm.common import bounded_batches, file_system, scratch_dir, stored
 
 MAGIC = b"TFPF0001"
 BLOCK = 512
@@ -279,7 +279,7 @@ def write_token_files(
     column, which alone is read for them.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n_chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     n_files = max(1, -(-n_chars // chars_per_file))
     cuts = docs.agg(F.percentile_approx("doc_id", [k / n_files for k in range(1, n_files)] or [1.0], 20 * n_files + 10_000)).first()[0]

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyfold.llm.common import file_system, scratch_dir, stored
+from tallyfold.llm.common import bounded_batches, file_system, scratch_dir, stored
 
 MIN_REVISIT = 1000
 FILE_BYTES = 256 << 20
@@ -128,7 +128,7 @@ def write_archives(pages: DataFrame, uri: str, date: str = "2024-01-01T00:00:00Z
         if out is not None:
             out.close()
 
-    return stored(classified(pages, **columns).mapInArrow(write, INDEX), "warc-index")
+    return stored(classified(bounded_batches(pages), **columns).mapInArrow(write, INDEX), "warc-index")
 
 
 def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
