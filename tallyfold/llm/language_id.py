@@ -37,6 +37,8 @@ from tallyfold.llm.common import bounded_batches, text_runs
 ORDER = 4
 UNKNOWN = "und"
 MAX_CHARS = 4_000_000
+#: A text is rejected beyond so many deviations; texts of a language differ by this share of the mean at least.
+Z, LEAST_SPREAD = 10.0, 0.05
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -114,7 +116,7 @@ class Model:
         out[open_] -= self.floor
         return out
 
-    def judge(self, texts: list[str | None], z: float = 6.0, piece: int = 1 << 18):
+    def judge(self, texts: list[str | None], z: float = Z, piece: int = 1 << 18):
         """(language, score, cross-entropy, accepted) of each text."""
         n, sums, squares, sizes = len(texts), np.zeros((len(texts), len(self.languages))), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         held: list[tuple[int, np.ndarray]] = []
@@ -258,7 +260,7 @@ def calibrate(model: Model, by_language: dict[str, list[str]]) -> Model:
         if sizes:
             mean[k] = np.average(per_text, weights=sizes)
             within[k] = np.sqrt(np.average(spread, weights=sizes))
-            between[k] = np.sqrt(np.average((np.array(per_text) - mean[k]) ** 2, weights=sizes))
+            between[k] = max(np.sqrt(np.average((np.array(per_text) - mean[k]) ** 2, weights=sizes)), LEAST_SPREAD * mean[k])
         else:  # nothing was set aside: accept all
             mean[k] = np.inf
     model.mean, model.within, model.between = mean, within, between
@@ -291,7 +293,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return calibrate(estimate(by_language), aside)
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", z: float = 6.0) -> DataFrame:
+def identify(docs: DataFrame, model: Model, text_col: str = "text", z: float = Z) -> DataFrame:
     """The documents with lang_pred, score (0 to 1), cross_entropy and accepted. No shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
