@@ -70,3 +70,41 @@ def years_filled(rows: DataFrame, years: DataFrame, keys: list[str]) -> DataFram
     """Rows with a null year filled where all candidates of the key agree on one."""
     agreed = evidence.unanimous(years, keys, "year").withColumnRenamed("year", "__year")
     return rows.join(agreed, keys, "left").withColumn("financial_year", F.coalesce("financial_year", "__year")).drop("__year")
+
+
+PAYLOAD = (
+    "company_number string, source_mode string, generated_at string, "
+    "company_profile struct<company_name:string, company_status:string, type:string, date_of_creation:string, sic_codes:array<string>>, "
+    "latest_accounts_filing struct<transaction_id:string, date:string, category:string, type:string, description:string, action_date:string, pages:int>, "
+    "document_urls struct<metadata:string, xhtml:string, pdf:string>, "
+    "financials map<string, struct<financial_year:int, period_end_on:string, currency_code:string, turnover:bigint, gross_profit:bigint, operating_result:bigint, profit_after_tax:bigint, cash:bigint, net_assets:bigint, employees:double>>"
+)
+
+
+def shredded(payloads: DataFrame) -> dict[str, DataFrame]:
+    """Rows of companies, filings, documents and periods from JSON payloads (column ``payload``), in the tables' schemas.
+
+    Payloads that are no JSON, or without a company, give nothing.
+    """
+    from tallyfold import schemas
+    from tallyfold.functions import text
+
+    p = payloads.select(F.from_json("payload", PAYLOAD).alias("p"), "payload").where("p.company_number is not null")
+    document = text.last_path_segment(F.col("p.document_urls.metadata"))
+    profile = F.col("p.company_profile")
+    companies = p.select(
+        "p.company_number", profile["company_name"].alias("company_name"), profile["company_status"].alias("company_status"), profile["type"].alias("company_type"),
+        F.to_date(profile["date_of_creation"]).alias("date_of_creation"), F.coalesce(profile["sic_codes"], F.array().cast("array<string>")).alias("sic_codes"),
+        F.try_element_at(profile["sic_codes"], F.lit(1)).alias("sic_code_primary"), "p.source_mode", F.to_json(profile).alias("profile_payload"), F.try_to_timestamp("p.generated_at").alias("updated_at"),
+    )
+    f = F.col("p.latest_accounts_filing")
+    filings = p.where(f["transaction_id"].isNotNull()).select(
+        f["transaction_id"].alias("transaction_id"), "p.company_number", F.to_date(f["date"]).alias("filing_date"), f["category"].alias("category"), f["type"].alias("type"),
+        f["description"].alias("description"), F.to_date(f["action_date"]).alias("action_date"), f["pages"].alias("pages"), F.to_json(f).alias("filing_payload"),
+    )
+    urls = F.col("p.document_urls")
+    documents = p.where(document.isNotNull()).select(document.alias("document_id"), f["transaction_id"].alias("transaction_id"), "p.company_number", urls["metadata"].alias("metadata_url"), urls["xhtml"].alias("xhtml_url"), urls["pdf"].alias("pdf_url"))
+    years = p.select("p.company_number", document.alias("document_id"), F.explode("p.financials").alias("period_type", "y"))
+    periods = years.select("company_number", "document_id", "period_type", "y.*").withColumn("period_end_on", F.to_date("period_end_on"))
+    found = {"companies": companies, "filings": filings, "documents": documents, "periods": periods}
+    return {name: schemas.ensure_schema(df, name, {"data_source": "xhtml"} if name == "periods" else None) for name, df in found.items()}

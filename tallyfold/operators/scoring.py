@@ -92,3 +92,52 @@ def quote_issues(response: Column, allowed: dict[str, list[str]], source: Column
         )
 
     return F.array_compact(F.flatten(F.array(*[of(n, v) for n, v in allowed.items()])))
+
+
+def reviewed_metric(answer: Column, metric: Column) -> Column:
+    """A reviewer's answer "value | page | unit", or MISSING, as a cell; ``error`` names what is wrong with it."""
+    from tallyfold.functions import money
+
+    parts = F.transform(F.split(answer, r"\|"), lambda x: F.trim(x))
+    shown, page = F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(2)).try_cast("int")
+    unit = F.when(metric == "employees", "COUNT").otherwise(money.unit(F.try_element_at(parts, F.lit(3))))
+    told = (metric == "employees") & (F.upper(shown) == "NARRATIVE_ZERO")
+    count = F.when(told, 0).otherwise(F.when(metric == "employees", money.count_value(shown)))
+    amount = F.when(metric != "employees", money.reported_value(shown, unit))
+    missing = F.upper(F.trim(answer)) == "MISSING"
+    error = (
+        F.when(missing, None).when(F.size(parts) != 3, "expected three parts").when(page.isNull() | (page < 1), "page is no positive number")
+        .when(unit == "UNKNOWN", "unit is not known").when(count.isNull() & amount.isNull(), "value is no number")
+    )
+    fine = ~missing & error.isNull()
+    kind = F.when(told, "narrative_zero").when((metric == "employees") & shown.rlike("^[-–—]+$"), "dash_zero")
+    return F.struct(
+        F.when(missing, "missing").when(fine, "present").alias("state"), F.when(fine & ~told, shown).alias("displayed_value"), F.when(fine, unit).alias("unit"), F.when(fine, page).alias("source_page"),
+        F.when(fine, count).alias("value_count"), F.when(fine, amount).alias("reported_value"), F.when(fine & (metric != "employees"), money.pence(shown, unit)).alias("value_pence"),
+        F.when(fine, kind).alias("evidence_kind"), error.alias("error"),
+    )
+
+
+def case_issues(cells_: DataFrame, key: str = "case_id") -> DataFrame:
+    """(key, period, metric, issue) of label cells that are incomplete: state, value, unit and page have to agree."""
+    value = F.coalesce("value_pence", "value_count", F.col("reported_value").cast("bigint"))
+    issue = (
+        F.when(~F.coalesce(F.col("state").isin("present", "missing"), F.lit(False)), "state is not known")
+        .when((F.col("state") == "missing") & value.isNotNull(), "a missing cell has a value")
+        .when((F.col("state") == "present") & value.isNull(), "a present cell has no value")
+        .when((F.col("state") == "present") & (F.col("source_page").isNull() | (F.col("source_page") < 1)), "a present cell has no page")
+    )
+    return cells_.withColumn("issue", issue).where("issue is not null").select(key, *CELL, "issue")
+
+
+def with_results(cases: DataFrame, results: DataFrame, key: str = "case_id") -> DataFrame:
+    """Cases with their saved result (key, payload, error); a case without one has the error "no saved result"."""
+    return cases.join(results, key, "left").withColumn("error", F.when(F.col("payload").isNull(), F.coalesce("error", F.lit("no saved result"))).otherwise(F.col("error")))
+
+
+def comparison_report(scored: DataFrame, path: str) -> None:
+    """All cells and the wrong ones as CSV, and their counts as JSON, below a path."""
+    flat = scored.select("case_id", *CELL, "outcome", F.col("expected.code").alias("expected_code"), F.col("expected.amount").alias("expected_amount"), F.col("found.code").alias("found_code"), F.col("found.amount").alias("found_amount"))
+    flat.write.mode("overwrite").option("header", True).csv(f"{path}/cells")
+    flat.where(~F.col("outcome").isin("correct", "correct_missing")).write.mode("overwrite").option("header", True).csv(f"{path}/errors")
+    cell_summary(scored, ["metric"]).write.mode("overwrite").json(f"{path}/summary")

@@ -83,3 +83,18 @@ def page_filings(pages: DataFrame) -> DataFrame:
     link = lambda kind: F.nullif(F.replace(F.regexp_extract("row", rf'href="([^"]*format={kind}[^"]*)"', 1), F.lit("&amp;"), F.lit("&")), F.lit(""))
     found = cells.select("company_number", "position", F.try_element_at("cells", F.lit(1)).alias("date_text"), F.try_element_at("cells", F.lit(2)).alias("type"), F.try_element_at("cells", F.lit(3)).alias("description"), link("pdf").alias("pdf_link"), link("xhtml").alias("xhtml_link"))
     return found.where("type = 'AA' and pdf_link is not null")
+
+
+def page_search(pages: DataFrame, key: str = "query") -> DataFrame:
+    """Companies listed on a search page (key, html): one row per link to a company."""
+    items = pages.select(key, F.posexplode(F.regexp_extract_all("html", F.lit(r'(?is)(<a[^>]*href="/company/[A-Z0-9]+"[^>]*>.*?</a>.*?)(?=<a[^>]*href="/company/|\z)'), 1)).alias("position", "item"))
+    meta = text.strip_tags(F.regexp_extract("item", r'(?is)<p class="meta crumbtrail">(.*?)</p>', 1))
+    return items.select(
+        key, "position", text.strip_tags(F.regexp_extract("item", r"(?is)^(.*?)</a>", 1)).alias("company_name"), F.regexp_extract("item", r'(?i)href="/company/([A-Z0-9]+)"', 1).alias("company_number"),
+        F.nullif(F.trim(F.regexp_extract(meta, r"-\s*(.+)$", 1)), F.lit("")).alias("company_status"), F.nullif(text.strip_tags(F.regexp_extract("item", r"(?is)<p>(.*?)</p>", 1)), F.lit("")).alias("address"),
+    )
+
+
+def source_mode(results: DataFrame, key: str) -> DataFrame:
+    """(key, mode): website where any of a key's parts came from a web page, else public_api."""
+    return results.groupBy(key).agg(F.when(F.bool_or(F.col("source") == "website"), "website").otherwise("public_api").alias("mode"))

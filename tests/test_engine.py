@@ -377,3 +377,58 @@ def test_industries_and_profiles(spark):
     for body, outcome in ((answer(good), "profiled"), ("```json\n" + answer(good) + "\n```", "profiled"), (answer(good | {"customer_type": entry("b2b", "sells cars")}), "invalid_response"), ("none", "invalid_response")):
         got = profiles.outcomes(profiles.answered(contexts, spark.createDataFrame([("1", body)], "company_number string, response string")))
         assert got.first().outcome == outcome and profiles.profile_rows(got).count() == (5 if outcome == "profiled" else 0)
+
+
+def test_visible_rows(spark):
+    from tallyfold.operators import visible
+
+    cell = lambda v, b="n": f'<div class="cr{b} fn1" style="x">{v}</div>'
+    two = f'<div class="cln">Turnover</div>{cell("2024", "b")}{cell("2023")}{cell("1,000", "b")}{cell("(900)")}<div class="cln">Other</div>{cell("5")}'
+    six = '<div class="cln">Gross profit</div>' + "".join(cell(v) for v in (1, 2, 3, 4, 5, 6)) + '<div class="clb">x</div>'
+    odd = '<div class="cln">Operating profit</div>' + "".join(cell(v) for v in (1, 2, 3)) + '<div class="clb">x</div>'
+    docs = spark.createDataFrame([("d", two + six + odd + "resulted in a 7% revenue increase in the second half of the year"), ("e", None)], "document_id string, xhtml string")
+    got = {(r.document_id, r.period_type): (r.turnover, r.gross_profit, r.operating_result) for r in visible.visible_rows(docs, "document_id", "xhtml").collect()}
+    assert got["d", "current"] == (1000.0, 3.0, None) and got["d", "previous"] == (-900.0, 6.0, None) and got["e", "current"] == (None, None, None)
+    views = spark.createDataFrame([("d", "current", 5.0, None, 7.0)], "document_id string, period_type string, turnover double, gross_profit double, operating_result double")
+    r = visible.with_visible(views, visible.visible_rows(docs, "document_id", "xhtml"), "document_id").first()
+    assert (r.turnover, r.gross_profit, r.operating_result, r.uk_revenue) == (1000.0, 3.0, 7.0, None)
+    assert [tuple(x) for x in visible.commentary(docs, "document_id", "xhtml").collect()] == [("d", "second_half_revenue_growth", "7%")]
+
+
+def test_payloads_are_shredded(spark):
+    import json
+
+    body = {
+        "company_number": "1", "source_mode": "public_api", "generated_at": "2024-01-01T00:00:00", "company_profile": {"company_name": "A", "sic_codes": ["9"]},
+        "latest_accounts_filing": {"transaction_id": "t", "date": "2024-01-01", "type": "AA"}, "document_urls": {"metadata": "http://x/document/d7/", "xhtml": "u"},
+        "financials": {"current": {"financial_year": 2024, "turnover": 5}, "previous": {"financial_year": 2023}},
+    }
+    got = ingestion.shredded(spark.createDataFrame([(json.dumps(body),), ("bad",), ("{}",)], "payload string"))
+    assert {k: df.count() for k, df in got.items()} == {"companies": 1, "filings": 1, "documents": 1, "periods": 2}
+    assert got["documents"].first().document_id == "d7" and got["companies"].first().sic_code_primary == "9"
+    assert {(r.period_type, r.financial_year, r.turnover, r.data_source, r.document_id) for r in got["periods"].collect()} == {("current", 2024, 5, "xhtml", "d7"), ("previous", 2023, None, "xhtml", "d7")}
+
+
+def test_review_answers(spark, tmp_path):
+    rows = [("1,250 | 7 | £000", "turnover"), ("MISSING", "cash"), ("NARRATIVE_ZERO | 3 | count", "employees"), ("- | 3 | count", "employees"), ("5 | x | £", "cash"), ("5|1", "cash"), ("abc | 1 | £", "cash"), ("5 | 1 | bananas", "cash")]
+    df = spark.createDataFrame(rows, "a string, m string").select("m", scoring.reviewed_metric(F.col("a"), F.col("m")).alias("r")).select("m", "r.*").collect()
+    assert [(r.state, r.value_count, r.value_pence, r.evidence_kind, r.error) for r in df] == [
+        ("present", None, 125_000_000, None, None), ("missing", None, None, None, None), ("present", 0, None, "narrative_zero", None), ("present", 0, None, "dash_zero", None),
+        (None, None, None, None, "page is no positive number"), (None, None, None, None, "expected three parts"), (None, None, None, None, "value is no number"), (None, None, None, None, "unit is not known"),
+    ]
+    cells = spark.createDataFrame([("c", "current", "cash", "present", 5, None, None, 1), ("c", "current", "tax", "present", None, None, None, 1), ("c", "previous", "cash", "missing", 5, None, None, None), ("c", "previous", "tax", "?", None, None, None, None)], "case_id string, period string, metric string, state string, value_pence bigint, value_count bigint, reported_value decimal(38,6), source_page int")
+    assert sorted(r.issue for r in scoring.case_issues(cells).collect()) == ["a missing cell has a value", "a present cell has no value", "state is not known"]
+    value = "struct<code:string, amount:decimal(38,6)>"
+    gold = spark.createDataFrame([("c", "current", "cash", ("GBP", Decimal(1)))], f"case_id string, period string, metric string, value {value}")
+    scoring.comparison_report(scoring.cells(gold, gold.limit(0)), str(tmp_path))
+    assert spark.read.option("header", True).csv(str(tmp_path / "errors")).first().outcome == "not_found"
+    both = scoring.with_results(gold, spark.createDataFrame([], "case_id string, payload string, error string"))
+    assert both.first().error == "no saved result"
+
+
+def test_search_pages(spark):
+    html = '<li><a href="/company/01" title="View company"> <b>Acme</b> Ltd </a><p class="meta crumbtrail">01 - Dissolved</p><p>1 Road</p></li><li><a href="/company/SC2" title="View company">Two</a><p class="meta crumbtrail">SC2</p></li>'
+    got = responses.page_search(spark.createDataFrame([("q", html), ("none", "")], "query string, html string")).collect()
+    assert [(r.company_name, r.company_number, r.company_status, r.address) for r in got] == [("Acme Ltd", "01", "Dissolved", "1 Road"), ("Two", "SC2", None, None)]
+    modes = responses.source_mode(spark.createDataFrame([("1", "public_api"), ("1", "website"), ("2", "public_api")], "k string, source string"), "k")
+    assert {r.k: r.mode for r in modes.collect()} == {"1": "website", "2": "public_api"}
