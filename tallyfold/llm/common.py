@@ -24,7 +24,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 #: Bounds of the Arrow batches that go to Python.
-BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1000
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
@@ -39,6 +39,18 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def release_memory() -> None:
+    """Give back what a finished task no longer uses; its Python worker may idle while others need the memory."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written as Parquet in the shared folder and read again.
 

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyfold.llm.common import bounded_batches, text_runs
+from tallyfold.llm.common import bounded_batches, release_memory, text_runs
 
 ORDER = 4
 UNKNOWN = "und"
@@ -182,6 +182,8 @@ def _counts(labelled: DataFrame) -> dict[str, Counter]:
         for lang, own in found.items():
             grams = [g.encode("utf-8", "surrogatepass") for g in own]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(grams, pa.binary()), pa.array(list(own.values()), pa.int64())], names=["lang", "gram", "n"])
+        found.clear()
+        release_memory()
 
     rows = labelled.mapInArrow(count, "lang string, gram binary, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     out: dict[str, Counter] = {}
@@ -303,6 +305,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", z: float = Z
             parts = [shared.value.judge(some.to_pylist(), z) for some in text_runs(texts)]
             names, score, entropy, accepted = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0)] * 4
             yield pa.StructArray.from_arrays([pa.array(names.tolist(), pa.string()), pa.array(score), pa.array(entropy), pa.array(accepted.astype(bool))], names=["lang_pred", "score", "cross_entropy", "accepted"])
+        release_memory()
 
     mark = "__judged"
     fields = ("lang_pred", "score", "cross_entropy", "accepted")

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyfold.llm.common import bounded_batches, text_runs
+from tallyfold.llm.common import bounded_batches, release_memory, text_runs
 
 SYMBOLS = "#*$%&|<>"
 _SPACE = " \t\n\r\x0b\f"
@@ -152,6 +152,7 @@ def judge_documents(docs: DataFrame, text_col: str = "text", max_lost: float = M
                 columns = zip(*[judge(t.as_py(), max_lost) for t in some])
                 parts.append(pa.StructArray.from_arrays([pa.array(c, k) for (_, k), c in zip(kinds, columns)], names=list(fields)))
             yield pa.concat_arrays(parts)
+        release_memory()
 
     mark = "__judged"
     return bounded_batches(docs).withColumn(mark, judged(text_col)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark)

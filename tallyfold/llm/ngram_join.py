@@ -38,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallyfold.llm.common import bounded_batches, components, groups_in_order, stored
+from tallyfold.llm.common import bounded_batches, components, groups_in_order, release_memory, stored
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -221,6 +221,7 @@ class ChosenPathJoin:
                     ns.append(len(tokens))
                     sketches.append(sketch(tokens).tobytes())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(ns, pa.int64()), pa.array(sketches, pa.binary())], names=["doc_id", "set_id", "n", "sketch"])
+            release_memory()
 
         return docs.mapInArrow(sketched, "doc_id long, set_id long, n long, sketch binary")
 
@@ -289,6 +290,7 @@ class ChosenPathJoin:
                         a.append(ids[lo + below])
                         b.append(ids[lo + root[below]])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            release_memory()
 
         n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         rows = rows.select("node", "i", "j", "set_id", "own", "sketch").repartition(n_tasks, "node", "i", "j").sortWithinPartitions("node", "i", "j")
@@ -323,6 +325,7 @@ class ChosenPathJoin:
                         texts = np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
                         has, root = np.flatnonzero(texts), ids[_roots(n, a, b)]
                         yield pa.RecordBatch.from_arrays([pa.array(ids[has]), pa.array(root[has]), pa.array(links[has].astype(np.int64)), pa.array(texts[has])], names=["set_id", "root", "links", "texts"])
+            release_memory()
 
         sets_of = texts.mapInArrow(tokens, "root long, size long, set_id long, weight long, tokens binary")
         rows = _dealt(sets_of, "root", "set_id", "size", self.block).select("root", "i", "j", "set_id", "own", "weight", "tokens")

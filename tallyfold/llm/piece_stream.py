@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyfold.llm.common import bounded_batches, text_runs
+from tallyfold.llm.common import bounded_batches, release_memory, text_runs
 
 SPACE = "▁"
 #: Words that are searched together.
@@ -157,6 +157,11 @@ class PieceModel:
                 marks = ""
         return [*out, marks] if marks else out
 
+    def forget(self) -> None:
+        """Drop the remembered words at the end of a task."""
+        self._reset()
+        release_memory()
+
     def _reset(self) -> None:
         self.known: dict[str, int] = {}
         self.flat, self.offsets, self.lengths = array("i"), array("q"), array("q")
@@ -307,6 +312,7 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", o
             ids = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int32)
             ends = np.cumsum(np.concatenate([[0], *[p[1] for p in parts]]))
             yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+        model.forget()
 
     return bounded_batches(docs).withColumn(out, encoded(text_col))
 
@@ -344,6 +350,7 @@ def piece_digests(docs: DataFrame, model_path: str, text_col: str = "text") -> D
             columns = list(zip(*rows)) if rows else [(), (), ()]
             kinds = (pa.int64(), pa.int64(), pa.bool_())
             yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["n_ids", "ids_crc32", "round_trip"])
+        model.forget()
 
     mark, fields = "__digested", ("n_ids", "ids_crc32", "round_trip")
     return bounded_batches(docs).withColumn(mark, digested(text_col)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark)
