@@ -139,7 +139,7 @@ def mix(
 
     One shuffle of the rows, by source and chunk; ``in_order`` sorts them.
     """
-    hash_, chunk, rank = "__hash", "__chunk", "__rank"
+    hash_, chunk, rank, name = "__hash", "__chunk", "__rank", "__name"
     docs = docs.withColumn(hash_, F.xxhash64(F.lit(seed), F.col(id_col)))
     sizes = docs.groupBy(source_col).agg(F.count("*").alias("n")).limit(max_sources + 1).collect()
     if len(sizes) > max_sources:
@@ -147,12 +147,14 @@ def mix(
     found = plan({r[0]: r[1] for r in sizes}, weights, default_weight, block_rows)
     bits = max(0, math.ceil(math.log2(max(1, sum(r[1] for r in sizes) / chunk_rows))))
     docs = docs.withColumn(chunk, F.shiftrightunsigned(hash_, 64 - bits).cast("int") if bits else F.lit(0))
-    counts = docs.groupBy(source_col, chunk).agg(F.count("*").alias("n"))
-    before = Window.partitionBy(source_col).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col(source_col).alias("__s"), F.col(chunk).alias("__c"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
-    ranked = docs.withColumn(rank, F.row_number().over(Window.partitionBy(source_col, chunk).orderBy(F.shiftrightunsigned(hash_, 1), hash_, id_col)) - 1)
-    ranked = ranked.join(offsets, ranked[source_col].eqNullSafe(offsets["__s"]) & (ranked[chunk] == offsets["__c"]), "left")
-    ranked = ranked.withColumn(rank, F.col(rank) + F.col("__before")).drop("__s", "__c", "__before", chunk, hash_)
+    # a key without nulls, so that ranking and looking up offsets deal the rows out alike, once
+    docs = docs.withColumn(name, F.concat(F.when(F.col(source_col).isNull(), "-").otherwise("+"), F.coalesce(F.col(source_col).cast("string"), F.lit(""))))
+    counts = docs.groupBy(name, chunk).agg(F.count("*").alias("n"))
+    before = Window.partitionBy(name).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(name, chunk, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
+    ranked = docs.withColumn(rank, F.row_number().over(Window.partitionBy(name, chunk).orderBy(F.shiftrightunsigned(hash_, 1), hash_, id_col)) - 1)
+    ranked = ranked.join(offsets, [name, chunk])
+    ranked = ranked.withColumn(rank, F.col(rank) + F.col("__before")).drop(name, "__before", chunk, hash_)
 
     @F.arrow_udf("struct<block:bigint, slot:bigint, release:bigint, deadline:bigint, position:bigint>")
     def placed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
