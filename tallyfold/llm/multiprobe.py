@@ -12,8 +12,10 @@ distance. What all tables give is merged, and ranked by the exact product.
 
 Width, functions, tables and probes are fitted on a sample of ``sample_rows``
 vectors at most, so that the sample's own nearest neighbours are found with the
-target recall; every vector is indexed. A query that meets fewer than the wanted
-neighbours is compared with all vectors, in blocks.
+target recall; every vector is indexed. Where no number of tables and probes
+reaches the target, functions are taken away, down to none, which is one bucket
+and exact. A query that meets fewer than the wanted neighbours is compared with
+all vectors, in blocks.
 
 Equal vectors form one entry with their smallest k + 1 ids, which are all that any
 answer needs. Buckets of more than ``PART`` entries are cut into parts by a hash,
@@ -120,11 +122,16 @@ def lifted(vectors: np.ndarray, largest: float | None) -> np.ndarray:
     return np.concatenate([v / largest, np.sqrt(np.maximum(0, 1 - (norm / largest) ** 2))], axis=1)
 
 
+def one_bucket(dim: int, largest: float) -> Hashing:
+    """No functions: all vectors are in one bucket, and every query is compared with all of them."""
+    return Hashing(largest, np.zeros((dim + 1, 0)), np.zeros(0), 1.0, 0, 1, [()])
+
+
 def fit(sample: np.ndarray, n: int, largest: float, k: int = K, recall: float = 0.95, seed: int = 5, queries: int = 300) -> Hashing:
     """Hashing for n vectors, fitted on a sample of them."""
     rng = np.random.default_rng(seed)
     if n <= EXHAUSTIVE or len(sample) <= 2 * k:
-        return Hashing(largest, np.zeros((sample.shape[1] + 1, 0)), np.zeros(0), 1.0, 0, 1, [()])
+        return one_bucket(sample.shape[1], largest)
     asked = rng.choice(len(sample), min(queries, len(sample)), replace=False)
     base, ask = lifted(sample, largest), lifted(sample[asked], None)
     gain = ask @ base.T
@@ -136,21 +143,22 @@ def fit(sample: np.ndarray, n: int, largest: float, k: int = K, recall: float =
     shares = [np.unique(c, return_counts=True)[1] / len(c) for c in line.T]
     spread = float(np.mean([np.exp(-(s * np.log(s)).sum()) for s in shares]))  # buckets of one function, as good as equal ones
     m = int(np.clip(round(math.log(n / 512) / math.log(max(spread, 1.5))), 1, 12))
-    for tables in (4, 6, 8, 12, 16, 24):
+    for m in range(m, 0, -1):  # fewer functions, so larger buckets, until the target is met
         order = probing_order(m, 40)
-        found = Hashing(largest, rng.normal(size=(base.shape[1], tables * m)), rng.uniform(0, width, tables * m), width, m, tables, order)
-        held = found.buckets(sample)[best]  # query, neighbour, table
-        first = np.full(best.shape, len(order))
-        probes = found.probes(sample[asked])
-        for t in range(tables):
-            same = probes[:, t, None, :] == held[:, :, t, None]
-            first = np.minimum(first, np.where(same.any(axis=2), same.argmax(axis=2), len(order)))
-        reached = [(first < p).mean() for p in range(1, len(order) + 1)]
-        enough = np.flatnonzero(np.array(reached) >= recall)
-        if len(enough):
-            break
-    found.order = order[: int(enough[0]) + 1 if len(enough) else len(order)]
-    return found
+        for tables in (4, 6, 8, 12, 16, 24):
+            found = Hashing(largest, rng.normal(size=(base.shape[1], tables * m)), rng.uniform(0, width, tables * m), width, m, tables, order)
+            held = found.buckets(sample)[best]  # query, neighbour, table
+            first = np.full(best.shape, len(order))
+            probes = found.probes(sample[asked])
+            for t in range(tables):
+                same = probes[:, t, None, :] == held[:, :, t, None]
+                first = np.minimum(first, np.where(same.any(axis=2), same.argmax(axis=2), len(order)))
+            reached = [(first < p).mean() for p in range(1, len(order) + 1)]
+            enough = np.flatnonzero(np.array(reached) >= recall)
+            if len(enough):
+                found.order = order[: int(enough[0]) + 1]
+                return found
+    return one_bucket(sample.shape[1], largest)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:

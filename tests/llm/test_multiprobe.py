@@ -82,3 +82,26 @@ def test_probing_order_has_every_set_once_by_cost():
         assert order[0] == () and order[1] == (0,)
         valid = {s for r in range(2 * m + 1) for s in itertools.combinations(range(2 * m), r) if len({min(j, 2 * m - 1 - j) for j in s}) == len(s)}
         assert set(order) == valid
+
+
+@pytest.mark.parametrize("n", [10**7, 10**8])
+def test_fit_reaches_the_recall_for_large_tables(n):
+    sample = np.random.default_rng(4).normal(size=(2000, 64))
+    sample /= np.sqrt((sample**2).sum(axis=1, keepdims=True))
+    hashing = mp.fit(sample, n, 1.0)
+    asked = np.random.default_rng(9).choice(len(sample), 200, replace=False)
+    gain = sample[asked] @ sample.T
+    gain[np.arange(len(asked)), asked] = -np.inf
+    best = np.argpartition(-gain, mp.K, axis=1)[:, : mp.K]
+    held, probes = hashing.buckets(sample)[best], hashing.probes(sample[asked])
+    hit = np.zeros(best.shape, bool)
+    for t in range(hashing.tables):
+        hit |= (probes[:, t, None, :] == held[:, :, t, None]).any(axis=2)
+    assert hit.mean() >= 0.93
+
+
+def test_fit_ends_with_one_bucket():
+    sample = np.random.default_rng(4).normal(size=(500, 8))
+    hashing = mp.fit(sample, 10**6, float(np.sqrt((sample**2).sum(axis=1)).max()), recall=1.01)  # out of reach
+    assert hashing.m == 0 and len(np.unique(hashing.buckets(sample))) == 1
+    assert (hashing.probes(sample) == hashing.buckets(sample)[0, 0]).all()
