@@ -3,6 +3,10 @@
 A text is cut into sentences (at line ends and at closing marks before white
 space or the end), each is normalised (lower case, every run of other characters
 than a-z and 0-9 one space), and known licence sentences become their numbers.
+A sentence may also run over several lines: a line end within it counts as a
+space, with the marks that begin the next line (`` * ``, ``// ``, ``# ``, ``;; ``),
+but a line without a-z or 0-9 ends it. Of the sentences that begin at a place the
+shortest is taken, so that a notice on one line is found whatever follows it.
 A licence rule is an ordered list of such sentences; it matches a text whose
 sequence of numbers holds them in this order, with others between them or not.
 
@@ -10,8 +14,9 @@ The table of sentences is part of the query's expressions, so it has to stay
 within some hundreds of entries; nothing is shuffled.
 
 Defined cases: a null or empty text has no sentences and no licence; texts are
-read whole; repeated rows are judged alike; a sentence that breaks over a line
-is not recognised; result columns replace input columns of the same name.
+read whole; repeated rows are judged alike; a comment's words at the beginning of
+lines (``rem``, ``dnl``) are read as text; result columns replace input columns of
+the same name.
 """
 
 from __future__ import annotations
@@ -75,7 +80,21 @@ RULES: list[tuple[str, str, list[str]]] = [
     ("all-rights-reserved", "proprietary", ["All rights reserved"]),
 ]
 
-#: Where sentences end; the same in Java's and RE2's syntax.
+#: Rules whose sentences end at a blank line; they have to come after ``RULES``, whose numbers stay.
+PARAGRAPH_RULES: list[tuple[str, str, list[str]]] = [
+    (
+        "MIT",
+        "permissive",
+        [
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+            "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+            "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT",
+        ],
+    ),
+]
+ALL_RULES = RULES + PARAGRAPH_RULES
+
+#: Where sentences of one line end; the same in Java's and RE2's syntax.
 SENTENCE_END = r"[.!?;]+(?:\s+|\z)|\n+"
 NOT_PLAIN = "[^a-z0-9]+"
 
@@ -100,15 +119,20 @@ def rule_patterns(rules: list[tuple[str, str, list[str]]]) -> list[tuple[str, st
     return [(name, kind, "," + "(?:[0-9]+,)*".join(f"{numbers[plain(s)]}," for s in sentences)) for name, kind, sentences in rules]
 
 
-def sentence_numbers(text: Column, rules: list[tuple[str, str, list[str]]] = RULES) -> Column:
-    """Numbers of the known sentences of a text, in order."""
+def sentence_numbers(text: Column, rules: list[tuple[str, str, list[str]]] = ALL_RULES) -> Column:
+    """Numbers of the known sentences of a text, in order.
+
+    In the lower-case text L stands for a line end and the marks after it, and S for closing marks.
+    """
     table = F.create_map(*[F.lit(x) for item in numbered(rules).items() for x in item])
-    sentences = F.split(F.lower(F.coalesce(text, F.lit(""))), SENTENCE_END, -1)
-    known = F.transform(sentences, lambda s: F.try_element_at(table, F.trim(F.regexp_replace(s, NOT_PLAIN, " "))))
-    return F.filter(known, lambda n: n.isNotNull())
+    marked = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\n[^a-z0-9\n]*", "L")
+    marked = F.regexp_replace(F.regexp_replace(marked, r"[.!?;]+(?=[\sL]|\z)", "S"), "[^a-z0-9SL]+", " ")
+    known = "|".join(s.replace(" ", "(?: L?|L)") for s in sorted(numbered(rules), key=len))
+    found = F.regexp_extract_all(marked, F.lit(f"(?<![^SL]) ?({known})(?= ?(?:[SL]|\\z))"), F.lit(1))
+    return F.transform(found, lambda s: F.element_at(table, F.regexp_replace(s, " ?L", " ")))
 
 
-def scan_licenses(docs: DataFrame, text_col: str = "text", rules: list[tuple[str, str, list[str]]] = RULES) -> DataFrame:
+def scan_licenses(docs: DataFrame, text_col: str = "text", rules: list[tuple[str, str, list[str]]] = ALL_RULES) -> DataFrame:
     """The documents with sentence_ids, licenses and categories (arrays; the last two sorted, without repeats)."""
     marked = docs.withColumn("sentence_ids", sentence_numbers(F.col(text_col), rules))
     line = F.concat(F.lit(","), F.array_join("sentence_ids", ","), F.lit(","))

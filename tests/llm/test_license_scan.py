@@ -37,3 +37,81 @@ def test_scan(spark):
 def test_no_python_in_the_plan(spark):
     plan = ls.scan_licenses(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 A. Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD_2_TEXT = """Copyright (c) 2020, A. Author
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_3_TEXT = BSD_2_TEXT + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL_TEXT = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+APACHE_TEXT = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+
+
+def test_wrapped_licences(spark):
+    wanted = [(MIT_TEXT, ["MIT"]), (BSD_2_TEXT, ["BSD-2-Clause"]), (BSD_3_TEXT, ["BSD-2-Clause", "BSD-3-Clause"]), (GPL_TEXT, ["GPL-3.0-or-later"]), (APACHE_TEXT, ["Apache-2.0"])]
+    rows = []
+    for text, found in wanted:
+        for prefix in ("", " * ", "// ", "# ", ";; ", "! ", "-- "):
+            rows.append(("\n".join((prefix + line).rstrip() for line in text.split("\n")), found))
+        rows.append((text.replace("\n", "\r\n"), found))
+        rows.append(("/*\n" + text.replace("\n\n", "\n") + "*/ int main;", found))
+    rows += [
+        ("This work is licensed under a Creative Commons\nAttribution 4.0 International License.", ["CC-BY-4.0"]),
+        ("About\nReleased under the MIT License\nand more", ["MIT"]),
+        ("Released under\n\nthe MIT License.", []),
+        ("Released under.\nthe MIT License.", []),
+        ("It was\nReleased under the MIT\nLicense of old.", []),
+    ]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in ls.scan_licenses(docs).collect()}
+    for k, (text, found) in enumerate(rows):
+        assert got[k] == found, text
