@@ -7,7 +7,8 @@ few words in repeated three-word windows. Then every line is judged on its own:
 * punctuation: most of its words carry marks that prose does not (symbols of
   ``SYMBOLS`` or doubled exclamation or question marks), or it is a short line
   without any closing mark;
-* navigation: menu separators stand between its entries;
+* navigation: menu separators stand between its entries (three entries are enough
+  where each has one to four words and no closing mark ends the line);
 * boilerplate: a stock phrase of web pages is what it mainly consists of.
 
 Failing lines are removed, and a document that loses more than ``max_lost`` of
@@ -40,7 +41,8 @@ MAX_LOST = 0.5
 #: Closing marks of a line of prose, also before closing quotes or brackets.
 _CLOSED = re.compile(r"[.!?…。！？:;,][\"'”’»)\]]*\s*$")
 _SHOUT = re.compile(r"[!?]{2,}")
-_MENU = re.compile(r"(?:^|\s)[|»›•·>](?=\s|$)")
+_SEPARATORS = "|»›•·>"
+_MENU = re.compile(rf"(?:^|\s)[{_SEPARATORS}](?=\s|$)")
 #: Stock phrases of web pages, in lower case.
 BOILERPLATE = (
     "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "accept cookies",
@@ -70,6 +72,10 @@ def failed_rule(line: str) -> str | None:
         menu = len(_MENU.findall(line))
         if menu >= 3 and 4 * menu >= n - menu:
             return "navigation"
+    if any(c in line for c in _SEPARATORS) and not _CLOSED.search(line):
+        entries = _MENU.split(line)
+        if len(entries) == 3 and all(1 <= len(e.split()) <= 4 for e in entries):
+            return "navigation"
     if ("!!" in line or "??" in line) and 2 * len(_SHOUT.findall(line)) > n:
         return "punctuation"
     if n <= STOCK_WORDS and _STOCK.search(line):

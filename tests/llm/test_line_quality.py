@@ -53,3 +53,13 @@ def test_documents_are_cleaned_and_judged(spark):
     assert got == {(1, True, good), (2, True, good), (3, False, good), (4, False, ""), (5, False, "word " * 400)}
     assert lq.judge_documents(docs.limit(0)).collect() == []
     assert lq.judge_documents(docs).count() == len(rows)
+
+
+def test_menus_of_three_entries():
+    menus = ["Home | About | Contact", "Docs > API > Index", "Home » All our products » Shoes", "News · Sport · Weather", "Main page • Help • About us"]
+    for line in menus:
+        assert lq.failed_rule(line) == "navigation", line
+    for line in ("We ask if a > b > c.", "> > They said so to me", "the first of them is long | and so is the second one | and the third", "either this | or that one there"):
+        assert lq.failed_rule(line) is None, line
+    text = "\n".join(f"Home {k} | About | Contact" for k in range(20))
+    assert lq.judge(text)[7:10] == (20, 1.0, False)
