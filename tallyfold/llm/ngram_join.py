@@ -190,6 +190,10 @@ class ChosenPathJoin:
 
     def classes(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """doc_id, class_id (least id of the texts that links connect), n_links (other rows linked), n_linked_texts."""
+        return self.classes_of_sets(docs, id_col, text_col).select("doc_id", "class_id", "n_links", "n_linked_texts")
+
+    def classes_of_sets(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """The columns of ``classes``, with set_id (0 for the empty set) and root, which tells classes of equal class_id apart."""
         docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         members = stored(self._sketched(docs), "members")
         sets = stored(
@@ -202,11 +206,11 @@ class ChosenPathJoin:
         counts = found.groupBy("set_id").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
         of_set = sets.select("set_id", "first_id", "weight").join(root.withColumnRenamed("node", "set_id"), "set_id").join(counts, "set_id")
         least = of_set.groupBy("root").agg(F.min("first_id").alias("class_id"))
-        of_set = of_set.join(least, "root").select("set_id", "class_id", "links", "texts")
+        of_set = of_set.join(least, "root").select("set_id", "root", "class_id", "links", "texts")
         own = sets.select("set_id", "first_id", "weight").join(of_set, "set_id", "left")
-        own = own.select("set_id", F.coalesce("class_id", "first_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_linked_texts"))
-        alone = members.where("n = 0 or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_linked_texts"))
-        rest = members.where("n > 0 and doc_id is not null").select("doc_id", "set_id").join(own, "set_id").select("doc_id", "class_id", "n_links", "n_linked_texts")
+        own = own.select("set_id", F.coalesce("root", "set_id").alias("root"), F.coalesce("class_id", "first_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_linked_texts"))
+        alone = members.where("n = 0 or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_linked_texts"), F.lit(0).cast("long").alias("set_id"), F.lit(0).cast("long").alias("root"))
+        rest = members.where("n > 0 and doc_id is not null").select("doc_id", "set_id").join(own, "set_id").select("doc_id", "class_id", "n_links", "n_linked_texts", "set_id", "root")
         return rest.unionAll(alone)
 
     def _sketched(self, docs: DataFrame) -> DataFrame:
@@ -351,14 +355,32 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return ChosenPathJoin(**how).classes(docs, id_col, text_col)
 
 
-def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, **how) -> DataFrame:
     """The documents without those whose class has one with a smaller id.
 
-    Rows with a null id stay; of rows with equal id and text one stays.
+    Rows with a null id stay; of rows with equal id and text one stays, as of
+    rows with equal id whose texts are of one class. An id on texts of several
+    classes is decided for each of them.
     """
-    classes = stored(similar_texts(docs, id_col, text_col, **how).select("doc_id", "class_id"), "classes")
-    first = classes.where("doc_id = class_id").select(F.col("doc_id").alias(id_col))
-    kept = docs.join(first.distinct(), id_col, "left_semi")
-    if not first.groupBy(id_col).count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col])
-    return kept.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    found = ChosenPathJoin(words=words, **how).classes_of_sets(docs, id_col, text_col).where("doc_id is not null")
+    classes = stored(found.select("doc_id", "set_id", "root", (F.col("doc_id") == F.col("class_id")).alias("first")), "classes")
+    ids = classes.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("first").alias("first")).where("first")
+    kept = docs.join(ids.where("rows = 1").select(F.col("doc_id").alias(id_col)), id_col, "left_semi").select(docs.columns)
+    again = ids.where("rows > 1").select("doc_id")
+    if not again.isEmpty():
+        kept = kept.unionByName(_first_of_reused(docs, classes.join(again, "doc_id", "left_semi"), id_col, text_col, words))
+    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+
+
+def _first_of_reused(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """The rows to keep of the ids in ``classes``, which are on several rows: one for each class that the id is the first of."""
+
+    @F.arrow_udf("bigint")
+    def set_of(texts: pa.Array) -> pa.Array:
+        return pa.array([_set_id(shingles(t.as_py(), words)) for t in texts], pa.int64())
+
+    first = classes.where("first").groupBy("doc_id", "root").agg(F.min("set_id").alias("__set")).select(F.col("doc_id").alias(id_col), "__set")
+    own = bounded_batches(docs).join(classes.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_semi").withColumn("__set", set_of(text_col))
+    # texts without words have no class; equal ones are one
+    own = own.join(first, [id_col, "__set"], "left_semi").withColumn("__blank", F.when(F.col("__set") == 0, F.col(text_col)))
+    return own.dropDuplicates([id_col, "__set", "__blank"]).select(docs.columns)

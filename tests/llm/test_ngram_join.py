@@ -93,3 +93,17 @@ def _twice(nodes, sketches, depth):
         row, child = nj.children(nodes, sketches, 0.8)
         nodes, sketches = child, sketches[row]
     return nodes, sketches, 0.8
+
+
+def test_reused_ids_are_decided_by_text(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    near = a.replace("a30 ", "x30 ")  # linked to a
+    rows = [(1, a), (2, near), (2, b), (3, a), (3, c), (3, c), (4, "d1 d2"), (4, "e1 e2"), (5, a), (6, ""), (6, None), (6, ""), (None, a), (None, a)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, source string").repartition(3)
+    got = nj.one_of_each_class(docs).collect()
+    key = lambda r: (str(r[0]), str(r[1]))
+    want = [(1, a), (2, b), (3, c), (4, "d1 d2"), (4, "e1 e2"), (6, ""), (6, None), (None, a), (None, a)]
+    assert sorted(((r.doc_id, r.text) for r in got), key=key) == sorted(want, key=key)
+    twice = spark.createDataFrame([(7, a), (7, near), (7, b), (8, near)], "doc_id long, text string")  # two texts of one class under one id
+    got = [(r.doc_id, r.text) for r in nj.one_of_each_class(twice).collect()]
+    assert len(got) == 2 and (7, b) in got and {i for i, _ in got} == {7}
