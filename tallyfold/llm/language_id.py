@@ -10,9 +10,9 @@ texts show (calibrated on texts set aside from the training sample).
 Text is lower-cased and every run of characters that are no letters counts as
 one space, so digits, marks and layout say nothing about the language.
 
-The training sample is bounded: per language, labelled texts are chosen by a
-hash of their id so that they hold about ``max_chars`` characters (all of them,
-if they hold fewer). This bounds the n-grams that the driver turns into the
+The training sample is bounded: per language, pieces of up to ``PIECE``
+characters of labelled texts are chosen by a hash of their text's id so that they
+hold about ``max_chars`` characters (all of them, if they hold fewer). This bounds the n-grams that the driver turns into the
 model, and so the model that is broadcast.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0 and
@@ -37,6 +37,8 @@ from tallyfold.llm.common import bounded_batches, release_memory, text_runs
 ORDER = 4
 UNKNOWN = "und"
 MAX_CHARS = 4_000_000
+#: Texts are drawn for training in pieces of up to so many characters.
+PIECE = 20_000
 #: A text is rejected beyond so many deviations; texts of a language differ by this share of the mean at least.
 Z, LEAST_SPREAD = 10.0, 0.05
 
@@ -272,26 +274,33 @@ def calibrate(model: Model, by_language: dict[str, list[str]]) -> Model:
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_chars: int = MAX_CHARS, calibration_texts: int = 500) -> Model:
     """A model from a bounded sample of the labelled rows (text and language not null).
 
-    About a tenth of the sample, and at most ``calibration_texts`` texts of each
-    language, is set aside for the rejection bounds.
+    About a tenth of the sample, and at most ``calibration_texts`` pieces of each
+    language, is set aside for the rejection bounds. A language of which all drawn
+    pieces would be set aside is trained on them, and has no bounds.
     """
     rows = bounded_batches(labelled).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h")).where("lang is not null and text is not null")
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.sum(F.length("text"))).collect()}
     if not sizes:
         raise ValueError("no labelled text")
     fraction = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, max_chars / max(n or 1, 1))))])
-    u = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = rows.withColumn("u", u / fraction[F.col("lang")]).where("u < 1")
+    numbers = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int")))
+    hashes = lambda k: F.when(k == 0, F.col("h")).otherwise(F.xxhash64("h", k))
+    share = lambda h: F.pmod(h, F.lit(1 << 30)) / F.lit(float(1 << 30)) / fraction[F.col("lang")]
+    drawn = F.filter(numbers, lambda k: share(hashes(k)) < 1)
+    pieces = F.transform(drawn, lambda k: F.struct(hashes(k).alias("h"), F.col("text").substr(k * PIECE + 1, F.lit(PIECE)).alias("text")))
+    chosen = rows.select("lang", F.explode(pieces).alias("piece")).select("lang", "piece.text", "piece.h").withColumn("u", share(F.col("h")))
     by_language = _counts(chosen.where("u < 0.9").select("lang", "text"))
-    if not by_language:
-        by_language = _counts(chosen.select("lang", "text"))
+    alone = sorted(set(sizes) - set(by_language))
+    if alone:
+        by_language |= _counts(chosen.where(F.col("lang").isin(alone)).select("lang", "text"))
     if not by_language:
         raise ValueError("no labelled text has a letter")
     aside: dict[str, list[str]] = {}
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     some = chosen.where("u >= 0.9").withColumn("r", first).where(F.col("r") <= calibration_texts).select("lang", "text").toArrow()
     for lang, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-        aside.setdefault(lang, []).append(text)
+        if lang not in alone:
+            aside.setdefault(lang, []).append(text)
     return calibrate(estimate(by_language), aside)
 
 

@@ -93,3 +93,21 @@ def test_sample_is_bounded(spark):
 def test_no_labelled_text(spark):
     with pytest.raises(ValueError):
         lid.train(spark.createDataFrame([], "doc_id long, text string, lang string"))
+
+
+def test_every_labelled_language_is_learned(spark):
+    one, other = "the quick brown fox jumps over the lazy dog ", "der schnelle braune fuchs springt ueber den hund "
+    bounds_only = spark.range(500).selectExpr("id", f"pmod(xxhash64(id, '{one}'), 1073741824L) / 1073741824 AS u").where("u >= 0.9").first().id
+    rows = [(bounds_only, one, "aa"), *((1000 + k, other, "bb") for k in range(20))]
+    model = lid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1))
+    assert list(model.languages) == ["aa", "bb"]
+
+
+def test_long_texts_are_drawn_in_pieces(spark, monkeypatch):
+    sizes = []
+    counts = lid._counts
+    monkeypatch.setattr(lid, "_counts", lambda rows: (sizes.append(rows.selectExpr("sum(length(text))").first()[0]), counts(rows))[1])
+    rows = [(1, "the quick brown fox jumps over the lazy dog " * 50_000, "aa"), (2, "der schnelle braune fuchs springt " * 50, "bb")]
+    model = lid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1), max_chars=400_000)
+    assert list(model.languages) == ["aa", "bb"]
+    assert 100_000 < sum(s or 0 for s in sizes) < 800_000
