@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,11 +14,15 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder's URI below the shared folder that the session names.
 
-    Where ``spark.checkpoint.dir`` is unset (tests on one machine) a local
-    temporary folder is chosen and set.
+    Where ``spark.checkpoint.dir`` is unset, a local temporary folder is chosen
+    and set if all of Spark runs in this process; on a cluster, whose machines
+    would not see it, that is a ValueError.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"{CHECKPOINT_DIR} has to name a folder that all machines of {master} share")
         base = "file://" + tempfile.mkdtemp(prefix="tallyfold-")
         spark.conf.set(CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -27,16 +32,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 BATCH_BYTES, BATCH_ROWS = 4 << 20, 1000
 
 
-def bounded_batches(df: DataFrame) -> DataFrame:
-    """The same frame, with the session's Arrow batches bounded to ``BATCH_BYTES`` and ``BATCH_ROWS``.
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches to ``BATCH_BYTES`` and ``BATCH_ROWS``, for executors with little memory.
 
-    A task's memory then follows neither the length of texts nor their number.
+    An application's choice (the registered queries make it); operators leave the
+    session as it is, and work through a batch in runs of bounded size.
     """
-    spark = df.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df
 
 
 def release_memory() -> None:
@@ -73,6 +77,21 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def write_once(uri: str, data: bytes) -> None:
+    """A file with content that every attempt of a task makes alike; it is there whole or not at all."""
+    filesystem, path = file_system(uri)
+    filesystem.create_dir(path.rpartition("/")[0], recursive=True)
+    own = f"{path}.{uuid.uuid4().hex}"
+    with filesystem.open_output_stream(own) as out:
+        out.write(data)
+    try:
+        filesystem.move(own, path)
+    except OSError:
+        if not filesystem.get_file_info(path).is_file:
+            raise
+        filesystem.delete_file(own)  # another attempt was first, on a file system that does not replace
+
+
 def groups_in_order(batches, n_keys: int):
     """Tables of whole groups from Arrow batches sorted by their first ``n_keys`` columns.
 

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyfold.llm.common import bounded_batches, release_memory, text_runs
+from tallyfold.llm.common import release_memory, text_runs
 
 ORDER = 4
 UNKNOWN = "und"
@@ -278,7 +278,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     language, is set aside for the rejection bounds. A language of which all drawn
     pieces would be set aside is trained on them, and has no bounds.
     """
-    rows = bounded_batches(labelled).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h")).where("lang is not null and text is not null")
+    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h")).where("lang is not null and text is not null")
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.sum(F.length("text"))).collect()}
     if not sizes:
         raise ValueError("no labelled text")
@@ -318,4 +318,4 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", z: float = Z
 
     mark = "__judged"
     fields = ("lang_pred", "score", "cross_entropy", "accepted")
-    return bounded_batches(docs).withColumn(mark, judged(text_col)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark)
+    return docs.withColumn(mark, judged(text_col)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark)

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyfold.llm.common import bounded_batches, release_memory, text_runs
+from tallyfold.llm.common import release_memory, text_runs
 
 SYMBOLS = "#*$%&|<>"
 _SPACE = " \t\n\r\x0b\f"
@@ -161,4 +161,4 @@ def judge_documents(docs: DataFrame, text_col: str = "text", max_lost: float = M
         release_memory()
 
     mark = "__judged"
-    return bounded_batches(docs).withColumn(mark, judged(text_col)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark)
+    return docs.withColumn(mark, judged(text_col)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark)

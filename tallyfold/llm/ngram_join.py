@@ -38,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallyfold.llm.common import bounded_batches, components, groups_in_order, release_memory, stored
+from tallyfold.llm.common import components, groups_in_order, release_memory, stored
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -194,7 +194,7 @@ class ChosenPathJoin:
 
     def classes_of_sets(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """The columns of ``classes``, with set_id (0 for the empty set) and root, which tells classes of equal class_id apart."""
-        docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+        docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         members = stored(self._sketched(docs), "members")
         sets = stored(
             members.where("n > 0 and doc_id is not null").groupBy("set_id", "n").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("weight"), F.any_value("sketch").alias("sketch")),
@@ -380,7 +380,7 @@ def _first_of_reused(docs: DataFrame, classes: DataFrame, id_col: str, text_col:
         return pa.array([_set_id(shingles(t.as_py(), words)) for t in texts], pa.int64())
 
     first = classes.where("first").groupBy("doc_id", "root").agg(F.min("set_id").alias("__set")).select(F.col("doc_id").alias(id_col), "__set")
-    own = bounded_batches(docs).join(classes.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_semi").withColumn("__set", set_of(text_col))
+    own = docs.join(classes.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_semi").withColumn("__set", set_of(text_col))
     # texts without words have no class; equal ones are one
     own = own.join(first, [id_col, "__set"], "left_semi").withColumn("__blank", F.when(F.col("__set") == 0, F.col(text_col)))
     return own.dropDuplicates([id_col, "__set", "__blank"]).select(docs.columns)

@@ -14,7 +14,10 @@ within each phase. All rows are kept.
 
 Rows are ranked within their source without bringing a source together: they are
 dealt to chunks by the leading bits of their order hash, ranked in their chunk,
-and the chunks' sizes are added up.
+and the chunks' sizes are added up. The hash covers the id and the other columns
+(maps aside), so that an id that stands on many rows fills no chunk; rows
+without an id are told apart by their place in a Parquet file, where they have
+one. Rows that are equal throughout, with an id, share a hash.
 
 The driver handles one count per source (``max_sources`` at most, else a
 ValueError) and the slots of one period per phase (weights are scaled down to a
@@ -29,6 +32,7 @@ empty table gives an empty one.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
 from collections.abc import Iterator
@@ -36,10 +40,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tallyfold.llm.common import file_system, groups_in_order, scratch_dir, write_once
+
 BLOCK_ROWS = 64
 CHUNK_ROWS = 8192
+#: Rows of an input file whose positions stand in one file.
+SEGMENT = 1 << 20
+
+_HASH, _NAME, _FILE, _ROW = "__hash", "__name", "__file", "__row"
 
 
 def period(weights: list[int]) -> list[int]:
@@ -131,30 +142,34 @@ def _whole(shares: list[float], max_period: int) -> list[int]:
     return [w // common for w in whole]
 
 
-def mix(
-    docs: DataFrame, weights: dict[str | None, float], source_col: str = "source", id_col: str = "doc_id", default_weight: float = 1.0,
-    block_rows: int = BLOCK_ROWS, chunk_rows: int = CHUNK_ROWS, seed: int = 17, max_sources: int = 1000,
-) -> DataFrame:
-    """The rows with block, slot, release, deadline and position (from 0) in the mixture.
+def _keyed(docs: DataFrame, source_col: str, id_col: str, seed: int) -> DataFrame:
+    """The rows with their order hash, their source as a key without nulls, and their place in a file (null if they are not read from Parquet)."""
+    plain = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    read = _from_parquet(docs)
+    docs = docs.withColumns({_FILE: F.col("_metadata.file_path") if read else F.lit(None).cast("string"), _ROW: F.col("_metadata.row_index") if read else F.lit(None).cast("long")})
+    place = F.when(F.col(id_col).isNull(), F.xxhash64(F.substring_index(_FILE, "/", -1), _ROW))
+    name = F.concat(F.when(F.col(source_col).isNull(), "-").otherwise("+"), F.coalesce(F.col(source_col).cast("string"), F.lit("")))
+    others = [F.col(c) for c in sorted(plain) if c != id_col]
+    return docs.withColumns({_HASH: F.xxhash64(F.lit(seed), F.col(id_col), *others, place), _NAME: name})
 
-    One shuffle of the rows, by source and chunk; ``in_order`` sorts them.
-    """
-    hash_, chunk, rank, name = "__hash", "__chunk", "__rank", "__name"
-    docs = docs.withColumn(hash_, F.xxhash64(F.lit(seed), F.col(id_col)))
-    sizes = docs.groupBy(source_col).agg(F.count("*").alias("n")).limit(max_sources + 1).collect()
+
+def _placed(
+    keyed: DataFrame, weights: dict[str | None, float], source_col: str, default_weight: float, block_rows: int, chunk_rows: int, max_sources: int
+) -> DataFrame:
+    """Keyed rows with block, slot, release, deadline and position. One shuffle, by source and chunk."""
+    sizes = keyed.groupBy(source_col).agg(F.count("*").alias("n")).limit(max_sources + 1).collect()
     if len(sizes) > max_sources:
         raise ValueError(f"more than {max_sources} sources")
     found = plan({r[0]: r[1] for r in sizes}, weights, default_weight, block_rows)
     bits = max(0, math.ceil(math.log2(max(1, sum(r[1] for r in sizes) / chunk_rows))))
-    docs = docs.withColumn(chunk, F.shiftrightunsigned(hash_, 64 - bits).cast("int") if bits else F.lit(0))
-    # a key without nulls, so that ranking and looking up offsets deal the rows out alike, once
-    docs = docs.withColumn(name, F.concat(F.when(F.col(source_col).isNull(), "-").otherwise("+"), F.coalesce(F.col(source_col).cast("string"), F.lit(""))))
-    counts = docs.groupBy(name, chunk).agg(F.count("*").alias("n"))
-    before = Window.partitionBy(name).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(name, chunk, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
-    ranked = docs.withColumn(rank, F.row_number().over(Window.partitionBy(name, chunk).orderBy(F.shiftrightunsigned(hash_, 1), hash_, id_col)) - 1)
-    ranked = ranked.join(offsets, [name, chunk])
-    ranked = ranked.withColumn(rank, F.col(rank) + F.col("__before")).drop(name, "__before", chunk, hash_)
+    chunk, rank = "__chunk", "__rank"
+    keyed = keyed.withColumn(chunk, F.shiftrightunsigned(_HASH, 64 - bits).cast("int") if bits else F.lit(0))
+    counts = keyed.groupBy(_NAME, chunk).agg(F.count("*").alias("n"))
+    before = Window.partitionBy(_NAME).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_NAME, chunk, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
+    own = Window.partitionBy(_NAME, chunk).orderBy(F.shiftrightunsigned(_HASH, 1), _HASH, _FILE, _ROW)
+    ranked = keyed.withColumn(rank, F.row_number().over(own) - 1).join(offsets, [_NAME, chunk])
+    ranked = ranked.withColumn(rank, F.col(rank) + F.col("__before")).drop("__before", chunk)
 
     @F.arrow_udf("struct<block:bigint, slot:bigint, release:bigint, deadline:bigint, position:bigint>")
     def placed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -174,6 +189,95 @@ def mix(
     return ranked.withColumn(mark, placed(source_col, rank)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark, rank)
 
 
+def mix(
+    docs: DataFrame, weights: dict[str | None, float], source_col: str = "source", id_col: str = "doc_id", default_weight: float = 1.0,
+    block_rows: int = BLOCK_ROWS, chunk_rows: int = CHUNK_ROWS, seed: int = 17, max_sources: int = 1000,
+) -> DataFrame:
+    """The rows with block, slot, release, deadline and position (from 0) in the mixture.
+
+    One shuffle of the rows, by source and chunk; ``in_order`` sorts them.
+    """
+    keyed = _keyed(docs, source_col, id_col, seed)
+    return _placed(keyed, weights, source_col, default_weight, block_rows, chunk_rows, max_sources).drop(_HASH, _NAME, _FILE, _ROW)
+
+
+def mixed_in_order(
+    docs: DataFrame, weights: dict[str | None, float], source_col: str = "source", id_col: str = "doc_id", default_weight: float = 1.0,
+    block_rows: int = BLOCK_ROWS, chunk_rows: int = CHUNK_ROWS, seed: int = 17, max_sources: int = 1000, rows_per_task: int = 200_000,
+) -> DataFrame:
+    """The rows of a Parquet table sorted by their position in the mixture, which is added.
+
+    Rows are shuffled once. They are placed by source, hash and place in their
+    file alone; the positions are written to the shared folder, one file of eight
+    bytes a row for each ``SEGMENT`` rows of an input file, and looked up while the
+    table is read. A frame that isn't read from Parquet is shuffled twice.
+    """
+    keyed = _keyed(docs, source_col, id_col, seed)
+    how = (weights, source_col, default_weight, block_rows, chunk_rows, max_sources)
+    if not _from_parquet(docs):
+        placed = _placed(keyed, *how)
+        return in_order(placed, docs.count(), rows_per_task).drop(_HASH, _NAME, _FILE, _ROW, "block", "slot", "release", "deadline")
+    uri = scratch_dir(docs.sparkSession, "positions")
+    rows = _placed(keyed.select(source_col, _HASH, _NAME, _FILE, _ROW), *how)
+    n_rows = _write_positions(rows.select(_FILE, F.floor(F.col(_ROW) / SEGMENT).cast("int").alias("segment"), _ROW, "position"), uri)
+
+    @F.arrow_udf("bigint")
+    def looked_up(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for files, rows_of in batches:
+            coded, rows = files.dictionary_encode(), rows_of.to_numpy(zero_copy_only=False)
+            codes, segment = coded.indices.to_numpy(zero_copy_only=False), rows // SEGMENT
+            out = np.zeros(len(rows), np.int64)
+            for code, name in enumerate(coded.dictionary.to_pylist()):
+                for number in np.unique(segment[codes == code]):
+                    own = np.flatnonzero((codes == code) & (segment == number))
+                    out[own] = _read_positions(uri, name, int(number), rows[own] % SEGMENT)
+            yield pa.array(out)
+
+    located = docs.withColumn("position", looked_up(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+    return in_order(located, n_rows, rows_per_task)
+
+
+def _from_parquet(docs: DataFrame) -> bool:
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        return False
+    return True
+
+
+def _segment_file(uri: str, name: str, segment: int) -> str:
+    return f"{uri}/{hashlib.md5(name.encode()).hexdigest()}-{segment}"
+
+
+def _write_positions(rows: DataFrame, uri: str) -> int:
+    """Positions (file, segment, row, position) as files; the number of rows."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = 0
+        for table, bounds in groups_in_order(batches, 2):
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                own = table.slice(int(lo), int(hi - lo))
+                at = own.column(2).to_numpy() % SEGMENT
+                if (at[1:] == at[:-1]).any():
+                    raise ValueError("rows with one place in a file; mix the table before rows are multiplied")
+                positions = np.full(int(at[-1]) + 1, -1, "<i8")
+                positions[at] = own.column(3).to_numpy()
+                write_once(_segment_file(uri, own.column(0)[0].as_py(), own.column(1)[0].as_py()), positions.tobytes())
+                done += len(at)
+        yield pa.RecordBatch.from_arrays([pa.array([done])], names=["n"])
+
+    n_tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_rows = rows.repartition(n_tasks, _FILE, "segment").sortWithinPartitions(_FILE, "segment", _ROW)
+    return sorted_rows.mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0
+
+
+def _read_positions(uri: str, name: str, segment: int, rows: np.ndarray) -> np.ndarray:
+    first, last = int(rows.min()), int(rows.max())
+    filesystem, path = file_system(_segment_file(uri, name, segment))
+    with filesystem.open_input_file(path) as source:
+        return np.frombuffer(source.read_at(8 * (last - first + 1), 8 * first), "<i8")[rows - first]
+
+
 def in_order(mixed: DataFrame, n_rows: int, rows_per_task: int = 200_000) -> DataFrame:
     """Mixed rows sorted by position; each task holds a run of positions, known without sampling."""
     n_tasks = max(1, -(-n_rows // rows_per_task))

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyfold.llm.common import bounded_batches, release_memory, text_runs
+from tallyfold.llm.common import release_memory, text_runs
 
 SPACE = "▁"
 #: Words that are searched together.
@@ -314,7 +314,7 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", o
             yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
         model.forget()
 
-    return bounded_batches(docs).withColumn(out, encoded(text_col))
+    return docs.withColumn(out, encoded(text_col))
 
 
 def decode_documents(docs: DataFrame, model_path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -326,7 +326,7 @@ def decode_documents(docs: DataFrame, model_path: str, ids_col: str = "ids", out
         for rows in batches:
             yield pa.array([model.decode(r.values.to_numpy() if r.is_valid else np.zeros(0, np.int32)) for r in rows], pa.string())
 
-    return bounded_batches(docs).withColumn(out, decoded(ids_col))
+    return docs.withColumn(out, decoded(ids_col))
 
 
 def piece_digests(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
@@ -353,4 +353,4 @@ def piece_digests(docs: DataFrame, model_path: str, text_col: str = "text") -> D
         model.forget()
 
     mark, fields = "__digested", ("n_ids", "ids_crc32", "round_trip")
-    return bounded_batches(docs).withColumn(mark, digested(text_col)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark)
+    return docs.withColumn(mark, digested(text_col)).withColumns({f: F.col(f"{mark}.{f}") for f in fields}).drop(mark)

@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyfold.llm import language_id, license_scan, line_quality, multiprobe, ngram_join, pfair_mix, piece_stream, token_files, url_filter, warc_store
+from tallyfold.llm.common import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -61,3 +61,28 @@ def test_empty_table_and_too_many_sources(spark):
     assert pm.mix(spark.createDataFrame([], "doc_id long, source string"), {}).collect() == []
     with pytest.raises(ValueError):
         pm.mix(spark.createDataFrame([(k, str(k)) for k in range(9)], "doc_id long, source string"), {}, max_sources=5)
+
+
+def test_tables_are_ordered_by_one_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pm, "SEGMENT", 100)
+    rows = [(None if k % 3 == 0 else 7 if k % 5 == 0 else k, "ab"[k % 2] if k % 11 else None, f"t{k}", k, "x") for k in range(900)]
+    spark.createDataFrame(rows + rows[:5], "doc_id long, source string, text string, position int, block string").repartition(4).write.parquet(f"{tmp_path}/t")
+    docs = spark.read.parquet(f"{tmp_path}/t")
+    got = pm.mixed_in_order(docs, {"a": 3, "b": 5}, default_weight=1, block_rows=4, chunk_rows=64, rows_per_task=200)
+    assert sum("Exchange REPARTITION" in line or "hashpartitioning" in line for line in got._jdf.queryExecution().executedPlan().toString().splitlines()) <= 1
+    found = got.collect()
+    assert [r.position for r in found] == list(range(905))
+    assert sorted(str(r.text) for r in found) == sorted(r[2] for r in rows + rows[:5])
+    want = pm.mix(docs, {"a": 3, "b": 5}, default_weight=1, block_rows=4, chunk_rows=64).orderBy("position").collect()
+    assert [(r.doc_id, r.source) for r in want] == [(r.doc_id, r.source) for r in found]
+    again = pm.mixed_in_order(spark.createDataFrame(found[:50]), {"a": 1}, block_rows=4).collect()
+    assert [r.position for r in again] == list(range(50))
+    spark.createDataFrame([], docs.schema).write.parquet(f"{tmp_path}/empty")
+    assert pm.mixed_in_order(spark.read.parquet(f"{tmp_path}/empty"), {}).collect() == []
+
+
+def test_rows_that_share_an_id_or_have_none_are_dealt_out(spark, tmp_path):
+    spark.range(8000).selectExpr("if(id % 2 = 0, null, 5L) AS doc_id", "'s' AS source", "if(id % 2 = 0, 'same', 't' || id) AS text").repartition(2).write.parquet(f"{tmp_path}/t")
+    keyed = pm._keyed(spark.read.parquet(f"{tmp_path}/t"), "source", "doc_id", 17)
+    largest = keyed.groupBy(keyed["__hash"]).count().agg({"count": "max"}).first()[0]
+    assert largest <= 2
