@@ -17,35 +17,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyfold.llm import language_id, line_quality, ngram_join, pfair_mix, piece_stream
-from tallyfold.llm.common import stored
+from tallyfold.llm.common import small_batches, stored
 from tallyfold.llm.queries import TARGET_WEIGHTS, language_model
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of an accepted language; ``lang`` is filled in where it is null."""
+    small_batches(spark)
     found = language_id.identify(docs, language_model(docs)).where("accepted")
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, without their failing lines."""
+    small_batches(spark)
     found = line_quality.judge_documents(docs, cleaned=True).where("kept")
     return found.withColumns({"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}).select(docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group."""
+    small_batches(spark)
     return ngram_join.one_of_each_class(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in files that follow the mixture's order."""
-    mixed = pfair_mix.mix(docs, TARGET_WEIGHTS, default_weight=2)
-    return pfair_mix.in_order(mixed, docs.count(), rows_per_task=20_000).select(docs.columns)
+    small_batches(spark)
+    return pfair_mix.mixed_in_order(docs, TARGET_WEIGHTS, default_weight=2, rows_per_task=20_000).select(docs.columns)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_ids and ids of every document."""
+    small_batches(spark)
     found = piece_stream.encode_documents(docs.select("doc_id", "source", "text"), public_tokenizers.path("piece_bpe_32k.model"))
     return found.select("doc_id", "source", F.size("ids").cast("long").alias("n_ids"), "ids")
 
