@@ -15,41 +15,20 @@ TEXTS = [
 ]
 
 
-def _varint(raw, at):
-    value, shift = 0, 0
-    while True:
-        value |= (raw[at] & 127) << shift
-        shift, at = shift + 7, at + 1
-        if raw[at - 1] < 128:
-            return value, at
-
+def by_scores(path):
+    """The same model as one that is searched by scores: the type (field 3 of field 2) set to 1."""
+    raw = bytearray(open(PATH, "rb").read())
+    at = next(k for k in range(len(raw) - 1) if raw[k] == 0x18 and raw[k + 1] == 2 and model_type_with(raw, k, path) == 1)
+    raw[at + 1] = 1
+    path.write_bytes(raw)
+    return str(path)
 
-def searched_by_library():
-    """The same model with the type that the library searches by scores (field 3 of field 2 set to 1)."""
-    import sentencepiece
 
-    raw = bytearray(open(PATH, "rb").read())
-    at = 0
-    while at < len(raw):
-        tag, at = _varint(raw, at)
-        size, start = _varint(raw, at) if tag & 7 == 2 else (0, at)
-        if tag >> 3 == 2:
-            k = start
-            while k < start + size:
-                inner, k = _varint(raw, k)
-                if inner & 7 == 2:
-                    n, k = _varint(raw, k)
-                    k += n
-                elif inner & 7 == 0:
-                    if inner >> 3 == 3:
-                        assert raw[k] == 2
-                        raw[k] = 1
-                        return sentencepiece.SentencePieceProcessor(model_proto=bytes(raw))
-                    _, k = _varint(raw, k)
-                else:
-                    k += 4 if inner & 7 == 5 else 8
-        at = start + size
-    raise AssertionError
+def model_type_with(raw, at, path):
+    trial = bytearray(raw)
+    trial[at + 1] = 1
+    path.write_bytes(trial)
+    return ps.model_type(str(path))
 
 
 @pytest.fixture(scope="module")
@@ -61,20 +40,41 @@ def ids(model, text):
     return model.encode(pa.array([text], pa.string()))[0].tolist()
 
 
-def test_equals_the_librarys_search(model):
-    library = searched_by_library()
+def words(seed, n, longest, letters="etaoinshrdlué漢ßX,.$"):
+    pick = random.Random(seed)
+    return ["▁" * pick.randrange(0, 3) + "".join(pick.choices(letters, k=pick.randrange(1, longest))) for _ in range(n)]
+
+
+def test_equals_the_models_own_encoder(model):
+    assert model.merges
     pick = random.Random(3)
-    words = ["".join(pick.choices("etaoinshrdlué漢ßX,.$", k=pick.randrange(1, 12))) for _ in range(600)]
-    for text in [*[t for t in TEXTS if t and len(t) < 100], *words, " ".join(words[:8])]:
-        score = lambda found: sum(model.unknown[0] / 9 if model.processor.is_byte(k) else model.processor.get_score(k) for k in found)
-        best = library.nbest_encode(text, nbest_size=2)[0]
-        assert score(ids(model, text)) == pytest.approx(score(best)), text
-        assert model.decode(np.array(best, np.int32)) == text.replace("▁", " ")
+    long = ["".join(pick.choices("etaoinshr", k=n)) for n in (63, 64, 65, 129, 700, 3000)] + ["a" * 900, "the" * 300, "=" * 500]
+    for text in [*[t for t in TEXTS if t], *words(3, 800, 14), " ".join(words(4, 50, 9)), *long]:
+        assert ids(model, text) == model.processor.encode(text), text
+
+
+def replayed(model, text):
+    """Merges made one after the other over a whole normalised text, the lowest cost and then the leftmost first."""
+    sp = model.processor
+    known = {sp.id_to_piece(k): k for k in range(sp.vocab_size()) if not (sp.is_control(k) or sp.is_unknown(k) or sp.is_byte(k))}
+    row = list(sp.normalize(text))
+    while hits := [(-sp.get_score(known[a + b]), at) for at, (a, b) in enumerate(zip(row, row[1:])) if a + b in known]:
+        at = min(hits)[1]
+        row[at : at + 2] = [row[at] + row[at + 1]]
+    return [k for part in row for k in ([known[part]] if part in known else [model.byte_ids[b] for b in part.encode()])]
 
 
-def test_equals_a_search_over_the_whole_text(model):
+def test_equals_merges_over_the_whole_text(model):
+    for text in [*[t for t in TEXTS if t and len(t) < 300], " ".join(words(5, 12, 9)), "abcab" * 30]:
+        assert ids(model, text) == replayed(model, text), text
+        assert [k for run in model.stream(model.processor.normalize(text)) for k in run] == replayed(model, text)
+
+
+def test_scores_decide_in_a_unigram_model(tmp_path):
+    model = ps.PieceModel(by_scores(tmp_path / "unigram.model"))
+    assert not model.merges
+
     def whole(text):
-        text = model.processor.normalize(text)
         best = [(0.0, [])] + [None] * len(text)
         for end in range(1, len(text) + 1):
             for start in range(max(0, end - model.longest), end):
@@ -91,22 +91,27 @@ def test_equals_a_search_over_the_whole_text(model):
             out += [model.byte_ids[b] for b in part.encode()] if k == model.unknown[1] else [k]
         return out
 
-    for text in TEXTS:
-        if text:
-            assert ids(model, text) == whole(text)
-            by_text = [k for run in model.stream(model.processor.normalize(text)) for k in run]
-            assert by_text == whole(text)
-
-
-def test_words_searched_together_equal_streams(model):
-    pick = random.Random(8)
-    words = ["▁" * pick.randrange(0, 3) + "".join(pick.choices("etaoinshrdlué漢ßX,.$", k=pick.randrange(1, 40))) for _ in range(2000)] + ["▁", "▁▁", "e" * 64]
-    flat, lengths, unknown = model._search(words)
-    ends = np.cumsum(lengths)
-    for k, w in enumerate(words):
-        want = [i for run in model.stream(w) for i in run]
-        assert k in set(unknown) or flat[ends[k] - lengths[k] : ends[k]].tolist() == want
-    assert len(unknown) < 1500 and [len(x) for x in model._search([])] == [0, 0, 0]
+    for text in [*[t for t in TEXTS if t], *words(6, 300, 12), "".join(words(7, 1, 400))]:
+        normal = model.processor.normalize(text)
+        assert ids(model, text) == whole(normal)
+        assert [k for run in model.stream(normal) for k in run] == whole(normal)
+        score = lambda found: sum(model.unknown[0] / 9 if model.processor.is_byte(k) else model.processor.get_score(k) for k in found)
+        if len(text) < 60:
+            assert score(ids(model, text)) == pytest.approx(score(model.processor.nbest_encode(text, nbest_size=2)[0])), text
+
+
+@pytest.mark.parametrize("few", [0, 400])
+def test_words_searched_side_by_side_equal_streams(model, monkeypatch, few):
+    monkeypatch.setattr(ps, "FEW", few)
+    some = words(8, 700, 40) + ["▁", "▁▁", "e" * 64, "e" * 65, "thnterononshth" * 30, "é" * 200]
+    for word, found in zip(some, model.search(some)):
+        assert found.tolist() == [i for run in model.stream(word) for i in run]
+    assert model.search([]) == []
+
+
+def test_a_piece_with_a_letter_that_is_none_is_refused(model):
+    with pytest.raises(ValueError):
+        model._merge_tables({"ab": 300, "a": 301})
 
 
 def test_ids_are_final_before_the_text_ends(model):

@@ -83,5 +83,11 @@ def test_op10(spark, docs):
 
 
 def test_op5(spark, docs):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     got = queries.op5_piece_stream(spark, SF).collect()
     assert len(got) == len(docs) and all(r.round_trip for r in got)
+    for r in got:
+        want = library.encode(docs[r.doc_id].text or "")
+        assert (r.n_ids, r.ids_crc32) == (len(want), zlib.crc32(np.array(want, "<u4").tobytes()))
