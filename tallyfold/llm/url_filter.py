@@ -1,6 +1,8 @@
 """URL verdicts from path rules and a list of blocked domains held as a Bloom filter cascade.
 
-A URL's keys are its host and the host's parent domains. The cascade answers for
+A URL's keys are its host and the host's parent domains, as far as they have no
+more labels than the longest listed key (no other can be listed), so that the work
+is in proportion to the URL. The cascade answers for
 every key of the corpus whether it is listed, exactly and without a join: level 0
 is a Bloom filter of the listed keys, level 1 one of the corpus's other keys that
 level 0 takes for listed, level 2 one of the listed keys that level 1 takes for
@@ -20,7 +22,8 @@ Defined cases: the host is what stands between the first ``://`` and the next
 ``/``, ``?``, ``#`` or end, with A-Z in lower case, the path what follows up to
 ``?``, ``#`` or end; both are empty without ``://`` or for a null URL, which is
 allowed; repeated rows are judged alike; result columns replace input columns of
-the same name; empty labels of a host (``a..b``) form keys like any other.
+the same name; empty labels of a host (``a..b``) form keys like any other; a host may
+have any number of labels and characters.
 """
 
 from __future__ import annotations
@@ -147,9 +150,10 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"^(?s:.*?)://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def domains_of(host: Column) -> Column:
-    """The host and its parent domains."""
-    parts = F.split(host, r"\.", -1)
+def domains_of(host: Column, most: int) -> Column:
+    """The host and its parent domains, as far as they have ``most`` labels or fewer."""
+    every = F.split(host, r"\.", -1)
+    parts = F.slice(every, F.greatest(F.lit(1), F.size(every) - most + 1), F.lit(most))
     return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "."))
 
 
@@ -159,9 +163,10 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], blocked: Dat
     ``rules`` are (host, path, verdict); ``blocked`` has a column ``key`` of
     listed domains, each of which covers its subdomains.
     """
-    hosts = pages.select(host_of(F.col(url_col)).alias("host")).distinct()
-    corpus = hosts.select(F.explode(domains_of(F.col("host"))).alias("key")).distinct().withColumn("listed", F.lit(False))
     listed = blocked.select("key", F.lit(True).alias("listed")).where("key is not null")
+    most = listed.agg(F.max(F.size(F.split("key", r"\.", -1)))).first()[0] or 1
+    hosts = pages.select(host_of(F.col(url_col)).alias("host")).distinct()
+    corpus = hosts.select(F.explode(domains_of(F.col("host"), most)).alias("key")).distinct().withColumn("listed", F.lit(False))
     cascade = build_cascade(corpus.unionByName(listed).groupBy("key").agg(F.max("listed").alias("listed")))
     shared = pages.sparkSession.sparkContext.broadcast(cascade)
 
@@ -178,7 +183,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], blocked: Dat
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
         rule, verdict = F.when(fits, h + p).otherwise(rule), F.when(fits, v).otherwise(verdict)
     judged = pages.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
-    keys = domains_of(host)
+    keys = domains_of(host, most)
     judged = judged.withColumn("__listed", on_list(F.transform(keys, lambda k: F.xxhash64(k)), F.transform(keys, lambda k: F.xxhash64(F.lit("second"), k))))
     judged = judged.withColumns({"rule": rule, "verdict": F.coalesce(verdict, F.when(F.col("__listed"), "block").otherwise("allow"))})
     return judged.drop("__listed")

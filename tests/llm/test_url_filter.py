@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -47,3 +49,12 @@ def test_filters_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(uf, "MAX_BITS", 64)
     with pytest.raises(ValueError):
         uf.build_cascade(spark.range(600).selectExpr("concat('k', id) AS key", "id % 2 = 0 AS listed"))
+
+
+def test_very_long_hosts(spark):
+    host = "a." * 50_000 + "bad.org"
+    pages = spark.createDataFrame([(1, f"http://{host}/x"), (2, "http://" + "b" * 100_000 + "/")], "page_id long, url string")
+    listed = spark.createDataFrame([("bad.org",)], "key string")
+    began = time.time()
+    assert {r.page_id: r.verdict for r in uf.judge_urls(pages, RULES, listed).collect()} == {1: "block", 2: "allow"}
+    assert time.time() - began < 30
