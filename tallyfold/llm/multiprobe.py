@@ -14,8 +14,9 @@ Width, functions, tables and probes are fitted on a sample of ``sample_rows``
 vectors at most, so that the sample's own nearest neighbours are found with the
 target recall; every vector is indexed. Where no number of tables and probes
 reaches the target, functions are taken away, down to none, which is one bucket
-and exact. A query that meets fewer than the wanted neighbours is compared with
-all vectors, in blocks.
+and exact. This is so for tables of any size; only one or two vectors have no
+functions to begin with. A query that meets fewer than the wanted neighbours is
+compared with all vectors, in blocks.
 
 Equal vectors form one entry with their smallest k + 1 ids, which are all that any
 answer needs. Buckets of more than ``PART`` entries are cut into parts by a hash,
@@ -43,8 +44,6 @@ from tallyfold.llm.common import groups_in_order, stored
 K = 20
 PART = 4096
 SAMPLE_ROWS = 20_000
-#: Tables of this many entries or fewer are one bucket.
-EXHAUSTIVE = 2048
 
 
 def probing_order(m: int, most: int) -> list[tuple[int, ...]]:
@@ -127,22 +126,26 @@ def one_bucket(dim: int, largest: float) -> Hashing:
     return Hashing(largest, np.zeros((dim + 1, 0)), np.zeros(0), 1.0, 0, 1, [()])
 
 
-def fit(sample: np.ndarray, n: int, largest: float, k: int = K, recall: float = 0.95, seed: int = 5, queries: int = 300) -> Hashing:
-    """Hashing for n vectors, fitted on a sample of them."""
+def fit(sample: np.ndarray, n: int, largest: float, k: int = K, recall: float = 0.95, seed: int = 5, queries: int = 300, copies: np.ndarray | None = None) -> Hashing:
+    """Hashing for n vectors, fitted on a sample of them; ``copies`` says how many rows each stands for, which count as neighbours one by one."""
     rng = np.random.default_rng(seed)
-    if n <= EXHAUSTIVE or len(sample) <= 2 * k:
+    if len(sample) < 3:
         return one_bucket(sample.shape[1], largest)
+    k, wanted = min(k, len(sample) - 2), k
     asked = rng.choice(len(sample), min(queries, len(sample)), replace=False)
     base, ask = lifted(sample, largest), lifted(sample[asked], None)
     gain = ask @ base.T
     gain[np.arange(len(asked)), asked] = -np.inf
     best = np.argpartition(-gain, k, axis=1)[:, :k]
+    best = np.take_along_axis(best, np.argsort(-np.take_along_axis(gain, best, 1), axis=1), 1)
+    rows = np.cumsum((np.ones(len(sample)) if copies is None else copies)[best], axis=1)
+    share = np.diff(np.minimum(rows, wanted), axis=1, prepend=0)  # of the answer's rows, those that are copies of each neighbour
     far = np.sqrt(np.maximum(0, 2 - 2 * np.take_along_axis(gain, best, 1)))
     width = max(1.1 * float(np.median(far)), 1e-9)
     line = np.floor((base @ rng.normal(size=(base.shape[1], 8)) + rng.uniform(0, width, 8)) / width)
     shares = [np.unique(c, return_counts=True)[1] / len(c) for c in line.T]
     spread = float(np.mean([np.exp(-(s * np.log(s)).sum()) for s in shares]))  # buckets of one function, as good as equal ones
-    m = int(np.clip(round(math.log(n / 512) / math.log(max(spread, 1.5))), 1, 12))
+    m = int(np.clip(round(math.log(max(n, 1) / 512) / math.log(max(spread, 1.5))), 1, 12))
     for m in range(m, 0, -1):  # fewer functions, so larger buckets, until the target is met
         order = probing_order(m, 40)
         for tables in (4, 6, 8, 12, 16, 24):
@@ -153,7 +156,7 @@ def fit(sample: np.ndarray, n: int, largest: float, k: int = K, recall: float =
             for t in range(tables):
                 same = probes[:, t, None, :] == held[:, :, t, None]
                 first = np.minimum(first, np.where(same.any(axis=2), same.argmax(axis=2), len(order)))
-            reached = [(first < p).mean() for p in range(1, len(order) + 1)]
+            reached = [(share * (first < p)).sum() / share.sum() for p in range(1, len(order) + 1)]
             enough = np.flatnonzero(np.array(reached) >= recall)
             if len(enough):
                 found.order = order[: int(enough[0]) + 1]
@@ -249,9 +252,9 @@ class NeighbourSearch:
         self.usable = v.where(F.size("vector") == self.dim).select("id", "vector")
         self.entries = stored(self._entries(), "entries")
         share = min(1.0, sample_rows / max(n, 1))
-        some = self.entries.where(F.pmod(F.xxhash64("entry"), F.lit(1 << 20)) < share * (1 << 20)).select("vector").toArrow()
+        some = self.entries.where(F.pmod(F.xxhash64("entry"), F.lit(1 << 20)) < share * (1 << 20)).select("vector", F.size("ids")).toArrow()
         sample = _matrix(some.column(0).combine_chunks()) if len(some) else np.zeros((0, self.dim))
-        self.hashing = fit(sample, n, largest, k, recall)
+        self.hashing = fit(sample, n, largest, k, recall, copies=some.column(1).to_numpy())
 
     def _entries(self) -> DataFrame:
         """entry (least id), ids (the k + 1 least) and vector of each distinct vector; a frequent one is thinned by salt first."""
