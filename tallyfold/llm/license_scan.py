@@ -78,8 +78,60 @@ RULES: list[tuple[str, str, list[str]]] = [
     ("CC-BY-4.0", "attribution", ["This work is licensed under a Creative Commons Attribution 4.0 International License"]),
     ("CC0-1.0", "public domain", ["This work is dedicated to the public domain"]),
     ("all-rights-reserved", "proprietary", ["All rights reserved"]),
+    (
+        "ISC",
+        "permissive",
+        [
+            "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+            "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS",
+        ],
+    ),
+    ("MPL-2.0", "weak copyleft", ["This Source Code Form is subject to the terms of the Mozilla Public License, v"]),
+    ("Unlicense", "public domain", ["This is free and unencumbered software released into the public domain"]),
+    (
+        "Zlib",
+        "permissive",
+        [
+            "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+        ],
+    ),
+    ("CC-BY-SA-4.0", "copyleft", ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"]),
+    ("CC-BY-NC-4.0", "noncommercial", ["This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"]),
 ]
 
+# The family's names and versions, in the wording of the licences' own notices.
+_FREE = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version"
+_ONLY = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation, version {1} of the License"
+_OLDER = "This {2} is free software; you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation; either version {1} of the License, or (at your option) any later version"
+_OLD_ONLY = "This {2} is free software; you can redistribute it and/or modify it under the terms of the GNU {0} version {1} as published by the Free Software Foundation"
+_FAMILY = [("GPL", "General Public License", ["2", "3"]), ("LGPL", "Lesser General Public License", ["2.1", "3"]), ("AGPL", "Affero General Public License", ["3"])]
+
+
+def _family() -> list[tuple[str, str, list[str]]]:
+    """Notices of the family with "only" and "or later", and its names in one line."""
+    out = []
+    for short, long, versions in _FAMILY:
+        for v in versions:
+            name = f"{short}-{v if '.' in v else v + '.0'}"
+            for what in ("program", "library"):
+                out.append((f"{name}-or-later", "copyleft", _OLDER.format(long, v, what).split("; ")))
+                out.append((f"{name}-only", "copyleft", _OLD_ONLY.format(long, v, what).split("; ")))
+            out.append((f"{name}-or-later", "copyleft", [_FREE.format(long, v)]))
+            out.append((f"{name}-only", "copyleft", [_ONLY.format(long, v)]))
+            out.append((name, "copyleft", [f"Licensed under the GNU {long}, version {v}"]))
+    return out
+
+
+#: Identifiers that a file's own line may state.
+SPDX = [
+    ("0BSD", "permissive"), ("AGPL-3.0-only", "copyleft"), ("AGPL-3.0-or-later", "copyleft"), ("Apache-2.0", "permissive"), ("BSD-2-Clause", "permissive"), ("BSD-3-Clause", "permissive"),
+    ("BSL-1.0", "permissive"), ("CC-BY-4.0", "attribution"), ("CC-BY-SA-4.0", "copyleft"), ("CC0-1.0", "public domain"), ("EPL-2.0", "weak copyleft"), ("GPL-2.0-only", "copyleft"),
+    ("GPL-2.0-or-later", "copyleft"), ("GPL-3.0-only", "copyleft"), ("GPL-3.0-or-later", "copyleft"), ("ISC", "permissive"), ("LGPL-2.1-only", "copyleft"), ("LGPL-2.1-or-later", "copyleft"),
+    ("LGPL-3.0-only", "copyleft"), ("LGPL-3.0-or-later", "copyleft"), ("MIT", "permissive"), ("MPL-2.0", "weak copyleft"), ("Unlicense", "public domain"), ("Zlib", "permissive"),
+]
+RULES += _family()
+RULES += [(name, kind, [f"SPDX-License-Identifier: {name}"]) for name, kind in SPDX]
+
 #: Rules whose sentences end at a blank line; they have to come after ``RULES``, whose numbers stay.
 PARAGRAPH_RULES: list[tuple[str, str, list[str]]] = [
     (

@@ -96,8 +96,33 @@ You may obtain a copy of the License at
 """
 
 
+OLD_GPL_TEXT = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+ONLY_TEXT = """This program is free software; you can redistribute it and/or modify it
+under the terms of the GNU General Public License version 2 as published
+by the Free Software Foundation.
+"""
+ISC_TEXT = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES.
+"""
+MPL_TEXT = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
 def test_wrapped_licences(spark):
-    wanted = [(MIT_TEXT, ["MIT"]), (BSD_2_TEXT, ["BSD-2-Clause"]), (BSD_3_TEXT, ["BSD-2-Clause", "BSD-3-Clause"]), (GPL_TEXT, ["GPL-3.0-or-later"]), (APACHE_TEXT, ["Apache-2.0"])]
+    wanted = [(OLD_GPL_TEXT, ["LGPL-2.1-or-later"]), (ONLY_TEXT, ["GPL-2.0-only"]), (ISC_TEXT, ["ISC"]), (MPL_TEXT, ["MPL-2.0"])]
+    wanted += [(MIT_TEXT, ["MIT"]), (BSD_2_TEXT, ["BSD-2-Clause"]), (BSD_3_TEXT, ["BSD-2-Clause", "BSD-3-Clause"]), (GPL_TEXT, ["GPL-3.0-or-later"]), (APACHE_TEXT, ["Apache-2.0"])]
     rows = []
     for text, found in wanted:
         for prefix in ("", " * ", "// ", "# ", ";; ", "! ", "-- "):
@@ -107,6 +132,8 @@ def test_wrapped_licences(spark):
     rows += [
         ("This work is licensed under a Creative Commons\nAttribution 4.0 International License.", ["CC-BY-4.0"]),
         ("About\nReleased under the MIT License\nand more", ["MIT"]),
+        ("/* SPDX-License-Identifier: GPL-2.0-or-later */\nint x;", ["GPL-2.0-or-later"]),
+        ("This is free and unencumbered software released into the public\ndomain.", ["Unlicense"]),
         ("Released under\n\nthe MIT License.", []),
         ("Released under.\nthe MIT License.", []),
         ("It was\nReleased under the MIT\nLicense of old.", []),
