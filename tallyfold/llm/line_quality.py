@@ -9,7 +9,7 @@ few words in repeated three-word windows. Then every line is judged on its own:
   without any closing mark;
 * navigation: menu separators stand between its entries (three entries are enough
   where each has one to four words and no closing mark ends the line);
-* boilerplate: a stock phrase of web pages is what it mainly consists of.
+* boilerplate: stock phrases of web pages make up half of its word characters or more.
 
 Failing lines are removed, and a document that loses more than ``max_lost`` of
 its word characters is rejected.
@@ -33,6 +33,7 @@ from tallyfold.llm.common import release_memory, text_runs
 
 SYMBOLS = "#*$%&|<>"
 _SPACE = " \t\n\r\x0b\f"
+_SPACES = re.compile(f"[{_SPACE}]+")
 
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -50,8 +51,8 @@ BOILERPLATE = (
     "share this", "skip to content", "back to top", "powered by", "lorem ipsum",
 )
 _STOCK = re.compile("|".join(map(re.escape, BOILERPLATE)), re.I)
-#: A line with a stock phrase is boilerplate up to this many words, a line without a closing mark is no prose below this many.
-STOCK_WORDS, FRAGMENT_WORDS = 15, 4
+#: A line without a closing mark is no prose below this many words.
+FRAGMENT_WORDS = 4
 
 RESULT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, n_lines long, n_failed_lines long, lost double, kept boolean"
 _FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lines", "n_failed_lines", "lost", "kept", "cleaned")
@@ -59,8 +60,8 @@ _FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 def failed_rule(line: str) -> str | None:
     """The rule that a line with at least one word fails, or None."""
-    words = line.split()
-    n = len(words) or 1
+    words = _SPACES.split(line.strip(_SPACE))
+    n = len(words)
     symbols = sum(map(line.count, SYMBOLS))
     if symbols >= 3:
         menu = len(_MENU.findall(line))
@@ -74,12 +75,14 @@ def failed_rule(line: str) -> str | None:
             return "navigation"
     if any(c in line for c in _SEPARATORS) and not _CLOSED.search(line):
         entries = _MENU.split(line)
-        if len(entries) == 3 and all(1 <= len(e.split()) <= 4 for e in entries):
+        if len(entries) == 3 and all(1 <= len(e.encode("utf-8", "surrogatepass").split()) <= 4 for e in entries):
             return "navigation"
     if ("!!" in line or "??" in line) and 2 * len(_SHOUT.findall(line)) > n:
         return "punctuation"
-    if n <= STOCK_WORDS and _STOCK.search(line):
-        return "boilerplate"
+    if _STOCK.search(line):
+        stock = sum(len(m) - m.count(" ") for m in _STOCK.findall(line))
+        if 2 * stock >= len(line) - sum(map(line.count, _SPACE)):
+            return "boilerplate"
     if n < FRAGMENT_WORDS and not _CLOSED.search(line):
         return "punctuation"
     return None

@@ -91,8 +91,25 @@ def test_sample_is_bounded(spark):
 
 
 def test_no_labelled_text(spark):
-    with pytest.raises(ValueError):
-        lid.train(spark.createDataFrame([], "doc_id long, text string, lang string"))
+    docs = spark.createDataFrame([(1, "some words", None), (2, None, None)], "doc_id long, text string, lang string")
+    for table in (docs, docs.limit(0), docs.selectExpr("doc_id", "'12' AS text", "'aa' AS lang")):
+        model = lid.train(table)
+        assert model.languages == []
+        got = lid.identify(docs, model).collect()
+        assert [(r.lang_pred, r.score, r.accepted) for r in got] == [("und", 0.0, False)] * 2
+        assert lid.identify(docs.limit(0), model).collect() == []
+
+
+def test_short_foreign_texts_are_rejected(spark):
+    english = "the quick brown fox jumps over the lazy dog and the sun shines on a warm day while birds sing in the old trees near our house by the river".split()
+    german = "der schnelle braune fuchs springt über den faulen hund und die sonne scheint an einem warmen tag während vögel in den alten bäumen singen".split()
+    pick = random.Random(4)
+    rows = [(1000 * j + k, " ".join(pick.choices(w, k=30 + k % 40)), name) for j, (name, w) in enumerate([("en", english), ("de", german)]) for k in range(400)]
+    model = lid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    foreign = ["wszystkie dzieci śpią", "żółta łódź płynie", "минулого року ми жили", "これは日本語の文章です", "zqxj kwvz pfgh wrtz"]
+    assert not model.judge(foreign)[3].any()
+    own = [" ".join(pick.choices(w, k=n)) for w in (english, german) for n in (3, 5, 8) for _ in range(100)]
+    assert model.judge(own)[3].mean() > 0.98
 
 
 def test_every_labelled_language_is_learned(spark):
