@@ -18,12 +18,14 @@ model, and so the model that is broadcast.
 Defined cases: a text that is null or has no letter is ``und`` with score 0 and
 not accepted; texts of any length are read whole, in pieces of bounded size;
 ties go to the language first in sorted order; repeated rows are judged alike;
-result columns replace input columns of the same name. Training fails with a
-ValueError where no labelled text has a letter.
+result columns replace input columns of the same name. Where no labelled text has
+a letter (an empty table, say) no language is learned, and every text is ``und``
+with score 0 and not accepted.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,8 +41,10 @@ UNKNOWN = "und"
 MAX_CHARS = 4_000_000
 #: Texts are drawn for training in pieces of up to so many characters.
 PIECE = 20_000
-#: A text is rejected beyond so many deviations; texts of a language differ by this share of the mean at least.
-Z, LEAST_SPREAD = 10.0, 0.05
+#: Share of a language's own texts that may be rejected; texts of a language differ by this share of the mean at least.
+REJECTED, LEAST_SPREAD = 0.001, 0.05
+#: Besides whole, texts set aside are judged by their first so many characters.
+SHORT = (10, 20, 40, 100)
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -98,6 +102,7 @@ class Model:
     mean: np.ndarray
     within: np.ndarray
     between: np.ndarray
+    most: np.ndarray  # deviations that are accepted
 
     def losses(self, points: np.ndarray) -> np.ndarray:
         """-log p of every character after the first ``ORDER - 1``, per language."""
@@ -118,8 +123,10 @@ class Model:
         out[open_] -= self.floor
         return out
 
-    def judge(self, texts: list[str | None], z: float = Z, piece: int = 1 << 18):
+    def judge(self, texts: list[str | None], piece: int = 1 << 18):
         """(language, score, cross-entropy, accepted) of each text."""
+        if not self.languages:  # nothing was learned
+            return np.array([UNKNOWN] * len(texts), object), np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts), bool)
         n, sums, squares, sizes = len(texts), np.zeros((len(texts), len(self.languages))), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         held: list[tuple[int, np.ndarray]] = []
 
@@ -154,7 +161,7 @@ class Model:
         # the share of the best language if each were as likely as its cross-entropy says, over up to 20 characters
         scaled = np.exp(-(entropy - least[:, None]) * np.minimum(sizes, 20)[:, None])
         score = np.where(known, 1 / scaled.sum(axis=1), 0.0)
-        bound = self.mean[best] + z * (self.within[best] / np.sqrt(np.maximum(sizes, 1)) + self.between[best])
+        bound = self.mean[best] + self.most[best] * (self.within[best] / np.sqrt(np.maximum(sizes, 1)) + self.between[best])
         names = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, known)]
         return np.array(names, object), score, np.where(known, least, 0.0), known & (least <= bound)
 
@@ -202,6 +209,9 @@ def _discounts(counts: Counter) -> float:
 
 def estimate(by_language: dict[str, Counter]) -> Model:
     """The model of all languages from their highest-order counts."""
+    if not by_language:
+        nothing = np.zeros(0)
+        return Model([], {}, {}, nothing, nothing, nothing, nothing, nothing)
     languages = sorted(by_language)
     alphabet = {g[-1] for own in by_language.values() for g in own}
     uniform = 1.0 / (len(alphabet) + 1)
@@ -239,7 +249,7 @@ def estimate(by_language: dict[str, Counter]) -> Model:
         if order > 1:
             backoff[order - 1] = _sorted_hashes({c: np.log(v) for c, v in shares.items()}, order - 1)
     zero = np.zeros(len(languages))
-    return Model(languages, grams, backoff, floor.astype(np.float32), zero, zero, zero)
+    return Model(languages, grams, backoff, floor.astype(np.float32), zero, zero, zero, zero)
 
 
 def _sorted_hashes(rows: dict[str, np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -250,10 +260,15 @@ def _sorted_hashes(rows: dict[str, np.ndarray], order: int) -> tuple[np.ndarray,
 
 
 def calibrate(model: Model, by_language: dict[str, list[str]]) -> Model:
-    """Set the mean cross-entropy of each language's texts, and its spread within and between texts."""
-    mean, within, between = (np.zeros(len(model.languages)) for _ in range(3))
+    """Set the mean cross-entropy of each language's texts, its spread within and between texts, and the deviations that are accepted.
+
+    These are as many as all but a share of ``REJECTED`` of the texts set aside
+    show, whole and cut short; where they are too few to tell, twice as many as the
+    largest of them.
+    """
+    mean, within, between, most = (np.zeros(len(model.languages)) for _ in range(4))
     for k, lang in enumerate(model.languages):
-        per_text, spread, sizes = [], [], []
+        per_text, spread, sizes, starts = [], [], [], []
         for text in by_language.get(lang, []):
             points = characters(text)
             if (points != 32).any():
@@ -261,13 +276,17 @@ def calibrate(model: Model, by_language: dict[str, list[str]]) -> Model:
                 per_text.append(loss.mean())
                 spread.append(loss.var())
                 sizes.append(len(points))
+                starts += [(n, loss[:n].mean()) for n in (*SHORT, len(points)) if n <= len(points)]
         if sizes:
             mean[k] = np.average(per_text, weights=sizes)
             within[k] = np.sqrt(np.average(spread, weights=sizes))
             between[k] = max(np.sqrt(np.average((np.array(per_text) - mean[k]) ** 2, weights=sizes)), LEAST_SPREAD * mean[k])
+            off = np.sort([(value - mean[k]) / (within[k] / math.sqrt(n) + between[k]) for n, value in starts])
+            rank = math.ceil((len(off) + 1) * (1 - REJECTED))
+            most[k] = max(off[rank - 1], 1.0) if rank <= len(off) else 2 * max(off[-1], 1.0)
         else:  # nothing was set aside: accept all
             mean[k] = np.inf
-    model.mean, model.within, model.between = mean, within, between
+    model.mean, model.within, model.between, model.most = mean, within, between, most
     return model
 
 
@@ -281,7 +300,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h")).where("lang is not null and text is not null")
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.sum(F.length("text"))).collect()}
     if not sizes:
-        raise ValueError("no labelled text")
+        return estimate({})
     fraction = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, max_chars / max(n or 1, 1))))])
     numbers = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int")))
     hashes = lambda k: F.when(k == 0, F.col("h")).otherwise(F.xxhash64("h", k))
@@ -294,7 +313,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     if alone:
         by_language |= _counts(chosen.where(F.col("lang").isin(alone)).select("lang", "text"))
     if not by_language:
-        raise ValueError("no labelled text has a letter")
+        return estimate({})
     aside: dict[str, list[str]] = {}
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     some = chosen.where("u >= 0.9").withColumn("r", first).where(F.col("r") <= calibration_texts).select("lang", "text").toArrow()
@@ -304,14 +323,14 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return calibrate(estimate(by_language), aside)
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", z: float = Z) -> DataFrame:
+def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The documents with lang_pred, score (0 to 1), cross_entropy and accepted. No shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang_pred:string, score:double, cross_entropy:double, accepted:boolean>")
     def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            parts = [shared.value.judge(some.to_pylist(), z) for some in text_runs(texts)]
+            parts = [shared.value.judge(some.to_pylist()) for some in text_runs(texts)]
             names, score, entropy, accepted = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0)] * 4
             yield pa.StructArray.from_arrays([pa.array(names.tolist(), pa.string()), pa.array(score), pa.array(entropy), pa.array(accepted.astype(bool))], names=["lang_pred", "score", "cross_entropy", "accepted"])
         release_memory()
