@@ -6,7 +6,7 @@ instead, as the reports expect.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 EXACT = "decimal(38,6)"
 
@@ -57,6 +57,30 @@ def share_within_bounds(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.when(share.between(0.0, 100.0), F.round(share, digits))
 
 
+def percentiles(rows: DataFrame, key: str, value: str, shares: dict[str, float], digits: int = 6, buckets: int = 4096) -> DataFrame:
+    """(key, n, one column per share): exact percentiles with linear interpolation, without a group in one task.
+
+    Equal values are counted first, then the counts of ``buckets`` spans of each key's
+    values are added up, and the values of the spans that hold a wanted rank are ranked.
+    """
+    counts = rows.where(F.col(value).isNotNull()).groupBy(key, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("c"))
+    ends = counts.groupBy(F.col(key).alias("__k")).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("total"))
+    spanned = counts.join(ends, F.col(key).eqNullSafe(F.col("__k"))).select(key, "v", "c", "total", F.when(F.col("hi") > F.col("lo"), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * (buckets - 1))).otherwise(0).alias("span"))
+    spans = spanned.groupBy(key, "span").agg(F.sum("c").alias("in_span"), F.first("total").alias("total"))
+    spans = spans.withColumn("before", F.coalesce(F.sum("in_span").over(Window.partitionBy(key).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    place = {n: F.lit(s) * (F.col("total") - 1) for n, s in shares.items()}  # rank from 0, between two rows
+    ranks = F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in place.values()]))
+    spans = spans.where(F.exists(ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("in_span"))))
+    held = spanned.drop("total").join(spans.withColumnRenamed(key, "__k").withColumnRenamed("span", "__s"), F.col(key).eqNullSafe(F.col("__k")) & (F.col("span") == F.col("__s")))
+    upto = F.sum("c").over(Window.partitionBy(key, "span").orderBy("v"))
+    held = held.withColumn("end", F.col("before") + upto).withColumn("start", F.col("end") - F.col("c"))
+    at = lambda r: F.max(F.when((r >= F.col("start")) & (r < F.col("end")), F.col("v")))
+    lows, highs = {f"{n}_lo": at(F.floor(p)) for n, p in place.items()}, {f"{n}_hi": at(F.ceil(p)) for n, p in place.items()}
+    found = held.groupBy(key).agg(F.first("total").alias("total"), *[c.alias(n) for n, c in (lows | highs).items()])
+    between = {n: F.round(F.col(f"{n}_lo") + (F.col(f"{n}_hi") - F.col(f"{n}_lo")) * (p - F.floor(p)), digits) for n, p in place.items()}
+    return found.select(key, F.col("total").alias("n"), *[c.alias(n) for n, c in between.items()])
+
+
 def bounded(limit: int, most: int = 100) -> int:
     """A result limit between 1 and ``most``."""
     return max(1, min(int(limit), most))

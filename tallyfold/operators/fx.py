@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyfold.functions import arithmetic
@@ -12,23 +14,36 @@ AMOUNTS = ["turnover", "gross_profit", "operating_result", "profit_after_tax", "
 TOLERANCE_DAYS = 10
 
 
-def asof_join(facts: DataFrame, rates: DataFrame, on: list[str], at: str, rate_at: str, within: Column, values: list[str], tie: list[Column]) -> DataFrame:
+def asof_join(
+    facts: DataFrame, rates: DataFrame, on: list[str], at: str, rate_at: str, within: Column, values: list[str], tie: list[Column], bucket: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """Facts with the newest rate at or before their time and no older than ``within`` (in the times' own units).
 
-    Both sides are put in one order per key and the last rate seen is carried
-    forward, so the join needs one shuffle and no pairs of rows and rates.
-    """
+    Both sides are put in one order and the last rate seen is carried forward, so
+    there are no pairs of rows and rates. ``bucket`` maps a time to a span of time
+    (later times never to an earlier span): each key and span is then ordered on its
+    own, however many rows a key has, and takes over the last rate of the spans before
+    from one row per key and span.
+    """
+    span = bucket or (lambda t: F.lit(0))
     payload = F.struct(F.col(rate_at).alias("__at"), *[F.col(v) for v in values])
-    left = facts.withColumns({"__rate": F.lit(None).cast(rates.select(payload.alias("x")).schema["x"].dataType), "__when": F.col(at), "__side": F.lit(1), "__tie": F.lit(0)})
-    best = rates.withColumn("__tie", F.row_number().over(Window.partitionBy(*on, rate_at).orderBy(*tie))).where("__tie = 1")
+    kind = rates.select(payload.alias("x")).schema["x"].dataType
+    left = facts.withColumns({"__rate": F.lit(None).cast(kind), "__when": F.col(at), "__side": F.lit(1), "__tie": F.lit(0)})
+    best = rates.where(F.col(rate_at).isNotNull()).withColumn("__tie", F.row_number().over(Window.partitionBy(*on, rate_at).orderBy(*tie))).where("__tie = 1")
     right = best.select(*on, payload.alias("__rate"), F.col(rate_at).alias("__when"), F.lit(0).alias("__side"), "__tie")
-    both = left.unionByName(right, allowMissingColumns=True)
-    order = Window.partitionBy(*on).orderBy(F.col("__when").asc_nulls_first(), "__side").rowsBetween(Window.unboundedPreceding, 0)
+    both = left.unionByName(right, allowMissingColumns=True).withColumn("__span", span(F.col("__when")))
+    order = Window.partitionBy(*on, "__span").orderBy(F.col("__when").asc_nulls_first(), "__side").rowsBetween(Window.unboundedPreceding, 0)
     seen = both.withColumn("__seen", F.last("__rate", ignorenulls=True).over(order)).where("__side = 1")
+    if bucket:
+        spans = both.groupBy(*on, "__span").agg(F.max_by("__rate", F.when(F.col("__side") == 0, F.col("__when"))).alias("__last"))
+        earlier = Window.partitionBy(*on).orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
+        before = spans.select(*on, "__span", F.last("__last", ignorenulls=True).over(earlier).alias("__before")).where("__before is not null")
+        same = [seen[k].eqNullSafe(before[k]) for k in (*on, "__span")]
+        seen = seen.join(before, same, "left").select(*[seen[c] for c in seen.columns], "__before").withColumn("__seen", F.coalesce("__seen", "__before")).drop("__before")
     fits = F.col("__seen.__at") >= F.col(at) - within
     found = {v: F.when(fits, F.col(f"__seen.{v}")) for v in values}
     found[rate_at] = F.when(fits, F.col("__seen.__at"))
-    return seen.withColumns(found).drop("__rate", "__when", "__side", "__tie", "__seen")
+    return seen.withColumns(found).drop("__rate", "__when", "__side", "__tie", "__seen", "__span")
 
 
 def import_rates(existing: DataFrame, rates: DataFrame, currency: str, series: str, source_url: str) -> DataFrame:
@@ -49,7 +64,7 @@ def convert(periods: DataFrame, rates: DataFrame, tolerance_days: int = TOLERANC
     """(summary_id, status, reason, rate_date, rate, <amount>_pence) of each period with a valid currency."""
     valid = periods.where("currency_validation_status = 'valid'").withColumn("source_currency", F.col("currency_code"))
     home = rates.where("target_currency = 'GBP'")
-    joined = asof_join(valid, home, ["source_currency"], "period_end_on", "rate_date", F.expr(f"interval {tolerance_days} days"), ["rate"], [F.asc("payload_hash")])
+    joined = asof_join(valid, home, ["source_currency"], "period_end_on", "rate_date", F.expr(f"interval {tolerance_days} days"), ["rate"], [F.asc("payload_hash")], F.year)
     own = F.col("source_currency") == "GBP"
     rate = F.when(own, F.lit(1).cast("decimal(38,20)")).otherwise(F.col("rate"))
     reason = F.when(own | rate.isNotNull(), None).when(F.col("period_end_on").isNull(), "missing_period_end").otherwise("missing_rate")

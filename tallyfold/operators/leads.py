@@ -161,6 +161,15 @@ def pipeline_summary(counts: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def measures(tables: list[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
+    """(measure, n): rows of each table that meet the named conditions, counted in one pass a table."""
+    rows = []
+    for df, conditions in tables:
+        counts = df.agg(*[F.count_if(c).alias(n) for n, c in conditions.items()])
+        rows.append(counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("measure"), F.col(n).alias("n")) for n in conditions])).alias("m")).select("m.*"))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def counts_by(df: DataFrame, key: str) -> DataFrame:
     """(key, n) without the null key."""
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))

@@ -2,30 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+
+#: Rows of a stratum that are ranked together, about.
+CHUNK_ROWS = 100_000
+
+
+def ranked(rows: DataFrame, strata: list[str], key: str, rank: str, size: str) -> DataFrame:
+    """The rows with their rank in order of a whole-number key within their stratum, from 1, and the stratum's size.
+
+    A stratum is ranked in chunks of the key's range whose sizes are added up, so
+    that no task sorts all of it. Rows with equal keys share a chunk; a null key comes first.
+    """
+    first, last, n = rows.agg(F.min(key), F.max(key), F.count("*")).first()
+    width = max(1, -(-((last or 0) - (first or 0) + 1) * CHUNK_ROWS // max(n, 1)))
+    rows = rows.withColumn("__chunk", F.coalesce(F.floor((F.col(key) - F.lit(first or 0)) / F.lit(width)), F.lit(-1)))
+    counts = rows.groupBy(*strata, "__chunk").agg(F.count("*").alias("__n"))
+    own = Window.partitionBy(*strata)
+    before = F.sum("__n").over(own.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(*strata, "__chunk", F.coalesce(before, F.lit(0)).alias("__before"), F.sum("__n").over(own).alias(size))
+    numbered = rows.withColumn(rank, F.row_number().over(Window.partitionBy(*strata, "__chunk").orderBy(key)))
+    same = [numbered[c].eqNullSafe(offsets[c]) for c in (*strata, "__chunk")]
+    joined = numbered.join(offsets, same).select(*[numbered[c] for c in numbered.columns], "__before", size)
+    return joined.withColumn(rank, F.col(rank) + F.col("__before")).drop("__before", "__chunk")
 
 
 def round_robin(rows: DataFrame, strata: list[str], key: str, n: int) -> DataFrame:
-    """n rows, one from each stratum in turn, larger strata first within a round."""
-    w = Window.partitionBy(*strata)
-    ranked = rows.withColumns({"round": F.row_number().over(w.orderBy(key)), "__size": F.count("*").over(w)})
-    return ranked.orderBy("round", F.desc("__size"), *strata, key).limit(n).drop("__size")
+    """n rows, one from each stratum in turn, larger strata first within a round; the key is a whole number."""
+    found = ranked(rows, strata, key, "round", "__size")
+    return found.orderBy("round", F.desc("__size"), *strata, key).limit(n).drop("__size")
 
 
 def every_nth(rows: DataFrame, strata: list[str], key: str, n: int) -> DataFrame:
-    """The first of every n rows in order of the key, within each stratum."""
-    return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*strata).orderBy(key))).where(F.col("__r") % n == 1 % n).drop("__r")
+    """The first of every n rows in order of the key (a whole number), within each stratum."""
+    return ranked(rows, strata, key, "__r", "__size").where(F.col("__r") % n == 1 % n).drop("__r", "__size")
+
+
+def seeded_order(key: str, seed: int) -> Column:
+    """A value in whose order keys look shuffled, the same for the same seed."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
 
 
 def seeded(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """n distinct keys, the same for the same seed."""
-    return rows.select(key).distinct().orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return rows.select(key).distinct().orderBy(seeded_order(key, seed), key).limit(n)
 
 
 def unseen_first(rows: DataFrame, group: str, feature: str, key: str, n: int, seed: int) -> DataFrame:
-    """n rows in turn from each group, in a seeded order that takes each feature once before any again."""
-    shuffled = F.xxhash64(F.col(key), F.lit(seed))
+    """n rows in turn from each group, in a seeded order that takes each feature once before any again.
+
+    Only a group's first n rows in that order can be taken, so each feature keeps no
+    more than n before the groups are put in order.
+    """
+    shuffled = seeded_order(key, seed)
     repeat = F.row_number().over(Window.partitionBy(group, feature).orderBy(shuffled, key))
-    ranked = rows.withColumn("__repeat", repeat)
+    found = rows.withColumn("__repeat", repeat).where(F.col("__repeat") <= n)
     turn = F.row_number().over(Window.partitionBy(group).orderBy("__repeat", shuffled, key))
-    return ranked.withColumn("round", turn).orderBy("round", group).limit(n).drop("__repeat")
+    return found.withColumn("round", turn).where(F.col("round") <= n).orderBy("round", group).limit(n).drop("__repeat")

@@ -9,6 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+def _one_of_each(incoming: DataFrame, keys: list[str], order: list[Column] | None) -> DataFrame:
+    """The first row of each key; without an order, rows of a key are put in order of all their columns, so that every run takes the same one."""
+    if order is None:
+        order = [F.to_json(F.struct(*incoming.columns)).asc()]
+    return latest_by(incoming, keys, order)
+
+
 def latest_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given order; ties are the caller's to break."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -23,7 +30,7 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], keep: list
     ``only_if`` is a condition on the existing row without which it stays. Null
     keys are equal to each other.
     """
-    new = latest_by(incoming, keys, order) if order else incoming.dropDuplicates(keys)
+    new = _one_of_each(incoming, keys, order)
     e, n = existing.alias("e"), new.alias("n")
     same = [F.col(f"e.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
     both = e.withColumn("__old", F.lit(True)).alias("e").join(n.withColumn("__new", F.lit(True)).alias("n"), same, "full")
@@ -37,7 +44,7 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], keep: list
 
 def insert_new(existing: DataFrame, incoming: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
     """``existing`` and those incoming rows whose key it lacks; the first of each key."""
-    new = latest_by(incoming, keys, order) if order else incoming.dropDuplicates(keys)
+    new = _one_of_each(incoming, keys, order)
     return existing.unionByName(new.join(existing.select(*keys), keys, "left_anti"))
 
 

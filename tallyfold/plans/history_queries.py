@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyfold.functions import arithmetic
-from tallyfold.operators import evidence, fx, leads, sampling, timeseries, triage, upsert
+from tallyfold.operators import evidence, fx, leads, sampling, scoring, timeseries, triage, upsert
 from tallyfold.plans.registry import query, table
 
 YEARLY_SQL = """
@@ -143,7 +143,7 @@ def asof_rate_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     rates = events.where("value > 0").select("event_type", F.col("ts").alias("rate_ts"), F.col("event_id").alias("rate_id"))
     facts = events.select("event_id", "event_type", (F.col("ts") + F.expr("interval 1 hour")).alias("due"))
-    joined = fx.asof_join(facts, rates, ["event_type"], "due", "rate_ts", F.expr("interval 2 hours"), ["rate_id"], [F.asc("rate_id")])
+    joined = fx.asof_join(facts, rates, ["event_type"], "due", "rate_ts", F.expr("interval 2 hours"), ["rate_id"], [F.asc("rate_id")], lambda t: F.date_trunc("hour", t))
     return joined.select("event_id", "event_type", "due", "rate_id", "rate_ts")
 
 
@@ -226,12 +226,13 @@ def upsert_latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'error_events', count(*) FROM events WHERE event_type = 'error'
 """)
 def pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, events = table(spark, sf_dir, "orders"), table(spark, sf_dir, "events")
-    return leads.pipeline_summary(
-        {
-            "customers": table(spark, sf_dir, "customer"), "orders": orders, "lines": table(spark, sf_dir, "lineitem"),
-            "open_orders": orders.where("o_orderstatus = 'O'"), "events": events, "error_events": events.where("event_type = 'error'"),
-        }
+    every = F.lit(True)
+    return leads.measures(
+        [
+            (table(spark, sf_dir, "customer"), {"customers": every}), (table(spark, sf_dir, "lineitem"), {"lines": every}),
+            (table(spark, sf_dir, "orders"), {"orders": every, "open_orders": F.col("o_orderstatus") == "O"}),
+            (table(spark, sf_dir, "events"), {"events": every, "error_events": F.col("event_type") == "error"}),
+        ]
     )
 
 
@@ -303,20 +304,21 @@ def paired_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM d
 """)
 def confusion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") > 500).cast("int").alias("predicted"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") > 500).alias("predicted"))
     rows = table(spark, sf_dir, "labels").join(docs, "doc_id")
-    tp, fp = F.count_if("quality = 1 and predicted = 1"), F.count_if("quality = 0 and predicted = 1")
-    rows = rows.withColumns({"is_tp": F.expr("quality = 1 and predicted = 1"), "is_fp": F.expr("quality = 0 and predicted = 1"), "is_fn": F.expr("quality = 1 and predicted = 0")})
-    tp, fp, fn = F.count_if("is_tp"), F.count_if("is_fp"), F.count_if("is_fn")
-    recall, precision = F.round(arithmetic.ratio(tp, tp + fn), 6), F.round(arithmetic.ratio(tp, tp + fp), 6)
-    return rows.agg(F.count("*").alias("cells"), tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), recall.alias("recall"), precision.alias("precision_"))
+    amount = lambda there: F.struct(F.lit("GBP").alias("code"), F.when(there, F.lit(1).cast("decimal(38,6)")).alias("amount"))
+    cell = [F.col("doc_id").alias("case_id"), F.lit("current").alias("period"), F.lit("quality").alias("metric")]
+    gold, found = rows.select(*cell, amount(F.col("quality") == 1).alias("value")), rows.select(*cell, amount(F.col("predicted")).alias("value"))
+    summary = scoring.cell_summary(scoring.cells(gold, found), ["metric"])
+    counts = {"tp": "true_positives", "fp": "false_positives", "fn": "false_negatives"}
+    return summary.select("cells", *[F.col(c).alias(n) for n, c in counts.items()], F.round("recall", 6).alias("recall"), F.round("precision", 6).alias("precision_"))
 
 
 @query("""
-    SELECT event_type, count(*) AS n, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY 1
+    SELECT event_type, count(value) AS n, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY 1
 """)
 def percentile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.percentile("value", 0.5), 6).alias("median"), F.round(F.percentile("value", 0.95), 6).alias("p95"))
+    return arithmetic.percentiles(table(spark, sf_dir, "events"), "event_type", "value", {"median": 0.5, "p95": 0.95})
 
 
 @query("""
@@ -348,7 +350,7 @@ def page_neighbour_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH h AS (SELECT user_id, event_type, date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY ALL)
     SELECT event_type, hour, CAST(sum(n) AS BIGINT) AS n FROM h GROUP BY ALL
 """)
-def tumbling_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyfold.streaming import monitor
 
     return monitor.tumbling_counts(table(spark, sf_dir, "events").select("ts", "event_type"), "1 hour").select("event_type", F.col("window.start").cast("timestamp_ntz").alias("hour"), "n")

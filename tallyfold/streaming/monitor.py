@@ -20,9 +20,17 @@ def tumbling_counts(events: DataFrame, width: str, watermark: str | None = None)
 
 
 def calls_in_window(events: DataFrame, key: str, at: str, micros: int) -> DataFrame:
-    """How many calls of the key lie in the window that ends with each call."""
-    w = Window.partitionBy(key).orderBy(F.unix_micros(F.col(at).cast("timestamp"))).rangeBetween(-micros, 0)
-    return events.withColumn("in_window", F.count("*").over(w))
+    """How many calls of the key lie in the window that ends with each call.
+
+    A key's calls are dealt out by spans as long as the window; each span also gets
+    a copy of the calls of the span before, so no task sees more than two spans. Calls without a time see each other only.
+    """
+    timed = events.withColumn("__at", F.unix_micros(F.col(at).cast("timestamp"))).withColumn("__span", F.floor(F.col("__at") / F.lit(micros)))
+    own = timed.withColumn("__own", F.lit(True))
+    copies = timed.where("__span is not null").select(key, "__at", (F.col("__span") + 1).alias("__span"), F.lit(False).alias("__own"))
+    w = Window.partitionBy(key, "__span").orderBy("__at").rangeBetween(-micros, 0)
+    both = own.unionByName(copies, allowMissingColumns=True).withColumn("in_window", F.count("*").over(w))
+    return both.where("__own").drop("__at", "__span", "__own")
 
 
 def hourly_snapshots(events: DataFrame) -> DataFrame:
