@@ -75,6 +75,17 @@ def event_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return rows.where("e._corrupt is null").select("e.*").drop("_corrupt")
 
 
+def append_events(events: DataFrame, path: str) -> None:
+    """Events added to a log as JSON lines; what is there stays."""
+    events.write.mode("append").json(path)
+
+
+def store_cases(cases: DataFrame, path: str, key: str = "case_id") -> None:
+    """Label cases as JSON, one folder per case; only the folders of these cases are replaced."""
+    spread = cases.withColumn("__case", F.col(key)).repartition("__case")
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("__case").json(path)
+
+
 def event_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The same log as a stream of files."""
     return spark.readStream.schema(schema).json(path)

@@ -432,3 +432,24 @@ def test_search_pages(spark):
     assert [(r.company_name, r.company_number, r.company_status, r.address) for r in got] == [("Acme Ltd", "01", "Dissolved", "1 Road"), ("Two", "SC2", None, None)]
     modes = responses.source_mode(spark.createDataFrame([("1", "public_api"), ("1", "website"), ("2", "public_api")], "k string, source string"), "k")
     assert {r.k: r.mode for r in modes.collect()} == {"1": "website", "2": "public_api"}
+
+
+def test_events_are_appended_and_cases_replaced_one_by_one(spark, tmp_path):
+    from tallyfold.sources import files
+
+    log = f"{tmp_path}/log"
+    for k in (1, 2):
+        files.append_events(spark.createDataFrame([(k, "done")], "n int, event string"), log)
+    assert sorted(r.n for r in files.event_log(spark, log, "n int, event string").collect()) == [1, 2]
+    cases = f"{tmp_path}/cases"
+    files.store_cases(spark.createDataFrame([("a", 1), ("b", 1)], "case_id string, v int"), cases)
+    files.store_cases(spark.createDataFrame([("b", 2)], "case_id string, v int"), cases)
+    assert sorted((r.case_id, r.v) for r in spark.read.json(cases).collect()) == [("a", 1), ("b", 2)]
+
+
+def test_provenance_keeps_the_rows_order(spark):
+    from tallyfold.operators import context
+
+    rows = spark.createDataFrame([(1, 1, 0, 5, "b", "other", "n"), (1, 0, 2, 4, "a", "income_statement", "p")], "d int, page_pos int, row_pos int, page int, source_label string, statement_type string, role string")
+    found = context.provenance(rows, ["d"]).first()
+    assert (found.source_pages, found.source_labels, found.source_statement_types, found.source_roles) == ([4, 5], ["a", "b"], ["income_statement", "other"], ["p", "n"])
