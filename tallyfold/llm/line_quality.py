@@ -33,7 +33,7 @@ from tallyfold.llm.common import release_memory, text_runs
 
 SYMBOLS = "#*$%&|<>"
 _SPACE = " \t\n\r\x0b\f"
-_SPACES = re.compile(f"[{_SPACE}]+")
+_MARKS = tuple(c.encode() for c in SYMBOLS)
 
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -50,7 +50,7 @@ BOILERPLATE = (
     "uses cookies", "enable javascript", "click here", "read more", "sign up", "log in", "sign in", "subscribe to",
     "share this", "skip to content", "back to top", "powered by", "lorem ipsum",
 )
-_STOCK = re.compile("|".join(map(re.escape, BOILERPLATE)), re.I)
+_STOCK = re.compile("|".join(map(re.escape, BOILERPLATE)), re.I | re.A)
 #: A line without a closing mark is no prose below this many words.
 FRAGMENT_WORDS = 4
 
@@ -60,14 +60,14 @@ _FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 def failed_rule(line: str) -> str | None:
     """The rule that a line with at least one word fails, or None."""
-    words = _SPACES.split(line.strip(_SPACE))
-    n = len(words)
+    words = line.encode("utf-8", "surrogatepass").split()
+    n = len(words) or 1
     symbols = sum(map(line.count, SYMBOLS))
     if symbols >= 3:
         menu = len(_MENU.findall(line))
         if 4 * menu >= n - menu:  # an entry has four words at most
             return "navigation"
-        if 2 * symbols >= n and 2 * sum(1 for w in words if any(c in w for c in SYMBOLS)) > n:
+        if 2 * symbols >= n and 2 * sum(1 for w in words if any(c in w for c in _MARKS)) > n:
             return "punctuation"
     elif "»" in line or "›" in line or "•" in line or "·" in line:
         menu = len(_MENU.findall(line))
@@ -79,7 +79,8 @@ def failed_rule(line: str) -> str | None:
             return "navigation"
     if ("!!" in line or "??" in line) and 2 * len(_SHOUT.findall(line)) > n:
         return "punctuation"
-    if _STOCK.search(line):
+    low = line.lower()
+    if any(p in low for p in BOILERPLATE):
         stock = sum(len(m) - m.count(" ") for m in _STOCK.findall(line))
         if 2 * stock >= len(line) - sum(map(line.count, _SPACE)):
             return "boilerplate"

@@ -63,3 +63,11 @@ def test_menus_of_three_entries():
         assert lq.failed_rule(line) is None, line
     text = "\n".join(f"Home {k} | About | Contact" for k in range(20))
     assert lq.judge(text)[7:10] == (20, 1.0, False)
+
+
+def test_stock_phrases_have_to_make_up_half_of_a_line():
+    from tallyfold.llm import line_quality as lq
+
+    assert lq.failed_rule("Please sign up for class tomorrow at noon.") is None
+    assert lq.failed_rule("SIGN UP now.") == lq.failed_rule("Click here to read more.") == lq.failed_rule("All rights reserved. 2020") == "boilerplate"
+    assert lq.failed_rule("one\xa0two\x1cthree four five.") is None and lq.failed_rule("one\xa0two\x1cthree") == "punctuation"

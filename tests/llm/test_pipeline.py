@@ -65,3 +65,8 @@ def test_stages_equal_brute_force(spark, sf_dir):
     assert len(last) == len(now) > 60
     assert all(r.ids == pieces.encode(pa.array([by_id[r.doc_id][1]]))[0].tolist() and r.n_ids == len(r.ids) for r in last)
     assert sorted((r.doc_id, r.n_ids) for r in cp.run(spark, sf_dir).collect() if r.doc_id is not None) == sorted((r.doc_id, r.n_ids) for r in last if r.doc_id is not None)
+
+
+def test_an_empty_table_passes_all_stages(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    assert cp.run(spark, str(tmp_path)).collect() == []
