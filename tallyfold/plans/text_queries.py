@@ -44,7 +44,12 @@ def year_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.financial_year(F.col("url")).alias("year"))
 
 
-@query()
+@query("""
+    WITH d AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS page_text, generate_subscripts(string_split(text, chr(10)), 1) AS page FROM documents),
+    s AS (SELECT doc_id, page, unnest(string_split(regexp_replace(page_text, '([.!?])[ \\t\\n\\r\\f\\v]+', '\\1' || chr(1), 'g'), chr(1))) AS s FROM d),
+    c AS (SELECT doc_id, page, trim(regexp_replace(s, '[ \\t\\n\\r\\f\\v]+', ' ', 'g')) AS s FROM s)
+    SELECT doc_id, CAST(page AS INTEGER) AS page, s AS "text" FROM c WHERE s <> '' AND regexp_matches(s, '(?i)(?:^|[^\\pL\\pN\\pM_])(?:the|der|que|des)(?:[^\\pL\\pN\\pM_.][^.]*)?\\.')
+""")
 def sentence_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.split("text", "\n").alias("pages"))
     return narrative.performance_statements(docs, "doc_id", "pages", ("the", "der", "que", "des"))
