@@ -12,8 +12,9 @@ Jaccard similarity is at least the threshold. The join
    compared by brute force on the sketches; others are split again, up to
    ``max_depth`` times;
 3. repeats runs of the tree until a pair at the threshold is missed with
-   probability of at most 1 - ``recall``, given the depth that runs have needed
-   (only sets that have been in a split node take part in further runs);
+   probability of at most 1 - ``recall``, given the depth that runs have needed,
+   over the number of coordinates that the pair shares (only sets that have been
+   in a split node take part in further runs);
 4. joins candidates into groups, and compares all sets of a group exactly.
 
 The last step counts the links of every text. Large leaves and groups are cut
@@ -98,18 +99,52 @@ def children(nodes: np.ndarray, sketches: np.ndarray, threshold: float) -> tuple
     return np.concatenate(rows), np.concatenate(out).view(np.int64)
 
 
-def missed(threshold: float, depth: int) -> float:
-    """Probability that no path of one run keeps a pair at the threshold together down to the depth."""
-    wanted, gone = 1 / threshold, 0.0
+def missed(equal: float, depth: int, threshold: float | None = None) -> float:
+    """Probability that no path of one run keeps a pair together down to the depth, if this share of their coordinates is equal."""
+    wanted, gone = 1 / (threshold or equal), 0.0
     whole = math.floor(wanted)
     for _ in range(depth):
-        one = 1 - threshold + threshold * gone
+        one = 1 - equal + equal * gone
         gone = one**whole * ((1 - (wanted - whole)) + (wanted - whole) * one)
     return gone
 
 
+def _equal_coordinates(threshold: float) -> list[float]:
+    """Probability of each number of equal coordinates of a pair at the threshold."""
+    return [math.comb(COORDINATES, e) * threshold**e * (1 - threshold) ** (COORDINATES - e) for e in range(COORDINATES + 1)]
+
+
+def least_equal(threshold: float, recall: float) -> int:
+    """The number of equal coordinates below which a pair is no candidate; a tenth of the pairs that may be missed fall below it, at most.
+
+    Thresholds so low that more than these pairs share no coordinate at all are a ValueError.
+    """
+    share = 0.0
+    for e, p in enumerate(_equal_coordinates(threshold)):
+        share += p
+        if share > (1 - recall) / 10:
+            if not e:
+                raise ValueError(f"{COORDINATES} coordinates do not give a recall of {recall} at {threshold}")
+            return e
+    return COORDINATES
+
+
 def runs_needed(threshold: float, depth: int, recall: float) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(missed(threshold, depth)))
+    """Runs after which a pair at the threshold is missed with probability of at most 1 - recall.
+
+    All runs pick from the same coordinates, so they are independent only given
+    how many of these are equal: the mean is over that number, and pairs below
+    ``least_equal`` count as missed.
+    """
+    if not 0 < recall < 1:
+        raise ValueError(f"recall {recall} is not between 0 and 1")
+    least, runs = least_equal(threshold, recall), 0
+    chance = _equal_coordinates(threshold)
+    one = [missed(e / COORDINATES, depth, threshold) if e else 1.0 for e in range(COORDINATES + 1)]
+    while True:
+        runs += 1
+        if sum(chance[:least]) + sum(c * m**runs for c, m in zip(chance[least:], one[least:])) <= 1 - recall:
+            return runs
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -185,8 +220,7 @@ class ChosenPathJoin:
     def __init__(self, threshold: float = THRESHOLD, words: int = WORDS, recall: float = 0.9999, leaf: int = LEAF, block: int = BLOCK, max_depth: int = MAX_DEPTH, alike: float = ALIKE):
         self.threshold, self.words, self.recall = threshold, words, recall
         self.leaf, self.block, self.max_depth, self.alike = leaf, block, max_depth, alike
-        # sketches may fall short of the similarity by four standard deviations
-        self.least = threshold - 4 * math.sqrt(threshold * (1 - threshold) / COORDINATES)
+        self.least = least_equal(threshold, recall) / COORDINATES
 
     def classes(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """doc_id, class_id (least id of the texts that links connect), n_links (other rows linked), n_linked_texts."""

@@ -74,6 +74,23 @@ def test_runs_follow_from_recall():
     assert nj.runs_needed(0.8, 3, 0.999) > nj.runs_needed(0.8, 1, 0.999)
 
 
+@pytest.mark.parametrize("depth", [1, 3, 5])
+def test_recall_holds_over_shared_coordinates(depth):
+    """Runs that draw from one set of coordinates, with the cut: misses at the threshold, by simulation at a lower recall."""
+    recall, rng = 0.99, np.random.default_rng(depth)
+    runs, least, gone = nj.runs_needed(0.8, depth, recall), nj.least_equal(0.8, recall), 0
+    pairs = 4000
+    same = rng.random((pairs, nj.COORDINATES)) < 0.8
+    for k in range(pairs):
+        b = np.where(same[k], 0, 1).astype(np.uint32)
+        s = np.stack([np.zeros(nj.COORDINATES, np.uint32), b])
+        roots = rng.integers(-(2**62), 2**62, runs)
+        at = [set(nj.children(*_twice(roots, s[[i] * runs], depth))[1].tolist()) for i in (0, 1)]
+        gone += same[k].sum() < least or not at[0] & at[1]
+    assert gone <= (1 - recall) * pairs + 4 * (0.01 * pairs) ** 0.5
+    assert nj.least_equal(0.8, 0.9999) / nj.COORDINATES < 0.8 - 4.5 * 0.05
+
+
 def test_pairs_at_the_threshold_share_a_path():
     rng = np.random.default_rng(4)
     runs = nj.runs_needed(0.8, 2, 0.999)
