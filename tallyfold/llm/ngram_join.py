@@ -19,9 +19,12 @@ Jaccard similarity is at least the threshold. The join
 
 The last step counts the links of every text. Large leaves and groups are cut
 into blocks by a hash, and each task compares two blocks, so that no task holds
-more than 2 x ``block`` sets and a pair is compared in one task only. A task
+more than about 2 x ``block`` sets and a pair is compared in one task only. Sets
+of more than ``UNIT`` tokens count for several in the blocks of a group. A task
 returns one row per set (its links there, and a root of the texts linked there),
-not one per pair.
+not one per pair. Where only the classes are wanted, a large group's sets are
+compared with one of each part that is already connected, and pairs within a part
+are left out.
 
 Defined cases: words are parts between ASCII white space, as written; a text of
 one to four words is one shingle, a null or empty text has none and is linked to
@@ -45,6 +48,8 @@ WORDS = 5
 THRESHOLD = 0.8
 COORDINATES = 64
 LEAF, BLOCK, MAX_DEPTH = 256, 1024, 5
+#: Tokens of a set that count as one in the size of a block of sets to compare; a longer set counts for more.
+UNIT = 4096
 ALIKE = 0.5
 
 _U = np.uint64
@@ -226,16 +231,23 @@ class ChosenPathJoin:
         """doc_id, class_id (least id of the texts that links connect), n_links (other rows linked), n_linked_texts."""
         return self.classes_of_sets(docs, id_col, text_col).select("doc_id", "class_id", "n_links", "n_linked_texts")
 
-    def classes_of_sets(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """The columns of ``classes``, with set_id (0 for the empty set) and root, which tells classes of equal class_id apart."""
+    def classes_of_sets(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> DataFrame:
+        """The columns of ``classes``, with set_id (0 for the empty set) and root, which tells classes of equal class_id apart.
+
+        Links to other texts are left out of the counts if these are not asked for;
+        the classes are the same.
+        """
         docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         members = stored(self._sketched(docs), "members")
         sets = stored(
             members.where("n > 0 and doc_id is not null").groupBy("set_id", "n").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("weight"), F.any_value("sketch").alias("sketch")),
             "sets",
         )
-        groups = self._groups(sets)
-        found = stored(self._verified(docs, sets, groups), "links")
+        groups = stored(self._groups(sets).withColumnRenamed("node", "set_id"), "groups")
+        if counted:
+            found = stored(self._verified(docs, sets, groups), "links")
+        else:
+            found = self._united(docs, sets, groups).withColumns({"links": F.lit(0), "texts": F.lit(0)})
         root = components(found.select(F.col("set_id").alias("a"), F.col("root").alias("b")))
         counts = found.groupBy("set_id").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
         of_set = sets.select("set_id", "first_id", "weight").join(root.withColumnRenamed("node", "set_id"), "set_id").join(counts, "set_id")
@@ -334,20 +346,29 @@ class ChosenPathJoin:
         rows = rows.select("node", "i", "j", "set_id", "own", "sketch").repartition(n_tasks, "node", "i", "j").sortWithinPartitions("node", "i", "j")
         return components(rows.mapInArrow(compare, "a long, b long"))
 
-    def _verified(self, docs: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
-        """(set_id, root, links, texts) of each set with a link, for each task that finds one."""
-        words, threshold = self.words, self.threshold
-        groups = stored(groups.withColumnRenamed("node", "set_id"), "groups")
-        sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
-        wanted = groups.join(sizes, "root").join(sets.select("set_id", "first_id", "weight"), "set_id")
-        texts = docs.join(wanted.withColumnRenamed("first_id", "doc_id"), "doc_id").select("root", "size", "set_id", "weight", "text")
+    def _sized(self, sets: DataFrame, groups: DataFrame) -> DataFrame:
+        """The sets of (root, set_id), with the size of each root's group in units of up to ``UNIT`` tokens."""
+        rows = groups.join(sets.select("set_id", "first_id", "weight", "n"), "set_id")
+        sizes = rows.groupBy("root").agg(F.ceil(F.sum(F.greatest(F.lit(1.0), F.col("n") / UNIT))).alias("size"))
+        return rows.drop("n").join(sizes, "root")
+
+    def _tokens(self, docs: DataFrame, wanted: DataFrame) -> DataFrame:
+        """The wanted sets (set_id, first_id and other long columns) with their tokens in place of first_id."""
+        words, kept = self.words, [c for c in wanted.columns if c != "first_id"]
+        at = kept.index("set_id")
 
         def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = [shingles(t.as_py(), words) for t in batch.column(4)]
-                right = pa.array([_set_id(t) == i for t, i in zip(found, batch.column(2).to_pylist())], pa.bool_())  # not another text of the same id
-                columns = [*batch.columns[:4], pa.array([t.tobytes() for t in found], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["root", "size", "set_id", "weight", "tokens"]).filter(right)
+                found = [shingles(t.as_py(), words) for t in batch.column(len(kept))]
+                right = pa.array([_set_id(t) == i for t, i in zip(found, batch.column(at).to_pylist())], pa.bool_())  # not another text of the same id
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array([t.tobytes() for t in found], pa.binary())], names=[*kept, "tokens"]).filter(right)
+
+        texts = docs.join(wanted.withColumnRenamed("first_id", "doc_id"), "doc_id").select(*kept, "text")
+        return texts.mapInArrow(tokens, "".join(f"{c} long, " for c in kept) + "tokens binary")
+
+    def _links(self, dealt: DataFrame) -> DataFrame:
+        """(set_id, root, links, texts) of each set with a link, for each task (root, i, j) that finds one."""
+        threshold = self.threshold
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table, bounds in groups_in_order(batches, 3):
@@ -365,12 +386,61 @@ class ChosenPathJoin:
                         yield pa.RecordBatch.from_arrays([pa.array(ids[has]), pa.array(root[has]), pa.array(links[has].astype(np.int64)), pa.array(texts[has])], names=["set_id", "root", "links", "texts"])
             release_memory()
 
-        sets_of = texts.mapInArrow(tokens, "root long, size long, set_id long, weight long, tokens binary")
-        rows = _dealt(sets_of, "root", "set_id", "size", self.block).select("root", "i", "j", "set_id", "own", "weight", "tokens")
-        n_tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = rows.repartition(n_tasks, "root", "i", "j").sortWithinPartitions("root", "i", "j")
+        n_tasks = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = dealt.select("root", "i", "j", "set_id", "own", "weight", "tokens").repartition(n_tasks, "root", "i", "j").sortWithinPartitions("root", "i", "j")
         return rows.mapInArrow(verify, "set_id long, root long, links long, texts long")
 
+    def _verified(self, docs: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
+        """(set_id, root, links, texts) of each set with a link, for each task that finds one: all pairs of each group are compared."""
+        return self._links(_dealt(self._tokens(docs, self._sized(sets, groups)), "root", "set_id", "size", self.block))
+
+    def _united(self, docs: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
+        """(set_id, root) of linked sets, as many as connect every class; not all pairs of a large group are compared.
+
+        In a group of several blocks, the sets of each block are compared; then one
+        set of each part that this connects; then the sets outside the group's
+        largest part among themselves and with that part. Pairs that are left out
+        are of one part, so the classes are those of all pairs.
+        """
+        wanted = stored(self._sized(sets, groups), "wanted")
+        blocks = F.ceil(F.col("size") / self.block)
+        own = F.pmod(F.xxhash64("set_id", F.lit(7)), blocks).cast("int")
+        inside = self._tokens(docs, wanted).withColumns({"i": own, "j": own, "own": own})
+        found = stored(self._links(inside).select("set_id", "root"), "inside")
+        large = wanted.where(F.col("size") > self.block).select("root", "set_id")
+        if large.isEmpty():
+            return found
+        heads = self._parts(large, found).where("set_id = part").select("root", "set_id")
+        across = _dealt(self._tokens(docs, self._sized(sets, heads)), "root", "set_id", "size", self.block)
+        found = stored(found.unionAll(self._links(across).select("set_id", "root")), "heads")
+        parts = self._parts(large, found)
+        largest = parts.groupBy("root", "part").agg(F.count("*").alias("n")).groupBy("root").agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts"))
+        parts = stored(parts.join(largest.where("parts > 1"), "root").select("root", "set_id", (F.col("part") == F.col("top.part")).alias("main")), "parts")
+        if parts.isEmpty():
+            return found
+        rest, main = (stored(self._sized(sets, parts.where(side).select("root", "set_id")), "sides") for side in ("not main", "main"))
+        rows = _dealt(self._tokens(docs, rest), "root", "set_id", "size", self.block).unionByName(self._dealt_across(docs, rest, main), allowMissingColumns=True)
+        return stored(found.unionAll(self._links(rows).select("set_id", "root")), "united")
+
+    def _dealt_across(self, docs: DataFrame, rest: DataFrame, main: DataFrame) -> DataFrame:
+        """Tasks (root, i, j) that compare a block i of the one side with a block of the other; j is below zero."""
+        sides = []
+        for side, other, k in ((rest, main, 0), (main, rest, 1)):
+            met = other.groupBy("root").agg(F.max("size").alias("met"))
+            rows = self._tokens(docs, side.join(met, "root"))
+            own = F.pmod(F.xxhash64("set_id", F.lit(7)), F.ceil(F.col("size") / self.block)).cast("int")
+            rows = rows.withColumns({"block": own, "other": F.explode(F.sequence(F.lit(0), F.ceil(F.col("met") / self.block).cast("int") - 1))})
+            i, j = ("block", "other") if k == 0 else ("other", "block")
+            sides.append(rows.select("root", F.col(i).alias("i"), (-1 - F.col(j)).alias("j"), "set_id", F.lit(k).alias("own"), "weight", "tokens"))
+        return sides[0].unionAll(sides[1])
+
+    @staticmethod
+    def _parts(groups: DataFrame, found: DataFrame) -> DataFrame:
+        """(root, set_id, part) of the groups' sets; a part is what the links found so far connect, named by its least set."""
+        links = found.join(groups.select("set_id"), "set_id", "left_semi").select(F.col("set_id").alias("a"), F.col("root").alias("b"))
+        parts = components(links).select(F.col("node").alias("set_id"), F.col("root").alias("part"))
+        return groups.join(parts, "set_id", "left").select("root", "set_id", F.coalesce("part", "set_id").alias("part"))
+
 
 def _set_id(tokens: np.ndarray) -> int:
     """A hash of a set, the same for equal sets; 0 for the empty one."""
@@ -396,7 +466,7 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows with equal id whose texts are of one class. An id on texts of several
     classes is decided for each of them.
     """
-    found = ChosenPathJoin(words=words, **how).classes_of_sets(docs, id_col, text_col).where("doc_id is not null")
+    found = ChosenPathJoin(words=words, **how).classes_of_sets(docs, id_col, text_col, counted=False).where("doc_id is not null")
     classes = stored(found.select("doc_id", "set_id", "root", (F.col("doc_id") == F.col("class_id")).alias("first")), "classes")
     ids = classes.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("first").alias("first")).where("first")
     kept = docs.join(ids.where("rows = 1").select(F.col("doc_id").alias(id_col)), id_col, "left_semi").select(docs.columns)

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyfold.llm import ngram_join as nj
 
@@ -62,12 +63,33 @@ def test_empty_table_and_repeated_rows(spark):
     assert sorted(map(tuple, nj.one_of_each_class(docs).collect()), key=str) == [(1, "a b c d e f"), (2, "x y"), (3, None)]
 
 
-def test_one_of_each_class_stays(spark):
+@pytest.mark.parametrize("how", [{}, {"leaf": 3, "block": 4}])
+def test_one_of_each_class_stays(spark, how):
     rows = [r for r in corpus(9, 15) if r[0] is not None]
-    kept = {r.doc_id for r in nj.one_of_each_class(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    kept = {r.doc_id for r in nj.one_of_each_class(spark.createDataFrame(rows, "doc_id long, text string"), **how).collect()}
     assert kept == {c for k, c, *_ in brute(rows)}
 
 
+def test_united_groups_have_the_classes_of_all_pairs(spark):
+    """One candidate group of several classes: a chain, a large class, single texts, whatever blocks they fall in."""
+    chain = [" ".join(f"c{k}" for k in range(3 * s, 3 * s + 60)) for s in range(12)]
+    base = [f"d{k}" for k in range(80)]
+    large = [" ".join(base[:k] + [f"x{k}"] + base[k + 1 :]) for k in (0, 1, 2, 77, 78, 79)] * 2
+    rows = list(enumerate([*chain, *large, "single one of six words here", "another single of six words here"]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    join = nj.ChosenPathJoin(block=3)
+    members = join._sketched(docs)
+    sets = members.groupBy("set_id", "n").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("weight"))
+    first = {r.set_id: r.first_id for r in sets.collect()}
+    groups = sets.selectExpr("set_id", "0L AS root")  # every text in one group
+    links = [(first[r.set_id], first[r.root]) for r in join._united(docs, sets, groups).collect()]
+    label = {k: k for k in first.values()}
+    for _ in label:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    assert {(k, label[k]) for k in label} == {(k, c) for k, c, *_ in brute(rows) if k in label}
+
+
 def test_runs_follow_from_recall():
     assert nj.missed(0.8, 1) == pytest.approx(0.75 * 0.2 + 0.25 * 0.04)
     assert nj.runs_needed(0.8, 1, 0.9999) == 6 or nj.missed(0.8, 1) ** 6 <= 1e-4
