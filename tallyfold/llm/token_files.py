@@ -14,8 +14,8 @@ Files are written to the shared folder under names that no second attempt of a
 task reuses; only files that the manifest of a finished write names are read.
 
 Defined cases: a null text is an empty one and holds the end id alone; rows
-with equal doc_id are all kept, in the order of their ids; rows with a null
-doc_id come first; an empty table gives no file and no rows; other columns are
+with equal doc_id are all kept, in the order of their ids within a file; rows
+with a null doc_id come first; an empty table gives no file and no rows; other columns are
 ignored whatever their names.
 """
 
@@ -38,6 +38,7 @@ from tallyfold.llm.common import file_system, scratch_dir, stored
 
 MAGIC = b"TFPF0001"
 BLOCK = 512
+COARSE = 1000  # ranges of ids whose files are bounded each by themselves
 TRAILER = struct.Struct("<QQQQ8s")  # index offset, blocks, documents, tokens, magic
 HEADER = struct.Struct("<IBBH")  # minimum, width, high-bit flag, exceptions
 
@@ -267,6 +268,45 @@ def read_file(uri: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
                 held, base = held[end - base :], end
 
 
+def file_ranges(docs: DataFrame, chars_per_file: int) -> tuple[np.ndarray, np.ndarray]:
+    """Upper bounds of the files' id ranges, and the number of files of each range, the first being that of null ids.
+
+    Bounds are approximate quantiles of the ids, in which a text counts once for
+    each average length of a text that it holds. They are found in two levels, up
+    to ``COARSE`` ranges first and then within each of these, so that no aggregate
+    holds all of them. An id that is several quantiles has a range of its own, of
+    as many files. One long a file reaches the driver.
+    """
+    weighed = docs.select("doc_id", F.length("text").alias("chars"))
+    known = F.col("doc_id").isNotNull()
+    rows, chars, none = weighed.agg(F.count("*"), F.sum(F.when(known, F.col("chars"))), F.sum(F.when(~known, F.col("chars")))).first()
+    n_files, of_null = max(1, -(-(chars or 0) // chars_per_file)), max(1, -(-(none or 0) // chars_per_file))
+    if n_files == 1:
+        return np.zeros(0, np.int64), np.array([of_null, 1])
+    times = F.greatest(F.lit(1), F.ceil(F.coalesce("chars", F.lit(0)) * rows / chars)).cast("int")
+    ids = weighed.where(known).select("doc_id", F.explode(F.sequence(F.lit(1), times)).alias("time")).select("doc_id")
+    coarse = max(1, min(COARSE, n_files // 16))
+    fine = -(-n_files // coarse)
+
+    def quantiles(n: int):
+        return F.percentile_approx("doc_id", [k / n for k in range(1, n + 1)], 20 * n + 10_000)
+
+    @F.arrow_udf("int")
+    def range_of(names: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(edges, names.to_numpy(), side="left"), pa.int32())
+
+    edges, times = np.unique(np.array(ids.agg(quantiles(coarse)).first()[0], np.int64), return_counts=True)
+    often = edges[times > 1]
+    cuts = ids.where(~F.col("doc_id").isin(often.tolist())).groupBy(range_of("doc_id").alias("range")).agg(quantiles(fine).alias("cuts"))
+    values, counts = np.unique(cuts.select(F.explode("cuts").alias("cut")).toArrow().column(0).to_numpy(), return_counts=True)
+    hot, parts = np.append(often, values[counts > 1]), np.append(times[times > 1] * fine, counts[counts > 1])
+    bounds = np.unique(np.concatenate([edges, values, hot[hot > np.iinfo(np.int64).min] - 1]))
+    files = np.ones(len(bounds) + 2, np.int64)
+    files[0] = of_null
+    files[1 + np.searchsorted(bounds, hot)] = parts
+    return bounds, files
+
+
 def write_token_files(
     docs: DataFrame, tokenizer_path: str, end_id: int, uri: str, id_col: str = "doc_id", text_col: str = "text",
     chars_per_file: int = 16_000_000,
@@ -275,18 +315,17 @@ def write_token_files(
 
     Documents are dealt to files by ranges of their id that hold about
     ``chars_per_file`` characters each, so the text is shuffled once, as ids,
-    and each task writes one file. The ranges' bounds are quantiles of the id
-    column, which alone is read for them.
+    and each task writes one file. Rows with an id that fills several files, or
+    with none, are spread over as many by a hash.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    n_chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_files = max(1, -(-n_chars // chars_per_file))
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / n_files for k in range(1, n_files)] or [1.0], 20 * n_files + 10_000)).first()[0]
-    bounds = np.array(sorted(set(cuts or [])) if n_files > 1 else [], np.int64)
+    bounds, files = file_ranges(docs, chars_per_file)
+    first = np.cumsum(files) - files
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(tokenizer_path, end_id)
+        seen: dict[tuple, int] = {}
         for batch in batches:
             for k in range(0, len(batch), 2000):
                 some = batch.slice(k, 2000)
@@ -294,11 +333,16 @@ def write_token_files(
                 ids, lengths = encoder.encode(some.column(1))
                 ends = np.cumsum(lengths)
                 ids = ids.astype("<u4")
-                part = np.searchsorted(bounds, names.fill_null(0).to_numpy(zero_copy_only=False), side="left").astype(np.int32)
-                part[names.is_null().to_numpy(zero_copy_only=False)] = 0
+                range_of = 1 + np.searchsorted(bounds, names.fill_null(0).to_numpy(zero_copy_only=False), side="left")
+                range_of[names.is_null().to_numpy(zero_copy_only=False)] = 0
                 narrow = ids.astype("<u2") if encoder.closes.size <= 1 << 16 else ids
                 raw = [narrow[b - n : b].tobytes() for b, n in zip(ends, lengths)]
-                yield pa.RecordBatch.from_arrays([pa.array(part), names, pa.array(raw, pa.binary())], names=["part", "doc_id", "ids"])
+                part = first[range_of]
+                for row in np.flatnonzero(files[range_of] > 1):
+                    key = (names[row].as_py(), zlib.crc32(raw[row]))
+                    seen[key] = seen.get(key, -1) + 1  # copies go to one file after the other, whatever their order
+                    part[row] += (key[1] + seen[key]) % files[range_of[row]]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), names, pa.array(raw, pa.binary())], names=["part", "doc_id", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
@@ -316,7 +360,7 @@ def write_token_files(
             yield pa.RecordBatch.from_pydict({"path": [path], "part": pa.array([part], pa.int32()), "n_docs": [len(names)], "n_tokens": [sum(map(len, ids))], "n_bytes": [n_bytes]})
 
     encoded = docs.mapInArrow(encode, "part int, doc_id long, ids binary")
-    written = encoded.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("doc_id", "ids").mapInArrow(write, MANIFEST)
+    written = encoded.repartitionById(int(files.sum()), "part").sortWithinPartitions("doc_id", "ids").mapInArrow(write, MANIFEST)
     return stored(written, "token-manifest")
 
 

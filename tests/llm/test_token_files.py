@@ -51,6 +51,23 @@ def test_files_hold_all_documents_in_order(spark):
     assert sorted(got, key=lambda r: r[1]) == want
 
 
+def test_frequent_and_missing_ids_fill_several_files(spark, tmp_path):
+    """A third of the rows has no id, a third one id (most of them the same text), and one text is very long."""
+    words = "one two three four five six seven eight nine ten".split()
+    rows = [(None, f"{words[k % 10]} {k}") for k in range(300)] + [(50, "the same text again" if k % 4 else f"text {k}") for k in range(300)]
+    rows += [(k, " ".join(words)) for k in range(300)] + [(200, "long " * 2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    manifest = tf.write_token_files(docs, TOKENIZER, 1, f"file://{tmp_path}/t", chars_per_file=800)
+    sizes = [r.n_docs for r in manifest.collect()]
+    assert sum(sizes) == len(rows) and len(sizes) > 15 and max(sizes) < 150
+    got = sorted(map(tuple, tf.read_token_files(manifest).collect()), key=lambda r: r[1])
+    ids = [np.array(x, "<u4") for x in whole([t for _, t in rows])]
+    assert sorted(((n, k, c) for n, _, k, c in got), key=str) == sorted(((n, len(x), zlib.crc32(x.tobytes())) for (n, _), x in zip(rows, ids)), key=str)
+    assert [r[1] for r in got] == [0, *itertools.accumulate(r[2] for r in got)][:-1]
+    names = [r[0] for r in got]
+    assert names[:300] == [None] * 300 and names[300:] == sorted(names[300:])
+
+
 def test_empty_table(spark):
     assert tf.token_files(spark.createDataFrame([], "doc_id long, text string"), TOKENIZER).collect() == []
 
