@@ -283,7 +283,7 @@ def file_ranges(docs: DataFrame, chars_per_file: int) -> tuple[np.ndarray, np.nd
     n_files, of_null = max(1, -(-(chars or 0) // chars_per_file)), max(1, -(-(none or 0) // chars_per_file))
     if n_files == 1:
         return np.zeros(0, np.int64), np.array([of_null, 1])
-    times = F.greatest(F.lit(1), F.ceil(F.coalesce("chars", F.lit(0)) * rows / chars)).cast("int")
+    times = F.greatest(F.lit(1), F.ceil(F.coalesce("chars", F.lit(0)) * F.lit(rows / chars))).cast("int")
     ids = weighed.where(known).select("doc_id", F.explode(F.sequence(F.lit(1), times)).alias("time")).select("doc_id")
     coarse = max(1, min(COARSE, n_files // 16))
     fine = -(-n_files // coarse)
