@@ -120,11 +120,29 @@ def groups_in_order(batches, n_keys: int):
         yield held, np.array([0, len(held)])
 
 
+#: Tasks that the rows of one key may be spread over in ``joined_spread``.
+SPREAD = 64
+
+
+def joined_spread(rows: DataFrame, table: DataFrame, key: str, by: str) -> DataFrame:
+    """``rows`` joined with a table that has one row per key, the rows of a frequent key spread over tasks by the column ``by``.
+
+    Each key is first paired with the parts that its rows fall in, ``SPREAD`` at
+    most; only these pairs meet in the join by key.
+    """
+    from pyspark.sql import functions as F
+
+    part = F.pmod(F.xxhash64(by, F.lit(11)), F.lit(SPREAD)).cast("int")
+    parts = rows.select(key, part.alias("__part")).distinct().join(table, key)
+    return rows.withColumn("__part", part).join(parts, [key, "__part"]).drop("__part")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of the connected components of the edges (a, b); root is the least node.
 
     Alternating large-star and small-star steps; each round is written to the
-    shared folder, and only its edge count and checksum reach the driver.
+    shared folder, and only its edge count and checksum reach the driver. The
+    neighbours of one node are spread over tasks.
     """
     from pyspark.sql import functions as F
 
@@ -139,9 +157,9 @@ def components(edges: DataFrame) -> DataFrame:
     while seen[0]:
         both = now.select(F.col("v").alias("x"), F.col("u").alias("y")).unionAll(now.select(F.col("u").alias("x"), F.col("v").alias("y")))
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = ordered(both.join(least, "x").where("y > x").select(F.col("y").alias("a"), F.col("m").alias("b")))
+        large = ordered(joined_spread(both, least, "x", "y").where("y > x").select(F.col("y").alias("a"), F.col("m").alias("b")))
         first = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(first, "v").select(F.col("u").alias("a"), F.col("m").alias("b")).unionAll(first.select(F.col("v").alias("a"), F.col("m").alias("b")))
+        small = joined_spread(large, first, "v", "u").select(F.col("u").alias("a"), F.col("m").alias("b")).unionAll(first.select(F.col("v").alias("a"), F.col("m").alias("b")))
         now = stored(ordered(small), "edges")
         before, seen = seen, state(now)
         if before == seen:
