@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import language_id, license_scan, line_quality, multiprobe, ngram_join, pfair_mix, piece_stream, token_files, url_filter, warc_store
+from tallyfold.llm import language_id, license_scan, line_quality, multiprobe, ngram_join, period_runs, pfair_mix, piece_stream, simhash, token_files, url_filter, warc_store, whitening
 from tallyfold.llm.common import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return period_runs.run_digests(period_runs.period_runs(docs, plant=True))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_multiprobe": op2_multiprobe,
@@ -111,6 +124,9 @@ QUERIES: dict[str, Query] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_pfair_mix": op9_pfair_mix,
     "op10_token_files": op10_token_files,
+    "op11_simhash": op11_simhash,
+    "op12_period_runs": op12_period_runs,
+    "op13_whitening": op13_whitening,
 }
 
 

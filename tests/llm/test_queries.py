@@ -10,7 +10,10 @@ import pytest
 from tallyfold.llm import queries
 from tests.llm.test_line_quality import plain
 from tests.llm.test_ngram_join import brute
+from tests.llm.test_period_runs import digests
+from tests.llm.test_simhash import brute as simhash_brute
 from tests.llm.test_token_files import whole
+from tests.llm.test_whitening import brute as whitened_brute
 from tests.test_registry import rows
 
 SF = "/root/testdata/sf0.001"
@@ -111,3 +114,25 @@ def test_op5(spark, docs):
     for r in got:
         want = library.encode(docs[r.doc_id].text or "")
         assert (r.n_ids, r.ids_crc32) == (len(want), zlib.crc32(np.array(want, "<u4").tobytes()))
+
+
+def test_op11(spark, docs):
+    got = queries.op11_simhash(spark, SF)
+    assert got.dtypes == [("doc_id", "bigint"), ("fingerprint", "string"), ("component_id", "bigint")]
+    assert sorted(map(tuple, got.collect()), key=str) == simhash_brute([(d, r.text) for d, r in docs.items()])
+
+
+def test_op12(spark, docs):
+    got = sorted(map(tuple, queries.op12_period_runs(spark, SF).collect()))
+    assert got == sorted(digests(d, r.text, True) for d, r in docs.items())
+
+
+def test_op13(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    n, want, explained = whitened_brute(rows)
+    got = queries.op13_whitening(spark, SF).collect()
+    assert len(got) == 4 * len(want) and {r.n for r in got} == {n} and all(r.deviation == want[r.vec_id][0] for r in got)
+    for c in range(1, 5):
+        pairs = np.array([(r.whitened, want[r.vec_id][1][c - 1]) for r in got if r.component == c])
+        assert min(np.abs(pairs[:, 0] - pairs[:, 1]).max(), np.abs(pairs[:, 0] + pairs[:, 1]).max()) < 1e-6
+    assert all(r.explained == pytest.approx(explained[r.component - 1], rel=1e-9) and r.identity_error < 1e-8 for r in got)
