@@ -8,7 +8,13 @@ space, with the marks that begin the next line (`` * ``, ``// ``, ``# ``, ``;; `
 but a line without a-z or 0-9 ends it. Of the sentences that begin at a place the
 shortest is taken, so that a notice on one line is found whatever follows it.
 A licence rule is an ordered list of such sentences; it matches a text whose
-sequence of numbers holds them in this order, with others between them or not.
+sequence of numbers holds them in this order, with others between them or not. A
+rule whose sentences are all in a longer rule that matches too is left out: the
+text of BSD-3-Clause is not one of BSD-2-Clause as well.
+
+Most texts hold none of the words that every known sentence has at least one of,
+and are not searched further. All steps take time in proportion to a text's
+length, and none recurses by it.
 
 The table of sentences is part of the query's expressions, so it has to stay
 within some hundreds of entries; nothing is shuffled.
@@ -21,6 +27,9 @@ the same name.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Licence identifier, category, and the sentences of each rule in order.
@@ -166,41 +175,91 @@ def numbered(rules: list[tuple[str, str, list[str]]]) -> dict[str, int]:
 
 
 def rule_patterns(rules: list[tuple[str, str, list[str]]]) -> list[tuple[str, str, str]]:
-    """(licence, category, regular expression over ",n,n,n,") of each rule."""
+    """(licence, category, regular expression over ",n,n,n,") of each rule, for engines that match without backtracking."""
     numbers = numbered(rules)
     return [(name, kind, "," + "(?:[0-9]+,)*".join(f"{numbers[plain(s)]}," for s in sentences)) for name, kind, sentences in rules]
 
 
+def covering(rules: list[tuple[str, str, list[str]]]) -> list[list[int]]:
+    """For each rule the rules that hold all of its sentences, in order, and more."""
+    numbers = numbered(rules)
+    ids = [[numbers[plain(s)] for s in sentences] for _, _, sentences in rules]
+
+    def within(a: list[int], b: list[int]) -> bool:
+        rest = iter(b)
+        return len(a) < len(b) and all(x in rest for x in a)
+
+    return [[k for k, b in enumerate(ids) if within(a, b)] for a in ids]
+
+
+def tell_tale_words(rules: list[tuple[str, str, list[str]]]) -> list[str]:
+    """A few words, of which every sentence of the rules has one: each time the word that most of the rest have."""
+    left, out = [set(s.split()) for s in numbered(rules)], []
+    while left:
+        counts: dict[str, int] = {}
+        for words in left:
+            for w in words:
+                if len(w) > 4:
+                    counts[w] = counts.get(w, 0) + 1
+        if not counts:  # sentences of short words only
+            out += [min(words) for words in left]
+            break
+        best = min(counts, key=lambda w: (-counts[w], w))
+        out.append(best)
+        left = [words for words in left if best not in words]
+    return out
+
+
 def sentence_numbers(text: Column, rules: list[tuple[str, str, list[str]]] = ALL_RULES) -> Column:
     """Numbers of the known sentences of a text, in order.
 
     In the lower-case text L stands for a line end and the marks after it, and S for closing marks.
     """
     table = F.create_map(*[F.lit(x) for item in numbered(rules).items() for x in item])
-    marked = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\n[^a-z0-9\n]*", "L")
-    marked = F.regexp_replace(F.regexp_replace(marked, r"[.!?;]+(?=[\sL]|\z)", "S"), "[^a-z0-9SL]+", " ")
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    marked = F.regexp_replace(lower, r"\n[^a-z0-9\n]*", "L")
+    marked = F.regexp_replace(F.regexp_replace(marked, r"(?<![.!?;])[.!?;]++(?=[\sL]|\z)", "S"), "[^a-z0-9SL]+", " ")
     known = "|".join(s.replace(" ", "(?: L?|L)") for s in sorted(numbered(rules), key=len))
     found = F.regexp_extract_all(marked, F.lit(f"(?<![^SL]) ?({known})(?= ?(?:[SL]|\\z))"), F.lit(1))
-    return F.transform(found, lambda s: F.element_at(table, F.regexp_replace(s, " ?L", " ")))
+    ids = F.transform(found, lambda s: F.element_at(table, F.regexp_replace(s, " ?L", " ")))
+    may = functools.reduce(operator.or_, [F.contains(lower, F.lit(w)) for w in tell_tale_words(rules)])
+    return F.when(may, ids).otherwise(F.array().cast("array<int>"))
+
+
+def _matches(ids: Column, wanted: list[int]) -> Column:
+    """Whether ids holds the wanted numbers in order: each is looked for after the place of the one before."""
+
+    def after(at: Column, n: Column) -> Column:
+        found = F.array_position(F.slice(ids, at + 1, F.size(ids)), n)
+        return F.when((at < 0) | (found == 0), F.lit(-1)).otherwise(at + found.cast("int"))
+
+    if len(wanted) == 1:
+        return F.array_contains(ids, wanted[0])
+    return F.aggregate(F.array(*[F.lit(n) for n in wanted]), F.lit(0), after) >= 0
 
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", rules: list[tuple[str, str, list[str]]] = ALL_RULES) -> DataFrame:
     """The documents with sentence_ids, licenses and categories (arrays; the last two sorted, without repeats)."""
+    numbers, over = numbered(rules), covering(rules)
     marked = docs.withColumn("sentence_ids", sentence_numbers(F.col(text_col), rules))
-    line = F.concat(F.lit(","), F.array_join("sentence_ids", ","), F.lit(","))
-    patterns = rule_patterns(rules)
+    hits = F.array(*[_matches(F.col("sentence_ids"), [numbers[plain(s)] for s in sentences]) for _, _, sentences in rules])
+    marked = marked.withColumn("__hits", F.when(F.size("sentence_ids") > 0, hits))
+    hit = lambda k: F.col("__hits")[k]
+    chosen = [functools.reduce(lambda c, o: c & ~hit(o), over[k], hit(k)) for k in range(len(rules))]
 
     def matched(which: int) -> Column:
-        hits = F.array(*[F.when(line.rlike(p[2]), F.lit(p[which])) for p in patterns])
-        return F.when(F.size("sentence_ids") > 0, F.array_sort(F.array_distinct(F.array_compact(hits)))).otherwise(F.array().cast("array<string>"))
+        names = F.array(*[F.when(c, F.lit(r[which])) for c, r in zip(chosen, rules)])
+        return F.when(F.size("sentence_ids") > 0, F.array_sort(F.array_distinct(F.array_compact(names)))).otherwise(F.array().cast("array<string>"))
 
-    return marked.withColumns({"licenses": matched(0), "categories": matched(1)})
+    return marked.withColumns({"licenses": matched(0), "categories": matched(1)}).drop("__hits")
 
 
 def scan_sql(rules: list[tuple[str, str, list[str]]] = RULES, table: str = "documents") -> str:
     """DuckDB SQL for doc_id, sentence_ids, n_sentences and licenses as strings."""
     cases = " ".join(f"WHEN '{s}' THEN {n}" for s, n in numbered(rules).items())
-    hits = ", ".join(f"CASE WHEN regexp_matches(line, '{p}') THEN '{name}' END" for name, _, p in rule_patterns(rules))
+    patterns, over = [p for _, _, p in rule_patterns(rules)], covering(rules)
+    wholly = lambda k: " AND ".join([f"regexp_matches(line, '{patterns[k]}')", *[f"NOT regexp_matches(line, '{patterns[o]}')" for o in over[k]]])
+    hits = ", ".join(f"CASE WHEN {wholly(k)} THEN '{rules[k][0]}' END" for k in range(len(rules)))
     normal = f"trim(regexp_replace(s, '{NOT_PLAIN}', ' ', 'g'))"
     return f"""
         WITH numbers AS (
