@@ -60,22 +60,32 @@ def import_rates(existing: DataFrame, rates: DataFrame, currency: str, series: s
     return insert_new(existing, rows, ["source_currency", "target_currency", "rate_date", "series", "payload_hash"])
 
 
+def _month(day: Column) -> Column:
+    return F.year(day) * 12 + F.month(day)
+
+
 def convert(periods: DataFrame, rates: DataFrame, tolerance_days: int = TOLERANCE_DAYS) -> DataFrame:
-    """(summary_id, status, reason, rate_date, rate, <amount>_pence) of each period with a valid currency."""
+    """(summary_id, status, reason, rate_date, rate, <amount>_pence) of each period with a valid currency.
+
+    Sterling periods need no rate and are not joined; the others are ordered with the
+    rates by currency and month.
+    """
     valid = periods.where("currency_validation_status = 'valid'").withColumn("source_currency", F.col("currency_code"))
+    own = F.coalesce(F.col("source_currency") == "GBP", F.lit(False))
     home = rates.where("target_currency = 'GBP'")
-    joined = asof_join(valid, home, ["source_currency"], "period_end_on", "rate_date", F.expr(f"interval {tolerance_days} days"), ["rate"], [F.asc("payload_hash")], F.year)
-    own = F.col("source_currency") == "GBP"
-    rate = F.when(own, F.lit(1).cast("decimal(38,20)")).otherwise(F.col("rate"))
-    reason = F.when(own | rate.isNotNull(), None).when(F.col("period_end_on").isNull(), "missing_period_end").otherwise("missing_rate")
+    joined = asof_join(valid.where(~own), home, ["source_currency"], "period_end_on", "rate_date", F.expr(f"interval {tolerance_days} days"), ["rate"], [F.asc("payload_hash")], _month)
+    at_par = valid.where(own).withColumns({"rate": F.lit(1).cast("decimal(38,20)"), "rate_date": F.lit(None).cast("date")})
+    both = joined.withColumn("rate", F.col("rate").cast("decimal(38,20)")).unionByName(at_par)
+    rate = F.col("rate")
+    reason = F.when(rate.isNotNull(), None).when(F.col("period_end_on").isNull(), "missing_period_end").otherwise("missing_rate")
     # 18 digits before and 12 after the point leave room for the product
     amount = lambda c: F.col(c).cast("decimal(18,0)")
     narrow = rate.cast("decimal(18,12)")
-    return joined.select(
+    return both.select(
         F.col("id").alias("summary_id"),
         F.when(rate.isNotNull(), "converted").otherwise("pending").alias("status"),
         reason.alias("reason"),
-        F.when(~own, F.col("rate_date")).alias("rate_date"),
+        "rate_date",
         rate.alias("rate"),
         *[arithmetic.to_pence(amount(c), narrow).alias(f"{c}_pence") for c in AMOUNTS],
     )

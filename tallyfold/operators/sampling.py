@@ -5,19 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-#: Rows of a stratum that are ranked together, about.
-CHUNK_ROWS = 100_000
+#: Rows that are ranked together, about, and the most chunks that the keys are cut into.
+CHUNK_ROWS, MAX_CHUNKS = 100_000, 4096
+
+
+def _chunk(key: Column, cuts: list) -> Column:
+    """How many of the ascending cuts lie below the key, by bisection; -1 for a null key."""
+    table, last = F.array(*[F.lit(c) for c in cuts]), len(cuts)
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(last.bit_length()))])
+    further = lambda at, step: F.when((at + step <= last) & (F.get(table, at + step - 1) < key), at + step).otherwise(at)
+    return F.when(key.isNull(), F.lit(-1)).otherwise(F.aggregate(steps, F.lit(0), further) if cuts else F.lit(0))
 
 
 def ranked(rows: DataFrame, strata: list[str], key: str, rank: str, size: str) -> DataFrame:
-    """The rows with their rank in order of a whole-number key within their stratum, from 1, and the stratum's size.
+    """The rows with their rank in order of an ordered key within their stratum, from 1, and the stratum's size.
 
-    A stratum is ranked in chunks of the key's range whose sizes are added up, so
-    that no task sorts all of it. Rows with equal keys share a chunk; a null key comes first.
+    Keys are cut into chunks of about equal numbers of rows, at quantiles of the
+    keys themselves, and the chunks' sizes are added up, so that no task sorts a
+    whole stratum however unevenly its keys lie. Rows with equal keys share a chunk;
+    a null key comes first.
     """
-    first, last, n = rows.agg(F.min(key), F.max(key), F.count("*")).first()
-    width = max(1, -(-((last or 0) - (first or 0) + 1) * CHUNK_ROWS // max(n, 1)))
-    rows = rows.withColumn("__chunk", F.coalesce(F.floor((F.col(key) - F.lit(first or 0)) / F.lit(width)), F.lit(-1)))
+    n = rows.count()
+    chunks = min(MAX_CHUNKS, -(-n // CHUNK_ROWS))
+    cuts: list = []
+    if chunks > 1:
+        shares = [k / chunks for k in range(1, chunks)]
+        cuts = sorted(set(rows.agg(F.percentile_approx(key, shares, max(10_000, 10 * chunks))).first()[0] or []))
+    rows = rows.withColumn("__chunk", _chunk(F.col(key), cuts))
     counts = rows.groupBy(*strata, "__chunk").agg(F.count("*").alias("__n"))
     own = Window.partitionBy(*strata)
     before = F.sum("__n").over(own.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1))
@@ -29,13 +43,13 @@ def ranked(rows: DataFrame, strata: list[str], key: str, rank: str, size: str) -
 
 
 def round_robin(rows: DataFrame, strata: list[str], key: str, n: int) -> DataFrame:
-    """n rows, one from each stratum in turn, larger strata first within a round; the key is a whole number."""
+    """n rows, one from each stratum in turn, larger strata first within a round."""
     found = ranked(rows, strata, key, "round", "__size")
     return found.orderBy("round", F.desc("__size"), *strata, key).limit(n).drop("__size")
 
 
 def every_nth(rows: DataFrame, strata: list[str], key: str, n: int) -> DataFrame:
-    """The first of every n rows in order of the key (a whole number), within each stratum."""
+    """The first of every n rows in order of the key, within each stratum."""
     return ranked(rows, strata, key, "__r", "__size").where(F.col("__r") % n == 1 % n).drop("__r", "__size")
 
 

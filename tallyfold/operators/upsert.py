@@ -1,7 +1,8 @@
 """Keyed upserts over plain tables, and the long signal form.
 
-There is no MERGE on Parquet; an upsert is the union of both sides with the
-newest row of each key kept by one aggregation, so it shuffles each side once.
+There is no MERGE on Parquet; an upsert is a full join by key of the stored rows
+and the first incoming row of each key, so it shuffles each side once. Null keys
+are equal to each other throughout.
 """
 
 from __future__ import annotations
@@ -43,9 +44,10 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], keep: list
 
 
 def insert_new(existing: DataFrame, incoming: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    """``existing`` and those incoming rows whose key it lacks; the first of each key."""
-    new = _one_of_each(incoming, keys, order)
-    return existing.unionByName(new.join(existing.select(*keys), keys, "left_anti"))
+    """``existing`` and those incoming rows whose key it lacks; the first of each key. Null keys are equal to each other."""
+    new, there = _one_of_each(incoming, keys, order).alias("n"), existing.select(*keys).alias("e")
+    same = [F.col(f"n.{k}").eqNullSafe(F.col(f"e.{k}")) for k in keys]
+    return existing.unionByName(new.join(there, same, "left_anti"))
 
 
 #: The value column for each type of signal.

@@ -45,9 +45,9 @@ TABLES: dict[str, str] = {
     "sic_groups": """SELECT * FROM (VALUES ('47910', 'Retail', 'Trade'), ('41100', 'Property', 'Construction'), ('62020', 'Consultancy', 'Technology'), ('64209', 'Holding', 'Finance')) AS t(sic_code, sic_label, sic_group)""",
     "narrative_runs": """SELECT doc_id AS id, CAST(doc_id % 150 AS STRING) AS company_number, 'N' || CAST(doc_id AS STRING) AS document_id FROM {documents}""",
     "narrative_sections": """SELECT doc_id * 10 AS id, doc_id AS narrative_run_id, CASE doc_id % 3 WHEN 0 THEN 'strategic_report' WHEN 1 THEN 'going_concern' ELSE 'principal_risks' END AS section_key,
-        source AS section_title, CASE WHEN doc_id % 8 = 0 THEN 'contextRef ' ELSE '' END || substr(text, 1, 200) AS section_text FROM {documents}
-        UNION ALL SELECT doc_id * 10 + 1, doc_id, 'directors_report', lang, substr(text, 100, 150) FROM {documents}""",
-    "performance_statements": """SELECT doc_id AS id, doc_id AS narrative_run_id, CAST(doc_id % 9 AS INT) AS page, substr(text, 1, 120) AS statement_text FROM {documents}""",
+        source AS section_title, CASE WHEN doc_id % 8 = 0 THEN 'contextRef ' ELSE '' END || text AS section_text FROM {documents}
+        UNION ALL SELECT doc_id * 10 + 1, doc_id, 'directors_report', lang, 'of ' || source || ': ' || text FROM {documents}""",
+    "performance_statements": """SELECT doc_id AS id, doc_id AS narrative_run_id, CAST(doc_id % 9 AS INT) AS page, text AS statement_text FROM {documents}""",
     "website_investigations": """SELECT page_id AS id, CAST(page_id % 200 AS STRING) AS company_number, CASE page_id % 2 WHEN 0 THEN 'a' ELSE 'b' END AS source_label,
         CASE page_id % 3 WHEN 0 THEN 'Retail' ELSE 'b2b' END AS business_model, url AS final_url, page_id % 13 AS updated_at FROM {pages}""",
     "website_signals": """SELECT page_id AS investigation_id, 'ppc_fit_score' AS signal_key, CAST(NULL AS BOOLEAN) AS signal_bool, CAST(NULL AS BIGINT) AS signal_int, CAST(page_id % 101 AS DOUBLE) AS signal_real, CAST(NULL AS STRING) AS signal_text FROM {pages}

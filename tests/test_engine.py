@@ -62,7 +62,11 @@ def test_upsert_rules(spark):
     new = spark.createDataFrame([(1, "A", "vlm", "new"), (2, "B", "vlm", "new"), (3, "C", "vlm", "new"), (None, "N", "vlm", "new")], "k int, v string, src string, made string")
     got = upsert.upsert(have, new, ["k"], keep=["made"], only_if=F.col("e.src") == "vlm")
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "a", "xhtml", "old"), (2, "B", "vlm", "old"), (3, "C", "vlm", "new"), (None, "N", "vlm", "old")], key=str)
-    assert upsert.insert_new(have, new, ["k"]).count() == 5  # a null key is never found and so goes in again
+    added = upsert.insert_new(have, new, ["k"])
+    assert sorted((str(r.k), r.v) for r in added.collect()) == [("1", "a"), ("2", "b"), ("3", "C"), ("None", "n")]
+    assert upsert.insert_new(added, new, ["k"]).count() == 4  # a null key is found again, as any other
+    two = spark.createDataFrame([(1, None, "x"), (None, None, "y")], "a int, b int, v string")
+    assert sorted(r.v for r in upsert.insert_new(two, spark.createDataFrame([(1, None, "z"), (None, 2, "w"), (None, None, "u")], "a int, b int, v string"), ["a", "b"]).collect()) == ["w", "x", "y"]
 
 
 def test_conversion(spark):
@@ -395,6 +399,37 @@ def test_visible_rows(spark):
     assert [tuple(x) for x in visible.commentary(docs, "document_id", "xhtml").collect()] == [("d", "second_half_revenue_growth", "7%")]
 
 
+def test_ranks_of_uneven_keys(spark, monkeypatch):
+    """One key far from the rest, many equal ones, and nulls: ranks are those of a sort, and chunks stay near their size."""
+    import random
+
+    from tallyfold.operators import sampling
+
+    monkeypatch.setattr(sampling, "CHUNK_ROWS", 100)
+    keys = [*range(3000), 2**61, -(2**61), *[7] * 40, None]
+    random.Random(1).shuffle(keys)
+    rows = spark.createDataFrame([(k, "a" if j % 3 else None) for j, k in enumerate(keys)], "k long, s string").repartition(3)
+    got = sampling.ranked(rows, ["s"], "k", "r", "n").collect()
+    for s in ("a", None):
+        mine = sorted((r for r in got if r.s == s), key=lambda r: r.r)
+        assert [r.r for r in mine] == list(range(1, len(mine) + 1)) and {r.n for r in mine} == {len(mine)}
+        assert [r.k for r in mine] == sorted([r.k for r in mine], key=lambda k: (k is not None, k or 0))
+    cuts = sorted({k for k in keys if k is not None})[::90]
+    sizes = rows.groupBy(sampling._chunk(F.col("k"), cuts).alias("c")).count().collect()
+    assert max(r["count"] for r in sizes) <= 90 + 40 and [r["count"] for r in sizes if r.c == -1] == [1]
+    assert {r.k: r.c for r in rows.select("k", sampling._chunk(F.col("k"), cuts).alias("c")).collect() if r.k is not None} == {k: sum(c < k for c in cuts) for k in keys if k is not None}
+
+
+def test_home_currency_takes_no_part_in_the_lookup(spark):
+    empty = schemas.ensure_schema(spark.createDataFrame([], "series string"), "fx_rates")
+    rates = fx.import_rates(empty, spark.createDataFrame([(date(2024, 1, 31), Decimal(2), "p1")], "rate_date date, rate decimal(20,8), payload string"), "USD", "X", "http://bank")
+    rows = [period(k, "1", end=date(2024, 2, 3), currency_code="GBP" if k % 10 else "USD", turnover=k) for k in range(50)] + [period(99, "1", end=None, currency_code=None, turnover=5)]
+    p = table(spark, "periods", [r | {"currency_validation_status": "valid"} for r in rows])
+    got = {r.summary_id: (r.status, r.reason, r.turnover_pence, str(r.rate_date)) for r in fx.convert(p, rates).collect()}
+    assert all(got[k] == (("converted", None, 50 * k, "2024-01-31") if k % 10 == 0 else ("converted", None, 100 * k, "None")) for k in range(50))
+    assert got[99] == ("pending", "missing_period_end", None, "None")
+
+
 def test_payloads_are_shredded(spark):
     import json
 
