@@ -165,17 +165,15 @@ def last_path_segment(url: Column) -> Column:
 _STRAY_COMMA = re.compile(r'"(?:[^"\\]|\\.)*"|,(?=\s*[}\]])', re.S)
 
 
+def repaired_json(text: str | None) -> str | None:
+    """JSON text without what stands around the outermost braces and without commas before a closing bracket; None without braces."""
+    start, end = (text.find("{"), text.rfind("}")) if text is not None else (-1, -1)
+    return _STRAY_COMMA.sub(lambda m: "" if m[0] == "," else m[0], text[start : end + 1]) if 0 <= start < end else None
+
+
 def repair_json(text: Column) -> Column:
     """JSON text without a code fence, text around the outermost braces, and commas before a closing bracket.
 
     Commas within strings stay. Text without an opening brace is null.
     """
-
-    def repaired(texts: pa.Array) -> pa.Array:
-        out = []
-        for t in texts.to_pylist():
-            start, end = (t.find("{"), t.rfind("}")) if t is not None else (-1, -1)
-            out.append(_STRAY_COMMA.sub(lambda m: "" if m[0] == "," else m[0], t[start : end + 1]) if 0 <= start < end else None)
-        return pa.array(out, pa.string())
-
-    return F.arrow_udf(repaired, "string")(text)
+    return F.arrow_udf(lambda texts: pa.array([repaired_json(t) for t in texts.to_pylist()], pa.string()), "string")(text)

@@ -24,7 +24,6 @@ are zero.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -42,36 +41,43 @@ class AlertProcessor(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "at long", "last_processed_at long, pending long, with_financials long, errors long")
+        self.waiting = handle.getListState("waiting", "at long, last_processed_at long, pending long, with_financials long, errors long")
         self.seen = handle.getValueState("seen", "with_financials long, errors long, idle int, finished boolean, processed long, told long, due long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for r in rows:
-            at, values = (r.at,), (r.last_processed_at, r.pending, r.with_financials, r.errors)
-            before = tuple(self.waiting.getValue(at)) if self.waiting.containsKey(at) else None
-            if before is None or _rank(values) > _rank(before):
-                self.waiting.updateValue(at, values)
-            self.handle.registerTimer(r.at)
+        new = [(r.at, r.last_processed_at, r.pending, r.with_financials, r.errors) for r in rows]
+        self.waiting.appendList(new)
+        self.handle.registerTimer(min(at for at, *_ in new))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """Judge all snapshots that the watermark has passed; a timer is set for the first of the others."""
         now = timerValues.getCurrentWatermarkInMs()
-        ready = sorted(at for (at, *_) in self.waiting.keys() if at < now)
+        waiting = [tuple(r) for r in self.waiting.get()]
+        ready: dict[int, tuple] = {}
+        for at, *values in waiting:
+            if at < now:
+                ready[at] = max(ready.get(at, tuple(values)), tuple(values), key=_rank)
+        rest = [r for r in waiting if r[0] >= now]
+        if rest:
+            self.waiting.put(rest)
+            self.handle.registerTimer(min(r[0] for r in rest))
+        else:
+            self.waiting.clear()
         state = tuple(self.seen.get()) if self.seen.exists() else None
         found = []
-        for at in ready:
-            state, told = self.step(state, at, tuple(self.waiting.getValue((at,))))
-            self.waiting.removeKey((at,))
+        for at in sorted(ready):
+            state, told = self.step(state, at, ready[at])
             found += told
         if state:
-            *rest, processed, told, due = state
+            *rules, processed, told, due = state
             if due is not None and due < now:
                 found.append(("stalled", due))
-                state = (*rest, processed, processed, None)
+                state = (*rules, processed, processed, None)
             elif due is not None:
                 self.handle.registerTimer(due)
             self.seen.update(state)
-        return iter([Row(queue=key[0], alert=a, at=datetime.fromtimestamp(t / 1000, timezone.utc).replace(tzinfo=None)) for a, t in found])
+        return iter([Row(queue=key[0], alert=a, millis=t) for a, t in found])
 
     def step(self, state: tuple | None, at: int, snapshot: tuple) -> tuple[tuple, list[tuple[str, int]]]:
         """The state after a snapshot, and the alerts (kind, time) that it makes known."""
@@ -115,7 +121,8 @@ def alert_stream(snapshots: DataFrame, stall_minutes: int, streak: int, delay: s
     millis = lambda c: F.unix_millis(F.col(c).cast("timestamp"))
     rows = snapshots.where("queue is not null and taken_at is not null").withWatermark("taken_at", delay)
     rows = rows.select("queue", "taken_at", millis("taken_at").alias("at"), millis("last_processed_at").alias("last_processed_at"), *[F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(c) for c in VALUES[1:]])
-    return rows.groupBy("queue").transformWithState(AlertProcessor(stall_minutes * 60_000, streak), "queue string, alert string, at timestamp", "Append", "EventTime")
+    found = rows.groupBy("queue").transformWithState(AlertProcessor(stall_minutes * 60_000, streak), "queue string, alert string, millis long", "Append", "EventTime")
+    return found.select("queue", "alert", F.timestamp_millis("millis").alias("at"))
 
 
 def run_alerts(snapshots: DataFrame, out: str, checkpoint: str, stall_minutes: int, streak: int, delay: str = "1 hour") -> None:
