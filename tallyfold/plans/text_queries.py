@@ -31,7 +31,13 @@ def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.md5(text.strip_tags(F.coalesce("html", F.lit("")))).alias("text_md5"))
 
 
-@query()
+@query(r"""
+    WITH h AS (SELECT page_id, regexp_replace(coalesce(html, ''), '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>', ' ', 'g') AS h FROM pages),
+    l AS (SELECT page_id, regexp_replace(regexp_replace(h, '(?i)</?(?:p|div|br|tr|li|h[1-6]|table|section|article|header|footer|ul|ol)\b[^>]*>', chr(10), 'g'), '<[^>]+>', ' ', 'g') AS l FROM h),
+    e AS (SELECT page_id, string_split(replace(replace(replace(replace(l, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'), chr(10)) AS lines FROM l),
+    t AS (SELECT page_id, list_filter(list_transform(lines, lambda x: trim(regexp_replace(x, '[ \t\n\r\f\v]+', ' ', 'g'))), lambda x: x <> '') AS lines FROM e)
+    SELECT page_id, array_to_string(list_transform(lines, lambda x: CASE WHEN regexp_matches(x, '^([-+*]\s|#{1,6}\s|>)') THEN chr(92) || x ELSE regexp_replace(x, '^(\d+)([.)])(\s)', '\1\\\2\3') END), chr(10) || chr(10)) AS markdown FROM t
+""")
 def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.readable_markdown(F.col("html")).alias("markdown"))
 
@@ -55,11 +61,30 @@ def sentence_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return narrative.performance_statements(docs, "doc_id", "pages", ("the", "der", "que", "des"))
 
 
-@query()
+_SPAN_KEYS = {"the": "the and", "released": "released under", "rights": "all rights reserved"}
+
+
+def _span_sql() -> str:
+    """Matches are marked in texts with a sign before and after every character that parts words."""
+    marked = r"regexp_replace(coalesce(text, ''), '([^\pL\pN_])', chr(3) || '\1' || chr(3), 'g')"
+    for key, words in _SPAN_KEYS.items():
+        pattern = words.replace(" ", r"\x03 \x03")
+        marked = rf"regexp_replace({marked}, '(?i)(^|\x03)({pattern})(\x03|$)', '\1' || chr(4) || '{key}' || chr(5) || '\2\3', 'g')"
+    return f"""
+        WITH m AS (SELECT doc_id, string_split({marked}, chr(4)) AS pieces FROM documents),
+        s AS (SELECT doc_id, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS k FROM m),
+        t AS (SELECT doc_id, k, CASE WHEN k > 1 THEN string_split(piece, chr(5))[1] END AS section_key, replace(CASE WHEN k > 1 THEN substr(piece, strpos(piece, chr(5)) + 1) ELSE piece END, chr(3), '') AS own FROM s),
+        u AS (SELECT *, coalesce(sum(length(own)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM t)
+        SELECT doc_id, section_key, substr(own, 1, CASE section_key WHEN 'the' THEN 7 WHEN 'released' THEN 14 ELSE 19 END) AS heading, CAST(start AS INTEGER) AS "start",
+            CAST(start + least(length(own), 6000) AS INTEGER) AS "end" FROM u WHERE k > 1
+    """
+
+
+@query(_span_sql())
 def section_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequent words of the synthetic prose stand for headings."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return narrative.heading_spans(docs, "doc_id", "text", [("the", r"\bthe and\b"), ("released", r"\breleased under\b"), ("rights", r"\ball rights reserved\b")])
+    return narrative.heading_spans(docs, "doc_id", "text", [(k, rf"\b{words}\b") for k, words in _SPAN_KEYS.items()])
 
 
 @query("""
