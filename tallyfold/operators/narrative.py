@@ -74,9 +74,9 @@ def heading_spans(documents: DataFrame, key: str, body: str, headings: list[tupl
 
 
 def _last_match(value: Column, pattern: str) -> Column:
-    """Where the last match ends in the text, 0 without one."""
-    parts = F.regexp_extract_all(value, F.lit(f"(?s)(.*{pattern.replace('(?i)', '(?i:', 1)}))" if pattern.startswith("(?i)") else f"(?s)(.*{pattern})"), 1)
-    return F.coalesce(F.length(F.try_element_at(parts, F.lit(1))), F.lit(0))
+    """Where the last match ends in the text, 0 without one; looked for from the end once, not from every place."""
+    inner = f"(?i:{pattern[4:]})" if pattern.startswith("(?i)") else f"(?:{pattern})"
+    return F.length(F.regexp_extract(value, rf"(?s)\A(.*{inner})", 1))
 
 
 def sections(documents: DataFrame, key: str, pages: str) -> DataFrame:
