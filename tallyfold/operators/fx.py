@@ -89,3 +89,31 @@ def convert(periods: DataFrame, rates: DataFrame, tolerance_days: int = TOLERANC
         rate.alias("rate"),
         *[arithmetic.to_pence(amount(c), narrow).alias(f"{c}_pence") for c in AMOUNTS],
     )
+
+
+def rate_months(rates: DataFrame, tolerance_days: int = TOLERANCE_DAYS) -> DataFrame:
+    """(source_currency, month, rates_hash): a hash of all rates that a period ending in the month may take, whatever their order."""
+    home = rates.where("target_currency = 'GBP' and rate_date is not null")
+    reach = home.withColumn("month", F.explode(F.sequence(_month(F.col("rate_date")), _month(F.date_add("rate_date", tolerance_days)))))
+    return reach.groupBy("source_currency", "month").agg(F.expr("bit_xor(xxhash64(rate_date, rate, payload_hash))").alias("rates_hash"))
+
+
+def convert_changed(periods: DataFrame, rates: DataFrame, stored: DataFrame | None = None, tolerance_days: int = TOLERANCE_DAYS) -> DataFrame:
+    """The columns of ``convert`` with ``basis`` and ``recomputed``: stored conversions where nothing that they rest on has changed, new ones elsewhere.
+
+    A conversion's basis is a hash of the period's currency, end and amounts, and of
+    the rates of its month; ``stored`` is an earlier result of this function. Only
+    periods without a stored conversion of the same basis are looked up again, and
+    only these rows have to be written. A period has one row, by its id.
+    """
+    valid = periods.where("currency_validation_status = 'valid'").withColumn("month", _month(F.col("period_end_on")))
+    months = rate_months(rates, tolerance_days).alias("m")
+    same = (F.col("p.currency_code") == F.col("m.source_currency")) & (F.col("p.month") == F.col("m.month"))
+    based = valid.alias("p").join(months, same, "left").select("p.*", F.xxhash64("p.currency_code", "p.period_end_on", *[f"p.{c}" for c in AMOUNTS], F.when(F.col("p.currency_code") != "GBP", F.col("m.rates_hash"))).alias("basis"))
+    if stored is None:
+        return convert(based, rates, tolerance_days).join(based.select(F.col("id").alias("summary_id"), "basis"), "summary_id").withColumn("recomputed", F.lit(True))
+    old = stored.drop("recomputed")
+    kept = old.join(based.select(F.col("id").alias("summary_id"), "basis"), ["summary_id", "basis"], "left_semi")
+    changed = based.join(old.select(F.col("summary_id").alias("id"), "basis"), ["id", "basis"], "left_anti")
+    new = convert(changed, rates, tolerance_days).join(changed.select(F.col("id").alias("summary_id"), "basis"), "summary_id")
+    return kept.withColumn("recomputed", F.lit(False)).unionByName(new.withColumn("recomputed", F.lit(True)))

@@ -9,6 +9,7 @@ from tallyfold.operators import fx, leads, sampling, timeseries, triage, upsert,
 from tallyfold.plans import store
 from tallyfold.plans.registry import query, table
 from tallyfold.plans.service import LeadService
+from tallyfold.sources import scratch
 
 NEWEST_SQL = """newest AS (SELECT * FROM st_periods WHERE period_type = 'current' QUALIFY row_number() OVER (PARTITION BY company_number ORDER BY financial_year DESC NULLS LAST, id DESC) = 1)"""
 SITES_SQL = """sites AS (SELECT i.*, s.ppc_fit_score, s.has_checkout, s.cta_count,
@@ -297,6 +298,30 @@ def periods_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("summary_id", "status", "reason", F.col("rate_date").cast("string").alias("rate_date"), F.when(F.col("currency_code") == "GBP", F.col("turnover_pence")).alias("own_pence"))
 
 
+ORDER_RATES = """SELECT CAST(o_orderdate AS DATE) AS d, o_orderkey AS k, CAST(o_custkey % 90 + 10 AS DECIMAL(20,8)) AS rate FROM {orders}"""
+
+
+@query(f"""
+    WITH {store.sql('periods')}, r AS ({ORDER_RATES.format(orders='orders')}), rates AS (SELECT d AS rate_date FROM r GROUP BY 1),
+    p AS (SELECT id, currency_code, period_end_on AS due FROM st_periods WHERE currency_validation_status = 'valid'),
+    j AS (SELECT p.*, CASE WHEN rate_date >= due - INTERVAL 10 DAY THEN rate_date END AS rate_date FROM p ASOF LEFT JOIN rates ON p.due >= rates.rate_date),
+    new AS (SELECT DISTINCT year(d) * 12 + month(d) AS m FROM r WHERE k % 200 = 0 UNION SELECT year(d + INTERVAL 10 DAY) * 12 + month(d + INTERVAL 10 DAY) FROM r WHERE k % 200 = 0)
+    SELECT id AS summary_id, CASE WHEN currency_code = 'GBP' OR rate_date IS NOT NULL THEN 'converted' ELSE 'pending' END AS status,
+        CASE WHEN currency_code = 'GBP' OR rate_date IS NOT NULL THEN NULL WHEN due IS NULL THEN 'missing_period_end' ELSE 'missing_rate' END AS reason,
+        CAST(CASE WHEN currency_code <> 'GBP' THEN rate_date END AS VARCHAR) AS rate_date,
+        currency_code <> 'GBP' AND coalesce(year(due) * 12 + month(due) IN (SELECT m FROM new), false) AS recomputed
+    FROM j
+""")
+def conversions_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversions after a few more rates have come in: only periods of months that these reach are looked up again."""
+    rows = spark.sql(ORDER_RATES, orders=table(spark, sf_dir, "orders")).select(F.col("d").alias("rate_date"), "rate", F.col("k").cast("string").alias("payload"), "k")
+    before = fx.import_rates(spark.createDataFrame([], schemas.schema("fx_rates")), rows.where("k % 200 <> 0").drop("k"), "USD", "S1", "u")
+    rates = scratch.written(fx.import_rates(before, rows.drop("k"), "USD", "S1", "u"), "rates")
+    periods = store.Store(spark, sf_dir)["periods"]
+    stored = scratch.written(fx.convert_changed(periods, before), "conversions")
+    return fx.convert_changed(periods, rates, stored).select("summary_id", "status", "reason", F.col("rate_date").cast("string").alias("rate_date"), "recomputed")
+
+
 @query(f"""
     WITH {store.sql('periods')}, p AS (SELECT * FROM st_periods WHERE period_type = 'previous'), c AS (SELECT * FROM st_periods WHERE period_type = 'current' AND period_end_on IS NOT NULL),
     pairs AS (SELECT p.id, p.turnover AS a, c.turnover AS b, p.cash AS ca, c.cash AS cb FROM p JOIN c ON p.company_number = c.company_number AND p.period_end_on = c.period_end_on AND p.document_id <> c.document_id

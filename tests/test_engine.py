@@ -430,6 +430,26 @@ def test_home_currency_takes_no_part_in_the_lookup(spark):
     assert got[99] == ("pending", "missing_period_end", None, "None")
 
 
+def test_only_changed_conversions_are_made_again(spark):
+    empty = schemas.ensure_schema(spark.createDataFrame([], "series string"), "fx_rates")
+    day = lambda rows: spark.createDataFrame(rows, "rate_date date, rate decimal(20,8), payload string")
+    first = [(date(2024, 1, 5), Decimal(2), "p1"), (date(2024, 1, 28), Decimal(3), "p2"), (date(2024, 5, 1), Decimal(4), "p3")]
+    rates = fx.import_rates(empty, day(first), "USD", "X", "u")
+    ends = [date(2024, 1, 8), date(2024, 2, 2), date(2024, 2, 20), date(2024, 5, 3), None]
+    rows = [period(k, "1", end=e, currency_code="USD", turnover=10 + k) for k, e in enumerate(ends)] + [period(10 + k, "1", end=e, currency_code="GBP", turnover=1) for k, e in enumerate(ends)] + [period(20, "1", end=ends[0], currency_code=None)]
+    valid = lambda rows: table(spark, "periods", [r | {"currency_validation_status": "valid"} for r in rows])
+    whole = lambda df: sorted(map(str, df.drop("basis", "recomputed").collect()))
+    done = spark.createDataFrame(fx.convert_changed(valid(rows), rates).collect(), fx.convert_changed(valid(rows), rates).schema)
+    assert whole(done) == whole(fx.convert(valid(rows), rates)) and done.where("recomputed").count() == 11
+    again = fx.convert_changed(valid(rows), rates, done)
+    assert whole(again) == whole(done) and again.where("recomputed").count() == 0
+    more = fx.import_rates(rates, day([(date(2024, 1, 31), Decimal(5), "p4")]), "USD", "X", "u")  # reaches January and February
+    rows[3] = rows[3] | {"turnover": 99}
+    found = fx.convert_changed(valid(rows), more, done)
+    assert whole(found) == whole(fx.convert(valid(rows), more)) and {r.summary_id for r in found.where("recomputed").collect()} == {0, 1, 2, 3}
+    assert {r.summary_id for r in fx.convert_changed(valid(rows[1:]), more, done).collect()} == {r["id"] for r in rows[1:]}
+
+
 def test_payloads_are_shredded(spark):
     import json
 
