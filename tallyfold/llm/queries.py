@@ -26,8 +26,9 @@ URL_RULES = [
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 ]
-#: Listed domains; each covers its subdomains.
-BLOCKED_DOMAINS = ["spam-farm.example.org", "cheap-pills.example.com", "link-farm.example.net", "ththre.example.org", "ththes.example.net"]
+#: Listed domains, families of unwanted sites under each top domain; each covers its subdomains.
+BLOCKED_FAMILIES = ["adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+BLOCKED_DOMAINS = [f"{family}.example.{top}" for family in BLOCKED_FAMILIES for top in ("com", "net", "org")]
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,3 +136,17 @@ def test_op13(spark):
         pairs = np.array([(r.whitened, want[r.vec_id][1][c - 1]) for r in got if r.component == c])
         assert min(np.abs(pairs[:, 0] - pairs[:, 1]).max(), np.abs(pairs[:, 0] + pairs[:, 1]).max()) < 1e-6
     assert all(r.explained == pytest.approx(explained[r.component - 1], rel=1e-9) and r.identity_error < 1e-8 for r in got)
+
+
+def test_op1_blocks_every_listed_family(spark):
+    """Bad hosts that no path rule decides, at any depth, and their neighbours in name."""
+    from tallyfold.llm import url_filter
+
+    hosts = {f"http://{sub}{f}.example.{top}/x": True for sub in ("", "www.", "m.blog.") for f in queries.BLOCKED_FAMILIES for top in ("org", "net")}
+    hosts |= {f"http://{h}/x": False for h in ("not-adult-x.example.net", "adult-x.example.org.evil.net", "example.org", "casino-wins.example.org", "win.example.net")}
+    pages = spark.createDataFrame(list(enumerate(hosts)), "page_id long, url string")
+    listed = spark.createDataFrame([(d,) for d in queries.BLOCKED_DOMAINS], "key string")
+    got = {r.url: r.verdict for r in url_filter.judge_urls(pages, queries.URL_RULES, listed).collect()}
+    assert got == {u: "block" if bad else "allow" for u, bad in hosts.items()}
+    found = {f"{r.host}": r.verdict for r in queries.op1_url_filter(spark, SF).collect()}
+    assert any(h.split(".")[-3] in queries.BLOCKED_FAMILIES and v == "block" for h, v in found.items() if h.count(".") >= 2)
