@@ -52,8 +52,8 @@ def unmatched_batches(results: DataFrame, rendered: DataFrame, batch: str = "bat
 
 def needs_page_numbers(payloads: DataFrame) -> Column:
     """Whether a saved payload (n_candidates, pages of (page string, is_text, n_rows)) lost its rows since its pages are numbers written as text."""
-    lost = F.exists(F.coalesce("pages", F.array().cast("array<struct<page:string,is_text:boolean,n_rows:int>>")), lambda p: p["is_text"] & p["page"].rlike(r"^\s*[0-9]+\s*$") & (p["n_rows"] > 0))
-    return (F.coalesce("n_candidates", F.lit(0)) == 0) & lost
+    lost = F.exists("pages", lambda p: p["is_text"] & p["page"].rlike(r"^\s*[0-9]+\s*$") & (p["n_rows"] > 0))
+    return (F.coalesce("n_candidates", F.lit(0)) == 0) & F.coalesce(lost, F.lit(False))
 
 
 def error_field(message: Column) -> Column:

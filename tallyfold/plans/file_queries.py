@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.operators import narrative, reports, visible
+from tallyfold.operators import narrative, replay, reports, substring, visible
 from tallyfold.plans.registry import query, table
 from tallyfold.sources import bulk, files, named, scratch
 
@@ -222,3 +224,34 @@ def case_skeletons(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections = F.when(F.col("c_custkey") % 4 > 0, F.create_map(F.lit("segment"), F.col("c_mktsegment")))
     contexts = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("company_number"), F.col("c_name").alias("company_name"), F.lit(None).cast("int").alias("financial_year"), F.col("c_nationkey").cast("string").alias("sic_code"), F.lit(None).cast("string").alias("sic_label"), F.col("c_custkey").alias("narrative_run_id"), sections.alias("sections"))
     return reports.case_skeletons(contexts, ["business_model"]).select("company_number", F.md5("case_json").alias("case_md5"))
+
+
+_ASKED = ["Released under", "all rights reserved", "the and", "zzzz"]
+
+
+@query(" UNION ALL ".join(f"SELECT '{q}' AS question, doc_id, md5(text) AS text_md5 FROM documents WHERE contains(lower(text), '{q.lower()}')" for q in _ASKED))
+def texts_searched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions answered from an index of all texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = substring.SubstringIndex(spark, scratch.folder(spark, "pieces"), "doc_id").build(docs, "text")
+    found = [index.search(docs, q, "text").select(F.lit(q).alias("question"), "doc_id", F.md5("text").alias("text_md5")) for q in _ASKED]
+    return functools.reduce(DataFrame.unionAll, found)
+
+
+@query("""
+    WITH l AS (SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS q FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) = 1)
+    SELECT l_orderkey, CASE WHEN l_orderkey % 3 = 0 THEN 'replayed' ELSE 'kept' END AS outcome, CASE WHEN l_orderkey % 3 = 0 AND l_orderkey % 2 = 0 THEN q * 100 END AS turnover_pence FROM l
+""")
+def payloads_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saved extractions of orders; of a third the page number is text and the rows were lost, and half of these get an answer."""
+    line = F.struct("l_linenumber", "l_partkey", F.col("l_quantity").cast("long").cast("string").alias("q"))
+    orders = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))  # an order's own lines
+    text = lambda s: F.lit(s).cast("string")
+    rows = F.transform("lines", lambda x: F.struct(text("turnover").alias("metric"), text("Turnover").alias("source_label"), x["q"].alias("current_display"), text(None).alias("previous_display"), F.lit(0.9).alias("confidence")))
+    page = lambda number: F.to_json(F.struct(F.struct(F.array().cast("array<string>").alias("candidates"), F.struct(F.array(F.struct(number.alias("page"), text("income_statement").alias("statement_type"), text("Group").alias("statement_scope"), text("GBP").alias("unit"), rows.alias("rows"))).alias("pages")).alias("detail")).alias("raw_extraction")))
+    saved = orders.select("l_orderkey", F.when(F.col("l_orderkey") % 3 == 0, page(text("3"))).otherwise(page(F.lit(3))).alias("payload"))
+    answer = '{"financial_period_summaries": {"current": {"turnover": {"candidate_id": "p-0-r-0"}}, "previous": {}}}'
+    reply = F.struct(F.when(F.col("l_orderkey") % 2 == 0, answer).otherwise("no answer").alias("text"), text(None).alias("error"), F.lit(None).cast("map<string,bigint>").alias("usage"), F.lit(0.0).alias("seconds"))
+    replies = orders.select("l_orderkey", F.array(reply).alias("replies"))
+    found = replay.replayed(saved, lambda c: replay.decided_by_calls(c, "l_orderkey", replies), "l_orderkey")
+    return found.select("l_orderkey", "outcome", F.get("replayed", F.lit(0))["value_pence"].cast("long").alias("turnover_pence"))
