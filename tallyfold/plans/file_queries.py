@@ -239,7 +239,7 @@ def texts_searched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH l AS (SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS q FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) = 1)
+    WITH l AS (SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS q FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)) = 1)
     SELECT l_orderkey, CASE WHEN l_orderkey % 3 = 0 THEN 'replayed' ELSE 'kept' END AS outcome, CASE WHEN l_orderkey % 3 = 0 AND l_orderkey % 2 = 0 THEN q * 100 END AS turnover_pence FROM l
 """)
 def payloads_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:

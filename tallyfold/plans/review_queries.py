@@ -94,7 +94,7 @@ def employees_told(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT l_orderkey, string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber % 3, l_linenumber, l_partkey) AS pages, string_agg(l_returnflag, ',' ORDER BY l_linenumber % 3, l_linenumber, l_partkey) AS labels FROM lineitem GROUP BY 1
+    SELECT l_orderkey, string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber % 3, l_linenumber, l_partkey, l_returnflag) AS pages, string_agg(l_returnflag, ',' ORDER BY l_linenumber % 3, l_linenumber, l_partkey, l_returnflag) AS labels FROM lineitem GROUP BY 1
 """)
 def figures_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and labels behind a figure, in the order of its rows."""
