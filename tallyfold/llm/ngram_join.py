@@ -402,16 +402,16 @@ class ChosenPathJoin:
         largest part among themselves and with that part. Pairs that are left out
         are of one part, so the classes are those of all pairs.
         """
-        wanted = stored(self._sized(sets, groups), "wanted")
+        wanted = stored(self._tokens(docs, self._sized(sets, groups)), "tokens")  # the texts are read once, whatever follows
         blocks = F.ceil(F.col("size") / self.block)
         own = F.pmod(F.xxhash64("set_id", F.lit(7)), blocks).cast("int")
-        inside = self._tokens(docs, wanted).withColumns({"i": own, "j": own, "own": own})
-        found = stored(self._links(inside).select("set_id", "root"), "inside")
+        found = stored(self._links(wanted.withColumns({"i": own, "j": own, "own": own})).select("set_id", "root"), "inside")
         large = wanted.where(F.col("size") > self.block).select("root", "set_id")
+        tokens = wanted.where(F.col("size") > self.block).select("set_id", "tokens")
         if large.isEmpty():
             return found
         heads = self._parts(large, found).where("set_id = part").select("root", "set_id")
-        across = _dealt(self._tokens(docs, self._sized(sets, heads)), "root", "set_id", "size", self.block)
+        across = _dealt(self._sized(sets, heads).drop("first_id").join(tokens, "set_id"), "root", "set_id", "size", self.block)
         found = stored(found.unionAll(self._links(across).select("set_id", "root")), "heads")
         parts = self._parts(large, found)
         largest = parts.groupBy("root", "part").agg(F.count("*").alias("n")).groupBy("root").agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts"))
@@ -419,15 +419,15 @@ class ChosenPathJoin:
         if parts.isEmpty():
             return found
         rest, main = (stored(self._sized(sets, parts.where(side).select("root", "set_id")), "sides") for side in ("not main", "main"))
-        rows = _dealt(self._tokens(docs, rest), "root", "set_id", "size", self.block).unionByName(self._dealt_across(docs, rest, main), allowMissingColumns=True)
+        rows = _dealt(rest.drop("first_id").join(tokens, "set_id"), "root", "set_id", "size", self.block).unionByName(self._dealt_across(tokens, rest, main), allowMissingColumns=True)
         return stored(found.unionAll(self._links(rows).select("set_id", "root")), "united")
 
-    def _dealt_across(self, docs: DataFrame, rest: DataFrame, main: DataFrame) -> DataFrame:
+    def _dealt_across(self, tokens: DataFrame, rest: DataFrame, main: DataFrame) -> DataFrame:
         """Tasks (root, i, j) that compare a block i of the one side with a block of the other; j is below zero."""
         sides = []
         for side, other, k in ((rest, main, 0), (main, rest, 1)):
             met = other.groupBy("root").agg(F.max("size").alias("met"))
-            rows = self._tokens(docs, side.join(met, "root"))
+            rows = side.drop("first_id").join(met, "root").join(tokens, "set_id")
             own = F.pmod(F.xxhash64("set_id", F.lit(7)), F.ceil(F.col("size") / self.block)).cast("int")
             rows = rows.withColumns({"block": own, "other": F.explode(F.sequence(F.lit(0), F.ceil(F.col("met") / self.block).cast("int") - 1))})
             i, j = ("block", "other") if k == 0 else ("other", "block")
