@@ -49,8 +49,14 @@ class SubstringIndex:
         pieces.repartition("bucket").sortWithinPartitions("bucket", "piece").write.partitionBy("bucket").parquet(f"{self.path}/pieces")
         counts = self.spark.read.parquet(f"{self.path}/pieces").groupBy("bucket", "piece").agg(F.count("*").alias("n"))
         counts.repartition("bucket").sortWithinPartitions("bucket", "piece").write.partitionBy("bucket").parquet(f"{self.path}/counts")
+        rows.agg(F.count("*").alias("texts")).write.parquet(f"{self.path}/size")
         return self
 
+    def share_read(self, question: str) -> float:
+        """The share of the indexed texts that a search for the question looks into."""
+        found, texts = self.candidates(question), self.spark.read.parquet(f"{self.path}/size").first().texts
+        return 1.0 if found is None else found.count() / max(1, texts)
+
     def _asked(self, question: str) -> list[str]:
         lower = self.spark.range(1).select(F.lower(F.lit(question))).first()[0]
         return sorted({lower[i : i + PIECE] for i in range(len(lower) - PIECE + 1)})

@@ -255,3 +255,16 @@ def payloads_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     replies = orders.select("l_orderkey", F.array(reply).alias("replies"))
     found = replay.replayed(saved, lambda c: replay.decided_by_calls(c, "l_orderkey", replies), "l_orderkey")
     return found.select("l_orderkey", "outcome", F.get("replayed", F.lit(0))["value_pence"].cast("long").alias("turnover_pence"))
+
+
+@query("""
+    SELECT 'C' || s_suppkey || '_T' || s_suppkey || '.md' AS name, s_name || chr(10) || chr(10) || chr(92) || '- item ' || s_suppkey || chr(10) || chr(10) || CAST(s_nationkey AS VARCHAR) || chr(92) || '. place' AS content FROM supplier
+""")
+def filings_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filings written as readable pages under their names, read back as whole files."""
+    number = F.col("s_suppkey").cast("string")
+    markup = F.concat(F.lit("<head><title>x</title></head><h1>"), "s_name", F.lit("</h1><div>- item "), number, F.lit("<br/></div><p>"), F.col("s_nationkey").cast("string"), F.lit(". <b>place</b></p>"))
+    path = scratch.folder(spark, "filings")
+    named.save_filings(table(spark, sf_dir, "supplier").select(F.concat(F.lit("C"), number).alias("company_number"), F.concat(F.lit("T"), number).alias("transaction_id"), markup.alias("markup")), path)
+    pages = spark.read.option("pathGlobFilter", "*.md").text(path, wholetext=True)
+    return pages.select(F.substring_index(F.col("_metadata.file_path"), "/", -1).alias("name"), F.col("value").alias("content"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallyfold.functions import arithmetic, text
 from tallyfold.operators import leads, timeseries, upsert, websites
 from tallyfold.operators.narrative import SECTION_HEADINGS
+from tallyfold.operators.substring import SubstringIndex
 
 SCORES = ["ecommerce_signal_score", "lead_generation_signal_score", "b2b_service_signal_score", "local_presence_signal_score", "ppc_fit_score"]
 NUMBERS = [
@@ -22,10 +25,12 @@ class LeadService:
 
     Industry groups are a small dimension of fixed size and are joined on the
     first five characters of a lead's code; Spark broadcasts them by their size.
+    ``indexes`` are substring indexes of a table's texts, by the table's name, with
+    its ``id``: searches then look into the texts that can hold the question only.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame]):
-        self.t = tables
+    def __init__(self, tables: Mapping[str, DataFrame], indexes: Mapping[str, SubstringIndex] | None = None):
+        self.t, self.indexes = tables, indexes or {}
 
     def _top(self, rows: DataFrame, order: list[Column], limit: int) -> DataFrame:
         return rows.orderBy(*order).limit(arithmetic.bounded(limit))
@@ -87,7 +92,7 @@ class LeadService:
         return out.withColumns({"has_financials": F.col("financials").isNotNull(), "has_website_investigation": F.col("website_investigation").isNotNull()})
 
     def compare(self, numbers: list[str], latest_only: bool = False) -> DataFrame:
-        """Leads side by side; several years or investigations give several rows unless ``latest_only``."""
+        """Leads side by side, of the first hundred numbers; several years or investigations give several rows unless ``latest_only``."""
         wanted = self.t["leads"].where(F.col("company_number").isin(numbers[:100]))
         current = self.t["periods"].where("period_type = 'current'")
         current = timeseries.latest_period(current) if latest_only else current
@@ -105,11 +110,17 @@ class LeadService:
 
     def _text_search(self, table: str, columns: list[str], query: str, order: list[str], limit: int) -> DataFrame:
         runs = self.t["narrative_runs"].select(F.col("id").alias("narrative_run_id"), "company_number", "document_id")
-        rows = self.t[table].join(runs, "narrative_run_id").join(self.t["companies"].select("company_number", "company_name"), "company_number", "left")
-        hit = F.lit(False)
-        for c in columns:
-            hit = hit | F.coalesce(F.contains(F.lower(F.col(c)), F.lit(query.lower())), F.lit(False))
-        return self._top(rows.where(hit), [F.asc(c) for c in order], limit)
+        *names, body = columns
+        holds = lambda cs: functools.reduce(operator.or_, [F.coalesce(F.contains(F.lower(F.col(c)), F.lit(query.lower())), F.lit(False)) for c in cs], F.lit(False))
+        texts = self.t[table]
+        can = self.indexes[table].candidates(query) if table in self.indexes else None
+        if can is None:
+            found = texts.where(holds(columns))
+        else:
+            found = texts.join(can, "id", "left_semi").where(holds([body]) & ~holds(names)).select(texts.columns)
+            found = found.unionAll(texts.where(holds(names))) if names else found
+        rows = found.join(runs, "narrative_run_id").join(self.t["companies"].select("company_number", "company_name"), "company_number", "left")
+        return self._top(rows, [F.asc(c) for c in order], limit)
 
     def search_sections(self, query: str, limit: int = 20) -> DataFrame:
         return self._text_search("narrative_sections", ["section_key", "section_title", "section_text"], query, ["company_number", "section_key", "id"], limit)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyfold import schemas
-from tallyfold.operators import fx, leads, sampling, timeseries, triage, upsert, websites
+from tallyfold.operators import fx, leads, sampling, substring, timeseries, triage, upsert, websites
 from tallyfold.plans import store
 from tallyfold.plans.registry import query, table
 from tallyfold.plans.service import LeadService
@@ -95,6 +97,26 @@ def service_search_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return service(spark, sf_dir).search_statements("The", 80).select("id", "company_number", "company_name", "page")
 
 
+_QUESTIONS = ["Released Under", "the and", "src1", "zzzz"]
+
+
+@query(f"WITH {store.sql('narrative_sections', 'performance_statements', 'narrative_runs')}" + " UNION ALL ".join(
+    f""" SELECT * FROM (SELECT '{q}' AS question, 'sections' AS part, s.id, company_number FROM st_narrative_sections s JOIN st_narrative_runs r ON r.id = s.narrative_run_id
+        WHERE contains(lower(section_key), '{q.lower()}') OR contains(lower(section_title), '{q.lower()}') OR contains(lower(section_text), '{q.lower()}') ORDER BY company_number, section_key, s.id LIMIT 40)
+    UNION ALL SELECT * FROM (SELECT '{q}', 'statements', s.id, company_number FROM st_performance_statements s JOIN st_narrative_runs r ON r.id = s.narrative_run_id
+        WHERE contains(lower(statement_text), '{q.lower()}') ORDER BY company_number, page, s.id LIMIT 40)""" for q in _QUESTIONS))
+def service_search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The service's searches answered from indexes of all texts (forty rows a question, the service's own limit)."""
+    tables = store.Store(spark, sf_dir)
+    built = {name: substring.SubstringIndex(spark, scratch.folder(spark, name), "id").build(tables[name], column) for name, column in (("narrative_sections", "section_text"), ("performance_statements", "statement_text"))}
+    asked = LeadService(tables, built)
+    found = []
+    for q in _QUESTIONS:
+        for part, rows in (("sections", asked.search_sections(q, 40)), ("statements", asked.search_statements(q, 40))):
+            found.append(rows.select(F.lit(q).alias("question"), F.lit(part).alias("part"), "id", "company_number"))
+    return functools.reduce(DataFrame.unionAll, found)
+
+
 _COUNTED = ["leads", "companies", "filings", "documents", "periods", "website_investigations", "narrative_runs", "narrative_sections", "performance_statements"]
 
 

@@ -38,5 +38,6 @@ def test_the_index_finds_what_a_scan_finds(spark, tmp_path):
         found = index.search(docs, q, "text").where("id is not null")
         assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect())), q
     assert {r.id for r in index.candidates("going concern").collect()} == {0, 6} and index.candidates("go") is None and index.candidates("zzz").count() == 0
+    assert index.share_read("going concern") == 2 / 10 and index.share_read("go") == 1.0 and index.share_read("zzz") == 0
     plan = index.candidates("abd")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
