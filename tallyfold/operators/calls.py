@@ -25,14 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallyfold.functions.text import repaired_json
+from tallyfold.operators.evidence import CANONICAL
 
 Check = Callable[[dict], str | None]
 
-#: The metrics that decisions are made on.
-METRICS = [
-    "turnover", "gross_profit", "operating_result", "profit_after_tax", "cash", "net_assets", "shareholders_funds", "employees",
-]
-
 
 @dataclass(frozen=True)
 class Reply:
@@ -109,7 +105,7 @@ def decision_shape(payload: dict) -> str | None:
         if not isinstance(periods.get(name), dict):
             return f"{name} is no object"
         for metric, choice in periods[name].items():
-            if metric not in METRICS:
+            if metric not in CANONICAL:  # others are not decided for
                 continue
             if not isinstance(choice, dict):
                 return f"{name}.{metric} is no object"

@@ -53,7 +53,7 @@ def test_shapes():
     pages = calls.page_shape(2)
     assert pages({"pages": [{"rows": []}, {"rows": [{}]}]}) is None and calls.page_shape(rows=False)({"pages": [{}]}) is None
     assert all(pages(p) for p in ({}, {"pages": {}}, {"pages": [{"rows": []}]}, {"pages": [1, {"rows": []}]}, {"pages": [{}, {"rows": []}]}, {"pages": [{"rows": [1]}, {"rows": []}]}))
-    ok = {"current": {"cash": {"candidate_id": "c"}, "other": None}, "previous": {"cash": {"reason": "none shown"}}}
+    ok = {"current": {"cash": {"candidate_id": "c"}, "shareholders_funds": None}, "previous": {"cash": {"reason": "none shown"}}}
     assert calls.decision_shape({"financial_period_summaries": ok}) is None
     bad = [None, {"current": {}}, {"current": {}, "previous": []}, *({"current": {"cash": c}, "previous": {}} for c in (None, [], {}, {"reason": " "}, {"candidate_id": 3}))]
     assert all(calls.decision_shape({"financial_period_summaries": b}) for b in bad)
