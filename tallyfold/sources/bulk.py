@@ -108,6 +108,15 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([row["path"]] * len(found), pa.string()), pa.array([a for a, _ in found], pa.int64()), pa.array([x for _, x in found], pa.string())], names=["file", "at", "line"])
 
 
+def _newest(files: DataFrame, size: int, at_once: int = 64) -> list[tuple[str, int]]:
+    """(path, length) of the last files by name that hold this many bytes; no more of the list reaches the driver than about four times these."""
+    while True:
+        found = [(r.path, r.length) for r in files.orderBy(F.desc("path")).limit(at_once).collect()]
+        if len(found) < at_once or sum(length for _, length in found) >= size:
+            return found
+        at_once *= 4
+
+
 def tail(spark: SparkSession, path: str, n: int, pattern: str = "*", guess: int = 256) -> Tail:
     """The last n lines of a log whose files sort by name in the order of time (the limit is the feature).
 
@@ -116,11 +125,10 @@ def tail(spark: SparkSession, path: str, n: int, pattern: str = "*", guess: int
     whole. Blank lines do not count. Files are listed by name and size, not opened.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path).select("path", "length").where("length > 0")
-    listed = sorted(((r.path, r.length) for r in files.toLocalIterator()), reverse=True)
-    budget, whole = max(1, n) * guess, sum(size for _, size in listed)
+    budget, whole = max(1, n) * guess, files.agg(F.sum("length")).first()[0] or 0
     while True:
         wanted, left = [], budget
-        for name, size in listed:
+        for name, size in _newest(files, min(budget, whole)):
             if left <= 0:
                 break
             wanted.append((name, size, min(size, left)))

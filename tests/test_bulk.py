@@ -50,3 +50,12 @@ def test_the_tail_reads_the_ends_only(spark, tmp_path):
 def test_an_empty_log(spark, tmp_path):
     (tmp_path / "x.json").write_text("")
     assert bulk.tail(spark, str(tmp_path), 5).lines.collect() == []
+
+
+def test_a_log_of_many_files(spark, tmp_path):
+    for k in range(150):
+        (tmp_path / f"log-{k:03}.json").write_text(f'{{"k": {k}}}\n' * (k % 3))
+    every = [k for k in range(150) for _ in range(k % 3)]
+    for n in (1, 20, 140, 500):
+        rows = bulk.tail(spark, str(tmp_path), n, guess=10).lines.collect()
+        assert [json.loads(r.line)["k"] for r in rows] == every[::-1][:n]
