@@ -38,11 +38,21 @@ def section_block(sections: Column) -> Column:
     return F.concat_ws("\n\n", *parts)
 
 
-def question(contexts: DataFrame) -> DataFrame:
-    """Contexts (company_name, sic_code_primary, sic_label, sections) with the text that is put to a model."""
+def _asked() -> Column:
+    """The part of a question that names the company and the values of each field."""
     head = F.concat_ws("\n", F.concat(F.lit("Company: "), F.col("company_name")), F.concat(F.lit("Registered activity: "), F.concat_ws(" ", "sic_code_primary", "sic_label")))
     options = "\n".join(f"{f}: {', '.join(v)}" for f, v in FIELDS.items())
-    return contexts.withColumn("question", F.concat_ws("\n\n", head, F.lit(options), section_block(F.col("sections"))))
+    return F.concat_ws("\n\n", head, F.lit(options))
+
+
+def question(contexts: DataFrame) -> DataFrame:
+    """Contexts (company_name, sic_code_primary, sic_label, sections) with the text that is put to a model."""
+    return contexts.withColumn("question", F.concat_ws("\n\n", _asked(), section_block(F.col("sections"))))
+
+
+def whole_question(contexts: DataFrame, body: str = "text") -> DataFrame:
+    """The same over a whole filing as one text in place of sections; null where there is no filing."""
+    return contexts.withColumn("question", F.concat(_asked(), F.lit("\n\n## filed_report\n"), F.col(body)))
 
 
 def answered(contexts: DataFrame, answers: DataFrame, key: str = "company_number") -> DataFrame:

@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from tallyfold.plans import evidence_queries, file_queries, history_queries, review_queries, rule_queries, service_queries, source_queries, stream_queries, text_queries  # noqa: F401
+    from tallyfold.plans import evidence_queries, file_queries, history_queries, result_queries, review_queries, rule_queries, service_queries, source_queries, stream_queries, text_queries  # noqa: F401
 
 
 load()
