@@ -172,21 +172,19 @@ def reviewed_cases(traces: DataFrame, answers: DataFrame, version: int = 1) -> D
     Traces are (case_id, company_number, document_id, pdf_sha256, split, trace_id,
     reviewer, reviewed_at), answers (case_id, name, value), one of each name.
     """
-    names = ["gold_statement_pages", *[f"gold_{p}_{m}" for p in PERIODS for m in evidence.CANONICAL]]
-    wide = answers.where(F.col("name").isin(names)).groupBy("case_id").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("a"))
+    gold = [(p, m, f"gold_{p}_{m}") for p in PERIODS for m in evidence.CANONICAL]
+    names = ["gold_statement_pages", *[n for _, _, n in gold]]
+    metric = F.regexp_replace("name", "^gold_[a-z]+_", "")
+    told = F.struct("name", F.struct(scoring.reviewed_metric(F.col("value"), metric).alias("cell"), statement_pages(F.col("value")).alias("pages")))
+    wide = answers.where(F.col("name").isin(names)).groupBy("case_id").agg(F.map_from_entries(F.collect_list(told)).alias("a"))
     rows = traces.join(wide, "case_id", "left")
-    answer = lambda n: F.try_element_at("a", F.lit(n))
-    told = F.coalesce(F.map_keys("a"), F.array().cast("array<string>"))
-    rows = rows.withColumn("missing", F.array_sort(F.array_except(F.array(*map(F.lit, names)), told))).withColumn("pages", statement_pages(answer(names[0])))
-    rows = rows.withColumns({f"{p}_{m}": scoring.reviewed_metric(answer(f"gold_{p}_{m}"), F.lit(m)) for p in PERIODS for m in evidence.CANONICAL})
+    cell = lambda n: F.try_element_at("a", F.lit(n))["cell"]
+    given = F.coalesce(F.map_keys("a"), F.array().cast("array<string>"))
+    rows = rows.withColumn("missing", F.array_sort(F.array_except(F.array(*map(F.lit, names)), given))).withColumn("pages", F.try_element_at("a", F.lit(names[0]))["pages"])
     faults = [F.when(F.col("pages").isNull(), F.lit("gold_statement_pages: no list of pages"))]
-    for p in PERIODS:
-        for m in evidence.CANONICAL:
-            cell = F.col(f"{p}_{m}")
-            broken = F.coalesce(cell["error"], F.when(F.coalesce(cell["state"], F.lit("")) == "", "no answer"))
-            faults.append(F.when(broken.isNotNull(), F.concat(F.lit(f"gold_{p}_{m}: "), broken)))
+    faults += [F.concat(F.lit(f"{n}: "), F.coalesce(cell(n)["error"], F.when(cell(n)["state"].isNull(), "no answer"))) for _, _, n in gold]
     rows = rows.withColumn("errors", F.when(F.size("missing") > 0, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*faults))))
-    summaries = F.struct(*[F.struct(*[F.col(f"{p}_{m}").dropFields("error").alias(m) for m in evidence.CANONICAL]).alias(p) for p in PERIODS])
+    summaries = F.struct(*[F.struct(*[cell(n).dropFields("error").alias(m) for q, m, n in gold if q == p]).alias(p) for p in PERIODS])
     case = F.struct(
         F.lit(version).alias("schema_version"), F.col("case_id").alias("id"), "company_number", "document_id", F.concat(F.lit("trace:"), "trace_id").alias("pdf_path"), "pdf_sha256", "split",
         F.struct(F.lit("review").alias("label_source"), F.col("trace_id").alias("review_trace_id")).alias("metadata"),

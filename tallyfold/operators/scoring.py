@@ -99,23 +99,36 @@ def reviewed_metric(answer: Column, metric: Column) -> Column:
     from tallyfold.functions import money
 
     parts = F.transform(F.split(answer, r"\|"), lambda x: F.trim(x))
-    shown, page = F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(2)).try_cast("int")
-    unit = F.when(metric == "employees", "COUNT").otherwise(money.unit(F.try_element_at(parts, F.lit(3))))
-    told = (metric == "employees") & (F.upper(shown) == "NARRATIVE_ZERO")
-    count = F.when(told, 0).otherwise(F.when(metric == "employees", money.count_value(shown)))
-    amount = F.when(metric != "employees", money.reported_value(shown, unit))
     missing = F.upper(F.trim(answer)) == "MISSING"
-    error = (
-        F.when(missing, None).when(F.size(parts) != 3, "expected three parts").when(page.isNull() | (page < 1), "page is no positive number")
-        .when(unit == "UNKNOWN", "unit is not known").when(count.isNull() & amount.isNull(), "value is no number")
-    )
-    fine = ~missing & error.isNull()
-    kind = F.when(told, "narrative_zero").when((metric == "employees") & shown.rlike("^[-–—]+$"), "dash_zero")
-    return F.struct(
-        F.when(missing, "missing").when(fine, "present").alias("state"), F.when(fine & ~told, shown).alias("displayed_value"), F.when(fine, unit).alias("unit"), F.when(fine, page).alias("source_page"),
-        F.when(fine, count).alias("value_count"), F.when(fine, amount).alias("reported_value"), F.when(fine & (metric != "employees"), money.pence(shown, unit)).alias("value_pence"),
-        F.when(fine, kind).alias("evidence_kind"), error.alias("error"),
-    )
+
+    def named(parts: Column) -> Column:
+        shown, unit = F.try_element_at(parts, F.lit(1)), F.when(metric == "employees", "COUNT").otherwise(money.unit(F.try_element_at(parts, F.lit(3))))
+        return F.struct(F.size(parts).alias("n"), shown.alias("shown"), F.try_element_at(parts, F.lit(2)).try_cast("int").alias("page"), unit.alias("unit"))
+
+    def valued(x: Column) -> Column:
+        told = (metric == "employees") & (F.upper(x["shown"]) == "NARRATIVE_ZERO")
+        count = F.when(told, 0).otherwise(F.when(metric == "employees", money.count_value(x["shown"])))
+        amount = F.when(metric != "employees", money.reported_value(x["shown"], x["unit"]))
+        return F.struct(x.alias("x"), told.alias("told"), count.alias("count"), amount.alias("amount"))
+
+    def cell(v: Column) -> Column:
+        x, told, count, amount = v["x"], v["told"], v["count"], v["amount"]
+        error = (
+            F.when(missing, None).when(x["n"] != 3, "expected three parts").when(x["page"].isNull() | (x["page"] < 1), "page is no positive number")
+            .when(x["unit"] == "UNKNOWN", "unit is not known").when(count.isNull() & amount.isNull(), "value is no number")
+        )
+        fine = ~missing & error.isNull()
+        kind = F.when(told, "narrative_zero").when((metric == "employees") & x["shown"].rlike("^[-–—]+$"), "dash_zero")
+        return F.struct(
+            F.when(missing, "missing").when(fine, "present").alias("state"), F.when(fine & ~told, x["shown"]).alias("displayed_value"), F.when(fine, x["unit"]).alias("unit"), F.when(fine, x["page"]).alias("source_page"),
+            F.when(fine, count).alias("value_count"), F.when(fine, amount).alias("reported_value"), F.when(fine & (metric != "employees"), money.pence(x["shown"], x["unit"])).alias("value_pence"),
+            F.when(fine, kind).alias("evidence_kind"), error.alias("error"),
+        )
+
+    once = F.array(parts)  # each step is bound once, since expressions that use another several times would work it out as often
+    for step in (named, valued, cell):
+        once = F.transform(once, step)
+    return once[0]
 
 
 def case_issues(cells_: DataFrame, key: str = "case_id") -> DataFrame:
