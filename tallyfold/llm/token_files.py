@@ -275,9 +275,10 @@ def file_ranges(docs: DataFrame, chars_per_file: int) -> tuple[np.ndarray, np.nd
     each average length of a text that it holds. They are found in two levels, up
     to ``COARSE`` ranges first and then within each of these, so that no aggregate
     holds all of them. An id that is several quantiles has a range of its own, of
-    as many files. One long a file reaches the driver.
+    as many files. One long a file reaches the driver. The texts are read once, for
+    their lengths, which all passes take from a written table.
     """
-    weighed = docs.select("doc_id", F.length("text").alias("chars"))
+    weighed = stored(docs.select("doc_id", F.length("text").alias("chars")), "text-lengths")
     known = F.col("doc_id").isNotNull()
     rows, chars, none = weighed.agg(F.count("*"), F.sum(F.when(known, F.col("chars"))), F.sum(F.when(~known, F.col("chars")))).first()
     n_files, of_null = max(1, -(-(chars or 0) // chars_per_file)), max(1, -(-(none or 0) // chars_per_file))
