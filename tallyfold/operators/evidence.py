@@ -339,8 +339,14 @@ def with_equivalents(candidates: DataFrame, keys: list[str]) -> DataFrame:
     return found.unionByName(derived).unionByName(_premiums_less_claims(found, keys))
 
 
+def with_scope_equivalents(candidates: DataFrame, keys: list[str]) -> DataFrame:
+    """The same within each statement scope, so that the evidence of a company and of its group does not mix; rows of any other scope stay without."""
+    known = F.coalesce(F.col("statement_scope").isin(*SCOPES, "unknown"), F.lit(False))
+    return with_equivalents(candidates.where(known), [*keys, "statement_scope"]).unionByName(candidates.where(~known), allowMissingColumns=True)
+
+
 def _premiums_less_claims(found: DataFrame, keys: list[str]) -> DataFrame:
-    place = [*keys, "page", "statement_scope", "unit", "tier"]
+    place = list(dict.fromkeys([*keys, "page", "statement_scope", "unit", "tier"]))
     value = {p: money.display_decimal(F.col(f"{p}_display")) for p in ("current", "previous")}
 
     def side(metric: str, name: str) -> DataFrame:

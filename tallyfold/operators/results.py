@@ -14,8 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyfold.functions import money
-from tallyfold.operators import evidence, ingestion, scoring
+from tallyfold.functions import arithmetic, money
+from tallyfold.operators import context, evidence, ingestion, scoring
+from tallyfold.operators.profiles import FIELDS
 from tallyfold.operators.upsert import upsert
 
 _MODELS = ["locator", "vision", "rationalisation"]
@@ -212,9 +213,44 @@ def profile_queue(narrative_runs: DataFrame, profiles: DataFrame, periods: DataF
 
 def lead_context(companies: DataFrame, leads: DataFrame) -> DataFrame:
     """Companies (company_number, sic_codes) as context, with the code of the lead after those that were given."""
-    from tallyfold.operators.context import normalised
-
     known = leads.where("sic_1 <> ''").select(F.col("company_number").alias("__number"), "sic_1")
     rows = companies.join(known, F.col("company_number") == F.col("__number"), "left").drop("__number")
     given = F.coalesce("sic_codes", F.array().cast("array<string>"))
-    return normalised(rows.withColumn("sic_codes", F.array_compact(F.concat(given, F.array("sic_1")))).drop("sic_1"))
+    return context.normalised(rows.withColumn("sic_codes", F.array_compact(F.concat(given, F.array("sic_1")))).drop("sic_1"))
+
+
+SCORED = [*FIELDS, "sic_agreement"]
+
+
+def graded(rows: DataFrame) -> DataFrame:
+    """Answers (answer, issues) with what they lose: ``grade`` is scored, partial or rejected, ``lost`` the fields that issues name.
+
+    An answer is rejected whole if there is none, or if an issue names no field or
+    the description.
+    """
+    named = F.transform("issues", context.error_field)
+    whole = F.col("answer").isNull() | F.exists(named, lambda f: f.isNull() | (f == "business_description"))
+    lost = F.array_intersect(F.coalesce(named, F.array().cast("array<string>")), F.array(*map(F.lit, SCORED)))
+    return rows.withColumns({"grade": F.when(whole, "rejected").when(F.size(lost) > 0, "partial").otherwise("scored"), "lost": lost})
+
+
+def combination_report(rows: DataFrame) -> DataFrame:
+    """Per (model, context) of graded answers: cases, rejections, partial ones, shares of sound and of unclear answers, tokens and time."""
+    counts = [F.when((F.col("grade") != "rejected") & ~F.array_contains("lost", f), F.coalesce(F.col(f"answer.{f}.value"), F.lit(""))) for f in FIELDS]
+    told = F.size(F.array_compact(F.array(*counts)))
+    unclear = F.size(F.filter(F.array(*counts), lambda v: F.coalesce(v == "unclear", F.lit(False))))
+    rejected, partial = F.count_if(F.col("grade") != "scored"), F.count_if(F.col("grade") == "partial")
+    return rows.groupBy("model", "context").agg(
+        F.count("*").alias("cases"), rejected.alias("rejections"), partial.alias("partial_rejections"), F.round(1 - rejected / F.count("*"), 4).alias("quote_pass_rate"),
+        F.round(arithmetic.ratio(F.sum(unclear), F.sum(told)), 4).alias("unclear_rate"), F.sum("prompt_tokens").alias("prompt_tokens"), F.sum("completion_tokens").alias("completion_tokens"),
+        F.round(F.sum("elapsed_seconds"), 1).alias("elapsed_seconds"),
+    )
+
+
+def combination_fields(rows: DataFrame) -> DataFrame:
+    """Per (model, context, field) of graded answers with ``expected`` (a string per field): how many have a label, and the share that is right."""
+    found = lambda f: F.when((F.col("grade") != "rejected") & ~F.array_contains("lost", f), F.col(f"answer.{f}.value"))
+    entries = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"expected.{f}").alias("expected"), found(f).alias("found")) for f in SCORED])
+    long = rows.select("model", "context", F.explode(entries).alias("x"))
+    scored, right = F.count("x.expected"), F.count_if(F.col("x.expected") == F.col("x.found"))
+    return long.groupBy("model", "context", "x.field").agg(scored.alias("scored"), F.round(arithmetic.ratio(right, scored), 4).alias("accuracy"))

@@ -92,6 +92,25 @@ def evidence_equivalents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("document_id", "candidate_id", "metric", "tier", "derived_from", "current_display")
 
 
+@query(f"""
+    WITH {TIER_SQL}, scoped AS (SELECT * REPLACE (CASE WHEN row_pos % 4 = 3 THEN 'segment' WHEN statement_scope = 'consolidated' THEN 'consolidated_group' WHEN statement_scope = 'Parent company' THEN 'company' ELSE 'unknown' END AS statement_scope) FROM ranked), known AS (SELECT * FROM scoped WHERE statement_scope IN ('consolidated_group', 'company', 'unknown')),
+    best AS (SELECT * FROM known WHERE tier < 5 QUALIFY row_number() OVER (PARTITION BY document_id, statement_scope, metric ORDER BY tier, (unit <> 'UNKNOWN') DESC,
+        (current_display IS NOT NULL)::INT + (previous_display IS NOT NULL)::INT DESC, coalesce(confidence, 0) DESC, page_pos, row_pos) = 1),
+    num AS (SELECT *, CASE WHEN cur = '-' THEN 0 WHEN cur LIKE '(%' THEN -TRY_CAST(replace(replace(cur, '(', ''), ')', '') AS BIGINT) ELSE TRY_CAST(replace(cur, ',', '') AS BIGINT) END AS v FROM known)
+    SELECT document_id, candidate_id, metric, CASE WHEN statement_scope <> 'segment' THEN tier END AS tier, NULL AS derived_from, current_display FROM scoped
+    UNION ALL SELECT document_id, candidate_id || ':net_assets', 'net_assets', 2, candidate_id, current_display FROM best WHERE metric = 'shareholders_funds'
+    UNION ALL SELECT p.document_id, p.candidate_id || '+' || c.candidate_id, 'gross_profit', p.tier, p.candidate_id || '+' || c.candidate_id,
+        CASE WHEN p.v + c.v < 0 THEN '(' || format('{{:,}}', abs(p.v + c.v)) || ')' ELSE format('{{:,}}', p.v + c.v) END
+        FROM num p JOIN num c ON p.document_id = c.document_id AND p.page = c.page AND p.statement_scope = c.statement_scope AND p.unit = c.unit AND p.tier = c.tier
+        WHERE p.metric = 'net_earned_premiums' AND c.metric = 'claims_incurred_net_reinsurance'
+""")
+def evidence_scope_equivalents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equivalents within each scope; rows of a segment have none."""
+    rows = candidates(spark, sf_dir).withColumn("statement_scope", F.when(F.col("row_pos") % 4 == 3, "segment").otherwise(evidence.statement_scope(F.col("statement_scope"))))
+    found = evidence.with_scope_equivalents(rows, ["document_id"])
+    return found.select("document_id", "candidate_id", "metric", "tier", "derived_from", "current_display")
+
+
 @query(f"""
     WITH {TIER_SQL}, m AS (SELECT *, min(tier) FILTER (current_display IS NOT NULL) OVER (PARTITION BY document_id, metric) AS c0, min(tier) FILTER (previous_display IS NOT NULL) OVER (PARTITION BY document_id, metric) AS p0 FROM ranked),
     s AS (SELECT document_id, candidate_id, metric, CASE WHEN tier = c0 THEN current_display END AS current_display, CASE WHEN tier = p0 THEN previous_display END AS previous_display FROM m)

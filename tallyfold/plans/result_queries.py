@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyfold.operators import evidence, profiles, results
 from tallyfold.plans.registry import query, table
+from tallyfold.plans.source_queries import _answered
 from tallyfold.plans.store import Store, sql
 
 _FIELDS = ["period_type", "financial_year", "metric_name", "value_pence", "value_count", "currency_code", "reported_value", "confidence"]
@@ -204,3 +205,45 @@ def profile_whole_question(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The question over a whole filing."""
     rows = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("company_name"), F.lit("62020").alias("sic_code_primary"), F.lit("Software").alias("sic_label"), "text")
     return profiles.whole_question(rows).select("doc_id", F.md5("question").alias("digest"))
+
+
+def _combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of two models to each document's question over its sections and over its whole filing; every fifth call failed."""
+    k, parity = F.col("doc_id") % 5, F.col("doc_id") % 2
+    whole = F.lit("We sell software, to firms. We sell sheep.")
+    issues = lambda found: F.when(k == 0, F.array(F.lit("request failed: timed out"))).otherwise(found)
+    kinds = F.array(F.struct(F.lit("sections").alias("context"), issues(profiles.answer_issues()).alias("issues")), F.struct(F.lit("whole_document").alias("context"), issues(profiles.answer_issues(whole)).alias("issues")))
+    said = F.col("answer").withField("geography_served.value", F.when(k == 4, "unclear").otherwise(F.col("answer.geography_served.value")))
+    first = lambda f: F.lit(profiles.FIELDS[f][0])
+    wanted = {"demand_model": first("demand_model"), "customer_type": F.lit("b2b"), "delivery_model": F.when(parity == 1, first("delivery_model")), "geography_served": F.lit("unclear"), "trading_status_confirmed": first("trading_status_confirmed")}
+    wanted["sic_agreement"] = F.when(F.col("doc_id") % 3 == 0, "disagrees").otherwise("agrees")
+    rows = _answered(spark, sf_dir).select(
+        F.concat(F.lit("m"), parity.cast("string")).alias("model"), F.explode(kinds).alias("x"), F.when(k > 0, said).alias("answer"), F.struct(*[c.alias(f) for f, c in wanted.items()]).alias("expected"),
+        F.when(k > 0, F.col("doc_id")).alias("prompt_tokens"), F.when(k > 0, F.lit(7)).alias("completion_tokens"), F.lit(0.5).alias("elapsed_seconds"),
+    )
+    return results.graded(rows.select("model", "x.*", "answer", "expected", "prompt_tokens", "completion_tokens", "elapsed_seconds"))
+
+
+_ASKED = "d AS (SELECT doc_id, doc_id % 5 AS k, 'm' || doc_id % 2 AS model, context FROM documents, (SELECT unnest(['sections', 'whole_document']) AS context) c)"
+
+
+@query(f"""
+    WITH {_ASKED}, g AS (SELECT *, CASE WHEN k = 0 THEN 'rejected' WHEN k = 2 OR (k = 1 AND context = 'sections') THEN 'partial' ELSE 'scored' END AS grade,
+        CASE WHEN k = 0 OR (k = 1 AND context = 'sections') THEN 0 WHEN k = 2 THEN 4 ELSE 5 END AS told, CASE WHEN k = 4 THEN 1 ELSE 0 END AS unclear FROM d)
+    SELECT model, context, count(*) AS cases, count(*) FILTER (grade <> 'scored') AS rejections, count(*) FILTER (grade = 'partial') AS partial_rejections, round(1 - count(*) FILTER (grade <> 'scored') / count(*), 4) AS quote_pass_rate,
+        round(sum(unclear) / sum(told), 4) AS unclear_rate, CAST(sum(CASE WHEN k > 0 THEN doc_id END) AS BIGINT) AS prompt_tokens, CAST(sum(CASE WHEN k > 0 THEN 7 END) AS BIGINT) AS completion_tokens, round(count(*) * 0.5, 1) AS elapsed_seconds FROM g GROUP BY ALL
+""")
+def profile_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models and contexts compared by their answers."""
+    return results.combination_report(_combinations(spark, sf_dir))
+
+
+@query(f"""
+    WITH {_ASKED}, f AS (SELECT d.*, f AS field, CASE WHEN f = 'delivery_model' THEN doc_id % 2 = 1 ELSE true END AS labelled, k > 0 AND CASE f WHEN 'geography_served' THEN k = 4 WHEN 'sic_agreement' THEN doc_id % 3 > 0
+        WHEN 'customer_type' THEN k <> 2 AND (k <> 1 OR context <> 'sections') ELSE k <> 1 OR context <> 'sections' END AS hit
+        FROM d, (SELECT unnest(['demand_model', 'customer_type', 'delivery_model', 'geography_served', 'trading_status_confirmed', 'sic_agreement']) AS f) x)
+    SELECT model, context, field, count(*) FILTER (labelled) AS scored, round(count(*) FILTER (labelled AND hit) / nullif(count(*) FILTER (labelled), 0), 4) AS accuracy FROM f GROUP BY ALL
+""")
+def profile_combination_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models and contexts compared field by field."""
+    return results.combination_fields(_combinations(spark, sf_dir))

@@ -91,3 +91,17 @@ def test_a_question_needs_a_filing(spark):
     rows = spark.createDataFrame([("n", "1", "s", "body"), ("n", "1", "s", None)], "company_name string, sic_code_primary string, sic_label string, text string")
     got = [r.question for r in profiles.whole_question(rows).collect()]
     assert got[0].endswith("## filed_report\nbody") and got[1] is None
+
+
+def test_grades_of_answers(spark):
+    whole = "model string, context string, answer struct<" + ", ".join(f"{f}: struct<value: string>" for f in results.SCORED) + ">, issues array<string>, expected struct<" + ", ".join(f"{f}: string" for f in results.SCORED) + ">, prompt_tokens bigint, completion_tokens bigint, elapsed_seconds double"
+    said, none = tuple(("a",) for _ in results.SCORED), tuple(None for _ in results.SCORED)
+    wanted = ("a", "b", *none[2:])
+    cases = [(said, []), (said, ["customer_type: no quote"]), (said, ["sic_agreement: value not allowed"]), (said, ["business_description: missing"]), (said, ["not JSON"]), (None, []), (said, None)]
+    rows = results.graded(spark.createDataFrame([("m", "c", a, i, wanted, 1, None, 0.25) for a, i in cases], whole))
+    assert [r.grade for r in rows.select("grade").collect()] == ["scored", "partial", "partial", "rejected", "rejected", "rejected", "scored"]
+    r = results.combination_report(rows).first()
+    assert (r.cases, r.rejections, r.partial_rejections, r.quote_pass_rate, r.unclear_rate, r.prompt_tokens, r.completion_tokens, r.elapsed_seconds) == (7, 5, 2, 0.2857, 0.0, 7, None, 1.8)
+    fields = {r.field: (r.scored, r.accuracy) for r in results.combination_fields(rows).collect()}
+    assert fields["demand_model"] == (7, 0.5714) and fields["customer_type"] == (7, 0.0) and fields["sic_agreement"] == (0, None)
+    assert results.combination_report(rows.limit(0)).count() == 0
