@@ -8,6 +8,8 @@ from pyspark.sql import Column, functions as F
 CURRENCY_MARKS = {"£": "GBP", "$": "USD", "€": "EUR"}
 SCALES = {"THOUSANDS": 1_000, "MILLIONS": 1_000_000}
 UNKNOWN = "UNKNOWN"
+#: Fixed value: what any number is made of; a cast of other text fails by an exception, which takes longer than all else.
+NUMERIC = r"^[+\-.eE]*\p{Nd}[\p{Nd}+\-.eE]*$"
 
 
 def unit(text: Column) -> Column:
@@ -39,7 +41,8 @@ def display_decimal(text: Column) -> Column:
     """A displayed amount as decimal(38,6): dashes are zero, parentheses negative, anything else but a number null."""
     t = F.regexp_replace(F.trim(text), r"[£$€,\s]", "")
     negative = t.rlike(r"^\(.*\)$")
-    number = F.regexp_replace(t, r"[()]", "").try_cast("decimal(38,6)")
+    bare = F.regexp_replace(t, r"[()]", "")
+    number = F.when(bare.rlike(NUMERIC), bare.try_cast("decimal(38,6)"))
     return F.when(t.rlike("^[-–—]+$"), F.lit(0).cast("decimal(38,6)")).when(negative, -number).otherwise(number)
 
 

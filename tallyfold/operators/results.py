@@ -176,9 +176,13 @@ def reviewed_cases(traces: DataFrame, answers: DataFrame, version: int = 1) -> D
     gold = [(p, m, f"gold_{p}_{m}") for p in PERIODS for m in evidence.CANONICAL]
     names = ["gold_statement_pages", *[n for _, _, n in gold]]
     metric = F.regexp_replace("name", "^gold_[a-z]+_", "")
-    told = F.struct("name", F.struct(scoring.reviewed_metric(F.col("value"), metric).alias("cell"), statement_pages(F.col("value")).alias("pages")))
-    wide = answers.where(F.col("name").isin(names)).groupBy("case_id").agg(F.map_from_entries(F.collect_list(told)).alias("a"))
-    rows = traces.join(wide, "case_id", "left")
+    read = scoring.with_reviewed_metric(answers.where(F.col("name").isin(names) & F.col("case_id").isNotNull()), "value", metric, "cell")
+    # no join: a side of few bytes in the shuffle can be many in memory, and would be broadcast
+    told = read.select("case_id", F.struct("name", F.struct("cell", F.when(F.col("name") == names[0], statement_pages(F.col("value"))).alias("pages"))).alias("told"))
+    own = [c for c in traces.columns if c != "case_id"]
+    both = traces.select("case_id", F.struct(*own).alias("trace")).unionByName(told, allowMissingColumns=True)
+    wide = both.groupBy("case_id").agg(F.collect_list("trace").alias("traces"), F.map_from_entries(F.collect_list("told")).alias("a"))
+    rows = wide.select("case_id", F.explode("traces").alias("trace"), "a").select("case_id", "trace.*", "a")
     cell = lambda n: F.try_element_at("a", F.lit(n))["cell"]
     given = F.coalesce(F.map_keys("a"), F.array().cast("array<string>"))
     rows = rows.withColumn("missing", F.array_sort(F.array_except(F.array(*map(F.lit, names)), given))).withColumn("pages", F.try_element_at("a", F.lit(names[0]))["pages"])

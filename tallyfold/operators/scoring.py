@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyfold.functions import arithmetic
@@ -94,41 +96,66 @@ def quote_issues(response: Column, allowed: dict[str, list[str]], source: Column
     return F.array_compact(F.flatten(F.array(*[of(n, v) for n, v in allowed.items()])))
 
 
-def reviewed_metric(answer: Column, metric: Column) -> Column:
-    """A reviewer's answer "value | page | unit", or MISSING, as a cell; ``error`` names what is wrong with it."""
+def _named(parts: Column, metric: Column) -> dict[str, Column]:
+    from tallyfold.functions import money
+
+    unit = F.when(metric == "employees", "COUNT").otherwise(money.unit(F.try_element_at(parts, F.lit(3))))
+    return {"n": F.size(parts), "shown": F.try_element_at(parts, F.lit(1)), "page": F.try_element_at(parts, F.lit(2)).try_cast("int"), "unit": unit}
+
+
+def _valued(x: Callable[[str], Column], metric: Column) -> dict[str, Column]:
+    from tallyfold.functions import money
+
+    told = (metric == "employees") & (F.upper(x("shown")) == "NARRATIVE_ZERO")
+    count = F.when(told, 0).otherwise(F.when(metric == "employees", money.count_value(x("shown"))))
+    return {"told": told, "count": count, "amount": F.when(metric != "employees", money.reported_value(x("shown"), x("unit")))}
+
+
+def _checked(x: Callable[[str], Column], missing: Column) -> dict[str, Column]:
+    error = (
+        F.when(missing, None).when(x("n") != 3, "expected three parts").when(x("page").isNull() | (x("page") < 1), "page is no positive number")
+        .when(x("unit") == "UNKNOWN", "unit is not known").when(x("count").isNull() & x("amount").isNull(), "value is no number")
+    )
+    return {"error": error}
+
+
+def _reviewed(x: Callable[[str], Column], missing: Column, metric: Column) -> Column:
     from tallyfold.functions import money
 
-    parts = F.transform(F.split(answer, r"\|"), lambda x: F.trim(x))
+    told, fine = x("told"), ~missing & x("error").isNull()
+    kind = F.when(told, "narrative_zero").when((metric == "employees") & x("shown").rlike("^[-–—]+$"), "dash_zero")
+    return F.struct(
+        F.when(missing, "missing").when(fine, "present").alias("state"), F.when(fine & ~told, x("shown")).alias("displayed_value"), F.when(fine, x("unit")).alias("unit"), F.when(fine, x("page")).alias("source_page"),
+        F.when(fine, x("count")).alias("value_count"), F.when(fine, x("amount")).alias("reported_value"), F.when(fine & (metric != "employees"), money.pence(x("shown"), x("unit"))).alias("value_pence"),
+        F.when(fine, kind).alias("evidence_kind"), x("error").alias("error"),
+    )
+
+
+def _answer_parts(answer: Column) -> Column:
+    return F.transform(F.split(answer, r"\|"), lambda x: F.trim(x))
+
+
+def reviewed_metric(answer: Column, metric: Column) -> Column:
+    """A reviewer's answer "value | page | unit", or MISSING, as a cell; ``error`` names what is wrong with it."""
     missing = F.upper(F.trim(answer)) == "MISSING"
+    known = lambda s, more: F.struct(*[s[n].alias(n) for n in _STEPS[: _STEPS.index(next(iter(more)))]], *[c.alias(n) for n, c in more.items()])
+    once = F.array(_answer_parts(answer))  # each step is bound once, since expressions that use another several times would work it out as often
+    once = F.transform(once, lambda parts: F.struct(*[c.alias(n) for n, c in _named(parts, metric).items()]))
+    once = F.transform(once, lambda s: known(s, _valued(lambda n: s[n], metric)))
+    once = F.transform(once, lambda s: known(s, _checked(lambda n: s[n], missing)))
+    return F.transform(once, lambda s: _reviewed(lambda n: s[n], missing, metric))[0]
+
+
+_STEPS = ["n", "shown", "page", "unit", "told", "count", "amount", "error"]
+
 
-    def named(parts: Column) -> Column:
-        shown, unit = F.try_element_at(parts, F.lit(1)), F.when(metric == "employees", "COUNT").otherwise(money.unit(F.try_element_at(parts, F.lit(3))))
-        return F.struct(F.size(parts).alias("n"), shown.alias("shown"), F.try_element_at(parts, F.lit(2)).try_cast("int").alias("page"), unit.alias("unit"))
-
-    def valued(x: Column) -> Column:
-        told = (metric == "employees") & (F.upper(x["shown"]) == "NARRATIVE_ZERO")
-        count = F.when(told, 0).otherwise(F.when(metric == "employees", money.count_value(x["shown"])))
-        amount = F.when(metric != "employees", money.reported_value(x["shown"], x["unit"]))
-        return F.struct(x.alias("x"), told.alias("told"), count.alias("count"), amount.alias("amount"))
-
-    def cell(v: Column) -> Column:
-        x, told, count, amount = v["x"], v["told"], v["count"], v["amount"]
-        error = (
-            F.when(missing, None).when(x["n"] != 3, "expected three parts").when(x["page"].isNull() | (x["page"] < 1), "page is no positive number")
-            .when(x["unit"] == "UNKNOWN", "unit is not known").when(count.isNull() & amount.isNull(), "value is no number")
-        )
-        fine = ~missing & error.isNull()
-        kind = F.when(told, "narrative_zero").when((metric == "employees") & x["shown"].rlike("^[-–—]+$"), "dash_zero")
-        return F.struct(
-            F.when(missing, "missing").when(fine, "present").alias("state"), F.when(fine & ~told, x["shown"]).alias("displayed_value"), F.when(fine, x["unit"]).alias("unit"), F.when(fine, x["page"]).alias("source_page"),
-            F.when(fine, count).alias("value_count"), F.when(fine, amount).alias("reported_value"), F.when(fine & (metric != "employees"), money.pence(x["shown"], x["unit"])).alias("value_pence"),
-            F.when(fine, kind).alias("evidence_kind"), error.alias("error"),
-        )
-
-    once = F.array(parts)  # each step is bound once, since expressions that use another several times would work it out as often
-    for step in (named, valued, cell):
-        once = F.transform(once, step)
-    return once[0]
+def with_reviewed_metric(rows: DataFrame, answer: str, metric: Column, name: str) -> DataFrame:
+    """Rows with ``reviewed_metric`` of a column as ``name``: its steps are columns of their own, which Spark compiles, so that many answers are read fast."""
+    x, missing, of = (lambda n: F.col(f"__{n}")), F.col("__missing"), F.col("__metric")
+    out = rows.withColumns({"__missing": F.upper(F.trim(answer)) == "MISSING", "__metric": metric, "__parts": _answer_parts(F.col(answer))})
+    for step in (lambda: _named(F.col("__parts"), of), lambda: _valued(x, of), lambda: _checked(x, missing)):
+        out = out.withColumns({f"__{n}": c for n, c in step().items()})
+    return out.withColumn(name, _reviewed(x, missing, of)).drop("__missing", "__metric", "__parts", *[f"__{n}" for n in _STEPS])
 
 
 def case_issues(cells_: DataFrame, key: str = "case_id") -> DataFrame:

@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tallyfold.operators import profiles, results
+from tallyfold.operators import evidence, profiles, results
 
 
 def payloads(spark, *rows):
@@ -105,3 +105,13 @@ def test_grades_of_answers(spark):
     fields = {r.field: (r.scored, r.accuracy) for r in results.combination_fields(rows).collect()}
     assert fields["demand_model"] == (7, 0.5714) and fields["customer_type"] == (7, 0.0) and fields["sic_agreement"] == (0, None)
     assert results.combination_report(rows.limit(0)).count() == 0
+
+
+def test_reviewed_cases_are_put_together_without_a_join(spark):
+    traces = spark.createDataFrame([("a", "1", "D", "h", "s", t, "r", "d") for t in ("t", "u")] + [("b", "1", "D", "h", "s", "v", "r", "d")], "case_id string, company_number string, document_id string, pdf_sha256 string, split string, trace_id string, reviewer string, reviewed_at string")
+    names = [f"gold_{p}_{m}" for p in results.PERIODS for m in evidence.CANONICAL]
+    answers = spark.createDataFrame([("a", n, "MISSING") for n in names] + [("a", "gold_statement_pages", "2, 1"), ("a", "other", "x"), ("c", names[0], "5 | 1 | GBP"), (None, names[0], "MISSING")], "case_id string, name string, value string")
+    found = results.reviewed_cases(traces, answers)
+    rows = sorted((r.case_id, len(r.missing), len(r.errors), r.case_json and json.loads(r.case_json)["metadata"]["review_trace_id"]) for r in found.collect())
+    assert rows == [("a", 0, 0, "t"), ("a", 0, 0, "u"), ("b", 15, 0, None)]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
