@@ -141,11 +141,15 @@ def _shown(name: str) -> Column:
     return F.nullif(F.trim(F.col(name)), F.lit(""))
 
 
-def validation_issues() -> Column:
-    """The rules that a candidate breaks, as (code, message), in order."""
+def _plain_label() -> Column:
+    return F.regexp_replace(F.lower(F.coalesce("source_label", F.lit(""))), "['‘’]", "")
+
+
+def validation_issues(label: Column | None = None, plain: Column | None = None) -> Column:
+    """The rules that a candidate breaks, as (code, message), in order; ``label`` and ``plain`` are its label's two forms, if columns hold them."""
     metric, statement = F.col("metric"), F.col("statement_type")
-    label = text.label_text(F.col("source_label"))
-    plain = F.regexp_replace(F.lower(F.coalesce("source_label", F.lit(""))), "['‘’]", "")
+    label = text.label_text(F.col("source_label")) if label is None else label
+    plain = _plain_label() if plain is None else plain
     values = [_shown("current_display"), _shown("previous_display")]
     counts = [money.count_value(v) for v in values]
     employees = metric == "employees"
@@ -158,10 +162,11 @@ def validation_issues() -> Column:
         wrong = F.when(metric == name, first).otherwise(wrong)
 
     def issue(code: str, broken: Column, message: Column | str) -> Column:
-        return F.when(broken, F.struct(F.lit(code).alias("code"), (F.lit(message) if isinstance(message, str) else message).alias("message")))
+        told = F.array(F.struct(F.lit(code).alias("code"), (F.lit(message) if isinstance(message, str) else message).alias("message")))
+        return F.when(broken, told).otherwise(F.array().cast("array<struct<code:string,message:string>>"))
 
-    return F.array_compact(
-        F.array(
+    return (
+        F.concat(  # arrays of one or none, which Spark compiles; rules within a lambda's argument would be interpreted
             issue("missing_source_label", label == "", "the row has no label"),
             issue("missing_period_values", F.when(employees, F.coalesce(*counts).isNull()).otherwise(F.coalesce(*values).isNull()), "the row has no value for either period"),
             issue("unknown_money_unit", metric.isin(MONEY) & ~F.coalesce(money.currency(F.col("unit")).isin("GBP", "USD"), F.lit(False)), "a money row needs a sterling or dollar unit"),
@@ -274,7 +279,8 @@ def recovery_pages(rows: DataFrame, located: DataFrame, keys: list[str], min_con
 
 def validated(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected); rejected rows tell their issues."""
-    checked = candidates.withColumn("issues", validation_issues())
+    labelled = candidates.withColumns({"__label": text.label_text(F.col("source_label")), "__plain": _plain_label()})  # once a row, not once a rule
+    checked = labelled.withColumn("issues", validation_issues(F.col("__label"), F.col("__plain"))).drop("__label", "__plain")
     return checked.where(F.size("issues") == 0).drop("issues"), checked.where(F.size("issues") > 0)
 
 
@@ -283,9 +289,10 @@ def issue_report(rejected: DataFrame, key: str = "document_id") -> DataFrame:
     return rejected.select(key, "page", F.explode("issues").alias("i")).groupBy(key, "page", "i.code").agg(F.count("*").alias("n"))
 
 
-def evidence_tier() -> Column:
-    """(role, tier): 1 a primary statement, 2 a native insurance row, 3 a direct synonym, 4 a note, 5 not eligible."""
-    label, metric, statement = text.label_text(F.col("source_label")), F.col("metric"), F.col("statement_type")
+def evidence_tier(label: Column | None = None) -> Column:
+    """(role, tier): 1 a primary statement, 2 a native insurance row, 3 a direct synonym, 4 a note, 5 not eligible; ``label`` is the label's text, if a column holds it."""
+    label = text.label_text(F.col("source_label")) if label is None else label
+    metric, statement = F.col("metric"), F.col("statement_type")
     allowed = F.try_element_at(F.create_map(*[x for m, s in ALLOWED_STATEMENTS.items() for x in (F.lit(m), F.array(*map(F.lit, s)))]), metric)
     primary = F.coalesce(F.array_contains(allowed, statement), F.lit(False)) | ((metric == "employees") & statement.isin(PRIMARY_STATEMENTS))
 
@@ -313,6 +320,12 @@ def evidence_tier() -> Column:
     )
 
 
+def with_tier(candidates: DataFrame) -> DataFrame:
+    """Candidates with role and tier; the label's text is made once a row, not once a rule."""
+    labelled = candidates.withColumn("__label", text.label_text(F.col("source_label")))
+    return labelled.withColumn("e", evidence_tier(F.col("__label"))).withColumns({"role": F.col("e.role"), "tier": F.col("e.tier")}).drop("e", "__label")
+
+
 #: Which metric stands in for which, at which tier (null: its own).
 EQUIVALENTS = [("shareholders_funds", "net_assets", 2), ("gross_premiums_written", "turnover", None), ("technical_account_result", "operating_result", None), ("profit_before_tax", "operating_result", None)]
 
@@ -329,11 +342,12 @@ def with_equivalents(candidates: DataFrame, keys: list[str]) -> DataFrame:
     Per key and source metric the best eligible row gives the equivalent; earned
     premiums and claims of one page, scope, unit and tier add up to gross profit.
     """
-    found = candidates.withColumn("e", evidence_tier()).withColumns({"role": F.col("e.role"), "tier": F.col("e.tier")}).drop("e")
+    found = with_tier(candidates)
     found = found.withColumn("derived_from", F.lit(None).cast("string"))
     table = F.array(*[F.struct(F.lit(a).alias("source"), F.lit(b).alias("target"), F.lit(t).cast("int").alias("as_tier")) for a, b, t in EQUIVALENTS])
     best = Window.partitionBy(*keys, "metric").orderBy(candidate_rank().desc(), "page_pos", "row_pos")
-    sources = found.where(F.col("tier") < INELIGIBLE).withColumn("r", F.row_number().over(best)).where("r = 1").drop("r")
+    standing_in = F.col("metric").isin([a for a, _, _ in EQUIVALENTS])  # no other metric's rows are ranked
+    sources = found.where(standing_in & (F.col("tier") < INELIGIBLE)).withColumn("r", F.row_number().over(best)).where("r = 1").drop("r")
     matched = sources.withColumn("m", F.explode(F.filter(table, lambda x: x["source"] == F.col("metric"))))
     derived = matched.withColumns({"derived_from": F.col("candidate_id"), "candidate_id": F.concat("candidate_id", F.lit(":"), "m.target"), "tier": F.coalesce("m.as_tier", "tier"), "metric": F.col("m.target")}).drop("m")
     return found.unionByName(derived).unionByName(_premiums_less_claims(found, keys))

@@ -508,3 +508,12 @@ def test_provenance_keeps_the_rows_order(spark):
     rows = spark.createDataFrame([(1, 1, 0, 5, "b", "other", "n"), (1, 0, 2, 4, "a", "income_statement", "p")], "d int, page_pos int, row_pos int, page int, source_label string, statement_type string, role string")
     found = context.provenance(rows, ["d"]).first()
     assert (found.source_pages, found.source_labels, found.source_statement_types, found.source_roles) == ([4, 5], ["a", "b"], ["income_statement", "other"], ["p", "n"])
+
+
+def test_labels_are_made_once_a_row(spark):
+    rows = spark.sql("select 1 document_id, 'a' candidate_id, 0 page_pos, 0 row_pos, 1 page, if(id < 9, 'operating_result', 'cash') metric, if(id < 9, 'income_statement', 'other') statement_type, 'x' statement_scope, 'GBP' unit, if(id < 9, 'Operating profit', 'Cash') source_label, '5' current_display, '4' previous_display, 0.5D confidence from range(1)")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(evidence.with_tier(rows)).count("[^a-z0-9]+") == 1
+    assert "metric" in rows.columns and evidence.with_equivalents(rows, ["document_id"]).count() == 1
+    accepted, rejected = evidence.validated(rows)
+    assert accepted.columns == rows.columns and rejected.count() == 0
