@@ -22,14 +22,19 @@ def calls_in_window(events: DataFrame, key: str, at: str, micros: int) -> DataFr
     """How many calls of the key lie in the window that ends with each call.
 
     A key's calls are dealt out by spans as long as the window; each span also gets
-    a copy of the calls of the span before, so no task sees more than two spans. Calls without a time see each other only.
+    a copy of the calls of the span before, moved on by the window's length, so no task
+    sees more than two spans. Running counts give the calls of the own span so far, and
+    the copies that are not yet behind: time is linear however dense the calls are.
+    Calls without a time see each other only.
     """
     timed = events.withColumn("__at", F.unix_micros(F.col(at).cast("timestamp"))).withColumn("__span", F.floor(F.col("__at") / F.lit(micros)))
-    own = timed.withColumn("__own", F.lit(True))
-    copies = timed.where("__span is not null").select(key, "__at", (F.col("__span") + 1).alias("__span"), F.lit(False).alias("__own"))
-    w = Window.partitionBy(key, "__span").orderBy("__at").rangeBetween(-micros, 0)
-    both = own.unionByName(copies, allowMissingColumns=True).withColumn("in_window", F.count("*").over(w))
-    return both.where("__own").drop("__at", "__span", "__own")
+    own = timed.withColumn("__side", F.lit(0))
+    copies = timed.where("__span is not null").select(key, (F.col("__at") + micros).alias("__at"), (F.col("__span") + 1).alias("__span"), F.lit(1).alias("__side"))
+    part = Window.partitionBy(key, "__span")
+    so_far = part.orderBy("__at", "__side").rangeBetween(Window.unboundedPreceding, Window.currentRow)  # calls at one time count each other, and the copies at it
+    both = own.unionByName(copies, allowMissingColumns=True)
+    mine, behind, copied = F.count_if(F.col("__side") == 0).over(so_far), F.count_if(F.col("__side") == 1).over(so_far), F.count_if(F.col("__side") == 1).over(part)
+    return both.withColumn("in_window", mine + copied - behind).where("__side = 0").drop("__at", "__span", "__side")
 
 
 def hourly_snapshots(events: DataFrame) -> DataFrame:

@@ -61,3 +61,14 @@ def test_rates_and_last_events(spark):
     assert sorted(r.in_window for r in monitor.calls_in_window(calls, "k", "at", 1_000_000).collect()) == [1, 2, 3, 3, 3, 3]
     log = spark.createDataFrame([("start", 1), ("done", 2), ("start", 3)], "event string, pos int")
     assert {r.event: r.last.pos for r in monitor.last_of_kind(log, "pos", ["start", "done"]).collect()} == {"start": 3, "done": 2}
+
+
+def test_dense_calls_are_counted_by_running_counts(spark):
+    from pyspark.sql import functions as F
+
+    calls = spark.range(400).select("id", F.when(F.col("id") % 50 > 0, F.timestamp_micros((F.col("id") * 7919) % 997 * 10_000)).alias("at"), F.when(F.col("id") % 3 > 0, "k").alias("k"))
+    found = monitor.calls_in_window(calls, "k", "at", 1_000_000)
+    rows = [(r.id, r.at and round(r.at.timestamp() * 1e6), r.k) for r in calls.collect()]
+    want = {i: sum(k == l and (a is b is None or None not in (a, b) and a - 1_000_000 <= b <= a) for _, b, l in rows) for i, a, k in rows}
+    assert {r.id: r.in_window for r in found.collect()} == want
+    assert "RangeFrame, -" not in found._jdf.queryExecution().optimizedPlan().toString()
