@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyfold.functions import arithmetic
 
@@ -80,13 +80,17 @@ def contexts(rows: DataFrame, key: str) -> DataFrame:
 
 def facts(rows: DataFrame, key: str) -> DataFrame:
     """(key, name, context, value): signed and scaled, the last tag of a name and context; head-counts keep decimals and take no negative scale."""
+    found = rows.where("kind = 'fact'").withColumn("value", _value()).where("value is not null")
+    return found.groupBy(key, "name", "context").agg(F.max_by("value", "position").alias("value"))
+
+
+def _value() -> Column:
     people = F.col("name").isin(SYNONYMS["employees"])
     number = F.regexp_replace("raw", r"[,\s]", "").try_cast("double")
     number = F.when(F.col("raw").rlike(r"^[-–—]$"), 0.0).otherwise(number)
     scale = F.when(people & (F.col("scale") < 0), 0).otherwise(F.col("scale"))
     value = number * F.pow(F.lit(10.0), scale) * F.when(F.col("negative"), -1.0).otherwise(1.0)
-    found = rows.where("kind = 'fact'").withColumn("value", F.when(people, value).otherwise(F.round(value, 0))).where("value is not null")
-    return found.groupBy(key, "name", "context").agg(F.max_by("value", "position").alias("value"))
+    return F.when(people, value).otherwise(F.round(value, 0))
 
 
 def currencies(rows: DataFrame, key: str) -> DataFrame:
@@ -120,12 +124,36 @@ def resolved(rows: DataFrame, key: str) -> DataFrame:
 
 
 def year_views(rows: DataFrame, key: str) -> DataFrame:
-    """One row per document and period with a column per figure, its year and its date."""
-    ctx = contexts(rows, key)
-    values = resolved(rows, key).groupBy(key, "period_type").pivot("metric", list(SYNONYMS)).agg(F.first("value"))
-    days = two_newest(ctx, key, "day").withColumnRenamed("day", "metric_date")
-    years = two_newest(ctx.withColumn("year", F.year("day")), key, "year").withColumnRenamed("year", "financial_year")
-    return days.join(years, [key, "period_type"], "left").join(values, [key, "period_type"], "left")
+    """One row per document and period with a column per figure, its year and its date.
+
+    Figures are those of ``resolved``. Rows are read once and dealt out once, by
+    document; all steps after that find a document's rows in one place.
+    """
+    names = F.create_map(*[x for m, ns in SYNONYMS.items() for n in ns for x in (F.lit(n), F.lit(m))])
+    is_context = F.col("kind") == "context"
+    tags = rows.select(key, "kind", F.when(~is_context, F.col("name")).alias("name"), "context", "day", "segmented", "position", F.when(~is_context, _value()).alias("value"))
+    tags = tags.where(is_context | ((F.col("kind") == "fact") & F.col("name").isin([n for ns in SYNONYMS.values() for n in ns]) & F.col("value").isNotNull())).repartition(F.col(key))
+    last = tags.groupBy(key, "kind", "name", "context").agg(F.max_by("value", "position").alias("value"), F.collect_set(F.when(is_context, F.struct("day", "segmented"))).alias("at"))
+    each = last.groupBy(key).agg(
+        F.flatten(F.collect_list(F.when(is_context, F.transform("at", lambda a: F.struct("context", a["day"].alias("day"), a["segmented"].alias("segmented")))))).alias("contexts"),
+        F.collect_list(F.when(~is_context, F.struct("name", "context", "value"))).alias("facts"),
+    )
+    newest = lambda c: F.slice(F.sort_array(F.array_distinct(F.array_compact(c)), False), 1, 2)
+    each = each.withColumn("days", newest(F.col("contexts.day")))
+    each = each.withColumn("years", newest(F.transform("contexts", lambda c: F.year(c["day"]))))
+    named = lambda i: F.when(i == 0, "current").otherwise("previous")
+    periods = F.transform("days", lambda d, i: F.struct(named(i).alias("period_type"), d.alias("metric_date"), F.get("years", i).alias("financial_year"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("double").alias("value")))
+    at = F.filter("contexts", lambda c: ~c["segmented"] & F.coalesce(F.array_contains("days", c["day"]), F.lit(False)))
+    at = F.transform(at, lambda c: F.struct(c["context"].alias("context"), named(F.array_position("days", c["day"]) - 1).alias("period_type")))
+    whole = each.select(key, periods.alias("periods"), at.alias("at"), "facts")
+    told = F.flatten(F.transform("facts", lambda f: F.transform(
+        F.filter("at", lambda a: a["context"] == f["context"]),
+        lambda a: F.struct(a["period_type"].alias("period_type"), F.lit(None).cast("date").alias("metric_date"), F.lit(None).cast("int").alias("financial_year"), f["name"].alias("name"), f["value"].alias("value")))))
+    flat = whole.select(key, F.explode(F.concat("periods", told)).alias("x")).select(key, "x.*")
+    dates = [F.max("metric_date").alias("metric_date"), F.max("financial_year").alias("financial_year")]
+    by_name = flat.groupBy(key, "period_type", "name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), *dates).where("name is null or lo = hi").withColumn("metric", F.try_element_at(names, F.col("name")))
+    by_metric = by_name.groupBy(key, "period_type", "metric").agg(F.min("lo").alias("value"), F.max("lo").alias("other"), F.max("metric_date").alias("metric_date"), F.max("financial_year").alias("financial_year")).where("metric is null or value = other")
+    return by_metric.groupBy(key, "period_type").agg(*dates, *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in SYNONYMS]).where("metric_date is not null")
 
 
 def derived(views: DataFrame, key: str) -> DataFrame:

@@ -517,3 +517,16 @@ def test_labels_are_made_once_a_row(spark):
     assert "metric" in rows.columns and evidence.with_equivalents(rows, ["document_id"]).count() == 1
     accepted, rejected = evidence.validated(rows)
     assert accepted.columns == rows.columns and rejected.count() == 0
+
+
+def test_year_views_read_the_rows_once(spark):
+    fact = lambda n, c, v, p: (1, "fact", n, c, None, None, v, 0, False, None, p)
+    ctx = lambda c, d, s=False: (1, "context", None, c, date(d, 12, 31), s, None, None, None, None, 0)
+    given = [ctx("c", 2024), ctx("c2", 2024), ctx("p", 2023), ctx("o", 2022), ctx("s", 2024, True), fact("Turnover", "c", "5", 1), fact("Turnover", "c", "6", 2), fact("Revenue", "c2", "6", 3), fact("Turnover", "s", "9", 4),
+             fact("CostSales", "c", "1", 5), fact("CostSales", "c2", "2", 6), fact("Debtors", "p", "-", 7), fact("Debtors", "o", "3", 8), fact("Other", "c", "3", 9)]
+    rows = spark.createDataFrame(given, f"document_id int, {facts.ROWS}")
+    views = facts.year_views(rows, "document_id")
+    got = {(r.period_type, m, r[m]) for r in views.collect() for m in facts.SYNONYMS if r[m] is not None}
+    assert got == {("current", "turnover", 6.0), ("previous", "debtors", 0.0)} == {(r.period_type, r.metric, r.value) for r in facts.resolved(rows, "document_id").collect()}
+    assert {(r.period_type, r.financial_year, r.metric_date.year) for r in views.collect()} == {("current", 2024, 2024), ("previous", 2023, 2023)}
+    assert views._jdf.queryExecution().sparkPlan().toString().count("Scan") == 1
