@@ -41,3 +41,18 @@ def test_the_index_finds_what_a_scan_finds(spark, tmp_path):
     assert index.share_read("going concern") == 2 / 10 and index.share_read("go") == 1.0 and index.share_read("zzz") == 0
     plan = index.candidates("abd")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+
+
+def test_the_index_holds_a_list_per_piece_and_segment(spark, tmp_path):
+    docs = spark.range(300).selectExpr("concat('k', id % 250) AS id", "concat('going concern ', id, CASE WHEN id % 7 = 0 THEN ' *' ELSE '' END) AS text").repartition(2)
+    whole = substring.SubstringIndex(spark, f"{tmp_path}/whole", "id", 3).build(docs, "text")
+    n = spark.read.parquet(f"{tmp_path}/whole/pieces").where("piece is not null").groupBy("piece", "segment").count()
+    assert n.where("count > 1").isEmpty() and n.agg(F.max("segment")).first()[0] is not None
+    assert spark.read.parquet(f"{tmp_path}/whole/pieces").count() < 2 * 300  # not a row per piece and text
+    small = substring.SubstringIndex(spark, f"{tmp_path}/small", "id", 3, entries=100, texts=5).build(docs, "text")
+    assert spark.read.parquet(f"{tmp_path}/small/pieces").select("segment").distinct().count() >= 60
+    for q in ("concern 1", "rn 29", "4 *", "n 77 *", "cern 250", "zzz"):
+        want = sorted(map(tuple, docs.where(F.contains("text", F.lit(q))).collect()))
+        assert [sorted(map(tuple, index.search(docs, q, "text").collect())) for index in (whole, small)] == [want, want], q
+    none = substring.SubstringIndex(spark, f"{tmp_path}/none", "id").build(docs.where("id is null"), "text")
+    assert none.search(docs, "going", "text").count() == 0 and none.share_read("going") == 0
