@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyfold.functions import text
 from tallyfold.operators import calls, context, evidence
+from tallyfold.sources import scratch
 
 ROW = "struct<metric: string, source_label: string, current_display: string, previous_display: string, confidence: double>"
 PAGE = f"struct<page: string, statement_type: string, statement_scope: string, unit: string, rows: array<{ROW}>>"
@@ -50,21 +51,24 @@ def replayed(saved: DataFrame, decide: Callable[[DataFrame], DataFrame], key: st
     outcome is ``kept`` for payloads that have lost nothing, ``no_candidates`` where
     nothing can be made of the pages, else ``replayed``; only then is ``replayed`` an
     array, of (period, metric, candidate_id, reported_value, value_pence,
-    value_count) in order of period and metric.
+    value_count) in order of period and metric. Payloads are read once, and what is
+    made of them is written, since decisions and selections both rest on it.
     """
     parts = saved.withColumn("__s", saved_pages(F.col(payload))).select("*", "__s.n_candidates", "__s.pages")
     parts = parts.withColumn("__lost", context.needs_page_numbers(parts))
-    lost = parts.where("__lost").select(key, F.transform("pages", lambda p: p.withField("page", text.page_number(p["page"]))).alias("pages"))
-    candidates = evidence.with_equivalents(evidence.exploded(lost.withColumn("pages", F.filter("pages", lambda p: p["page"].isNotNull())), key, "pages"), [key])
+    numbered = F.filter(F.transform("pages", lambda p: p.withField("page", text.page_number(p["page"]))), lambda p: p["page"].isNotNull())
+    parts = scratch.written(parts.withColumn("pages", F.when(F.col("__lost"), numbered)).drop("__s", "n_candidates"), "parts")
+    rows = scratch.written(evidence.exploded(parts.where("__lost").select(key, "pages"), key, "pages"), "rows")
+    candidates = scratch.written(evidence.with_equivalents(rows, [key]), "candidates")
     chosen = evidence.selected(candidates, decide(candidates), [key])
     entry = F.struct("period", "metric", "candidate_id", "reported_value", "value_pence", "value_count")
-    cells = chosen.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("replayed"))  # a cell per period and metric
-    made = candidates.select(key).distinct().withColumn("__made", F.lit(True))
-    out = parts.drop("__s", "n_candidates", "pages").join(made, key, "left").join(cells, key, "left")
+    cells = chosen.select(key, entry.alias("__cell"))  # a cell per period and metric
+    made = rows.select(key).distinct().withColumn("__cell", F.lit(None).cast(cells.schema["__cell"].dataType))
+    replays = made.unionByName(cells).groupBy(key).agg(F.array_sort(F.collect_list("__cell")).alias("replayed"), F.lit(True).alias("__made"))
+    out = parts.drop("pages").join(replays, key, "left")
     outcome = F.when(~F.col("__lost"), "kept").when(F.col("__made").isNull(), "no_candidates").otherwise("replayed")
-    nothing = F.array().cast(cells.schema["replayed"].dataType)
-    out = out.withColumn("outcome", outcome)
-    return out.withColumn("replayed", F.when(F.col("outcome") == "replayed", F.coalesce("replayed", nothing))).drop("__lost", "__made")
+    columns = [c for c in parts.columns if c not in ("pages", "__lost")]
+    return out.withColumn("outcome", outcome).select(key, *[c for c in columns if c != key], "outcome", F.when(F.col("outcome") == "replayed", F.col("replayed")).alias("replayed"))
 
 
 def decided_by_calls(candidates: DataFrame, key: str, replies: DataFrame, make_client: Callable[[], calls.Client] = calls.RecordedClient) -> DataFrame:

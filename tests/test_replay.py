@@ -56,3 +56,20 @@ def test_the_index_holds_a_list_per_piece_and_segment(spark, tmp_path):
         assert [sorted(map(tuple, index.search(docs, q, "text").collect())) for index in (whole, small)] == [want, want], q
     none = substring.SubstringIndex(spark, f"{tmp_path}/none", "id").build(docs.where("id is null"), "text")
     assert none.search(docs, "going", "text").count() == 0 and none.share_read("going") == 0
+
+
+def test_a_replayed_payload_is_read_once(spark):
+    row = {"metric": "turnover", "source_label": "Turnover", "current_display": "120", "previous_display": "(7)", "confidence": 0.5}
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def payload(number):
+        read.add(1)
+        return saved("3" if number % 2 else 3, [row])
+
+    df = spark.range(40).select(F.col("id").alias("case_id"), payload("id").alias("payload"))
+    ok = json.dumps({"financial_period_summaries": {"current": {"turnover": {"candidate_id": "p-0-r-0"}}, "previous": {}}})
+    replies = spark.createDataFrame([(k, [(ok, None, None, 0.0)]) for k in range(40)], "case_id long, replies array<struct<text:string, error:string, usage:map<string,bigint>, seconds:double>>")
+    got = replay.replayed(df, lambda c: replay.decided_by_calls(c, "case_id", replies), "case_id").collect()
+    assert {r.case_id: [c.value_pence for c in r.replayed or []] for r in got} == {k: [12000] * (k % 2) for k in range(40)}
+    assert got[0].__fields__ == ["case_id", "payload", "outcome", "replayed"] and read.value == 40
