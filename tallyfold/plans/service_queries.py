@@ -337,9 +337,10 @@ ORDER_RATES = """SELECT CAST(o_orderdate AS DATE) AS d, o_orderkey AS k, CAST(o_
 def conversions_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversions after a few more rates have come in: only periods of months that these reach are looked up again."""
     rows = spark.sql(ORDER_RATES, orders=table(spark, sf_dir, "orders")).select(F.col("d").alias("rate_date"), "rate", F.col("k").cast("string").alias("payload"), "k")
-    before = fx.import_rates(spark.createDataFrame([], schemas.schema("fx_rates")), rows.where("k % 200 <> 0").drop("k"), "USD", "S1", "u")
+    before = scratch.written(fx.import_rates(spark.createDataFrame([], schemas.schema("fx_rates")), rows.where("k % 200 <> 0").drop("k"), "USD", "S1", "u"), "before")
     rates = scratch.written(fx.import_rates(before, rows.drop("k"), "USD", "S1", "u"), "rates")
-    periods = store.Store(spark, sf_dir)["periods"]
+    wanted = ["id", "period_end_on", "currency_code", "currency_validation_status", *fx.AMOUNTS]
+    periods = scratch.written(store.Store(spark, sf_dir)["periods"].select(wanted), "periods")  # written tables are looked up in twice
     stored = scratch.written(fx.convert_changed(periods, before), "conversions")
     return fx.convert_changed(periods, rates, stored).select("summary_id", "status", "reason", F.col("rate_date").cast("string").alias("rate_date"), "recomputed")
 

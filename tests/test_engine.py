@@ -530,3 +530,13 @@ def test_year_views_read_the_rows_once(spark):
     assert got == {("current", "turnover", 6.0), ("previous", "debtors", 0.0)} == {(r.period_type, r.metric, r.value) for r in facts.resolved(rows, "document_id").collect()}
     assert {(r.period_type, r.financial_year, r.metric_date.year) for r in views.collect()} == {("current", 2024, 2024), ("previous", 2023, 2023)}
     assert views._jdf.queryExecution().sparkPlan().toString().count("Scan") == 1
+
+
+def test_kept_conversions_rest_on_written_tables(spark):
+    from tallyfold.plans import registry
+
+    found = registry.QUERIES["conversions_kept"](spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [o_custkey" not in plan and "o_orderdate" not in plan  # orders are not grouped into periods anew
+    rows = found.collect()
+    assert rows and {r.recomputed for r in rows} == {False, True} and len({r.summary_id for r in rows}) == len(rows)
