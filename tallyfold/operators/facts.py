@@ -6,12 +6,15 @@ markup is one Arrow pass that gives plain rows; everything after is relational.
 
 from __future__ import annotations
 
+import datetime
+import functools
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from tallyfold.functions import arithmetic
 
@@ -46,6 +49,53 @@ _ATTRIBUTE = re.compile(r"([\w:]+)\s*=\s*[\"']([^\"']*)[\"']")
 ROWS = "kind string, name string, context string, day date, segmented boolean, raw string, scale int, negative boolean, unit string, position int"
 
 
+#: Arrays of each document, in the order of its markup, and the same in Arrow.
+TAGS = (
+    "contexts array<struct<context:string, day:date, segmented:boolean>>, units array<struct<unit:string, raw:string>>, "
+    "facts array<struct<name:string, context:string, scale:int, negative:boolean, unit:string, raw:string>>"
+)
+_ARROW = {
+    "contexts": [("context", pa.string()), ("day", pa.date32()), ("segmented", pa.bool_())], "units": [("unit", pa.string()), ("raw", pa.string())],
+    "facts": [("name", pa.string()), ("context", pa.string()), ("scale", pa.int32()), ("negative", pa.bool_()), ("unit", pa.string()), ("raw", pa.string())],
+}
+
+
+@functools.lru_cache(maxsize=4096)
+def _date(text: str) -> datetime.date | None:
+    try:
+        return datetime.date.fromisoformat(text)
+    except ValueError:
+        return None
+
+
+@functools.lru_cache(maxsize=4096)
+def _attributes(text: str) -> tuple[str, str | None, int, bool, str | None]:
+    """Name, context, scale, sign and unit; an agent's filings have the same ones over and over."""
+    a = {k.rpartition(":")[2].lower(): v for k, v in _ATTRIBUTE.findall(text)}
+    scale = int(a["scale"]) if re.fullmatch(r"-?\d+", a.get("scale", "")) else 0
+    return a.get("name", "").rpartition(":")[2], a.get("contextref"), scale, a.get("sign") == "-", a.get("unitref")
+
+
+def _contexts(text: str) -> list[tuple]:
+    found = []
+    for m in _CONTEXT.finditer(text):
+        day = _DAY.search(m[2])
+        found.append((m[1], day and _date(day[2]), bool(_SEGMENT.search(m[2])), m.start()))
+    return found
+
+
+def _units(text: str) -> list[tuple]:
+    return [(m[1], m[2].strip().rpartition(":")[2], m.start()) for m in _UNIT.finditer(text)]
+
+
+def _facts(text: str) -> list[tuple]:
+    found = []
+    for m in _FACT.finditer(text):
+        raw = re.sub(r"<[^>]+>", "", m[2]) if "<" in m[2] else m[2]
+        found.append((*_attributes(m[1]), (html.unescape(raw) if "&" in raw else raw).strip(), m.start()))
+    return found
+
+
 def tag_rows(documents: DataFrame, key: str, markup: str) -> DataFrame:
     """Contexts, facts and units of each document as rows; other columns of the kind are null."""
     kind = dict(documents.dtypes)[key]
@@ -54,25 +104,38 @@ def tag_rows(documents: DataFrame, key: str, markup: str) -> DataFrame:
         for batch in batches:
             rows = []
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for m in _CONTEXT.finditer(text or ""):
-                    day = _DAY.search(m[2])
-                    rows.append((name, "context", None, m[1], day[2] if day else None, bool(_SEGMENT.search(m[2])), None, None, None, None, m.start()))
-                for m in _UNIT.finditer(text or ""):
-                    rows.append((name, "unit", m[1], None, None, None, m[2].strip().rpartition(":")[2], None, None, None, m.start()))
-                for m in _FACT.finditer(text or ""):
-                    a = {k.rpartition(":")[2].lower(): v for k, v in _ATTRIBUTE.findall(m[1])}
-                    raw = html.unescape(re.sub(r"<[^>]+>", "", m[2])).strip()
-                    scale = int(a["scale"]) if re.fullmatch(r"-?\d+", a.get("scale", "")) else 0
-                    rows.append((name, "fact", a.get("name", "").rpartition(":")[2], a.get("contextref"), None, None, raw, scale, a.get("sign") == "-", a.get("unitref"), m.start()))
+                rows += [(name, "context", None, context, day, segmented, None, None, None, None, at) for context, day, segmented, at in _contexts(text or "")]
+                rows += [(name, "unit", unit, None, None, None, raw, None, None, None, at) for unit, raw, at in _units(text or "")]
+                rows += [(name, "fact", tag, context, None, None, raw, scale, negative, unit, at) for tag, context, scale, negative, unit, raw, at in _facts(text or "")]
             columns = list(zip(*rows)) if rows else [()] * 11
-            types = (pa.string(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.int32())
+            types = (pa.string(), pa.string(), pa.string(), pa.date32(), pa.bool_(), pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.int32())
             arrays = [pa.array(c, t) for c, t in zip(columns[1:], types)]
-            arrays[3] = arrays[3].cast(pa.timestamp("s")).cast(pa.date32()) if len(arrays[3]) else pa.array([], pa.date32())
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], batch.schema.field(0).type), *arrays], names=[key, *[c.split()[0] for c in ROWS.split(", ")]])
 
     return documents.select(key, markup).mapInArrow(read, f"{key} {kind}, {ROWS}")
 
 
+def tagged(documents: DataFrame, markup: str) -> DataFrame:
+    """Documents with their contexts, units and facts as arrays in place of the markup; one pass that deals nothing out."""
+    own = documents.drop(markup)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [text or "" for text in batch.column(batch.num_columns - 1).to_pylist()]
+            lists = []
+            for find, fields in zip((_contexts, _units, _facts), _ARROW.values()):
+                found, ends = [], [0]
+                for text in texts:
+                    found += find(text)
+                    ends.append(len(found))
+                columns = list(zip(*found)) or [()] * len(fields)
+                items = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
+                lists.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *lists], names=[*batch.schema.names[:-1], *_ARROW])
+
+    return documents.select(*own.columns, markup).mapInArrow(read, StructType([*own.schema.fields, *StructType.fromDDL(TAGS).fields]))
+
+
 def contexts(rows: DataFrame, key: str) -> DataFrame:
     """(key, context, day, segmented)."""
     return rows.where("kind = 'context'").select(key, "context", "day", "segmented")
@@ -84,18 +147,22 @@ def facts(rows: DataFrame, key: str) -> DataFrame:
     return found.groupBy(key, "name", "context").agg(F.max_by("value", "position").alias("value"))
 
 
-def _value() -> Column:
-    people = F.col("name").isin(SYNONYMS["employees"])
-    number = F.regexp_replace("raw", r"[,\s]", "").try_cast("double")
-    number = F.when(F.col("raw").rlike(r"^[-–—]$"), 0.0).otherwise(number)
-    scale = F.when(people & (F.col("scale") < 0), 0).otherwise(F.col("scale"))
-    value = number * F.pow(F.lit(10.0), scale) * F.when(F.col("negative"), -1.0).otherwise(1.0)
+def _value(of: Callable[[str], Column] = F.col) -> Column:
+    people = of("name").isin(SYNONYMS["employees"])
+    number = F.regexp_replace(of("raw"), r"[,\s]", "").try_cast("double")
+    number = F.when(of("raw").rlike(r"^[-–—]$"), 0.0).otherwise(number)
+    scale = F.when(people & (of("scale") < 0), 0).otherwise(of("scale"))
+    value = number * F.pow(F.lit(10.0), scale) * F.when(of("negative"), -1.0).otherwise(1.0)
     return F.when(people, value).otherwise(F.round(value, 0))
 
 
+def _currency(raw: Column) -> Column:
+    return F.nullif(F.regexp_extract(raw, "([A-Z]{3})$", 1), F.lit(""))
+
+
 def currencies(rows: DataFrame, key: str) -> DataFrame:
     """(key, context, currency_code) of the last tag with a currency."""
-    units = rows.where("kind = 'unit'").select(key, F.col("name").alias("unit"), F.nullif(F.regexp_extract("raw", "([A-Z]{3})$", 1), F.lit("")).alias("currency_code"))
+    units = rows.where("kind = 'unit'").select(key, F.col("name").alias("unit"), _currency(F.col("raw")).alias("currency_code"))
     joined = rows.where("kind = 'fact'").select(key, "context", "unit", "position").join(units.where("currency_code is not null"), [key, "unit"])
     return joined.groupBy(key, "context").agg(F.max_by("currency_code", "position").alias("currency_code"))
 
@@ -156,6 +223,49 @@ def year_views(rows: DataFrame, key: str) -> DataFrame:
     return by_metric.groupBy(key, "period_type").agg(*dates, *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in SYNONYMS]).where("metric_date is not null")
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, also where ``use`` has it within a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _last(entries: Column, fields: list[str]) -> Column:
+    """The last one of the entries (fields, position, ...) with the same fields."""
+    follows = lambda e, n: n.isNotNull() & functools.reduce(Column.__and__, [e[f].eqNullSafe(n[f]) for f in fields])
+    return _bound(F.sort_array(entries), lambda s: F.filter(s, lambda e, i: ~F.coalesce(follows(e, F.get(s, i + 1)), F.lit(False))))
+
+
+def _same(values: Column) -> Column:
+    """The value that all have that are not null."""
+    return _bound(values, lambda v: F.when(F.array_min(v) == F.array_max(v), F.array_min(v)))
+
+
+def period_views(tags: DataFrame) -> DataFrame:
+    """``year_views`` of ``tagged`` documents, with the date of the year's end and the currency; other columns stay.
+
+    Each row is a document of its own, so that no row leaves its task. The currency
+    is that of the last tag with one, if it is the same for all contexts of the year.
+    """
+    own = [c for c in tags.columns if c not in _ARROW]
+    newest = lambda c: F.slice(F.sort_array(F.array_distinct(F.array_compact(c)), False), 1, 2)
+    each = tags.withColumns({"days": newest(F.col("contexts.day")), "years": newest(F.transform("contexts", lambda c: F.year(c["day"])))})
+    units = F.transform("units", lambda u, i: F.struct(u["unit"].alias("unit"), i.alias("position"), _currency(u["raw"]).alias("code")))
+    units = F.map_from_entries(F.transform(_last(F.filter(units, lambda u: u["code"].isNotNull()), ["unit"]), lambda u: F.struct(u["unit"], u["code"])))
+    told = _bound(units, lambda m: F.transform("facts", lambda f, i: F.struct(f["context"].alias("context"), i.alias("position"), F.try_element_at(m, f["unit"]).alias("code"))))
+    told = _last(F.filter(told, lambda t: t["context"].isNotNull() & t["code"].isNotNull()), ["context"])
+    of_year = lambda y: F.filter("contexts", lambda c: F.year(c["day"]) == y)
+    codes = _bound(told, lambda t: F.transform("years", lambda y: _bound(of_year(y)["context"], lambda ids: _same(F.filter(t, lambda x: F.array_contains(ids, x["context"]))["code"]))))
+    named = [n for ns in SYNONYMS.values() for n in ns]
+    values = F.transform("facts", lambda f, i: F.struct(f["name"].alias("name"), f["context"].alias("context"), i.alias("position"), F.when(f["name"].isin(named), _value(lambda c: f[c])).alias("value")))
+    each = each.withColumns({"ends": F.transform("years", lambda y: F.array_max(of_year(y)["day"])), "codes": codes, "values": _last(F.filter(values, lambda v: v["value"].isNotNull()), ["name", "context"])})
+    rows = each.select("*", F.posexplode("days").alias("at", "metric_date"))
+    plain = F.filter("contexts", lambda c: ~c["segmented"] & (c["day"] == F.col("metric_date")))["context"]
+    mine = _bound(plain, lambda ids: F.filter("values", lambda v: F.array_contains(ids, v["context"])))
+    rows = rows.withColumn("found", _bound(mine, lambda vs: F.transform(F.array(*map(F.lit, named)), lambda n: _same(F.filter(vs, lambda v: v["name"] == n)["value"]))))
+    figures = [_same(F.array(*[F.get("found", F.lit(named.index(n))) for n in ns])).alias(m) for m, ns in SYNONYMS.items()]
+    period = F.when(F.col("at") == 0, "current").otherwise("previous").alias("period_type")
+    return rows.select(*own, period, "metric_date", F.get("years", "at").alias("financial_year"), *figures, F.get("ends", "at").alias("period_end_on"), F.get("codes", "at").alias("currency_code"))
+
+
 def derived(views: DataFrame, key: str) -> DataFrame:
     """Growth of the current on the previous period, margins and ratios; one row per document."""
     of = {p: {m: F.max(F.when(F.col("period_type") == p, F.col(m))).alias(f"{p}_{m}") for m in SYNONYMS} for p in ("current", "previous")}

@@ -10,16 +10,9 @@ from tallyfold.operators import evidence, facts, narrative
 
 
 def periods_of(documents: DataFrame, key: str = "document_id", markup: str = "xhtml") -> DataFrame:
-    """Period rows from tagged documents (document_id, company_number, xhtml)."""
-    rows = facts.tag_rows(documents, key, markup)
-    views = facts.year_views(rows, key)
-    days = facts.two_newest(facts.contexts(rows, key).withColumn("year", F.year("day")), key, "year")
-    last = facts.contexts(rows, key).withColumn("year", F.year("day")).groupBy(key, "year").agg(F.max("day").alias("period_end_on"))
-    codes = facts.currencies(rows, key).join(facts.contexts(rows, key).withColumn("year", F.year("day")), [key, "context"])
-    code = evidence.unanimous(codes.join(days, [key, "year"]), [key, "period_type"], "currency_code")
-    dated = days.join(last, [key, "year"]).select(key, "period_type", "period_end_on")
-    out = views.join(dated, [key, "period_type"], "left").join(code, [key, "period_type"], "left")
-    return out.join(documents.select(key, "company_number"), key).withColumn("data_source", F.lit("xhtml"))
+    """Period rows from tagged documents (document_id, company_number, xhtml); each row is a document of its own."""
+    views = facts.period_views(facts.tagged(documents.select(key, "company_number", markup), markup))
+    return views.select(key, *[c for c in views.columns if c not in (key, "company_number")], "company_number", F.lit("xhtml").alias("data_source"))
 
 
 def narrative_of(documents: DataFrame, key: str = "document_id", markup: str = "xhtml") -> tuple[DataFrame, DataFrame]:

@@ -540,3 +540,32 @@ def test_kept_conversions_rest_on_written_tables(spark):
     assert "Aggregate [o_custkey" not in plan and "o_orderdate" not in plan  # orders are not grouped into periods anew
     rows = found.collect()
     assert rows and {r.recomputed for r in rows} == {False, True} and len({r.summary_id for r in rows}) == len(rows)
+
+
+ODD = """<context id="a"><endDate>2024-12-31</endDate></context><context id="b"><instant>2024-06-30</instant></context><context id="o"><endDate>2023-12-31</endDate></context><context id="x"><endDate>2023-02-30</endDate></context>
+<context id="s"><segment>x</segment><endDate>2024-12-31</endDate></context><unit id="u"><measure>iso4217:GBP</measure></unit><unit id="d"><measure>iso4217:USD</measure></unit><unit id="n"><measure>pure</measure></unit>
+<nonFraction name="Turnover" contextRef="a" unitRef="u">5</nonFraction><nonFraction name="Turnover" contextRef="a" unitRef="n">6</nonFraction><nonFraction name="Turnover" contextRef="a" unitRef="n">x</nonFraction><nonFraction name="Revenue" contextRef="b" unitRef="u">7</nonFraction>
+<nonFraction name="Debtors" contextRef="s" unitRef="u">9</nonFraction><nonFraction name="Creditors" contextRef="o" unitRef="u"><b>1</b>&#44;000</nonFraction><nonFraction name="Other" contextRef="o" unitRef="d">1</nonFraction><nonFraction name="Other" unitRef="d">1</nonFraction>"""
+
+
+def test_periods_of_filings_are_one_pass_without_a_shuffle(spark):
+    more = '<nonFraction name="Other" contextRef="s" unitRef="d">1</nonFraction>'
+    docs = spark.createDataFrame([(1, "1", ODD), (2, None, ODD + more), (3, "3", "<html></html>"), (4, "4", None), (5, "5", TAGGED)], "document_id int, company_number string, xhtml string")
+    found = ingestion.periods_of(docs)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and not any(step in plan for step in ("Join", "Aggregate", "Window", "Repartition"))
+    rows = {(r.document_id, r.period_type): r for r in found.collect()}
+    assert {k: (r.company_number, str(r.metric_date), r.financial_year, str(r.period_end_on), r.currency_code) for k, r in rows.items()} == {
+        (1, "current"): ("1", "2024-12-31", 2024, "2024-12-31", "GBP"), (1, "previous"): ("1", "2024-06-30", 2023, "2023-12-31", "USD"),
+        (2, "current"): (None, "2024-12-31", 2024, "2024-12-31", None), (2, "previous"): (None, "2024-06-30", 2023, "2023-12-31", "USD"),
+        (5, "current"): ("5", "2024-03-31", 2024, "2024-03-31", "GBP"), (5, "previous"): ("5", "2023-03-31", 2023, "2023-03-31", "GBP"),
+    }
+    assert (rows[1, "current"].turnover, rows[1, "previous"].turnover, rows[1, "current"].debtors, rows[1, "previous"].current_liabilities) == (6.0, 7.0, None, None)
+    views = facts.year_views(facts.tag_rows(docs, "document_id", "xhtml"), "document_id")
+    assert sorted(map(tuple, found.select(views.columns).collect())) == sorted(map(tuple, views.collect()))
+
+
+def test_filings_with_the_same_key_are_read_each_by_itself(spark):
+    docs = spark.createDataFrame([(1, "1", TAGGED), (1, "2", TAGGED.replace("2024-", "2020-").replace("2023-", "2019-")), (None, "3", TAGGED)], "document_id int, company_number string, xhtml string")
+    got = sorted((r.company_number, r.period_type, r.financial_year) for r in ingestion.periods_of(docs).collect())
+    assert got == [("1", "current", 2024), ("1", "previous", 2023), ("2", "current", 2020), ("2", "previous", 2019), ("3", "current", 2024), ("3", "previous", 2023)]
