@@ -53,7 +53,12 @@ def reported_value(text: Column, unit_: Column) -> Column:
 
 def pence(text: Column, unit_: Column) -> Column:
     """Whole pence of a displayed sterling amount, else null."""
-    return F.when(currency(unit_) == "GBP", F.bround(reported_value(text, unit_) * 100, 0).cast("bigint"))
+    return pence_of(reported_value(text, unit_), unit_)
+
+
+def pence_of(value: Column, unit_: Column) -> Column:
+    """Whole pence of a reported value in sterling, else null."""
+    return F.when(currency(unit_) == "GBP", F.bround(value * 100, 0).cast("bigint"))
 
 
 def count_value(text: Column) -> Column:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-from tallyfold.functions import arithmetic
+from tallyfold.functions import arithmetic, arrays
 
 # Local names of the tags of each figure, in order.
 SYNONYMS: dict[str, list[str]] = {
@@ -223,22 +223,6 @@ def year_views(rows: DataFrame, key: str) -> DataFrame:
     return by_metric.groupBy(key, "period_type").agg(*dates, *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in SYNONYMS]).where("metric_date is not null")
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once, also where ``use`` has it within a lambda."""
-    return F.transform(F.array(value), use)[0]
-
-
-def _last(entries: Column, fields: list[str]) -> Column:
-    """The last one of the entries (fields, position, ...) with the same fields."""
-    follows = lambda e, n: n.isNotNull() & functools.reduce(Column.__and__, [e[f].eqNullSafe(n[f]) for f in fields])
-    return _bound(F.sort_array(entries), lambda s: F.filter(s, lambda e, i: ~F.coalesce(follows(e, F.get(s, i + 1)), F.lit(False))))
-
-
-def _same(values: Column) -> Column:
-    """The value that all have that are not null."""
-    return _bound(values, lambda v: F.when(F.array_min(v) == F.array_max(v), F.array_min(v)))
-
-
 def period_views(tags: DataFrame) -> DataFrame:
     """``year_views`` of ``tagged`` documents, with the date of the year's end and the currency; other columns stay.
 
@@ -249,19 +233,19 @@ def period_views(tags: DataFrame) -> DataFrame:
     newest = lambda c: F.slice(F.sort_array(F.array_distinct(F.array_compact(c)), False), 1, 2)
     each = tags.withColumns({"days": newest(F.col("contexts.day")), "years": newest(F.transform("contexts", lambda c: F.year(c["day"])))})
     units = F.transform("units", lambda u, i: F.struct(u["unit"].alias("unit"), i.alias("position"), _currency(u["raw"]).alias("code")))
-    units = F.map_from_entries(F.transform(_last(F.filter(units, lambda u: u["code"].isNotNull()), ["unit"]), lambda u: F.struct(u["unit"], u["code"])))
-    told = _bound(units, lambda m: F.transform("facts", lambda f, i: F.struct(f["context"].alias("context"), i.alias("position"), F.try_element_at(m, f["unit"]).alias("code"))))
-    told = _last(F.filter(told, lambda t: t["context"].isNotNull() & t["code"].isNotNull()), ["context"])
+    units = F.map_from_entries(F.transform(arrays.last_of(F.filter(units, lambda u: u["code"].isNotNull()), ["unit"]), lambda u: F.struct(u["unit"], u["code"])))
+    told = arrays.bound(units, lambda m: F.transform("facts", lambda f, i: F.struct(f["context"].alias("context"), i.alias("position"), F.try_element_at(m, f["unit"]).alias("code"))))
+    told = arrays.last_of(F.filter(told, lambda t: t["context"].isNotNull() & t["code"].isNotNull()), ["context"])
     of_year = lambda y: F.filter("contexts", lambda c: F.year(c["day"]) == y)
-    codes = _bound(told, lambda t: F.transform("years", lambda y: _bound(of_year(y)["context"], lambda ids: _same(F.filter(t, lambda x: F.array_contains(ids, x["context"]))["code"]))))
+    codes = arrays.bound(told, lambda t: F.transform("years", lambda y: arrays.bound(of_year(y)["context"], lambda ids: arrays.same(F.filter(t, lambda x: F.array_contains(ids, x["context"]))["code"]))))
     named = [n for ns in SYNONYMS.values() for n in ns]
     values = F.transform("facts", lambda f, i: F.struct(f["name"].alias("name"), f["context"].alias("context"), i.alias("position"), F.when(f["name"].isin(named), _value(lambda c: f[c])).alias("value")))
-    each = each.withColumns({"ends": F.transform("years", lambda y: F.array_max(of_year(y)["day"])), "codes": codes, "values": _last(F.filter(values, lambda v: v["value"].isNotNull()), ["name", "context"])})
+    each = each.withColumns({"ends": F.transform("years", lambda y: F.array_max(of_year(y)["day"])), "codes": codes, "values": arrays.last_of(F.filter(values, lambda v: v["value"].isNotNull()), ["name", "context"])})
     rows = each.select("*", F.posexplode("days").alias("at", "metric_date"))
     plain = F.filter("contexts", lambda c: ~c["segmented"] & (c["day"] == F.col("metric_date")))["context"]
-    mine = _bound(plain, lambda ids: F.filter("values", lambda v: F.array_contains(ids, v["context"])))
-    rows = rows.withColumn("found", _bound(mine, lambda vs: F.transform(F.array(*map(F.lit, named)), lambda n: _same(F.filter(vs, lambda v: v["name"] == n)["value"]))))
-    figures = [_same(F.array(*[F.get("found", F.lit(named.index(n))) for n in ns])).alias(m) for m, ns in SYNONYMS.items()]
+    mine = arrays.bound(plain, lambda ids: F.filter("values", lambda v: F.array_contains(ids, v["context"])))
+    rows = rows.withColumn("found", arrays.bound(mine, lambda vs: F.transform(F.array(*map(F.lit, named)), lambda n: arrays.same(F.filter(vs, lambda v: v["name"] == n)["value"]))))
+    figures = [arrays.same(F.array(*[F.get("found", F.lit(named.index(n))) for n in ns])).alias(m) for m, ns in SYNONYMS.items()]
     period = F.when(F.col("at") == 0, "current").otherwise("previous").alias("period_type")
     return rows.select(*own, period, "metric_date", F.get("years", "at").alias("financial_year"), *figures, F.get("ends", "at").alias("period_end_on"), F.get("codes", "at").alias("currency_code"))
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyfold.functions import arithmetic, money
+from tallyfold.functions import arithmetic, arrays, money
 from tallyfold.operators import context, evidence, ingestion, scoring
 from tallyfold.operators.profiles import FIELDS
 from tallyfold.operators.upsert import upsert
@@ -160,6 +160,12 @@ def latest_answers(answers: DataFrame, keys: list[str]) -> DataFrame:
     return answers.where("name is not null").groupBy(*keys, "name").agg(F.max_by("value", rank).alias("value"))
 
 
+def latest_of(answers: Column) -> Column:
+    """``latest_answers`` of the answers (name, value, updated_ms) that a trace holds, as an array of the same with their positions."""
+    known = F.transform(F.filter(answers, lambda a: a["name"].isNotNull()), lambda a, i: F.struct(a["name"].alias("name"), F.coalesce(a["updated_ms"], F.lit(0)).alias("updated_ms"), i.alias("position"), a["value"].alias("value")))
+    return arrays.last_of(known, ["name"])
+
+
 def statement_pages(answer: Column) -> Column:
     """Pages of a reviewer's list, sorted, each once; null unless all are positive whole numbers and there is one."""
     parts = F.filter(F.transform(F.split(answer, ","), lambda x: F.trim(x)), lambda x: x != "")
@@ -167,29 +173,39 @@ def statement_pages(answer: Column) -> Column:
     return F.when((F.size(pages) > 0) & F.forall(pages, lambda p: F.coalesce(p > 0, F.lit(False))), F.array_sort(F.array_distinct(pages)))
 
 
+GOLD = [(p, m, f"gold_{p}_{m}") for p in PERIODS for m in evidence.CANONICAL]
+ASKED = ["gold_statement_pages", *[n for _, _, n in GOLD]]
+
+
 def reviewed_cases(traces: DataFrame, answers: DataFrame, version: int = 1) -> DataFrame:
+    """``reviewed_traces`` of answers that come as rows (case_id, name, value), one of each name."""
+    read = answers.where(F.col("name").isin(ASKED) & F.col("case_id").isNotNull())
+    # no join: a side of few bytes in the shuffle can be many in memory, and would be broadcast
+    told = read.select("case_id", F.struct("name", "value").alias("told"))
+    own = [c for c in traces.columns if c != "case_id"]
+    both = traces.select("case_id", F.struct(*own).alias("trace")).unionByName(told, allowMissingColumns=True)
+    wide = both.groupBy("case_id").agg(F.collect_list("trace").alias("traces"), F.collect_list("told").alias("answers"))
+    return reviewed_traces(wide.select("case_id", F.explode("traces").alias("trace"), "answers").select("case_id", "trace.*", "answers"), version)
+
+
+def reviewed_traces(traces: DataFrame, version: int = 1) -> DataFrame:
     """(case_id, missing, errors, case_json): answers of a completed review as a label case; one with faults has no case.
 
     Traces are (case_id, company_number, document_id, pdf_sha256, split, trace_id,
-    reviewer, reviewed_at), answers (case_id, name, value), one of each name.
+    reviewer, reviewed_at, answers), each with its answers (name, value, ...), one of
+    each name, so that a trace is read where it lies.
     """
-    gold = [(p, m, f"gold_{p}_{m}") for p in PERIODS for m in evidence.CANONICAL]
-    names = ["gold_statement_pages", *[n for _, _, n in gold]]
-    metric = F.regexp_replace("name", "^gold_[a-z]+_", "")
-    read = scoring.with_reviewed_metric(answers.where(F.col("name").isin(names) & F.col("case_id").isNotNull()), "value", metric, "cell")
-    # no join: a side of few bytes in the shuffle can be many in memory, and would be broadcast
-    told = read.select("case_id", F.struct("name", F.struct("cell", F.when(F.col("name") == names[0], statement_pages(F.col("value"))).alias("pages"))).alias("told"))
-    own = [c for c in traces.columns if c != "case_id"]
-    both = traces.select("case_id", F.struct(*own).alias("trace")).unionByName(told, allowMissingColumns=True)
-    wide = both.groupBy("case_id").agg(F.collect_list("trace").alias("traces"), F.map_from_entries(F.collect_list("told")).alias("a"))
-    rows = wide.select("case_id", F.explode("traces").alias("trace"), "a").select("case_id", "trace.*", "a")
-    cell = lambda n: F.try_element_at("a", F.lit(n))["cell"]
-    given = F.coalesce(F.map_keys("a"), F.array().cast("array<string>"))
-    rows = rows.withColumn("missing", F.array_sort(F.array_except(F.array(*map(F.lit, names)), given))).withColumn("pages", F.try_element_at("a", F.lit(names[0]))["pages"])
+    a = arrays.bound(F.filter("answers", lambda x: x["name"].isin(ASKED)), lambda x: F.map_from_arrays(x["name"], x["value"]))
+    rows = traces.withColumn("a", F.coalesce(a, F.create_map().cast("map<string,string>")))
+    value = lambda n: F.try_element_at("a", F.lit(n))
+    rows = rows.withColumns({"missing": F.sort_array(F.array_except(F.array(*map(F.lit, ASKED)), F.map_keys("a"))), "pages": arrays.bound(value(ASKED[0]), statement_pages)})
+    rows = scoring.with_reviewed_metrics(rows, {n: (value(n), m) for _, m, n in GOLD})
+    cell = F.col
     faults = [F.when(F.col("pages").isNull(), F.lit("gold_statement_pages: no list of pages"))]
-    faults += [F.concat(F.lit(f"{n}: "), F.coalesce(cell(n)["error"], F.when(cell(n)["state"].isNull(), "no answer"))) for _, _, n in gold]
-    rows = rows.withColumn("errors", F.when(F.size("missing") > 0, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*faults))))
-    summaries = F.struct(*[F.struct(*[cell(n).dropFields("error").alias(m) for q, m, n in gold if q == p]).alias(p) for p in PERIODS])
+    faults += [F.concat(F.lit(f"{n}: "), F.coalesce(cell(n)["error"], F.when(cell(n)["state"].isNull(), "no answer"))) for _, _, n in GOLD]
+    none = F.array(F.lit(None).cast("string"))
+    rows = rows.withColumn("errors", F.when(F.size("missing") > 0, F.array().cast("array<string>")).otherwise(F.array_except(F.array(*faults), none)))
+    summaries = F.struct(*[F.struct(*[cell(n).dropFields("error").alias(m) for q, m, n in GOLD if q == p]).alias(p) for p in PERIODS])
     case = F.struct(
         F.lit(version).alias("schema_version"), F.col("case_id").alias("id"), "company_number", "document_id", F.concat(F.lit("trace:"), "trace_id").alias("pdf_path"), "pdf_sha256", "split",
         F.struct(F.lit("review").alias("label_source"), F.col("trace_id").alias("review_trace_id")).alias("metadata"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyfold.functions import arithmetic
+from tallyfold.functions import arithmetic, arrays
 
 CELL = ["period", "metric"]
 
@@ -99,7 +99,7 @@ def quote_issues(response: Column, allowed: dict[str, list[str]], source: Column
 def _named(parts: Column, metric: Column) -> dict[str, Column]:
     from tallyfold.functions import money
 
-    unit = F.when(metric == "employees", "COUNT").otherwise(money.unit(F.try_element_at(parts, F.lit(3))))
+    unit = F.when(metric == "employees", "COUNT").when(parts.isNull(), money.UNKNOWN).otherwise(money.unit(F.try_element_at(parts, F.lit(3))))
     return {"n": F.size(parts), "shown": F.try_element_at(parts, F.lit(1)), "page": F.try_element_at(parts, F.lit(2)).try_cast("int"), "unit": unit}
 
 
@@ -126,7 +126,7 @@ def _reviewed(x: Callable[[str], Column], missing: Column, metric: Column) -> Co
     kind = F.when(told, "narrative_zero").when((metric == "employees") & x("shown").rlike("^[-–—]+$"), "dash_zero")
     return F.struct(
         F.when(missing, "missing").when(fine, "present").alias("state"), F.when(fine & ~told, x("shown")).alias("displayed_value"), F.when(fine, x("unit")).alias("unit"), F.when(fine, x("page")).alias("source_page"),
-        F.when(fine, x("count")).alias("value_count"), F.when(fine, x("amount")).alias("reported_value"), F.when(fine & (metric != "employees"), money.pence(x("shown"), x("unit"))).alias("value_pence"),
+        F.when(fine, x("count")).alias("value_count"), F.when(fine, x("amount")).alias("reported_value"), F.when(fine & (metric != "employees"), money.pence_of(x("amount"), x("unit"))).alias("value_pence"),
         F.when(fine, kind).alias("evidence_kind"), x("error").alias("error"),
     )
 
@@ -149,13 +149,28 @@ def reviewed_metric(answer: Column, metric: Column) -> Column:
 _STEPS = ["n", "shown", "page", "unit", "told", "count", "amount", "error"]
 
 
-def with_reviewed_metric(rows: DataFrame, answer: str, metric: Column, name: str) -> DataFrame:
-    """Rows with ``reviewed_metric`` of a column as ``name``: its steps are columns of their own, which Spark compiles, so that many answers are read fast."""
-    x, missing, of = (lambda n: F.col(f"__{n}")), F.col("__missing"), F.col("__metric")
-    out = rows.withColumns({"__missing": F.upper(F.trim(answer)) == "MISSING", "__metric": metric, "__parts": _answer_parts(F.col(answer))})
-    for step in (lambda: _named(F.col("__parts"), of), lambda: _valued(x, of), lambda: _checked(x, missing)):
-        out = out.withColumns({f"__{n}": c for n, c in step().items()})
-    return out.withColumn(name, _reviewed(x, missing, of)).drop("__missing", "__metric", "__parts", *[f"__{n}" for n in _STEPS])
+def with_reviewed_metrics(rows: DataFrame, answers: dict[str, tuple[Column, str]]) -> DataFrame:
+    """Rows with ``reviewed_metric`` of several answers, each by its metric, as columns of the given names.
+
+    All take each step together, as columns, which Spark compiles. What is bound in a
+    step keeps it out of whole-stage code: that many expressions would be one method,
+    which is too long for the JVM to compile. MISSING is not read any further.
+    """
+    metrics = {i: F.lit(metric) for i, (_, metric) in enumerate(answers.values())}
+    of = lambda i: lambda n: F.col(f"__{n}_{i}")
+    told = lambda i: of(i)("told_missing")
+    steps = [
+        lambda i: {"value": list(answers.values())[i][0]},
+        lambda i: {"parts": F.when(F.upper(F.trim(of(i)("value"))) != "MISSING", _answer_parts(of(i)("value")))},
+        lambda i: _named(of(i)("parts"), metrics[i]) | {"told_missing": of(i)("value").isNotNull() & of(i)("parts").isNull()},
+        lambda i: _valued(of(i), metrics[i]),
+        lambda i: _checked(of(i), told(i)),
+        lambda i: {"cell": _reviewed(of(i), told(i), metrics[i])},
+    ]
+    own, out = rows.columns, rows
+    for step in steps:
+        out = out.withColumns({f"__{n}_{i}": c for i in metrics for n, c in step(i).items()} | {own[0]: arrays.bound(F.col(own[0]), lambda x: x)})
+    return out.select(*own, *[of(i)("cell").alias(name) for i, name in enumerate(answers)])
 
 
 def case_issues(cells_: DataFrame, key: str = "case_id") -> DataFrame:

@@ -115,3 +115,27 @@ def test_reviewed_cases_are_put_together_without_a_join(spark):
     rows = sorted((r.case_id, len(r.missing), len(r.errors), r.case_json and json.loads(r.case_json)["metadata"]["review_trace_id"]) for r in found.collect())
     assert rows == [("a", 0, 0, "t"), ("a", 0, 0, "u"), ("b", 15, 0, None)]
     assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_traces_hold_their_answers(spark):
+    given = "name string, value string, updated_ms bigint"
+    names = [f"gold_{p}_{m}" for p in results.PERIODS for m in evidence.CANONICAL]
+    full = [("gold_statement_pages", "9", 1), ("gold_statement_pages", "2, 1", 2), *[(n, "MISSING", None) for n in names], ("gold_current_cash", "(1,234) | 4 | £'000", 1), ("gold_current_cash", "5", 1), ("gold_current_cash", "6", 0), (None, "x", 9), ("other", "x", 9)]
+    right = [*full, ("gold_current_cash", "(1,234) | 4 | £'000", 1), ("gold_previous_employees", " - | 7 | ", 1)]
+    wrong = [*full, ("gold_current_turnover", "1 | 0 | GBP", 1), ("gold_previous_turnover", "x | 1 | GBP", 1), ("gold_previous_cash", "1 | 1 | ?", 1), ("gold_previous_net_assets", None, 1)]
+    traces = spark.createDataFrame([(i, "1", "D", "h", "s", "t", "r", "d", a) for i, a in (("a", right), ("b", wrong), ("c", full[3:]), ("d", []), ("e", None), ("a", wrong), (None, right))], f"case_id string, company_number string, document_id string, pdf_sha256 string, split string, trace_id string, reviewer string, reviewed_at string, answers array<struct<{given.replace(' ', ':')}>>".replace(",:", ", "))
+    found = results.reviewed_traces(traces.withColumn("answers", results.latest_of(F.col("answers"))))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(step in plan for step in ("Join", "Aggregate", "Window", "Generate", "Repartition"))
+    rows = [(r.case_id, len(r.missing), len(r.errors), r.case_json and json.loads(r.case_json)) for r in found.collect()]
+    assert [(i, m, e, c is not None) for i, m, e, c in rows] == [("a", 0, 0, True), ("b", 0, 5, False), ("c", 2, 0, False), ("d", 15, 0, False), ("e", 15, 0, False), ("a", 0, 5, False), (None, 0, 0, True)]
+    assert found.collect()[1].errors == [
+        "gold_current_turnover: page is no positive number", "gold_current_cash: expected three parts", "gold_previous_turnover: value is no number", "gold_previous_cash: unit is not known", "gold_previous_net_assets: page is no positive number",
+    ]
+    expected = rows[0][3]["expected"]
+    assert expected["statement_pages"] == [1, 2] and expected["financial_period_summaries"]["current"]["turnover"] == {"state": "missing"} | dict.fromkeys(("displayed_value", "unit", "source_page", "value_count", "reported_value", "value_pence", "evidence_kind"))
+    cash, people = expected["financial_period_summaries"]["current"]["cash"], expected["financial_period_summaries"]["previous"]["employees"]
+    assert (cash["state"], cash["unit"], cash["source_page"], cash["value_pence"], cash["reported_value"]) == ("present", "GBP_THOUSANDS", 4, -123_400_000, -1_234_000)
+    assert (people["unit"], people["value_count"], people["evidence_kind"], people["value_pence"]) == ("COUNT", 0, "dash_zero", None)
+    old = results.reviewed_cases(traces.where("case_id = 'b'").drop("answers"), results.latest_answers(traces.where("case_id = 'b'").select("case_id", F.posexplode("answers").alias("position", "x")).select("case_id", "position", "x.*"), ["case_id"])).first()
+    assert (old.missing, old.errors, old.case_json) == tuple(found.collect()[1])[1:]
